@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.relational import _scratch
 from catalog.timeline import KEY, TS, labelled_grid
 from wardline.operators import evaluate, features, grid, importance, models, sequences
 from wardline.operators.cohort import assign_split
 from wardline.operators.labels import first_onset
+from wardline.sources.tables import cut_lineage, shared_folder
 
 FEATURES = ["value_mean", "value_max"]
 STEPS = 20
@@ -18,11 +18,11 @@ HISTORY = [f"{c}_{k}" for c in FEATURES for k in ("lag1", "lag4", "mean8")]
 
 def flat_set(t):
     """One flat vector per stay, scaled on the training stays, with its split."""
-    rows = first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=FEATURES)
+    rows = cut_lineage(first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=FEATURES))
     rows = assign_split(rows, KEY)
     bounds = features.fit_scaler(rows.filter(F.col("split") == "train"), FEATURES, FEATURES)
     scaled = features.apply_scaler(rows, bounds, FEATURES, FEATURES)
-    return sequences.to_vectors(scaled, KEY, TS, FEATURES, STEPS, carry=["label", "split"]).persist()
+    return cut_lineage(sequences.to_vectors(scaled, KEY, TS, FEATURES, STEPS, carry=["label", "split"]))
 
 
 def _part(rows, *names):
@@ -102,8 +102,9 @@ def continuous_set(t):
 
     made = grid.history_features(labelled_grid(t), KEY, TS, FEATURES, [1, 4], [8])
     inputs = FEATURES + HISTORY
-    filled = assign_split(grid.step_index(made, KEY, TS).fillna(0, subset=inputs), KEY)
-    return VectorAssembler(inputCols=inputs, outputCol="features").transform(filled).select(KEY, TS, "step", "label", "split", "features").persist()
+    filled = cut_lineage(grid.step_index(made, KEY, TS).fillna(0, subset=inputs))
+    assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(assign_split(filled, KEY))
+    return cut_lineage(assembled.select(KEY, TS, "step", "label", "split", "features"))
 
 
 @query("continuous_scoring")
@@ -120,7 +121,7 @@ def model_roundtrip(t):
     """Keep the better of two models by validation area, store it, load it, predict."""
     rows = flat_set(t)
     train = _part(rows, "train")
-    path = _scratch(t)
+    path = shared_folder(t.spark)
     candidates = {p: models.fit_logistic(train, penalty=p, max_iter=50) for p in ("l1", "l2")}
     best, _ = models.keep_best(candidates, _part(rows, "valid"), path)
     return models.predict(models.load_model(path), _part(rows, "test"), best, [KEY])

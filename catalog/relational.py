@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import functions as F, types as T
 
 from catalog.registry import SQL, coded_sql, query, rounded
@@ -17,18 +15,12 @@ LAB_CODES = [r.code for r in LAB_RULES]
 VITAL_CODES = [r.code for r in VITAL_RULES]
 
 
-def _scratch(t) -> str:
-    """Folder for a round trip: the shared checkpoint folder, or a local one where none is set."""
-    base = t.spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{base.rstrip('/')}/wardline-{__import__('uuid').uuid4().hex}"
-
-
 @query(
     "scan_csv_roundtrip",
     "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, c_mktsegment FROM customer",
 )
 def scan_csv_roundtrip(t):
-    path = _scratch(t)
+    path = sources.shared_folder(t.spark)
     customers = t.read("customer")
     sources.write_delimited(customers, path)
     return rounded(sources.read_delimited(t.spark, path, customers.schema), "c_acctbal")
@@ -313,16 +305,16 @@ def flags_three_way(t):
 
 # Union of closed intervals by sweeping over their bounds: starts count before ends.
 _SWEEP = """bounds AS (
-  SELECT stay_id, starttime AS at, 1 AS change FROM {source}
+  SELECT stay_id, starttime AS moment, 1 AS change FROM {source}
   UNION ALL SELECT stay_id, endtime, -1 FROM {source}),
 depth AS (
-  SELECT stay_id, at, change, sum(change) OVER w AS n_open, sum(change) OVER w - change AS n_before
-  FROM bounds WINDOW w AS (PARTITION BY stay_id ORDER BY at, change DESC ROWS UNBOUNDED PRECEDING)),
+  SELECT stay_id, moment, change, sum(change) OVER w AS n_open, sum(change) OVER w - change AS n_before
+  FROM bounds WINDOW w AS (PARTITION BY stay_id ORDER BY moment, change DESC ROWS UNBOUNDED PRECEDING)),
 edges AS (
-  SELECT stay_id, at, change, row_number() OVER (PARTITION BY stay_id, change ORDER BY at) AS n
+  SELECT stay_id, moment, change, row_number() OVER (PARTITION BY stay_id, change ORDER BY moment) AS n
   FROM depth WHERE (change = 1 AND n_before = 0) OR (change = -1 AND n_open = 0)),
 merged AS (
-  SELECT s.stay_id, s.n, s.at AS starttime, e.at AS endtime
+  SELECT s.stay_id, s.n, s.moment AS starttime, e.moment AS endtime
   FROM edges s JOIN edges e ON e.stay_id = s.stay_id AND e.n = s.n AND s.change = 1 AND e.change = -1)"""
 
 
@@ -540,7 +532,7 @@ def one_hot_segments(t):
 @query("materialise_roundtrip", f"WITH {SQL['shipments']} SELECT stay_id, starttime, endtime FROM shipments")
 def materialise_roundtrip(t):
     """A derived table written once and scanned again."""
-    return sources.materialise(t.shipments.select("stay_id", "starttime", "endtime"), _scratch(t), sort=["stay_id"])
+    return sources.materialise(t.shipments.select("stay_id", "starttime", "endtime"), sources.shared_folder(t.spark), sort=["stay_id"])
 
 
 @query(
@@ -549,7 +541,7 @@ def materialise_roundtrip(t):
 )
 def prediction_roundtrip(t):
     """Predictions stored per model; one model is read back by partition pruning."""
-    path = _scratch(t)
+    path = sources.shared_folder(t.spark)
     sources.write_predictions(t.predictions.select("stay_id", "step", "model", "label", "prob"), path)
     read = sources.read_predictions(t.spark, path, ["m1"])
     return rounded(read, "prob")
@@ -562,7 +554,7 @@ SELECT substr(model, 2)::INTEGER AS run, 'brier' AS metric, round(avg((prob - la
 )
 def metrics_append(t):
     """One metrics row per run, appended in three writes."""
-    path = _scratch(t)
+    path = sources.shared_folder(t.spark)
     for run in range(3):
         one = t.predictions.filter(F.col("model") == f"m{run}")
         rows = one.agg(F.avg(F.pow(F.col("prob") - F.col("label"), F.lit(2.0))).alias("value")).select(

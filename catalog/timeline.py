@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from catalog.registry import SQL, grid_sql, labelled_sql, query, rounded
 from wardline.functions.columns import midpoint
 from wardline.operators import features, grid, labels, sequences
+from wardline.operators.cohort import assign_split
+from wardline.sources.tables import cut_lineage
 
 KEY, TS = "stay_id", "charttime"
 GRID = {"value_mean": "mean", "value_max": "max", "stage": "max"}
@@ -218,8 +220,6 @@ SELECT event_id, round((least(greatest(value, lo), hi) - mn) / (mx - mn), 6) AS
 )
 def fit_apply_scaler(t):
     """Bounds from the training entities, applied to all rows."""
-    from wardline.operators.cohort import assign_split
-
     rows = assign_split(t.log.select(KEY, "event_id", "value"), KEY)
     bounds = features.fit_scaler(rows.filter(F.col("split") == "train"), ["value"], ["value"])
     return rounded(features.apply_scaler(rows, bounds, ["value"], ["value"]).select("event_id", "value"), "value")
@@ -240,9 +240,7 @@ FROM rows, q, m""",
 )
 def prepared_rows(t):
     """Events to scaled, labelled and split rows: grid, fill, horizon, onset, static block, scaler."""
-    from wardline.operators.cohort import assign_split
-
-    rows = labels.first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=["value_mean"])
+    rows = cut_lineage(labels.first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=["value_mean"]))
     rows = features.static_features(rows, t.detail, KEY, ["age"], {})
     rows = assign_split(rows.select(KEY, TS, "label", "value_mean", "age"), KEY)
     bounds = features.fit_scaler(rows.filter(F.col("split") == "train"), ["value_mean"], ["value_mean", "age"])

@@ -84,12 +84,9 @@ def ranked_entities(df: DataFrame, key: str, seed: int) -> DataFrame:
     """Distinct entities in a reproducible pseudo-random order: key, position (from 1), total."""
     entities = df.select(key).distinct().filter(F.col(key).isNotNull())
     shuffled = entities.withColumn("__hash", F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed)))))
-    total = entities.agg(F.count(F.lit(1)).alias("total"))
     # the first three hex digits make 4096 even cells
-    ranked = rank_rows(
-        shuffled, [], F.substring("__hash", 1, 3), [F.col("__hash"), F.col(key)], "position"
-    )
-    return ranked.withColumn("total", total.scalar()).drop("__hash")
+    cell = F.substring("__hash", 1, 3)
+    return rank_rows(shuffled, [], cell, [F.col("__hash"), F.col(key)], "position", total="total").drop("__hash")
 
 
 def split_entities(df: DataFrame, key: str, holdout: float = 0.2, test_share: float = 0.5, seed: int = 42) -> DataFrame:

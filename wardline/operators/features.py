@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.columns import clip, midpoint, one_hot, rescale
@@ -116,67 +118,71 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
 
 
 def quantile_bounds(df: DataFrame, columns: list[str], lower: float, upper: float, approx: bool = False) -> DataFrame:
-    """One row of structs ``column -> (low, high)``."""
+    """One row with a struct (low, high, min, max) per column: two quantiles and the extremes."""
     if approx:
         both = F.array(F.lit(lower), F.lit(upper))
-        found = df.agg(*[F.percentile_approx(F.col(c).cast("double"), both, 100_000).alias(c) for c in columns])
-        return found.select(*[F.struct(F.col(c)[0].alias("low"), F.col(c)[1].alias("high")).alias(c) for c in columns])
-    long = exact_quantiles(df, columns, [lower, upper])
-    pair = F.struct(F.col("q0").alias("low"), F.col("q1").alias("high"))
-    return long.agg(*[F.max(F.when(F.col("column") == c, pair)).alias(c) for c in columns])
+        found = df.agg(
+            *[F.percentile_approx(F.col(c).cast("double"), both, 100_000).alias(f"__q_{c}") for c in columns],
+            *[side(c).cast("double").alias(f"__{n}_{c}") for c in columns for n, side in (("min", F.min), ("max", F.max))],
+        )
+        return found.select(
+            *[
+                F.struct(
+                    F.col(f"__q_{c}")[0].alias("low"),
+                    F.col(f"__q_{c}")[1].alias("high"),
+                    F.col(f"__min_{c}").alias("min"),
+                    F.col(f"__max_{c}").alias("max"),
+                ).alias(c)
+                for c in columns
+            ]
+        )
+    long = exact_quantiles(df, columns, [0.0, lower, upper, 1.0])
+    four = F.struct(F.col("q1").alias("low"), F.col("q2").alias("high"), F.col("q0").alias("min"), F.col("q3").alias("max"))
+    return long.agg(*[F.max(F.when(F.col("column") == c, four)).alias(c) for c in columns])
 
 
 def value_bounds(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row of structs ``column -> (low, high)`` with the extreme values."""
+    """One row with a struct (min, max) per column."""
     return df.agg(
-        *[F.struct(F.min(c).cast("double").alias("low"), F.max(c).cast("double").alias("high")).alias(c) for c in columns]
+        *[F.struct(F.min(c).cast("double").alias("min"), F.max(c).cast("double").alias("max")).alias(c) for c in columns]
     )
 
 
-def _with_bounds(df: DataFrame, bounds: DataFrame, columns: list[str], change) -> DataFrame:
-    """Apply ``change(value, low, high)``; the one row of bounds is a scalar subquery, not a join."""
-    row = bounds.select(F.struct(*columns).alias("b")).scalar()
-    changed = {c: change(F.col(c).cast("double"), F.col("__b")[c]["low"], F.col("__b")[c]["high"]) for c in columns}
+def _with_bounds(df: DataFrame, bounds: DataFrame, changes: dict[str, Callable[[Column, Column], Column]]) -> DataFrame:
+    """Apply ``change(value, bounds)``; the one row of bounds is a scalar subquery, not a join."""
+    row = bounds.select(F.struct(*changes).alias("b")).scalar()
+    changed = {c: change(F.col(c).cast("double"), F.col("__b")[c]) for c, change in changes.items()}
     return df.withColumn("__b", row).withColumns(changed).drop("__b")
 
 
+def _clipped(value: Column, b: Column) -> Column:
+    return clip(value, b["low"], b["high"])
+
+
+def _scaled(value: Column, b: Column) -> Column:
+    return rescale(value, b["min"], b["max"])
+
+
+def _clipped_and_scaled(value: Column, b: Column) -> Column:
+    # clipping is monotone: the extremes of the clipped column are the clipped extremes
+    return rescale(_clipped(value, b), _clipped(b["min"], b), _clipped(b["max"], b))
+
+
 def cap(df: DataFrame, bounds: DataFrame, columns: list[str]) -> DataFrame:
-    return _with_bounds(df, bounds, columns, clip)
+    return _with_bounds(df, bounds, {c: _clipped for c in columns})
 
 
 def scale(df: DataFrame, bounds: DataFrame, columns: list[str]) -> DataFrame:
-    return _with_bounds(df, bounds, columns, rescale)
+    return _with_bounds(df, bounds, {c: _scaled for c in columns})
 
 
 def fit_scaler(
     df: DataFrame, capped: list[str], scaled: list[str], lower: float = 0.01, upper: float = 0.99, approx: bool = False
-) -> tuple[DataFrame, DataFrame]:
-    """Quantile bounds of the raw columns and extremes of the capped ones.
-
-    Capping is monotone, so the extremes after capping are the clipped raw extremes.
-    """
-    quantiles = quantile_bounds(df, capped, lower, upper, approx)
-    extremes = value_bounds(df, scaled)
-    both = [c for c in scaled if c in capped]
-    clipped = _with_bounds_row(extremes, quantiles, both)
-    return quantiles, clipped
-
-
-def _with_bounds_row(extremes: DataFrame, quantiles: DataFrame, columns: list[str]) -> DataFrame:
-    if not columns:
-        return extremes
-    row = quantiles.select(F.struct(*columns).alias("b")).scalar()
-    q = lambda c, side: F.col("__q")[c][side]
-    made = {
-        c: F.struct(
-            clip(F.col(c)["low"], q(c, "low"), q(c, "high")).alias("low"),
-            clip(F.col(c)["high"], q(c, "low"), q(c, "high")).alias("high"),
-        )
-        for c in columns
-    }
-    return extremes.withColumn("__q", row).withColumns(made).drop("__q")
+) -> DataFrame:
+    return quantile_bounds(df, list(dict.fromkeys([*capped, *scaled])), lower, upper, approx)
 
 
-def apply_scaler(df: DataFrame, bounds: tuple[DataFrame, DataFrame], capped: list[str], scaled: list[str]) -> DataFrame:
-    quantiles, extremes = bounds
-    return scale(cap(df, quantiles, capped), extremes, scaled)
+def apply_scaler(df: DataFrame, bounds: DataFrame, capped: list[str], scaled: list[str]) -> DataFrame:
+    """Winsorise the capped columns and bring the scaled ones to [0, 1], in one projection."""
+    changes = {c: _scaled for c in scaled} | {c: _clipped_and_scaled if c in scaled else _clipped for c in capped}
+    return _with_bounds(df, bounds, changes)

@@ -2,15 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
-
-from wardline.functions.columns import hours_between
-from wardline.operators.scans import MAX_GROUP_ROWS, Running, drop_slices, large_groups, running, slice_groups
+from functools import reduce
 
+from pyspark.sql import DataFrame, functions as F
 
-def _sliced(df: DataFrame, measured: DataFrame, keys: list[str], ts: str, max_rows: int | None) -> DataFrame:
-    large = None if max_rows is None else large_groups(measured, keys, ts, max_rows)
-    return slice_groups(df, large, keys, ts)
+from wardline.functions.columns import hours_between
+from wardline.operators.scans import MAX_GROUP_ROWS, Running, drop_slices, running, split_large
+from wardline.sources.tables import cut_lineage
 
 
 def rate_log(events: DataFrame, keys: list[str], ts: str = "starttime", rate: str = "rate") -> DataFrame:
@@ -22,18 +20,10 @@ def carry_rate(
     events: DataFrame, keys: list[str], ts: str = "starttime", rate: str = "rate", max_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Add the rate in force at each row and the one in force before it."""
-    log = _sliced(rate_log(events, keys, ts, rate), events, keys, ts, max_rows)
-    carried = running(
-        log,
-        keys,
-        ts,
-        {
-            "carried_rate": Running("last", F.col(rate)),
-            "previous_rate": Running("last", F.col(rate), include_current=False),
-        },
-        sliced=max_rows is not None,
-    )
-    return drop_slices(carried)
+    log, sliced = split_large(rate_log(events, keys, ts, rate), events, keys, ts, max_rows)
+    value = F.col(rate)
+    measures = {"carried_rate": Running("last", value), "previous_rate": Running("last", value, include_current=False)}
+    return drop_slices(running(log, keys, ts, measures, sliced=sliced))
 
 
 def episodes(
@@ -47,10 +37,10 @@ def episodes(
     are no delivery.
     """
     events = events.dropna(subset=keys)
-    log = _sliced(rate_log(events, keys, ts, rate), events, keys, ts, max_rows)
-    sliced = max_rows is not None
+    log, sliced = split_large(rate_log(events, keys, ts, rate), events, keys, ts, max_rows)
     value, previous = F.col(rate), F.col("__previous")
     known = running(log, keys, ts, {"__previous": Running("last", value, include_current=False)}, sliced=sliced)
+    known = cut_lineage(known) if sliced else known
     begins = F.when(previous.isNull(), value > 0).otherwise((previous == 0) & (value != 0))
     dated = running(known, keys, ts, {"__begin": Running("max", F.when(begins, F.col(ts)))}, sliced=sliced)
     return (
@@ -75,16 +65,20 @@ def merge_intervals(
     max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Union of closed intervals per key; overlapping and touching ones become one."""
+    return _merge(intervals, keys, start, end, max_rows)[0]
+
+
+def _merge(intervals: DataFrame, keys: list[str], start: str, end: str, max_rows: int | None) -> tuple[DataFrame, bool]:
     valid = intervals.dropna(subset=[*keys, start, end])
     longest = valid.groupBy(*keys, start).agg(F.max(end).alias(end))
-    sliced = max_rows is not None
-    prepared = _sliced(longest, valid, keys, start, max_rows)
+    prepared, sliced = split_large(longest, valid, keys, start, max_rows)
     covered = running(
         prepared, keys, start, {"__covered": Running("max", F.col(end), include_current=False)}, sliced=sliced
     )
+    covered = cut_lineage(covered) if sliced else covered
     opens = F.col("__covered").isNull() | (F.col(start) > F.col("__covered"))
     islands = running(covered, keys, start, {"__island": Running("max", F.when(opens, F.col(start)))}, sliced=sliced)
-    return islands.groupBy(*keys, F.col("__island").alias(start)).agg(F.max(end).alias(end))
+    return islands.groupBy(*keys, F.col("__island").alias(start)).agg(F.max(end).alias(end)), sliced
 
 
 def order_intervals(events: DataFrame, keys: list[str], start: str = "starttime", end: str = "endtime") -> DataFrame:
@@ -93,23 +87,35 @@ def order_intervals(events: DataFrame, keys: list[str], start: str = "starttime"
 
 
 def number_intervals(
-    merged: DataFrame, key: str, name: str = "number", start: str = "starttime", end: str = "endtime", max_rows: int | None = MAX_GROUP_ROWS
+    merged: DataFrame,
+    key: str,
+    name: str = "number",
+    start: str = "starttime",
+    end: str = "endtime",
+    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Consecutive number per key and length in hours of disjoint intervals."""
-    prepared = _sliced(merged, merged, [key], start, max_rows)
-    numbered = running(prepared, [key], start, {name: Running("sum", F.lit(1))}, sliced=max_rows is not None)
+    prepared, sliced = split_large(merged, merged, [key], start, max_rows)
+    numbered = running(prepared, [key], start, {name: Running("sum", F.lit(1))}, sliced=sliced)
     return numbered.select(
         key, F.col(name).cast("bigint").alias(name), start, end, hours_between(start, end).alias("duration_hours")
     )
 
 
-def durations(sources: list[DataFrame], key: str, name: str = "number", max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def durations(
+    sources: list[DataFrame], key: str, name: str = "number", max_rows: int | None = MAX_GROUP_ROWS
+) -> DataFrame:
     """Merged, numbered intervals of each source; numbering restarts per source, equal rows unite."""
-    parts = [number_intervals(merge_intervals(s, [key], max_rows=max_rows), key, name, max_rows=max_rows) for s in sources]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.distinct()
+    parts = []
+    for source in sources:
+        merged, sliced = _merge(source, [key], "starttime", "endtime", max_rows)
+        # merging only shrinks groups: without large ones before there are none now
+        parts.append(
+            number_intervals(cut_lineage(merged), key, name, max_rows=max_rows)
+            if sliced
+            else number_intervals(merged, key, name, max_rows=None)
+        )
+    return reduce(lambda a, b: a.unionByName(b), parts).distinct()
 
 
 def flags_at(
@@ -142,12 +148,10 @@ def flags_at(
         )
         for name, df in intervals.items()
     ]
-    line = points[0]
-    for part in [*points[1:], *starts]:
-        line = line.unionByName(part)
+    line = reduce(lambda a, b: a.unionByName(b), [*points, *starts])
     moments = line.groupBy(key, ts).agg(F.max("__asked").alias("__asked"), *[F.max(n).alias(n) for n in names])
-    prepared = _sliced(moments, line, [key], ts, max_rows)
-    covered = running(prepared, [key], ts, {f"__{n}": Running("max", F.col(n)) for n in names}, sliced=max_rows is not None)
+    prepared, sliced = split_large(moments, line, [key], ts, max_rows)
+    covered = running(prepared, [key], ts, {f"__{n}": Running("max", F.col(n)) for n in names}, sliced=sliced)
     return covered.filter("__asked").select(
         key, ts, *[F.coalesce((F.col(f"__{n}") >= F.col(ts)).cast("int"), F.lit(0)).alias(n) for n in names]
     )
@@ -163,8 +167,3 @@ def join_flags(flags: list[DataFrame], keys: list[str]) -> DataFrame:
     for other in flags[1:]:
         out = out.join(other, keys)
     return out
-
-
-def last_rows(df: DataFrame, keys: list[str], ts: str, columns: list[str]) -> DataFrame:
-    """Last observation per key as one aggregation."""
-    return df.groupBy(*keys).agg(F.max(ts).alias(ts), *[F.max_by(c, ts).alias(c) for c in columns])

@@ -1,9 +1,9 @@
 """Ordered scans that do not depend on how large a single group is.
 
-A plain window ``partitionBy(keys).orderBy(ts)`` runs each group in one task. When a group may
-hold a large part of all rows, the functions here cut it into consecutive slices, scan every slice
-on its own and hand each slice the summary of the slices before it (one row per slice). Groups
-below the size limit stay whole and take part in no extra shuffle.
+A plain window ``partitionBy(keys).orderBy(ts)`` runs each group in one task. That is right as long
+as groups are small, so the sizes are counted first. Groups above the limit are cut into
+consecutive slices; every slice is scanned on its own and gets the summary of the slices before it
+(one row per slice). Without such groups the plain window is all that remains.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardline.functions.columns import micros_between
+from wardline.sources.tables import cut_lineage
 
 SLICE = "__slice"
 _SPLIT = "__split"
@@ -32,7 +33,7 @@ class Running:
 def large_groups(df: DataFrame, keys: list[str], ts: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Groups of more than ``max_rows`` rows with their first instant and slice width.
 
-    The result has fewer than ``rows / max_rows`` rows, which is what allows to broadcast it.
+    The result has fewer than ``rows / max_rows`` rows.
     """
     pieces = F.ceil(F.col("__n") / F.lit(max_rows))
     span = micros_between("__first", "__last") + F.lit(1)
@@ -45,16 +46,29 @@ def large_groups(df: DataFrame, keys: list[str], ts: str, max_rows: int = MAX_GR
     )
 
 
-def slice_groups(df: DataFrame, large: DataFrame | None, keys: list[str], ts: str) -> DataFrame:
-    """Add the slice number: 0 for ordinary groups, consecutive time slices for large ones."""
-    if large is None:
-        return df.withColumns({SLICE: F.lit(0).cast("bigint"), _SPLIT: F.lit(False)})
+def split_large(
+    df: DataFrame, measured: DataFrame, keys: list[str], ts: str, max_rows: int | None = MAX_GROUP_ROWS
+) -> tuple[DataFrame, bool]:
+    """Add the slice number to ``df``: 0 for ordinary groups, consecutive time slices for large ones.
+
+    Group sizes are counted on ``measured``, which has at least the rows of ``df``; this runs one
+    aggregation at once. The second result tells whether there are large groups; then the sliced
+    rows are stored, because the scans read them more than once.
+    """
+    whole = df.withColumns({SLICE: F.lit(0).cast("bigint"), _SPLIT: F.lit(False)})
+    if max_rows is None:
+        return whole, False
+    large = cut_lineage(large_groups(measured, keys, ts, max_rows))
+    if large.isEmpty():
+        return whole, False
     number = F.floor(micros_between("__first", ts) / F.col("__width"))
-    return (
+    # fewer than rows / max_rows rows
+    sliced = (
         df.join(F.broadcast(large), keys, "left")
         .withColumns({SLICE: F.coalesce(number, F.lit(0)), _SPLIT: F.col("__width").isNotNull()})
         .drop("__first", "__width")
     )
+    return cut_lineage(sliced), True
 
 
 def drop_slices(df: DataFrame) -> DataFrame:
@@ -102,7 +116,7 @@ def running(
     """Running values per group in the order of one column, over already sliced rows.
 
     ``df`` carries the column ``SLICE``, which must not decrease along the order (not increase if
-    ``descending``). With ``only_split`` just the groups marked by ``slice_groups`` are carried over.
+    ``descending``). With ``only_split`` just the groups cut by ``split_large`` are carried over.
     """
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     window = Window.partitionBy(*keys, SLICE).orderBy(direction(order))
@@ -118,14 +132,18 @@ def running(
         .select(*keys, SLICE, *[over_slices[m.kind](f"__c_{n}").over(before).alias(f"__c_{n}") for n, m in measures.items()])
     )
     joined = out.join(carried, [*keys, SLICE], "left")
-    return joined.withColumns(
-        {n: _combine(m.kind, F.col(n), F.col(f"__c_{n}")) for n, m in measures.items()}
-    ).drop(*[f"__c_{n}" for n in measures])
+    return joined.withColumns({n: _combine(m.kind, F.col(n), F.col(f"__c_{n}")) for n, m in measures.items()}).drop(
+        *[f"__c_{n}" for n in measures]
+    )
 
 
-def rank_rows(df: DataFrame, keys: list[str], cell: Column, order: list[Column], name: str) -> DataFrame:
+def rank_rows(
+    df: DataFrame, keys: list[str], cell: Column, order: list[Column], name: str, total: str | None = None
+) -> DataFrame:
     """1-based rank per group by (cell, order) without sorting a whole group in one task.
 
+    With ``total`` the size of the group is added under that name.
+
     ``cell`` must be non-decreasing along ``order`` and take a bounded number of values; keys and
     cell must not be null.
     """
@@ -135,7 +153,12 @@ def rank_rows(df: DataFrame, keys: list[str], cell: Column, order: list[Column],
     base = (
         cells.groupBy(*keys, "__cell")
         .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*keys, "__cell", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+        .select(
+            *keys,
+            "__cell",
+            F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"),
+            *([F.sum("__n").over(Window.partitionBy(*keys)).alias(total)] if total else []),
+        )
     )
     ranked = cells.withColumn("__rank", F.row_number().over(within))
     return (

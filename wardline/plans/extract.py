@@ -17,6 +17,7 @@ from wardline.operators.cohort import extract_cohort
 from wardline.operators.intervals import durations, episodes, flags_at, order_intervals
 from wardline.operators.pivot import left_join_groups, pivot_events
 from wardline.operators.scans import MAX_GROUP_ROWS
+from wardline.sources.tables import cut_lineage
 
 STAY_KEYS = ["subject_id", "hadm_id", "stay_id"]
 ADMISSION_KEYS = ["subject_id", "hadm_id"]
@@ -44,7 +45,10 @@ def vital_table(stays: DataFrame, chart_events: DataFrame) -> DataFrame:
 
 
 def sedative_durations(input_events: DataFrame, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    """Sedation intervals of two infusion systems: rate records and linked orders."""
+    """Sedation intervals of two infusion systems: rate records and linked orders.
+
+    Both reduce the log to few intervals, which are stored before they are merged.
+    """
     key = "stay_id"
     swapped = F.col("itemid").isin(SWAPPED_RATE_CODES)
     rate, amount = swap_if(swapped, "rate", "amount")
@@ -54,7 +58,7 @@ def sedative_durations(input_events: DataFrame, max_rows: int | None = MAX_GROUP
         F.col("itemid").isin(SEDATIVE_ORDER_CODES) & (F.col("statusdescription") != REWRITTEN)
     )
     ordered = order_intervals(orders, [key, "linkorderid"]).select(key, "starttime", "endtime")
-    return durations([delivered, ordered], key, "sedativenum", max_rows=max_rows)
+    return durations([cut_lineage(delivered), cut_lineage(ordered)], key, "sedativenum", max_rows=max_rows)
 
 
 def flag_table(

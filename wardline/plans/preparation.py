@@ -13,6 +13,7 @@ from wardline.operators.cohort import adults, assign_split, drop_all_null, drop_
 from wardline.operators.features import apply_scaler, fill_constant, fit_scaler, impute_column_mode, impute_entity_mode, midpoints, static_features
 from wardline.operators.grid import forward_fill, resample
 from wardline.operators.labels import first_onset, shift_label
+from wardline.sources.tables import cut_lineage
 
 # The laboratory values and vital signs in use.
 LABS_USED = ["aniongap", "bicarbonate", "creatinine", "chloride", "glucose", "hematocrit", "hemoglobin", "potassium", "sodium", "bun", "wbc"]
@@ -99,12 +100,13 @@ def select_features(df: DataFrame, full: list[str], minimal: list[str]) -> list[
     return full if set(full) <= set(df.columns) else minimal
 
 
-def prepare(tables: dict[str, DataFrame], settings: Settings = Settings(), store=None) -> Prepared:
+def prepare(tables: dict[str, DataFrame], settings: Settings = Settings(), store=cut_lineage) -> Prepared:
     """The whole preparation.
 
-    ``tables`` holds stages and detail and, for the full feature set, labs, vitals and flags.
-    ``store`` (for example ``cut_lineage``) materialises the labelled grid, which is read once to
-    fit the scaler and once to apply it.
+    ``tables`` holds stages, labs and detail and, for the full feature set, vitals and flags; they
+    are read several times and should be stored tables. ``store`` materialises the two
+    intermediate results that more than one later step reads: the aligned rows (spans, trimming)
+    and the labelled rows (split, scaler).
     """
     s = settings
     detail = adults(tables["detail"], s.min_age)
@@ -113,7 +115,7 @@ def prepare(tables: dict[str, DataFrame], settings: Settings = Settings(), store
         merged = merge_sources(stages, clean_labs(tables["labs"]), clean_vitals(tables["vitals"]), tables["flags"])
     else:
         merged = merge_measure(stages, "creat", clean_labs(tables["labs"]), "creatinine_avg", ["stay_id", "charttime"], "creat")
-    merged = keep_entities(merged, detail, s.entity)
+    merged = store(keep_entities(merged, detail, s.entity))
     merged = span_filter(merged, s.entity, s.time, s.horizon_hours / 24, s.max_days)
     grid = grid_rows(merged, s)
     dynamic = [c for c in grid.columns if c not in (s.entity, s.time, s.label, "hadm_id")]
@@ -123,9 +125,8 @@ def prepare(tables: dict[str, DataFrame], settings: Settings = Settings(), store
         rows = static_features(rows, detail, s.entity, ["age"], CATEGORIES)
     features = select_features(rows, full, MINIMAL_FEATURES)
     scaled = [c for c in features if c not in FLAGS and c not in _levels()]
-    rows = assign_split(rows.select(s.entity, s.time, s.label, *features), s.entity, s.holdout, s.test_share, s.seed)
-    if store is not None:
-        rows = store(rows)
+    rows = store(rows.select(s.entity, s.time, s.label, *features))
+    rows = assign_split(rows, s.entity, s.holdout, s.test_share, s.seed)
     fitting = rows if s.fit_on == "all" else rows.filter(F.col("split") == "train")
     capped = features if s.fit_on == "all" else scaled
     bounds = fit_scaler(fitting, capped, scaled, s.cap_lower, s.cap_upper)

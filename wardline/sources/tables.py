@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -59,15 +60,23 @@ def materialise_table(df: DataFrame, name: str, bucket_by: str | None = None, bu
     return df.sparkSession.table(name)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store an intermediate result in the shared checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder all executors reach.
 
-    The folder is the cluster's ``spark.checkpoint.dir``; without one the caller has to set it.
+    That is the cluster's ``spark.checkpoint.dir``. Only a single-machine session without that
+    setting gets a temporary folder.
     """
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        raise ValueError("spark.checkpoint.dir is not set")
-    return materialise(df, f"{folder.rstrip('/')}/wardline-{uuid.uuid4().hex}")
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set")
+        folder = tempfile.gettempdir()
+    return f"{folder.rstrip('/')}/wardline-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store an intermediate result as a table in the shared folder and go on from a scan of it."""
+    return materialise(df, shared_folder(df.sparkSession))
 
 
 def write_predictions(pred: DataFrame, path: str) -> None:
