@@ -289,16 +289,17 @@ GROUP BY 1, 2"""
 @query("flag_at_time", _three_flags_sql())
 def flag_at_time(t):
     """Three kinds of intervals against the union of two time sources, in one pass."""
-    kinds = {n: t.shipments.filter(F.col("o_orderpriority").isin(*p)) for n, p in _KINDS.items()}
+    shipments = sources.cut_lineage(t.shipments)
+    kinds = {n: shipments.filter(F.col("o_orderpriority").isin(*p)) for n, p in _KINDS.items()}
     return intervals.flags_at([t.order_times, t.ship_times], kinds)
 
 
 @query("flags_three_way", _three_flags_sql())
 def flags_three_way(t):
     """The same from three separate flag tables, joined on (stay, time)."""
-    times = [t.order_times, t.ship_times]
+    times, shipments = [t.order_times, t.ship_times], sources.cut_lineage(t.shipments)
     parts = [
-        intervals.flag_at(times, t.shipments.filter(F.col("o_orderpriority").isin(*p)), n) for n, p in _KINDS.items()
+        intervals.flag_at(times, shipments.filter(F.col("o_orderpriority").isin(*p)), n) for n, p in _KINDS.items()
     ]
     return intervals.join_flags(parts, ["stay_id", "charttime"])
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # call sites of every column expression cost a round trip to the JVM each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
