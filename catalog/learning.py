@@ -19,7 +19,7 @@ HISTORY = [f"{c}_{k}" for c in FEATURES for k in ("lag1", "lag4", "mean8")]
 def flat_set(t):
     """One flat vector per stay, scaled on the training stays, with its split."""
     rows = cut_lineage(first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=FEATURES))
-    rows = assign_split(rows, KEY)
+    rows = assign_split(rows, KEY, max_rows=None)
     bounds = features.fit_scaler(rows.filter(F.col("split") == "train"), FEATURES, FEATURES)
     scaled = features.apply_scaler(rows, bounds, FEATURES, FEATURES)
     return cut_lineage(sequences.to_vectors(scaled, KEY, TS, FEATURES, STEPS, carry=["label", "split"]))
@@ -103,7 +103,7 @@ def continuous_set(t):
     made = grid.history_features(labelled_grid(t), KEY, TS, FEATURES, [1, 4], [8])
     inputs = FEATURES + HISTORY
     filled = cut_lineage(grid.step_index(made, KEY, TS).fillna(0, subset=inputs))
-    assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(assign_split(filled, KEY))
+    assembled = VectorAssembler(inputCols=inputs, outputCol="features").transform(assign_split(filled, KEY, max_rows=None))
     return cut_lineage(assembled.select(KEY, TS, "step", "label", "split", "features"))
 
 

@@ -196,7 +196,7 @@ _TYPES = ["click", "error", "purchase", "signup", "view"]
 def pivot_min_max(t):
     daily = t.log.withColumn("charttime", F.date_trunc("day", "charttime").cast("timestamp_ntz"))
     return rounded(
-        pivot.pivot_labels(daily, ["stay_id", "charttime"], _TYPES, ["min", "max"], "event_type", "value"),
+        pivot.pivot_labels(daily, ["stay_id", "charttime"], dict(zip(_TYPES, _TYPES)), ["min", "max"], "event_type", "value"),
         *[f"{n}_{a}" for n in _TYPES for a in ("min", "max")],
     )
 
@@ -216,7 +216,7 @@ def pivot_min_max_avg(t):
         "stay_id", F.window("charttime", "6 hours").start.alias("charttime"), "event_type",
         F.when(F.col("value") <= 200, F.col("value")).alias("value"),
     )
-    wide = pivot.pivot_labels(events, ["stay_id", "charttime"], _TYPES, ["min", "max", "mean"], "event_type", "value")
+    wide = pivot.pivot_labels(events, ["stay_id", "charttime"], dict(zip(_TYPES, _TYPES)), ["min", "max", "mean"], "event_type", "value")
     return rounded(wide, *[f"{n}_{a}" for n in _TYPES for a in ("min", "max", "mean")])
 
 

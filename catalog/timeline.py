@@ -241,8 +241,8 @@ FROM rows, q, m""",
 def prepared_rows(t):
     """Events to scaled, labelled and split rows: grid, fill, horizon, onset, static block, scaler."""
     rows = cut_lineage(labels.first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=["value_mean"]))
-    rows = features.static_features(rows, t.detail, KEY, ["age"], {})
-    rows = assign_split(rows.select(KEY, TS, "label", "value_mean", "age"), KEY)
+    rows = features.static_features(rows, t.detail, KEY, ["age"], {}, max_rows=None)
+    rows = assign_split(rows.select(KEY, TS, "label", "value_mean", "age"), KEY, max_rows=None)
     bounds = features.fit_scaler(rows.filter(F.col("split") == "train"), ["value_mean"], ["value_mean", "age"])
     return rounded(features.apply_scaler(rows, bounds, ["value_mean"], ["value_mean", "age"]), "value_mean", "age")
 

@@ -126,14 +126,14 @@ def _literal(value) -> str:
 
 def rules_frame(spark: SparkSession, rules: list[CodeRule]) -> DataFrame:
     """The dimension as a local relation (one row per code)."""
+    numbers = {label: i for i, label in enumerate(labels_of(rules))}
     rows = ", ".join(
-        f"({r.code}, {_literal(r.label)}, {_literal(r.low)}, {_literal(r.high)}, "
+        f"({r.code}, {_literal(r.label)}, {numbers[r.label]}, {_literal(r.low)}, {_literal(r.high)}, "
         f"{_literal(r.low_inclusive)}, {_literal(r.high_inclusive)}, {_literal(r.fahrenheit)})"
         for r in rules
     )
-    return spark.sql(
-        f"SELECT * FROM VALUES {rows} AS rules(code, rule_label, low, high, low_inclusive, high_inclusive, fahrenheit)"
-    )
+    names = "code, rule_label, label_number, low, high, low_inclusive, high_inclusive, fahrenheit"
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS rules({names})")
 
 
 def labels_of(rules: list[CodeRule]) -> list[str]:

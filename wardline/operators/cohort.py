@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.columns import any_present, days_between, micros_between
-from wardline.operators.scans import rank_rows
+from wardline.operators.scans import MAX_GROUP_ROWS, attach, rank_rows
+from wardline.sources.tables import cut_lineage
 
 _DAY_MICROS = 86_400_000_000
 
@@ -17,19 +18,19 @@ def eligible_entities(stages: DataFrame, measures: list[str], label: str, key: s
     return stages.filter(any_present(*measures) & F.col(label).isNotNull()).select(key).distinct()
 
 
-def keep_entities(df: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    return df.join(entities.select(key), key, "left_semi")
+def keep_entities(df: DataFrame, entities: DataFrame, key: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    return attach(df, entities.select(key).distinct(), [key], "left_semi", max_rows)
 
 
-def drop_entities(df: DataFrame, entities: DataFrame, key: str) -> DataFrame:
-    return df.join(entities.select(key), key, "left_anti")
+def drop_entities(df: DataFrame, entities: DataFrame, key: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+    return attach(df, entities.select(key).distinct(), [key], "left_anti", max_rows)
 
 
 def extract_cohort(
     tables: dict[str, DataFrame], stages: DataFrame, measures: list[str], label: str, key: str
 ) -> dict[str, DataFrame]:
-    """Restrict every table to the eligible entities."""
-    chosen = eligible_entities(stages, measures, label, key)
+    """Restrict every table to the eligible entities, which are determined once."""
+    chosen = cut_lineage(eligible_entities(stages, measures, label, key))
     return {name: keep_entities(df, chosen, key) for name, df in tables.items()}
 
 
@@ -54,26 +55,34 @@ def spans(df: DataFrame, key: str, ts: str) -> DataFrame:
     )
 
 
-def span_filter(df: DataFrame, key: str, ts: str, min_days: float, max_days: float | None = None) -> DataFrame:
+def span_filter(
+    df: DataFrame,
+    key: str,
+    ts: str,
+    min_days: float,
+    max_days: float | None = None,
+    max_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
     """Drop entities observed for less than ``min_days``; keep the last ``max_days`` of the others.
 
-    After trimming the span is checked once more. Spans come from aggregations and return to the
-    rows through a join on the entity, which can be split at run time if an entity is very large.
+    After trimming the span is checked once more. Spans come from aggregations, not from windows:
+    the rows of an entity need not meet in one task. ``df`` is read several times.
     """
     kept = spans(df, key, ts).filter(F.col("span_days") >= min_days)
     if max_days is None:
-        return keep_entities(df, kept, key)
+        return keep_entities(df, kept, key, max_rows)
     last = F.col("last_time")
     late = F.when(F.col("span_days") <= max_days, F.lit(True)).otherwise(_not_older(F.col(ts), last, max_days))
-    trimmed = df.join(kept.select(key, "last_time", "span_days"), key).filter(late).drop("last_time", "span_days")
+    dated = attach(df, kept.select(key, "last_time", "span_days"), [key], "inner", max_rows)
+    trimmed = dated.filter(late).drop("last_time", "span_days")
     still_long = spans(trimmed, key, ts).filter(F.col("span_days") >= min_days)
-    return keep_entities(trimmed, still_long, key)
+    return keep_entities(trimmed, still_long, key, max_rows)
 
 
-def trim_last_days(df: DataFrame, key: str, ts: str, days: float) -> DataFrame:
+def trim_last_days(df: DataFrame, key: str, ts: str, days: float, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
     """Keep the rows at most ``days`` before the entity's last one."""
     last = df.groupBy(key).agg(F.max(ts).alias("last_time"))
-    return df.join(last, key).filter(_not_older(F.col(ts), F.col("last_time"), days)).drop("last_time")
+    return attach(df, last, [key], "inner", max_rows).filter(_not_older(F.col(ts), F.col("last_time"), days)).drop("last_time")
 
 
 def _not_older(ts: Column, last: Column, days: float) -> Column:
@@ -102,8 +111,15 @@ def split_entities(df: DataFrame, key: str, holdout: float = 0.2, test_share: fl
     return ranked_entities(df, key, seed).select(key, name.alias("split"))
 
 
-def assign_split(df: DataFrame, key: str, holdout: float = 0.2, test_share: float = 0.5, seed: int = 42) -> DataFrame:
-    return df.join(split_entities(df, key, holdout, test_share, seed), key)
+def assign_split(
+    df: DataFrame,
+    key: str,
+    holdout: float = 0.2,
+    test_share: float = 0.5,
+    seed: int = 42,
+    max_rows: int | None = MAX_GROUP_ROWS,
+) -> DataFrame:
+    return attach(df, split_entities(df, key, holdout, test_share, seed), [key], "inner", max_rows)
 
 
 def sample_entities(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:

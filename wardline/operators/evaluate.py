@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, bin_index, decide
-from wardline.operators.scans import SLICE, Running, running
+from wardline.operators.scans import SLICE, Running, attach, running
 
 _GROUP = "__group"
 # Cells per unit of log-odds, and the limit beyond which all scores share the outermost cell.
@@ -39,42 +39,28 @@ def score_cell(prob: Column) -> Column:
     return F.when(prob <= 0, F.lit(-_CELL_LIMIT)).when(prob >= 1, F.lit(_CELL_LIMIT)).otherwise(inner).cast("bigint")
 
 
-def _cumulative(pred: DataFrame, by: list[str], label: str, prob: str) -> DataFrame:
-    """Per group and distinct score: positives, negatives and both cumulated from the top."""
+def _curve(pred: DataFrame, by: list[str], label: str, prob: str) -> DataFrame:
+    """Per group and distinct score: positives and negatives, cumulated from the top, and rates."""
     counts = (
         pred.filter(F.col(label).isNotNull() & F.col(prob).isNotNull())
         .groupBy(_group(by), F.col(prob).cast("double").alias("threshold"))
         .agg(F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) != 1).cast("bigint")).alias("neg"))
         .withColumn(SLICE, score_cell(F.col("threshold")))
     )
-    return running(
+    scanned = running(
         counts,
         [_GROUP],
         "threshold",
         {"tp": Running("sum", F.col("pos")), "fp": Running("sum", F.col("neg"))},
         descending=True,
         only_split=False,
-    ).drop(SLICE)
-
-
-def _totals(pred: DataFrame, by: list[str], label: str, prob: str) -> DataFrame:
-    return (
-        pred.filter(F.col(label).isNotNull() & F.col(prob).isNotNull())
-        .groupBy(_group(by))
-        .agg(
-            F.sum((F.col(label) == 1).cast("bigint")).alias("positives"),
-            F.sum((F.col(label) != 1).cast("bigint")).alias("negatives"),
-        )
+        totals=True,
     )
-
-
-def _curve(pred: DataFrame, by: list[str], label: str, prob: str) -> DataFrame:
-    rates = [
-        F.try_divide(F.col("tp").cast("double"), F.col("positives")).alias("tpr"),
-        F.try_divide(F.col("fp").cast("double"), F.col("negatives")).alias("fpr"),
-    ]
-    return (
-        _cumulative(pred, by, label, prob).join(_totals(pred, by, label, prob), _GROUP).select("*", *rates)
+    return scanned.drop(SLICE).withColumns(
+        {
+            "tpr": F.try_divide(F.col("tp").cast("double"), F.col("tp_total")),
+            "fpr": F.try_divide(F.col("fp").cast("double"), F.col("fp_total")),
+        }
     )
 
 
@@ -87,7 +73,7 @@ def roc_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", pr
     """Area by trapezoids; tied scores get half credit."""
     strip = F.col("neg") * (F.col("tp") - F.col("pos") / F.lit(2.0))
     return (
-        _cumulative(pred, by, label, prob)
+        _curve(pred, by, label, prob)
         .groupBy(_GROUP)
         .agg(F.sum(strip).alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(*_ungroup(by), F.try_divide(F.col("area"), F.col("p").cast("double") * F.col("n")).alias("value"))
@@ -107,7 +93,7 @@ def pr_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", pro
     before = F.coalesce(F.try_divide(tp.cast("double"), tp + fp), F.lit(1.0))
     strip = F.col("pos") * (here + before) / F.lit(2.0)
     return (
-        _cumulative(pred, by, label, prob)
+        _curve(pred, by, label, prob)
         .groupBy(_GROUP)
         .agg(F.sum(strip).alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
         .select(*_ungroup(by), F.when(F.col("n") > 0, F.try_divide(F.col("area"), F.col("p"))).alias("value"))
@@ -165,11 +151,7 @@ def _join_groups(pred: DataFrame, groups: DataFrame, by: list[str]) -> DataFrame
     values = [c for c in groups.columns if c not in by]
     if not by:
         return pred.withColumns({v: groups.select(v).scalar() for v in values})
-    return (
-        pred.withColumn(_GROUP, _group(by))
-        .join(groups.select(_group(by), *values), _GROUP)
-        .drop(_GROUP)
-    )
+    return attach(pred.withColumn(_GROUP, _group(by)), groups.select(_group(by), *values), [_GROUP]).drop(_GROUP)
 
 
 def f1(confusions: DataFrame, by: list[str] = ["model"]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardline.functions.columns import stage_label
 from wardline.operators.grid import lead_label
+from wardline.operators.scans import MAX_GROUP_ROWS, attach
 
 
 def binarise(df: DataFrame, stage: str, threshold: int | None) -> DataFrame:
@@ -42,9 +43,12 @@ def onset_cutoffs(df: DataFrame, key: str, ts: str, label: str) -> DataFrame:
     )
 
 
-def cut_at(df: DataFrame, cutoffs: DataFrame, key: str, ts: str) -> DataFrame:
+def cut_at(
+    df: DataFrame, cutoffs: DataFrame, key: str, ts: str, max_rows: int | None = MAX_GROUP_ROWS
+) -> DataFrame:
     """Rows not after their entity's cutoff."""
-    return df.join(cutoffs.select(key, "cutoff"), key).filter(F.col(ts) <= F.col("cutoff")).drop("cutoff")
+    dated = attach(df, cutoffs.select(key, "cutoff"), [key], "inner", max_rows)
+    return dated.filter(F.col(ts) <= F.col("cutoff")).drop("cutoff")
 
 
 def last_label(df: DataFrame, key: str, ts: str, label: str) -> DataFrame:

@@ -10,7 +10,7 @@ _AGGREGATES = {"min": F.min, "max": F.max, "mean": F.avg}
 
 
 def harmonise(events: DataFrame, rules: list[CodeRule], code: str = "itemid", value: str = "valuenum") -> DataFrame:
-    """Keep events with a known code, add their label, null implausible values, convert units.
+    """Keep events with a known code, add label and label number, null implausible values, convert units.
 
     The rule table has one row per code, a fixed list, so it is always broadcast.
     """
@@ -29,17 +29,23 @@ def harmonise(events: DataFrame, rules: list[CodeRule], code: str = "itemid", va
 
 
 def pivot_labels(
-    events: DataFrame, keys: list[str], labels: list[str], aggregates: list[str], label: str = "label", value: str = "valuenum"
+    events: DataFrame,
+    keys: list[str],
+    labels: dict[object, str],
+    aggregates: list[str],
+    label: str = "label",
+    value: str = "valuenum",
 ) -> DataFrame:
-    """One row per key, ``<label>_<aggregate>`` columns from a single partial aggregation.
+    """One row per key, ``<name>_<aggregate>`` columns from a single partial aggregation.
 
-    Groups whose values are all null are kept.
+    ``labels`` maps the values of the label column to names. Groups whose values are all null are
+    kept.
     """
 
-    def measure(name: str, aggregate: str) -> Column:
-        return _AGGREGATES[aggregate](F.when(F.col(label) == name, F.col(value))).alias(f"{name}_{aggregate}")
+    def measure(found, name: str, aggregate: str) -> Column:
+        return _AGGREGATES[aggregate](F.when(F.col(label) == found, F.col(value))).alias(f"{name}_{aggregate}")
 
-    return events.groupBy(*keys).agg(*[measure(n, a) for n in labels for a in aggregates])
+    return events.groupBy(*keys).agg(*[measure(v, n, a) for v, n in labels.items() for a in aggregates])
 
 
 def pivot_events(
@@ -50,7 +56,9 @@ def pivot_events(
     code: str = "itemid",
     value: str = "valuenum",
 ) -> DataFrame:
-    return pivot_labels(harmonise(events, rules, code, value), keys, labels_of(rules), aggregates, value=value)
+    judged = harmonise(events, rules, code, value)
+    # comparing numbers: every row is compared with every label
+    return pivot_labels(judged, keys, dict(enumerate(labels_of(rules))), aggregates, "label_number", value)
 
 
 def left_join_groups(entities: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:

@@ -19,6 +19,8 @@ _SPLIT = "__split"
 
 # Rows of one group above which the group is cut into slices.
 MAX_GROUP_ROWS = 4_000_000
+# Rows times columns up to which a counted lookup is broadcast (some 80 MB of numbers).
+MAX_BROADCAST_CELLS = 10_000_000
 
 
 @dataclass(frozen=True)
@@ -112,11 +114,13 @@ def running(
     descending: bool = False,
     sliced: bool = True,
     only_split: bool = True,
+    totals: bool = False,
 ) -> DataFrame:
     """Running values per group in the order of one column, over already sliced rows.
 
     ``df`` carries the column ``SLICE``, which must not decrease along the order (not increase if
-    ``descending``). With ``only_split`` just the groups cut by ``split_large`` are carried over.
+    ``descending``). With ``only_split`` just the groups cut by ``split_large`` are carried over;
+    otherwise ``totals`` can add the value over the whole group as ``<name>_total``.
     """
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
     window = Window.partitionBy(*keys, SLICE).orderBy(direction(order))
@@ -129,7 +133,12 @@ def running(
     carried = (
         source.groupBy(*keys, SLICE)
         .agg(*[_summary(m, order).alias(f"__c_{name}") for name, m in measures.items()])
-        .select(*keys, SLICE, *[over_slices[m.kind](f"__c_{n}").over(before).alias(f"__c_{n}") for n, m in measures.items()])
+        .select(
+            *keys,
+            SLICE,
+            *[over_slices[m.kind](f"__c_{n}").over(before).alias(f"__c_{n}") for n, m in measures.items()],
+            *[F.sum(f"__c_{n}").over(Window.partitionBy(*keys)).alias(f"{n}_total") for n in measures if totals],
+        )
     )
     joined = out.join(carried, [*keys, SLICE], "left")
     return joined.withColumns({n: _combine(m.kind, F.col(n), F.col(f"__c_{n}")) for n, m in measures.items()}).drop(
@@ -166,3 +175,40 @@ def rank_rows(
         .withColumn(name, F.col("__base") + F.col("__rank"))
         .drop("__cell", "__rank", "__base")
     )
+
+
+def attach(
+    rows: DataFrame,
+    lookup: DataFrame,
+    keys: list[str],
+    how: str = "inner",
+    max_rows: int | None = MAX_GROUP_ROWS,
+    max_cells: int = MAX_BROADCAST_CELLS,
+) -> DataFrame:
+    """Join rows with a lookup of at most one row per key (inner, left, left_semi or left_anti).
+
+    The lookup is stored and counted. A small one is broadcast, so the rows are not shuffled. With
+    a larger one, keys of more than ``max_rows`` rows are spread: their rows get one of several
+    salts and their lookup row is repeated for each. ``max_rows=None`` leaves the join to Spark,
+    which suits rows whose number per key is bounded.
+    """
+    if max_rows is None:
+        return rows.join(lookup, keys, how)
+    lookup = cut_lineage(lookup)
+    if lookup.count() * len(lookup.columns) <= max_cells:
+        return rows.join(F.broadcast(lookup), keys, how)
+    large = cut_lineage(
+        rows.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > max_rows)
+        .select(*keys, F.ceil(F.col("__n") / F.lit(max_rows)).alias("__pieces"))
+    )
+    if large.isEmpty():
+        return rows.join(lookup, keys, how)
+    # fewer than rows / max_rows keys
+    pieces = F.broadcast(large)
+    salt = F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("__pieces")), F.lit(0))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__pieces") - F.lit(1), F.lit(0))))
+    spread = rows.join(pieces, keys, "left").withColumn("__salt", salt).drop("__pieces")
+    repeated = lookup.join(pieces, keys, "left").withColumn("__salt", salts).drop("__pieces")
+    return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")

@@ -87,7 +87,7 @@ def label_rows(grid: DataFrame, settings: Settings) -> DataFrame:
 
 def impute(grid: DataFrame, settings: Settings, columns: list[str]) -> DataFrame:
     if settings.impute == "entity":
-        grid = impute_entity_mode(grid, settings.entity, columns)
+        grid = impute_entity_mode(grid, settings.entity, columns, max_rows=None)
     elif settings.impute == "column":
         grid = impute_column_mode(grid, columns)
     elif settings.impute is not None:
@@ -122,11 +122,11 @@ def prepare(tables: dict[str, DataFrame], settings: Settings = Settings(), store
     rows = label_rows(impute(grid, s, dynamic), s)
     full = [name for name, _ in FEATURES]
     if "vitals" in tables:
-        rows = static_features(rows, detail, s.entity, ["age"], CATEGORIES)
+        rows = static_features(rows, detail, s.entity, ["age"], CATEGORIES, max_rows=None)
     features = select_features(rows, full, MINIMAL_FEATURES)
     scaled = [c for c in features if c not in FLAGS and c not in _levels()]
     rows = store(rows.select(s.entity, s.time, s.label, *features))
-    rows = assign_split(rows, s.entity, s.holdout, s.test_share, s.seed)
+    rows = assign_split(rows, s.entity, s.holdout, s.test_share, s.seed, max_rows=None)
     fitting = rows if s.fit_on == "all" else rows.filter(F.col("split") == "train")
     capped = features if s.fit_on == "all" else scaled
     bounds = fit_scaler(fitting, capped, scaled, s.cap_lower, s.cap_upper)

@@ -80,9 +80,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def write_predictions(pred: DataFrame, path: str) -> None:
-    """Prediction table, one folder per model; other models' folders stay."""
+    """Prediction table, one folder per model; other models' folders stay.
+
+    Rebalancing gives files of even size, however unequal the models are.
+    """
     (
-        pred.repartition(F.col("model"), F.pmod(F.xxhash64("stay_id"), F.lit(64)))
+        pred.hint("rebalance", F.col("model"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("model")
