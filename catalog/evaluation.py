@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import SQL, labelled_sql, query, rounded
-from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES
+from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, decide, sigmoid
 from wardline.operators import evaluate, importance
 from wardline.operators.models import class_counts, class_ratio, with_weight
 
@@ -237,3 +237,15 @@ def topk_abs(t):
     named = t.read("customer").join(t.read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     totals = named.groupBy(F.col("n_name").alias("feature")).agg(F.sum(F.col("c_acctbal") - 4500).alias("importance"))
     return rounded(importance.top(totals, 10), "importance", digits=4)
+
+
+@query(
+    "sigmoid_decision",
+    f"""WITH {SQL['pred']}
+SELECT stay_id, charttime, round(1 / (1 + exp(-ln(prob / (1 - prob)))), 6) AS prob, (prob > 0.9)::INTEGER AS predicted FROM pred""",
+)
+def sigmoid_decision(t):
+    """Logits back to probabilities, and the decision strictly above a cut-off."""
+    logit = t.predictions.withColumn("logit", F.ln(F.col("prob") / (1 - F.col("prob"))))
+    said = logit.select("stay_id", "charttime", sigmoid(F.col("logit")).alias("prob"), decide(F.col("prob"), F.lit(0.9)).alias("predicted"))
+    return rounded(said, "prob")

@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from catalog.timeline import KEY, TS, labelled_grid
+from catalog.timeline import KEY, STEPS, TS, labelled_grid
 from wardline.operators import evaluate, features, grid, importance, models, sequences
 from wardline.operators.cohort import assign_split
 from wardline.operators.labels import first_onset
 from wardline.sources.tables import cut_lineage, shared_folder
 
 FEATURES = ["value_mean", "value_max"]
-STEPS = 20
 HISTORY = [f"{c}_{k}" for c in FEATURES for k in ("lag1", "lag4", "mean8")]
 
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+_SCHEMAS: dict[str, StructType] = {}
 
 
 class Tables:
@@ -17,7 +19,11 @@ class Tables:
         self.spark, self.sf_dir = spark, sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """Scan of a driver table; its schema is looked up in the file once."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @property
     def log(self) -> DataFrame:

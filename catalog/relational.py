@@ -26,6 +26,15 @@ def scan_csv_roundtrip(t):
     return rounded(sources.read_delimited(t.spark, path, customers.schema), "c_acctbal")
 
 
+@query("scan_csv_times", "SELECT o_orderkey, o_custkey, o_orderdate, o_orderpriority FROM orders")
+def scan_csv_times(t):
+    """Timestamps through a delimited file, parsed by the schema."""
+    path = sources.shared_folder(t.spark)
+    orders = t.read("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    sources.write_delimited(orders, path, sort=["o_custkey", "o_orderdate"])
+    return sources.read_delimited(t.spark, path, orders.schema)
+
+
 @query(
     "null_safe_filter",
     f"""WITH {coded_sql('charted', VITAL_CODES)}, {SQL['infusions']}

@@ -43,3 +43,25 @@ def test_materialise_keeps_schema(spark):
 def test_schemas_cover_the_tables():
     assert len(schemas.LABS) == 42 and len(schemas.VITALS) == 28
     assert isinstance(schemas.STAGES["charttime"].dataType, T.TimestampNTZType)
+
+
+def test_catalog_table_is_replaced_and_bucketed(spark):
+    for value in (1.0, 2.0):
+        df = frame(spark, "stay_id long, v double", [(1, value), (2, value)])
+        stored = tables.materialise_table(df, "derived", bucket_by="stay_id", buckets=4)
+    assert rows(stored) == [(1, 2.0), (2, 2.0)]
+    assert rows(tables.read_named(spark, "derived", "default")) == rows(stored)
+    spark.sql("DROP TABLE derived")
+
+
+def test_bucketed_tables_need_no_shuffle_for_windows(spark, capsys):
+    from wardline.operators.grid import step_index
+
+    df = spark.range(100).selectExpr("id % 10 as stay_id", "timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, int(id)) as charttime")
+    step_index(tables.materialise_table(df, "bucketed", "stay_id", 4), "stay_id", "charttime").explain()
+    assert "Exchange" not in capsys.readouterr().out
+    spark.sql("DROP TABLE bucketed")
+
+
+def test_folder_is_new_each_time(spark):
+    assert tables.shared_folder(spark) != tables.shared_folder(spark)

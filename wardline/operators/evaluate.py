@@ -75,7 +75,7 @@ def roc_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", pr
     return (
         _curve(pred, by, label, prob)
         .groupBy(_GROUP)
-        .agg(F.sum(strip).alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+        .agg(F.sum(strip).alias("area"), F.max("tp_total").alias("p"), F.max("fp_total").alias("n"))
         .select(*_ungroup(by), F.try_divide(F.col("area"), F.col("p").cast("double") * F.col("n")).alias("value"))
     )
 
@@ -95,7 +95,7 @@ def pr_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", pro
     return (
         _curve(pred, by, label, prob)
         .groupBy(_GROUP)
-        .agg(F.sum(strip).alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n"))
+        .agg(F.sum(strip).alias("area"), F.max("tp_total").alias("p"), F.max("fp_total").alias("n"))
         .select(*_ungroup(by), F.when(F.col("n") > 0, F.try_divide(F.col("area"), F.col("p"))).alias("value"))
     )
 

@@ -140,7 +140,8 @@ def running(
             *[F.sum(f"__c_{n}").over(Window.partitionBy(*keys)).alias(f"{n}_total") for n in measures if totals],
         )
     )
-    joined = out.join(carried, [*keys, SLICE], "left")
+    # with an inner join both sides get the same derived filters and share one exchange
+    joined = out.join(carried, [*keys, SLICE], "left" if only_split else "inner")
     return joined.withColumns({n: _combine(m.kind, F.col(n), F.col(f"__c_{n}")) for n, m in measures.items()}).drop(
         *[f"__c_{n}" for n in measures]
     )

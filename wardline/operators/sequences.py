@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardline.operators.grid import step_index
 from wardline.operators.scans import rank_rows
@@ -68,23 +68,28 @@ def _with_size(flat: DataFrame, size: int) -> DataFrame:
     return flat.withColumn("__dense", F.col("__dense").alias("__dense", metadata=meta))
 
 
-def length_batches(sequences: DataFrame, key: str, size: int, width: int, fill: float = 0.0) -> DataFrame:
-    """Batches of ``size`` sequences, longest first, each padded to its own longest sequence.
+def batch_positions(sequences: DataFrame, key: str, size: int) -> DataFrame:
+    """(key, length, position, batch, batch_steps): batches of ``size`` sequences, longest first.
 
     The position of a sequence is its rank by (length descending, key). Ranks are counted in cells
-    of (length, key range), so equal lengths do not meet in one task; a batch holds ``size`` rows.
+    of (length, key range), so equal lengths do not meet in one task.
     """
-    sized = sequences.withColumn("length", F.size("seq"))
-    extent = sized.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high")).alias("e")).scalar()
-    measured = sized.withColumn("__e", extent)
+    lengths = sequences.select(key, F.size("seq").alias("length"))
+    extent = lengths.agg(F.struct(F.min(key).alias("low"), F.max(key).alias("high")).alias("e")).scalar()
+    measured = lengths.withColumn("__e", extent)
     span = F.col("__e")["high"] - F.col("__e")["low"] + F.lit(1)
     part = F.floor((F.col(key) - F.col("__e")["low"]) * F.lit(256.0) / span)
     cell = F.struct((-F.col("length")).alias("length"), part.alias("part"))
-    ranked = rank_rows(measured, [], cell, [F.col("length").desc(), F.col(key)], "position")
+    ranked = rank_rows(measured, [], cell, [F.col("length").desc(), F.col(key)], "position").drop("__e")
     batched = ranked.withColumn("batch", F.floor((F.col("position") - F.lit(1)) / F.lit(size)))
-    longest = batched.groupBy("batch").agg(F.max("length").alias("batch_steps"))
-    return (
-        batched.join(longest, "batch")
-        .withColumn("seq", pad(F.col("seq"), F.col("batch_steps"), width, fill))
-        .drop("__e")
-    )
+    # a batch has ``size`` rows
+    return batched.withColumn("batch_steps", F.max("length").over(Window.partitionBy("batch")))
+
+
+def length_batches(sequences: DataFrame, key: str, size: int, width: int, fill: float = 0.0) -> DataFrame:
+    """Sequences with their batch, each padded to the longest sequence of the batch.
+
+    Only the lengths are ranked; the sequences stay where they are and meet their batch by key.
+    """
+    placed = sequences.join(batch_positions(sequences, key, size), key)
+    return placed.withColumn("seq", pad(F.col("seq"), F.col("batch_steps"), width, fill))

@@ -19,13 +19,15 @@ SETTINGS = {
 }
 
 
-def local_session(app: str, cores: str | int = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    app: str, cores: str | int = "*", partitions: int = 8, memory: str = "8g", extra: dict[str, str] | None = None
+) -> SparkSession:
     """A single-machine session for tests and the benchmark.
 
     On a cluster the session comes from spark-submit and only ``SETTINGS`` matter.
     """
     builder = SparkSession.builder.master(f"local[{cores}]").appName(app)
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (extra or {})).items():
         builder = builder.config(key, value)
     builder = builder.config("spark.sql.shuffle.partitions", str(partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", memory))
