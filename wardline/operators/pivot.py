@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.codes import CodeRule, labels_of, rules_frame
+from wardline.operators.scans import attach
 
 _AGGREGATES = {"min": F.min, "max": F.max, "mean": F.avg}
 
@@ -64,10 +65,10 @@ def pivot_events(
 def left_join_groups(entities: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
     """Left outer join of entities with already aggregated groups.
 
-    Written as inner join plus unmatched entities: then a key with very many groups can be split
-    at run time, which an outer join preserving the other side does not allow.
+    Written as inner join plus unmatched entities: then a key with very many groups can be spread,
+    which an outer join preserving the other side does not allow.
     """
     entities = entities.distinct()
-    matched = entities.join(groups, keys)
+    matched = attach(groups, entities, keys)
     unmatched = entities.join(groups.select(*keys).distinct(), keys, "left_anti")
     return matched.unionByName(unmatched, allowMissingColumns=True)

@@ -186,11 +186,11 @@ def attach(
     max_rows: int | None = MAX_GROUP_ROWS,
     max_cells: int = MAX_BROADCAST_CELLS,
 ) -> DataFrame:
-    """Join rows with a lookup of at most one row per key (inner, left, left_semi or left_anti).
+    """Join rows with a lookup of one or a few rows per key (inner, left, left_semi or left_anti).
 
     The lookup is stored and counted. A small one is broadcast, so the rows are not shuffled. With
     a larger one, keys of more than ``max_rows`` rows are spread: their rows get one of several
-    salts and their lookup row is repeated for each. ``max_rows=None`` leaves the join to Spark,
+    salts and their lookup rows are repeated for each. ``max_rows=None`` leaves the join to Spark,
     which suits rows whose number per key is bounded.
     """
     if max_rows is None:

@@ -16,7 +16,7 @@ from wardline.functions.columns import is_distinct_from, swap_if
 from wardline.operators.cohort import extract_cohort
 from wardline.operators.intervals import durations, episodes, flags_at, order_intervals
 from wardline.operators.pivot import left_join_groups, pivot_events
-from wardline.operators.scans import MAX_GROUP_ROWS
+from wardline.operators.scans import MAX_GROUP_ROWS, attach
 from wardline.sources.tables import cut_lineage
 
 STAY_KEYS = ["subject_id", "hadm_id", "stay_id"]
@@ -41,7 +41,7 @@ def vital_table(stays: DataFrame, chart_events: DataFrame) -> DataFrame:
     """Vital signs per stay and time: min, max and mean; rows marked as errors do not count."""
     valid = chart_events.filter(is_distinct_from("warning", 1))
     pivoted = pivot_events(valid, VITAL_RULES, [*STAY_KEYS, "charttime"], ["min", "max", "mean"])
-    return pivoted.join(stays.select(*STAY_KEYS), STAY_KEYS, "left_semi")
+    return attach(pivoted, stays.select(*STAY_KEYS).distinct(), STAY_KEYS, "left_semi")
 
 
 def sedative_durations(input_events: DataFrame, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
