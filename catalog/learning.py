@@ -1,11 +1,11 @@
-"""Model queries. Training has no SQL counterpart: rows only."""
+"""Model queries. Training has no SQL counterpart: rows only, but for the vectors it starts from."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.registry import query
-from catalog.timeline import KEY, STEPS, TS, labelled_grid
+from catalog.registry import labelled_sql, query, rounded
+from catalog.timeline import FIRST_ONSET, KEY, STEPS, TS, labelled_grid
 from wardline.operators import evaluate, features, grid, importance, models, sequences
 from wardline.operators.cohort import assign_split
 from wardline.operators.labels import first_onset
@@ -28,12 +28,41 @@ def _part(rows, *names):
     return rows.filter(F.col("split").isin(*names))
 
 
-@query("vectors")
+def _scaled_sql(column: str) -> str:
+    bounded = f"least(greatest({column}, {column}_lo), {column}_hi)"
+    low = f"least(greatest({column}_min, {column}_lo), {column}_hi)"
+    high = f"least(greatest({column}_max, {column}_lo), {column}_hi)"
+    return f"({bounded} - {low}) / ({high} - {low}) AS {column}"
+
+
+_BOUNDS = ", ".join(
+    f"quantile_cont({c}, 0.01) AS {c}_lo, quantile_cont({c}, 0.99) AS {c}_hi, min({c}) AS {c}_min, max({c}) AS {c}_max"
+    for c in FEATURES
+)
+
+
+@query(
+    "vectors",
+    f"""WITH {labelled_sql()}, {FIRST_ONSET},
+ids AS (SELECT DISTINCT stay_id FROM truncated),
+ranked AS (SELECT stay_id, row_number() OVER (ORDER BY md5(stay_id || '|42'), stay_id) AS position, count(*) OVER () AS total FROM ids),
+rows AS (SELECT t.stay_id, label, coalesce(value_mean, 0) AS value_mean, coalesce(value_max, 0) AS value_max,
+    row_number() OVER (PARTITION BY t.stay_id ORDER BY charttime) - 1 AS step,
+    CASE WHEN position <= total - ceil(0.2 * total) THEN 'train' WHEN position <= total - ceil(0.5 * ceil(0.2 * total)) THEN 'valid' ELSE 'test' END AS split
+  FROM truncated t JOIN ranked r ON r.stay_id = t.stay_id),
+bounds AS (SELECT {_BOUNDS} FROM rows WHERE split = 'train'),
+scaled AS (SELECT stay_id, step, {', '.join(_scaled_sql(c) for c in FEATURES)} FROM rows, bounds),
+stays AS (SELECT DISTINCT stay_id, label, split FROM rows),
+places AS (SELECT * FROM stays CROSS JOIN (SELECT unnest(range({STEPS})) AS step) CROSS JOIN (SELECT unnest([0, 1]) AS f))
+SELECT p.stay_id, label, split, (p.step * 2 + f)::INTEGER AS pos, round(coalesce(CASE f WHEN 0 THEN value_mean ELSE value_max END, 0), 6) AS value
+FROM places p LEFT JOIN scaled s ON s.stay_id = p.stay_id AND s.step = p.step""",
+)
 def vectors(t):
+    """The flat vectors of the model queries, one row per position."""
     from pyspark.ml.functions import vector_to_array
 
     flat = flat_set(t)
-    return flat.select(KEY, "label", "split", F.posexplode(vector_to_array("features")).alias("pos", "value"))
+    return rounded(flat.select(KEY, "label", "split", F.posexplode(vector_to_array("features")).alias("pos", "value")), "value")
 
 
 @query("logreg")

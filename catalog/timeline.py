@@ -82,14 +82,14 @@ def label_lead(t):
     return rounded(labelled_grid(t).select(KEY, TS, "value_mean", "label"), "value_mean")
 
 
-_FIRST_ONSET = """cutoffs AS (
+FIRST_ONSET = """cutoffs AS (
   SELECT stay_id, coalesce(min(charttime) FILTER (label = 1), max(charttime)) AS cutoff, max(label) AS final FROM labelled GROUP BY 1),
 truncated AS (
   SELECT l.stay_id, l.charttime, l.value_mean, l.value_max, final AS label
   FROM labelled l JOIN cutoffs c ON c.stay_id = l.stay_id AND l.charttime <= c.cutoff)"""
 
 
-@query("first_onset", f"WITH {labelled_sql()}, {_FIRST_ONSET} SELECT stay_id, charttime, round(value_mean, 6) AS value_mean, label FROM truncated")
+@query("first_onset", f"WITH {labelled_sql()}, {FIRST_ONSET} SELECT stay_id, charttime, round(value_mean, 6) AS value_mean, label FROM truncated")
 def first_onset(t):
     return rounded(labels.first_onset(labelled_grid(t), KEY, TS, "label").select(KEY, TS, "value_mean", "label"), "value_mean")
 
@@ -228,7 +228,7 @@ def fit_apply_scaler(t):
 
 @query(
     "prepared_rows",
-    f"""WITH {labelled_sql()}, {_FIRST_ONSET}, {SQL['detail']},
+    f"""WITH {labelled_sql()}, {FIRST_ONSET}, {SQL['detail']},
 ids AS (SELECT DISTINCT stay_id FROM truncated),
 ranked AS (SELECT stay_id, row_number() OVER (ORDER BY md5(stay_id || '|42'), stay_id) AS position, count(*) OVER () AS total FROM ids),
 rows AS (SELECT t.stay_id, t.charttime, t.label, coalesce(value_mean, 0) AS value_mean, age,

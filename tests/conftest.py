@@ -9,8 +9,6 @@ from wardline.session import local_session
 def spark():
     warehouse = tempfile.mkdtemp(prefix="wardline-warehouse-")
     session = local_session("tests", 8, partitions=4, memory="4g", extra={"spark.sql.warehouse.dir": warehouse})
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="wardline-tests-"))
     yield session
     session.stop()
 

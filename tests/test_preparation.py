@@ -64,7 +64,7 @@ def test_continuous_keeps_rows_after_onset(study):
     assert first.select("stay_id").distinct().count() == continuous.select("stay_id").distinct().count()
 
 
-@pytest.mark.parametrize("changes", [{"impute": "entity"}, {"impute": "column"}, {"fit_on": "all"}, {"stage_threshold": None, "target": "continuous"}])
+@pytest.mark.parametrize("changes", [{"most_common": True}, {"impute": "entity"}, {"impute": "column"}, {"fit_on": "all"}, {"stage_threshold": None, "target": "continuous"}])
 def test_variants_run(study, changes):
     made = prepare(study, replace(Settings(), **changes))
     assert made.rows.filter("stage is null").count() == 0 and made.rows.count() > 0

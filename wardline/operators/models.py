@@ -12,6 +12,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, TrainValidationSplit
 from pyspark.sql import DataFrame, functions as F
 
+from wardline.operators.evaluate import roc_auc
+
 # Spark limits tree depth to 30.
 MAX_TREE_DEPTH = 30
 
@@ -261,8 +263,8 @@ def load_model(path: str) -> PipelineModel:
 
 def keep_best(candidates: dict[str, Model], valid: DataFrame, path: str) -> tuple[str, float]:
     """Save the candidate with the best validation ROC area; returns its name and area."""
-    evaluator = _evaluator("auc")
-    areas = {name: evaluator.evaluate(model.transform(valid)) for name, model in candidates.items()}
-    best = max(areas, key=lambda n: areas[n])
+    scored = {name: roc_auc(predict(model, valid, name, [])) for name, model in candidates.items()}
+    areas = {name: area.first()["value"] for name, area in scored.items()}
+    best = max(areas, key=lambda n: -1.0 if areas[n] is None else areas[n])
     save_model(candidates[best], path)
     return best, areas[best]

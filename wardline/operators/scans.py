@@ -9,7 +9,7 @@ consecutive slices; every slice is scanned on its own and gets the summary of th
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from wardline.functions.columns import micros_between
 from wardline.sources.tables import cut_lineage
@@ -208,7 +208,8 @@ def attach(
         return rows.join(lookup, keys, how)
     # fewer than rows / max_rows keys
     pieces = F.broadcast(large)
-    salt = F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col("__pieces")), F.lit(0))
+    hashed = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
+    salt = F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("__pieces")), F.lit(0))
     salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__pieces") - F.lit(1), F.lit(0))))
     spread = rows.join(pieces, keys, "left").withColumn("__salt", salt).drop("__pieces")
     repeated = lookup.join(pieces, keys, "left").withColumn("__salt", salts).drop("__pieces")
