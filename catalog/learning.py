@@ -9,6 +9,7 @@ from catalog.timeline import FIRST_ONSET, KEY, STEPS, TS, labelled_grid
 from wardline.operators import evaluate, features, grid, importance, models, sequences
 from wardline.operators.cohort import assign_split
 from wardline.operators.labels import first_onset
+from wardline.plans import study
 from wardline.sources.tables import cut_lineage, shared_folder
 
 FEATURES = ["value_mean", "value_max"]
@@ -153,3 +154,11 @@ def model_roundtrip(t):
     candidates = {p: models.fit_logistic(train, penalty=p, max_iter=50) for p in ("l1", "l2")}
     best, _ = models.keep_best(candidates, _part(rows, "valid"), path)
     return models.predict(models.load_model(path), _part(rows, "test"), best, [KEY])
+
+
+@query("baseline_report")
+def baseline_report(t):
+    """Scores of the three baseline models on the test stays."""
+    small = {"logistic": {"max_iter": 30}, "boosted": {"trees": 5, "depth": 4}, "forest": {"trees": 10, "depth": 8}}
+    pred = cut_lineage(study.baseline_predictions(flat_set(t), **small))
+    return study.report(pred)["scores"]

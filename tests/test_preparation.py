@@ -80,3 +80,29 @@ def test_unknown_choices_are_rejected(study):
     for changes in ({"target": "x"}, {"impute": "x"}):
         with pytest.raises(ValueError):
             prepare(study, replace(Settings(), **changes))
+
+
+def test_baselines_and_report(study):
+    from wardline.plans.study import baseline_predictions, flat_vectors, report
+    from wardline.sources.tables import cut_lineage
+
+    settings = Settings(max_steps=20, holdout=0.5)
+    flat = flat_vectors(prepare(study, settings), settings)
+    assert flat.first()["features"].size == 20 * len(FEATURES)
+    small = {"logistic": {"max_iter": 5}, "boosted": {"trees": 2, "depth": 2}, "forest": {"trees": 3, "depth": 3}}
+    pred = cut_lineage(baseline_predictions(flat, settings, **small))
+    frames = report(pred)
+    tested = flat.filter("split = 'test'").count()
+    assert tested and pred.count() == 3 * tested
+    assert frames["scores"].count() == 15 and frames["confusion"].count() == 12
+    assert {r["model"] for r in frames["histogram"].collect()} == {"logistic", "boosted", "forest"}
+
+
+def test_continuous_predictions(study):
+    from wardline.plans.study import continuous_predictions
+
+    settings = Settings(target="continuous", holdout=0.5)
+    made = prepare(study, settings)
+    pred = continuous_predictions(made, settings, max_iter=5)
+    assert pred.count() == made.rows.filter("split = 'test'").count()
+    assert pred.filter("prob < 0 or prob > 1 or prob is null").count() == 0

@@ -26,7 +26,7 @@ def days_between(start: Column | str, end: Column | str, digits: int = 4) -> Col
 
 
 def bucket_start(ts: Column | str, hours: int) -> Column:
-    """Start of the fixed window holding ``ts``; windows are aligned to midnight UTC."""
+    """Start of the fixed window holding ``ts``; aligned to midnight UTC if ``hours`` divides a day."""
     return F.window(ts, f"{hours} hours").start
 
 
