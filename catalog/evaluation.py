@@ -241,11 +241,10 @@ def topk_abs(t):
 
 @query(
     "sigmoid_decision",
-    f"""WITH {SQL['pred']}
-SELECT stay_id, charttime, round(1 / (1 + exp(-ln(prob / (1 - prob)))), 6) AS prob, (prob > 0.9)::INTEGER AS predicted FROM pred""",
+    f"""WITH {SQL['log']}, scored AS (SELECT event_id, 1 / (1 + exp(-(value - 50) / 25)) AS prob FROM log)
+SELECT event_id, round(prob, 6) AS prob, (prob > 0.5)::INTEGER AS predicted FROM scored""",
 )
 def sigmoid_decision(t):
-    """Logits back to probabilities, and the decision strictly above a cut-off."""
-    logit = t.predictions.withColumn("logit", F.ln(F.col("prob") / (1 - F.col("prob"))))
-    said = logit.select("stay_id", "charttime", sigmoid(F.col("logit")).alias("prob"), decide(F.col("prob"), F.lit(0.9)).alias("predicted"))
-    return rounded(said, "prob")
+    """Logits to probabilities, and the decision strictly above a cut-off."""
+    scored = t.log.select("event_id", sigmoid((F.col("value") - 50) / 25).alias("prob"))
+    return rounded(scored.withColumn("predicted", decide(F.col("prob"), F.lit(0.5))), "prob")
