@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import functions as F
 
 from catalog.registry import SQL, coded_sql, query, rounded
 from wardline.functions.codes import LAB_RULES, SEDATIVE_ORDER_CODES, SEDATIVE_RATE_CODES, VITAL_RULES, CodeRule, labels_of
@@ -10,6 +10,7 @@ from wardline.functions.columns import hours_between, is_distinct_from, one_hot,
 from wardline.operators import align, cohort, features, intervals, pivot
 from wardline.plans import extract
 from wardline.sources import tables as sources
+from wardline.sources.schemas import METRICS
 
 LAB_CODES = [r.code for r in LAB_RULES]
 VITAL_CODES = [r.code for r in VITAL_RULES]
@@ -262,10 +263,6 @@ def adults_only(t):
     return rounded(cohort.adults(t.detail, 18), "age")
 
 
-_FLAGS_SQL = """coalesce((SELECT max(1) FROM shipments i WHERE i.stay_id = t.stay_id AND {kind}
-    AND i.starttime <= t.charttime AND i.endtime >= t.charttime), 0)::INTEGER"""
-
-
 @query(
     "point_in_interval",
     f"""WITH {SQL['shipments']}, {SQL['times']}
@@ -571,5 +568,5 @@ def metrics_append(t):
             F.lit(run).alias("run"), F.create_map(F.lit("model"), F.lit(f"m{run}")).alias("params"), F.lit("brier").alias("metric"), "value"
         )
         sources.append_metrics(rows, path)
-    stored = T.StructType.fromJson(rows.schema.jsonValue())
-    return rounded(t.spark.read.schema(stored).parquet(path).select("run", "metric", "value"), "value")
+    stored = sources.read_table(t.spark, path, METRICS)
+    return rounded(stored.select("run", "metric", "value"), "value")
