@@ -18,6 +18,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,55 +37,99 @@ SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 64 << 10
 # Words a worker remembers; a full memory is emptied.
-MAX_CHUNKS = 800_000
+MAX_WORDS = 1_200_000
 
 FILE_SCHEMA = "part int, seq int, first_id bigint, n_docs int, n_tokens bigint, content binary"
 
-_UNEVEN = re.compile(r"\s |\A | \s| \Z")
+_LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,;:!?]+"
+_SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})?((?:\n{_LETTERS}(?:{_MARKS})?)*)")
+_AFTER = re.compile(rf"\n|{_LETTERS}|{_MARKS}")
 _WORKER: dict[tuple[str, int], "Encoder"] = {}
 
 
-class Chunks(dict):
-    """Serialised ids of a blank with the word after it; an unknown one is encoded and remembered."""
+class Pieces(dict):
+    """Serialised ids of pieces of the pre-tokenizer, straight from the merges."""
 
-    def __init__(self, tokenizer, kind: str):
+    def __init__(self, tokenizer, code: str):
         super().__init__()
-        self.tokenizer, self.kind = tokenizer, kind
+        self.merge, self.code, self.letters = tokenizer.model.tokenize, code, _byte_letters()
 
-    def __missing__(self, chunk: str) -> bytes:
-        if len(self) >= MAX_CHUNKS:
+    def __missing__(self, piece: str) -> bytes:
+        if len(self) >= MAX_WORDS // 4:
             self.clear()
-        ids = self.tokenizer.encode(" " + chunk, add_special_tokens=False).ids
-        made = self[chunk] = np.array(ids, self.kind).tobytes()
+        made = self[piece] = self.encode(piece)
         return made
 
+    def encode(self, piece: str) -> bytes:
+        tokens = self.merge(piece.encode().decode("latin-1").translate(self.letters))
+        return array(self.code, [t.id for t in tokens]).tobytes()
+
+
+class Words(dict):
+    """Serialised ids of a blank with the word after it; what is not known yet is encoded and remembered.
+
+    Most words are letters with marks after them, some followed by a new line and another word. The
+    pre-tokenizer cuts these into pieces as ``_SIMPLE`` does. All others go through the tokenizer.
+    """
+
+    def __init__(self, tokenizer, code: str):
+        super().__init__()
+        self.tokenizer, self.code, self.pieces = tokenizer, code, Pieces(tokenizer, code)
+
+    def __missing__(self, word: str) -> bytes:
+        if not word or word[0].isspace() or word[-1].isspace():
+            raise KeyError(word)  # white space next to a blank
+        if len(self) >= MAX_WORDS:
+            self.clear()
+        if found := _SIMPLE.fullmatch(word):
+            letters, marks, after = found.groups()
+            if not marks and not after:
+                made = self.pieces.encode(" " + letters)
+            else:
+                made = self[letters] + (self.pieces[marks] if marks else b"")
+                for piece in _AFTER.findall(after or ""):
+                    made += self.pieces[piece]
+        else:
+            made = array(self.code, self.tokenizer.encode(" " + word, add_special_tokens=False).ids).tobytes()
+        self[word] = made
+        return made
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves, others from 256 on."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
+
 
 class Encoder:
     """Texts to serialised ids by a byte-level tokenizer file of the tokenizers library.
 
-    Its pre-tokenizer starts a new piece at every blank that stands between two other characters
-    that are not white space, and merges stay within a piece. So such a text can be encoded blank by
-    blank, and what was encoded before is remembered. Texts with white space next to a blank go
-    through the library as a whole.
+    Its pre-tokenizer starts a new piece at every blank that stands between two characters that are
+    not white space, and merges stay within a piece. So the ids of a blank with the word after it do
+    not depend on the rest. Texts with white space next to a blank go through the library as a whole.
     """
 
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.kind = f"<u{width}"
-        self.chunks = Chunks(self.tokenizer, self.kind)
+        self.code = "H" if width == 2 else "I"
+        self.words = Words(self.tokenizer, self.code)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if _UNEVEN.search(text):
-            return self._whole(text)
         first, *rest = text.split(" ")
-        return self._whole(first) + b"".join(map(self.chunks.__getitem__, rest))
+        if rest and first[-1:].isspace():
+            return self._whole(text)
+        try:
+            return self._whole(first) + b"".join(map(self.words.__getitem__, rest))
+        except KeyError:
+            return self._whole(text)
 
 
 def encoder(path: str, width: int) -> Encoder:
@@ -101,15 +146,15 @@ def train_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
     The sample is the beginning of the ``SAMPLE_DOCS`` documents with the smallest hashes. It shapes
     the compression only; every document is written whole.
     """
-    sample = (
-        docs.filter(F.length("text") > 0)
-        .select(F.xxhash64("doc_id", "text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-        .orderBy("h", "text")
-        .limit(SAMPLE_DOCS)
-        .select("text")
-    )
+    share = min(1.0, 4 * SAMPLE_DOCS / max(1, docs.count()))
+    # so few rows meet in the driver: a narrow share first, the smallest hashes of it, then their texts
+    h = F.xxhash64("doc_id")
+    near = docs.filter(h <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64)))).select(h.alias("h"), "doc_id").distinct()
+    chosen = near.orderBy("h", "doc_id").limit(SAMPLE_DOCS).select("doc_id")
+    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+    rows = sorted(((r[0], r[1]) for r in sample.filter(F.length("text") > 0).collect()))
     made = encoder(path, width)
-    arrays = [made.ids(r[0]) for r in sample.collect()]
+    arrays = [made.ids(t) for _, t in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
     except zstandard.ZstdError:
@@ -195,11 +240,11 @@ def write_token_files(
             )
 
         for batch in rows_of(batches):
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                array = made.ids(value) + end
-                frame = squeeze.compress(array)
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                coded = made.ids(text) + end
+                frame = squeeze.compress(coded)
                 ids.append(key)
-                counts.append(len(array) // width)
+                counts.append(len(coded) // width)
                 frames.append(frame)
                 size += len(frame)
                 if size >= file_bytes:
