@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardline.llm import decontaminate, tokens
+from wardline.llm import decontaminate, html, lines, mixing, tokens, urls
 from wardline.llm.common import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,126 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("op5_main_text")
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
+_BLANKS_SQL = r"[\x20\x09-\x0D]"
+_OP6 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, doc_id, source, coalesce(text, '') AS text, {_WORDS_SQL} AS w FROM documents),
+l AS (
+  SELECT id, source, line, trim(regexp_replace({_LOWER_SQL.format("line")}, '{_BLANKS_SQL}+', ' ', 'g')) AS norm,
+    len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+  FROM (SELECT id, source, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+frequent AS (SELECT source, norm FROM l GROUP BY 1, 2 HAVING count(DISTINCT id) > {lines.MAX_DOCS}),
+lost AS (
+  SELECT id, sum(words) AS lost FROM l SEMI JOIN frequent f
+  ON l.norm = f.norm AND l.source IS NOT DISTINCT FROM f.source GROUP BY 1),
+dups AS (SELECT id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY 1),
+grams AS (
+  SELECT id, s, array_to_string(w[s:s + 2], ' ') AS g
+  FROM (SELECT id, w, unnest(range(1, len(w) - 1)) AS s FROM d WHERE len(w) > 2)),
+again AS (SELECT id, s FROM grams QUALIFY count(*) OVER (PARTITION BY id, g) > 1),
+repeats AS (SELECT id, count(DISTINCT p) AS n FROM (SELECT id, unnest(range(s, s + 3)) AS p FROM again) GROUP BY 1),
+base AS (
+  SELECT id, doc_id, len(w)::BIGINT AS n_words,
+    length(regexp_replace(text, '{_BLANKS_SQL}', '', 'g')) AS word_chars,
+    length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(repeats.n, 0) AS n_repeat_words, coalesce(lost, 0)::BIGINT AS lost
+  FROM d LEFT JOIN dups USING (id) LEFT JOIN repeats USING (id) LEFT JOIN lost USING (id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND 100 * (n_words - lost) >= {lines.KEEP_PERCENT} * n_words AS kept, lost AS removed_words
+FROM (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)"""
+
+
+@query("op6_line_frequency", _OP6)
+def op6_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = lines.judge_lines(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.withColumn("base_failed", failed).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        (~F.col("base_failed") & ~F.col("depleted")).alias("kept"),
+        "removed_words",
+    )
+
+
+_OP8 = rf"""
+WITH d AS (
+  SELECT doc_id, source IS NULL AS none, coalesce(source, '') AS name, len({_WORDS_SQL})::BIGINT AS size,
+    md5(coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+s AS (
+  SELECT none, name, sum(size)::BIGINT AS source_size,
+    [3, 1, 2][(row_number() OVER (ORDER BY none, name) - 1) % 3 + 1]::BIGINT AS w
+  FROM d GROUP BY 1, 2),
+o AS (
+  SELECT *, row_number() OVER o AS place, sum(source_size) OVER () * 3 AS total3,
+    coalesce(sum(source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) * 4 AS capped4,
+    sum(w) OVER () - coalesce(sum(w) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS w_left
+  FROM s WINDOW o AS (ORDER BY source_size / w, none, name)),
+f AS (
+  SELECT place AS fp, total3 - capped4 AS fl, w_left AS fw FROM o
+  WHERE (total3 - capped4) * w <= source_size * 4 * w_left ORDER BY place LIMIT 1),
+t AS (
+  SELECT none, name, source_size,
+    CASE WHEN place >= fp THEN (w * fl)::DOUBLE / (fw * 2)::DOUBLE ELSE (source_size * 2)::DOUBLE END AS target,
+    ('0x' || substr(md5('mix/' || none || '/' || name), 1, 12))::BIGINT::DOUBLE / 281474976710656.0::DOUBLE AS u
+  FROM o LEFT JOIN f ON true),
+r AS (
+  SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
+    row_number() OVER (PARTITION BY none, name ORDER BY size, h, doc_id) - 1 AS i
+  FROM d JOIN t USING (none, name))
+SELECT doc_id, size, source_size, target,
+  (size * (floor(u + (i + 1) * rate) - floor(u + i * rate)))::BIGINT AS taken
+FROM r"""
+
+
+@query("op8_mix_sources", _OP8)
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mixing_plan(table(spark, sf_dir, "documents"), ["doc_id"])
+    return plan.select(
+        "doc_id",
+        F.col("__size").alias("size"),
+        F.col("__source_size").alias("source_size"),
+        F.col("__target").alias("target"),
+        (F.col("__size") * F.col("__copies")).alias("taken"),
+    )
+
+
+RULES = [
+    urls.rule("org", "/", "allow"),
+    urls.rule("example.org", "/es/", "block"),
+    urls.rule("example.org", "/en/1", "block"),
+    urls.rule("com", "/fr/", "allow"),
+    urls.rule("com", "/de/", "block"),
+]
+
+_OP9 = f"""
+WITH p AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+q AS (
+  SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM p),
+h AS (SELECT page_id, {_LOWER_SQL.format("raw")} AS host, path FROM q),
+rules(rh, rp, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+  ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+m AS (
+  SELECT page_id, rh || rp AS rule, v FROM h JOIN rules
+  ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) = 1)
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM h LEFT JOIN m USING (page_id)"""
+
+
+@query("op9_url_rules", _OP9)
+def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(RULES))
