@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -14,6 +16,18 @@ WORD = r"[^\x20\x09-\x0D]+"
 _GAPS = r"[\x20\x09-\x0D]+"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors, once per application; not needed where it is installed."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent.parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='wardline-zip-')}/wardline", "zip", package.parent, package.name)
+        spark.sparkContext.addPyFile(archive)
+        _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new path in the folder all executors reach, ``spark.checkpoint.dir``.
 
@@ -34,8 +48,13 @@ class Stored:
 
     def __init__(self, df: DataFrame):
         self.spark, self.path = df.sparkSession, work_folder(df.sparkSession)
-        df.write.parquet(self.path)
-        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        self.schema = df.schema
+        df.write.option("compression", "zstd").parquet(self.path)
+
+    @property
+    def df(self) -> DataFrame:
+        """A scan of its own each time, so that the table can be joined with itself."""
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def delete(self) -> None:
         path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardline.llm import decontaminate, html, lines, mixing, tokens, urls
-from wardline.llm.common import work_folder
+from wardline.llm import decontaminate, hmm, html, lines, mixing, neardup, suffixes, tokens, toxicity, urls
+from wardline.llm.common import ship, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,7 +19,11 @@ _LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstu
 
 def query(name: str, sql: str | None = None):
     def register(f):
-        QUERIES[name] = f
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return f
@@ -31,6 +35,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _remainder(divisor: int):
+    """crc32(doc_id as text) modulo a number; a null id counts as an empty text."""
+    return F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(divisor))
+
+
+@query("op1_repeated_strings")
+def op1_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.repeated_strings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op2_hidden_markov")
+def op2_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = hmm.learn_and_score(table(spark, sf_dir, "documents"), _remainder(10) != 0)
+    return scored.select(
+        "doc_id", (~F.col("learned")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def train_toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Network:
+    """The network of the driver's labels; those with a remainder of 2 are held out."""
+    labels = table(spark, sf_dir, "labels").filter(_remainder(4) != 2)
+    return toxicity.train(toxicity.sample(docs, labels))
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, train_toxicity(spark, docs, sf_dir))
+    return scored.select(
+        "doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 @query("op4_token_files")
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
@@ -199,3 +237,27 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM h LEFT JO
 @query("op9_url_rules", _OP9)
 def op9_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), spark.createDataFrame(RULES))
+
+
+_OP7 = f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all({_LOWER_SQL.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS g FROM d),
+c AS (SELECT g, min(doc_id) AS rep FROM s WHERE len(g) > 0 GROUP BY g),
+x AS (SELECT rep, len(g) AS n, unnest(g) AS e FROM c),
+p AS (
+  SELECT a.rep AS a, b.rep AS b FROM x a JOIN x b ON a.e = b.e AND a.rep <> b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT rep AS a, rep AS b FROM c UNION SELECT reach.a, p.b FROM reach JOIN p ON reach.b = p.a),
+m AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, len(s.g)::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+  coalesce(component_id, doc_id) = doc_id AS kept
+FROM s LEFT JOIN c ON s.g = c.g AND len(s.g) > 0 LEFT JOIN m USING (rep)"""
+
+
+@query("op7_near_duplicates", _OP7)
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))

@@ -44,6 +44,7 @@ FILE_SCHEMA = "part int, seq int, first_id bigint, n_docs int, n_tokens bigint,
 _LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,;:!?]+"
 _SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})?((?:\n{_LETTERS}(?:{_MARKS})?)*)")
 _AFTER = re.compile(rf"\n|{_LETTERS}|{_MARKS}")
+_BLANK = "\u0120"  # stands for a blank in a byte-level vocabulary
 _WORKER: dict[tuple[str, int], "Encoder"] = {}
 
 
@@ -81,7 +82,11 @@ class Words(dict):
             raise KeyError(word)  # white space next to a blank
         if len(self) >= MAX_WORDS:
             self.clear()
-        if found := _SIMPLE.fullmatch(word):
+        if word.isascii() and word.isalpha():
+            made = array(self.code, [t.id for t in self.pieces.merge(_BLANK + word)]).tobytes()
+        elif word[:-1].isalpha() and word[-1] in ".,;:!?" and word.isascii():
+            made = self[word[:-1]] + self.pieces[word[-1]]
+        elif found := _SIMPLE.fullmatch(word):
             letters, marks, after = found.groups()
             if not marks and not after:
                 made = self.pieces.encode(" " + letters)

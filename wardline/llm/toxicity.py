@@ -25,7 +25,9 @@ WORD_ROWS, CHAR_ROWS = 1 << 13, 1 << 14
 # The bound of the training sample: documents of each class, and characters of one document.
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
-STEPS, BATCH, RATE = 500, 48, 0.01
+STEPS, BATCH, RATE = 600, 48, 0.01
+# Steps at which the hardest documents that are not toxic are looked up.
+MINING = {200, 300, 400, 500}
 THRESHOLD = 0.3
 CHUNK = 8192
 
@@ -91,7 +93,8 @@ class Network:
         def normal(*shape: int, scale: float) -> np.ndarray:
             return (rng.standard_normal(shape) * scale).astype(np.float32)
 
-        p = {"word": normal(WORD_ROWS, WORD_SIZE, scale=0.1), "char": normal(CHAR_ROWS, CHAR_SIZE, scale=0.1)}
+        # unseen words and trigrams say next to nothing
+        p = {"word": normal(WORD_ROWS, WORD_SIZE, scale=0.01), "char": normal(CHAR_ROWS, CHAR_SIZE, scale=0.01)}
         for side in "fb":
             p[f"w{side}"] = normal(size, 3 * HIDDEN, scale=size**-0.5)
             p[f"u{side}"] = normal(HIDDEN, 3 * HIDDEN, scale=HIDDEN**-0.5)
@@ -188,11 +191,21 @@ def _batch(texts: list[np.ndarray], vocabulary: list[bytes]) -> tuple[tuple, np.
     return word_features(words), (ids + shift).astype(np.int32), owner
 
 
+def _text_logits(network: Network, texts: list[np.ndarray], vocabulary: list[bytes]) -> np.ndarray:
+    """Log-odds of each text's worst window."""
+    features, ids, owner = _batch(texts, vocabulary)
+    vectors, out = network.inputs(features), np.full(len(texts), -np.inf)
+    for at in range(0, len(ids), CHUNK):
+        np.maximum.at(out, owner[at : at + CHUNK], network.logits(vectors, ids[at : at + CHUNK]))
+    return out
+
+
 def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Network:
     """Fit by Adam for a fixed number of steps, the rate falling to nothing.
 
     A third of each batch is toxic. First random windows carry their document's label, then the
-    window that scores highest now does. Without both classes the network stays untrained.
+    window that scores highest now does; half of the other documents then come from those that score
+    highest. Without both classes the network stays untrained.
     """
     network, rng = Network.fresh(seed), np.random.default_rng(seed)
     numbers = Numbers()
@@ -203,11 +216,16 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Network:
     vocabulary = list(numbers)
     first = {k: np.zeros_like(v) for k, v in network.p.items()}
     second = {k: np.zeros_like(v) for k, v in network.p.items()}
+    hard: list[np.ndarray] = []
     for step in range(1, STEPS + 1):
+        if step in MINING:
+            scores = np.concatenate([_text_logits(network, classes[0][i : i + 200], vocabulary) for i in range(0, len(classes[0]), 200)])
+            hard = [classes[0][i] for i in np.argsort(-scores, kind="stable")[: BATCH * 2]]
         labels = np.arange(BATCH) % 3 == 0
-        chosen = [classes[int(y)][rng.integers(len(classes[int(y)]))] for y in labels]
+        pools = [classes[1] if y else hard if hard and i % 3 == 1 else classes[0] for i, y in enumerate(labels)]
+        chosen = [pool[rng.integers(len(pool))] for pool in pools]
         features, ids, owner = _batch(chosen, vocabulary)
-        if step <= STEPS // 3:
+        if step < min(MINING):
             picked = rng.permutation(len(ids))[: 8 * BATCH]
         else:
             scores = network.logits(network.inputs(features), ids)
