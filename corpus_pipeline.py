@@ -6,30 +6,54 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import decontaminate, tokens
-from wardline.llm.common import store, work_folder
+from wardline.llm import decontaminate, mixing, neardup, tokens, toxicity
+from wardline.llm.common import ship, store, work_folder
+from wardline.llm.queries import train_toxicity
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity network, trained on the labels, does not reject."""
+    ship(spark)
+    return toxicity.drop_toxic(docs, train_toxicity(spark, docs, sf_dir))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    ship(spark)
+    return neardup.drop_near_duplicates(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
+    ship(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mixture of the sources: every document as often as it is taken."""
+    ship(spark)
+    return mixing.mix(docs)
+
+
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files of the documents, and per document what the files hold."""
     import public_tokenizers
 
+    ship(spark)
     path = work_folder(spark)
     tokens.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokens.read_token_files(spark, path)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxic_documents", toxic_documents),
+    ("near_duplicates", near_duplicates),
     ("decontamination", decontamination),
+    ("mixing_sources", mixing_sources),
     ("token_files", token_files),
 ]
 
-# Training, tokenizer and dictionary cannot be written in SQL; the tests compare with brute force.
+# Neither training nor tokenizer can be written in SQL; the tests compare the stages with brute force.
 ORACLE_SQL = None
 
 

@@ -60,16 +60,11 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: tuple[int, int]
     )
 
 
-def mixing_plan(
+def _plan(
     docs: DataFrame, carry: list[str], weights: tuple[int, ...] = WEIGHTS, share: tuple[int, int] = (3, 2), cap: int = 2,
     seed: str = SEED, doc_id: str = "doc_id", text: str = "text", source: str = "source",
 ) -> DataFrame:
-    """Per row of ``docs``: the columns ``carry``, then ``__size, __source_size, __target, __copies``.
-
-    Null sources form one source, the last in order. Null and empty texts have no words; a source
-    without words is not taken. Repeated rows are taken like any others; which of several equal rows
-    is taken does not matter. The result depends on the rows and the seed only.
-    """
+    """The columns ``carry`` as c0, c1 and so on, then ``size, source_size, target, copies``."""
     kept = pick(
         docs,
         **{f"c{i}": F.col(f"`{c}`") for i, c in enumerate(carry)},
@@ -87,20 +82,26 @@ def mixing_plan(
     base = cells.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).join(known, "src")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = unit_hash(F.concat(F.lit(seed + "/"), F.col("src.none").cast("string"), F.lit("/"), F.col("src.name")))
-    placed = rows.join(base.select("src", "task", "base", "source_size", "target", rate.alias("rate"), offset.alias("u")), ["src", "task"])
+    parts = base.select("src", "task", "base", "source_size", "target", rate.alias("rate"), offset.alias("u"))
     place = F.col("base") + F.col("row")
     copies = F.floor(F.col("u") + (place + 1) * F.col("rate")) - F.floor(F.col("u") + place * F.col("rate"))
-    return placed.select(
-        *[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)],
-        F.col("size").alias("__size"),
-        F.col("source_size").alias("__source_size"),
-        F.col("target").alias("__target"),
-        copies.alias("__copies"),
-    )
+    names = [f"c{i}" for i in range(len(carry))]
+    return rows.join(parts, ["src", "task"]).select(*names, "size", "source_size", "target", copies.alias("copies"))
+
+
+def mixing_plan(docs: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
+    """Per row of ``docs``: ``doc_id, size, source_size, target, copies``.
+
+    Null sources form one source, the last in order. Null and empty texts have no words; a source
+    without words is not taken. Repeated rows are taken like any others; which of several equal rows
+    is taken does not matter. The result depends on the rows and the seed only. An empty table gives
+    an empty plan, and columns that are not named are not read.
+    """
+    return _plan(docs, [doc_id], doc_id=doc_id, **options).withColumnRenamed("c0", doc_id)
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: every document as often as it is taken, with the columns of ``docs``."""
-    plan = mixing_plan(docs, docs.columns, **options)
-    once = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")))
-    return plan.filter(F.col("__copies") > 0).withColumn("__copy", once).select(*docs.columns)
+    plan = _plan(docs, docs.columns, **options).filter(F.col("copies") > 0)
+    repeated = plan.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return repeated.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

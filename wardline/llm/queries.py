@@ -201,14 +201,8 @@ FROM r"""
 
 @query("op8_mix_sources", _OP8)
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = mixing.mixing_plan(table(spark, sf_dir, "documents"), ["doc_id"])
-    return plan.select(
-        "doc_id",
-        F.col("__size").alias("size"),
-        F.col("__source_size").alias("source_size"),
-        F.col("__target").alias("target"),
-        (F.col("__size") * F.col("__copies")).alias("taken"),
-    )
+    plan = mixing.mixing_plan(table(spark, sf_dir, "documents"))
+    return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 RULES = [

@@ -22,7 +22,7 @@ WINDOW, STRIDE = 32, 16
 HIDDEN = 8
 WORD_SIZE, CHAR_SIZE = 8, 12
 WORD_ROWS, CHAR_ROWS = 1 << 13, 1 << 14
-# The bound of the training sample: documents of each class, and characters of one document.
+# The bound of the training sample: toxic documents (of the others twice as many), and characters of one document.
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 20_000
 STEPS, BATCH, RATE = 600, 48, 0.01
@@ -143,9 +143,16 @@ class Network:
             keep.update(mask=mask, states=states, a=a, pooled=pooled, **kept)
         return pooled @ self.p["out"] + self.p["bias"][0]
 
-    def gradients(self, features, ids: np.ndarray, labels: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
-        """Mean cross-entropy of windows and its gradient, back through time."""
+    def gradients(
+        self, features, ids: np.ndarray, labels: np.ndarray, known: np.ndarray | None = None
+    ) -> tuple[float, dict[str, np.ndarray]]:
+        """Mean cross-entropy of windows and its gradient, back through time.
+
+        Words that are not ``known`` enter by their characters only.
+        """
         vectors, k = self.inputs(features), {}
+        if known is not None:
+            vectors[1:, :WORD_SIZE] *= known[:, None]
         scores = _sigmoid(self.logits(vectors, ids, k))
         loss = -np.log(np.where(labels > 0, scores, 1 - scores) + 1e-7).mean()
         d = ((scores - labels) / len(labels)).astype(np.float32)
@@ -173,6 +180,8 @@ class Network:
             g |= {f"u{side}": d_u, f"w{side}": vectors.T @ d_g, f"c{side}": d_g.sum(axis=0)}
             d_vectors += d_g @ w.T
         hashed, trigrams, starts = features
+        if known is not None:
+            d_vectors[1:, :WORD_SIZE] *= known[:, None]
         g["word"], g["char"] = np.zeros_like(self.p["word"]), np.zeros_like(self.p["char"])
         np.add.at(g["word"], hashed, d_vectors[1:, :WORD_SIZE])
         lengths = np.diff(np.append(starts, len(trigrams)))
@@ -205,7 +214,8 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Network:
 
     A third of each batch is toxic. First random windows carry their document's label, then the
     window that scores highest now does; half of the other documents then come from those that score
-    highest. Without both classes the network stays untrained.
+    highest. Most words of a step are shown by their characters only, so that these are learned too.
+    Without both classes the network stays untrained.
     """
     network, rng = Network.fresh(seed), np.random.default_rng(seed)
     numbers = Numbers()
@@ -238,7 +248,7 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Network:
         parts = [trigrams[starts[w] : ends[w]] for w in words]
         small = np.concatenate(parts), np.cumsum([0, *map(len, parts)])[:-1]
         ids = ids[:-1].reshape(-1, WINDOW)
-        _, g = network.gradients((hashed[words], *small), ids, labels[owner[picked]].astype(np.float32))
+        _, g = network.gradients((hashed[words], *small), ids, labels[owner[picked]].astype(np.float32), rng.random(len(words)) < 0.3)
         rate = RATE * min(1, step / 20) * (1 - step / (STEPS + 1))
         norm = np.sqrt(sum(float((v**2).sum()) for v in g.values()))
         for k, v in g.items():
@@ -268,7 +278,7 @@ def score_texts(network: Network, texts: list[str | None]) -> np.ndarray:
 
 
 def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str | None, int]]:
-    """At most ``SAMPLE_DOCS`` labelled documents of each class, those with the smallest hashes.
+    """At most ``SAMPLE_DOCS`` toxic and twice as many other documents, those with the smallest hashes.
 
     Rows with a null id or label are left out; a document labelled both ways is in both classes.
     Documents over ``SAMPLE_CHARS`` characters are not trained on.
@@ -276,8 +286,8 @@ def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str | None, int]]:
     known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic").distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.filter("toxic = 1").orderBy(*order).limit(SAMPLE_DOCS)
-    chosen = chosen.union(known.filter("toxic = 0").orderBy(*order).limit(SAMPLE_DOCS))
-    # at most twice SAMPLE_DOCS rows of two numbers are broadcast
+    chosen = chosen.union(known.filter("toxic = 0").orderBy(*order).limit(2 * SAMPLE_DOCS))
+    # at most three times SAMPLE_DOCS rows of two numbers are broadcast
     texts = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")
     found = texts.select("doc_id", "text", "toxic").distinct().collect()
     return [(r["text"], r["toxic"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["toxic"], r["text"]))]
