@@ -251,7 +251,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     weights = members.df.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("pieces"))
     placed = members.df.join(weights, "root").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
     source = pick(docs, id=id_or_lowest(F.col(doc_id)), text=F.col(text).cast("string"))
-    texts = source.join(placed.withColumn("id", id_or_lowest(F.col("rep"))), "id").select("key", "node", "root", "piece", "pieces", "text")
+    # the same plan at every size: texts are shuffled to the members, however few these are
+    texts = source.join(placed.withColumn("id", id_or_lowest(F.col("rep"))).hint("merge"), "id").select("key", "node", "root", "piece", "pieces", "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
@@ -300,7 +301,8 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         .select("k.*")
     )
     # the same columns place the rows for the join and for the choice of one of them
-    marked = docs.withColumns({"__id": id_or_lowest(F.col(doc_id)), "__print": fingerprint(F.col(text))})
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    marked = docs.select(whole.alias("d"), id_or_lowest(F.col(doc_id)).alias("__id"), fingerprint(F.col(text)).alias("__print"))
     one = marked.join(single, ["__id", "__print"]).dropDuplicates(["__id", "__print"])
     blank = ~F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    return one.select(*docs.columns).union(docs.filter(blank))
+    return one.select("d.*").union(docs.filter(blank))
