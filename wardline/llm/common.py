@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import shutil
 import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from wardline.session import own_folder
+from wardline.sources.tables import shared_folder
+
 # Bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 _GAPS = r"[\x20\x09-\x0D]+"
@@ -29,18 +31,9 @@ def ship(spark: SparkSession) -> None:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """A new path in the folder all executors reach, ``spark.checkpoint.dir``.
-
-    Only a single-machine session without that setting gets a folder of its own.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir is not set")
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="wardline-llm-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return f"{folder.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new path in the folder all executors reach, ``spark.checkpoint.dir``; a single machine gets one of its own."""
+    own_folder(spark)
+    return shared_folder(spark)
 
 
 class Stored:

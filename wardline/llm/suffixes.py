@@ -203,6 +203,18 @@ def _edges(length: int, window: int):
 EDGE = "edge bigint, row bigint, suffix int, single boolean, lead int, strings int, bytes binary"
 
 
+def _joined(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Parts one after the other, and where each begins; hashes within a part do not see the others."""
+    sizes = np.array([len(p) for p in parts])
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(sizes) - sizes
+
+
+def _ranges(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every one of so many things of each owner: the owner, and the number from 0."""
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return owner, np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _steps(length: int, step: int):
     """Names of ``step`` strings at a time: of what they share and of all they cover.
 
@@ -210,25 +222,23 @@ def _steps(length: int, step: int):
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for edge, lead, strings, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(raw, np.uint8)
-                both = Prefixes(data), Prefixes(data, 1)
-                number = (lead - np.arange(strings)) // step  # falls along the text
-                first = np.flatnonzero(np.append(True, np.diff(number) != 0))
-                last = np.append(first[1:], strings) - 1
-                number = number[first]
-                place = (number << 10 | (last - first)).astype(np.uint64)
-                # held by all strings the step can have, also where some of them have another anchor
-                held = lead - number * step
-                shared = mixed(both[0].of(held, held - step + 1 + length) ^ number.astype(np.uint64))
-                whole = [mixed(p.of(first, last + length) ^ place) for p in both]
-                parts.append((np.full(len(first), edge), first, last, *(x.view(np.int64) for x in (shared, *whole))))
-            if parts:
-                columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
-                columns[1:3] = [c.astype(np.int32) for c in columns[1:3]]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["edge", "first", "last", "name", "whole", "whole2"])
+        for batch in rows_of(batches, 1 << 20):
+            edge, lead, strings = (c.to_numpy() for c in batch.columns[:3])
+            data, base = _joined(batch.column(3).to_pylist())
+            both = Prefixes(data), Prefixes(data, 1)
+            owner, at = _ranges(strings)
+            number = (lead[owner] - at) // step  # falls along the text
+            new = np.append(True, (np.diff(number) != 0) | (np.diff(owner) != 0))
+            first = np.flatnonzero(new)
+            last = at[np.append(first[1:], len(at)) - 1]
+            owner, number, first = owner[first], number[first], at[first]
+            place = (number << 10 | (last - first)).astype(np.uint64)
+            # held by all strings the step can have, also where some of them have another anchor
+            held, here = lead[owner] - number * step, base[owner]
+            shared = mixed(both[0].of(here + held, here + held - step + 1 + length) ^ number.astype(np.uint64))
+            whole = [mixed(p.of(here + first, here + last + length) ^ place) for p in both]
+            columns = [edge[owner], first.astype(np.int32), last.astype(np.int32), *(x.view(np.int64) for x in (shared, *whole))]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["edge", "first", "last", "name", "whole", "whole2"])
 
     return run
 
@@ -237,17 +247,17 @@ def _strings(length: int):
     """Names of single strings of the steps that fall apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for edge, raw, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                data = np.frombuffer(raw, np.uint8)
-                at = np.concatenate([np.arange(x["first"], x["last"] + 1) for x in wanted])
-                single = np.concatenate([np.full(x["last"] + 1 - x["first"], x["single"]) for x in wanted])
-                whole = [Prefixes(data, t).of(at, at + length).view(np.int64) for t in (0, 1)]
-                parts.append((np.full(len(at), edge), at.astype(np.int32), single, *whole))
-            if parts:
-                columns = [pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["edge", "at", "single", "whole", "whole2"])
+        for batch in rows_of(batches, 1 << 20):
+            edge = batch.column(0).to_numpy()
+            data, base = _joined(batch.column(1).to_pylist())
+            steps = [(i, x["first"], x["last"], x["single"]) for i, xs in enumerate(batch.column(2).to_pylist()) for x in xs]
+            which, first, last, single = (np.array(c) for c in zip(*steps, strict=True))
+            owner, number = _ranges(last + 1 - first)
+            at, which = first[owner] + number, which[owner]
+            start = base[which] + at
+            whole = [Prefixes(data, t).of(start, start + length).view(np.int64) for t in (0, 1)]
+            columns = [edge[which], at.astype(np.int32), single[owner], *whole]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["edge", "at", "single", "whole", "whole2"])
 
     return run
 
@@ -337,7 +347,8 @@ def repeated_strings(
     steps = edges.df.select("edge", "lead", "strings", "bytes").mapInArrow(
         _steps(length, STEP), "edge bigint, first int, last int, name bigint, whole bigint, whole2 bigint"
     )
-    apart = Stored(_fall_apart(steps, ["edge", "first", "last"]))
+    shared = Stored(steps)
+    apart = Stored(_fall_apart(shared.df, ["edge", "first", "last"]))
     singles = edges.df.select("edge", "bytes").join(
         apart.df.groupBy("edge").agg(F.collect_list(F.struct("first", "last", "single")).alias("wanted")), "edge"
     )
@@ -346,8 +357,8 @@ def repeated_strings(
     )
     key = ["whole", "whole2"]
     # Steps with several suffixes are repeated as they are, and so are strings that occur again.
-    several = Stored(steps.groupBy("name", *key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", *key))
-    by_step = steps.join(several.df, ["name", *key]).select("edge", "first", "last")
+    several = Stored(shared.df.groupBy("name", *key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("name", *key))
+    by_step = shared.df.join(several.df, ["name", *key]).select("edge", "first", "last")
     again = Stored(strings.df.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(*key))
     by_string = strings.df.filter("single").join(again.df, key).select("edge", F.col("at").alias("first"), F.col("at").alias("last"))
     # The suffixes that stand alone lose just these strings; all other active suffixes lose their whole range.
