@@ -8,6 +8,7 @@ from catalog.registry import SQL, labelled_sql, query, rounded
 from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, decide, sigmoid
 from wardline.operators import evaluate, importance
 from wardline.operators.models import class_counts, class_ratio, with_weight
+from wardline.sources.tables import cut_lineage
 
 _CURVE = f"""WITH {SQL['pred']},
 counts AS (SELECT model, prob, sum(label) AS pos, sum(1 - label) AS neg FROM pred GROUP BY 1, 2),
@@ -86,8 +87,9 @@ FROM cuts JOIN (SELECT model, count(*) FILTER (label = 0 AND predicted = 0) AS n
 )
 def youden_confusion_f1(t):
     """Cut-off, the four confusion counts n<label><predicted> and F1."""
-    cuts = evaluate.youden_cutoff(t.predictions)
-    cells = evaluate.confusion(t.predictions, cuts)
+    scanned = cut_lineage(evaluate.curve(t.predictions))
+    cuts = cut_lineage(evaluate.curve_cutoff(scanned, ["model"]))
+    cells = evaluate.curve_confusion(scanned, cuts, ["model"])
     counts = cells.groupBy("model").agg(
         *[F.sum(F.when((F.col("label") == y) & (F.col("predicted") == p), F.col("n"))).alias(f"n{y}{p}") for y in (0, 1) for p in (0, 1)]
     )

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from wardline.session import own_folder
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 _SCHEMAS: dict[str, StructType] = {}
@@ -203,7 +205,12 @@ def query(name: str, sql: str | None = None):
     def register(f):
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
-        QUERIES[name] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            own_folder(spark)
+            return f(Tables(spark, sf_dir))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return f

@@ -11,7 +11,6 @@ from wardline.operators.cohort import assign_split
 from wardline.sources.tables import cut_lineage
 
 KEY, TS = "stay_id", "charttime"
-STEPS = 124  # six-hour steps in the 31 days of the event log: no sequence is longer
 GRID = {"value_mean": "mean", "value_max": "max", "stage": "max"}
 
 
@@ -241,10 +240,10 @@ FROM rows, q, m""",
 )
 def prepared_rows(t):
     """Events to scaled, labelled and split rows: grid, fill, horizon, onset, static block, scaler."""
-    rows = cut_lineage(labels.first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=["value_mean"]))
-    rows = features.static_features(rows, t.detail, KEY, ["age"], {}, max_rows=None)
-    rows = assign_split(rows.select(KEY, TS, "label", "value_mean", "age"), KEY, max_rows=None)
-    bounds = features.fit_scaler(rows.filter(F.col("split") == "train"), ["value_mean"], ["value_mean", "age"])
+    rows = labels.first_onset(labelled_grid(t), KEY, TS, "label").fillna(0, subset=["value_mean"])
+    rows = features.static_features(rows, t.detail, KEY, ["age"], {})
+    rows = cut_lineage(assign_split(rows.select(KEY, TS, "label", "value_mean", "age"), KEY))
+    bounds = cut_lineage(features.fit_scaler(rows.filter(F.col("split") == "train"), ["value_mean"], ["value_mean", "age"]))
     return rounded(features.apply_scaler(rows, bounds, ["value_mean"], ["value_mean", "age"]), "value_mean", "age")
 
 
@@ -256,21 +255,21 @@ steps AS (SELECT stay_id, row_number() OVER (PARTITION BY stay_id ORDER BY chart
 @query(
     "sequence_pad",
     f"""{_SEQ},
-places AS (SELECT stay_id, step FROM (SELECT DISTINCT stay_id FROM steps) CROSS JOIN (SELECT unnest(range({STEPS})) AS step)),
+places AS (SELECT stay_id, step FROM (SELECT DISTINCT stay_id FROM steps) CROSS JOIN (SELECT unnest(range(max(step) + 1)) AS step FROM steps)),
 cells AS (SELECT s.stay_id, s.step, coalesce(a, 0) AS a, coalesce(b, 0) AS b FROM places s LEFT JOIN steps x ON x.stay_id = s.stay_id AND x.step = s.step)
 SELECT stay_id, (step * 2 + f)::INTEGER AS pos, round(CASE f WHEN 0 THEN a ELSE b END, 6) AS value
 FROM cells CROSS JOIN (SELECT unnest([0, 1]) AS f)""",
 )
 def sequence_pad(t):
     """Sequences padded to the length of the study, flattened, one row per position."""
-    sequence = sequences.to_sequences(event_grid(t), KEY, TS, ["value_mean", "value_max"], STEPS)
-    flat = sequences.flatten_padded(sequence, STEPS, 2)
+    sequence = cut_lineage(sequences.to_sequences(event_grid(t), KEY, TS, ["value_mean", "value_max"]))
+    flat = sequences.flatten_padded(sequence, sequences.longest(sequence), 2)
     return rounded(flat.select(KEY, F.posexplode("flat").alias("pos", "value")), "value")
 
 
 @query("sequence_shape", f"{_SEQ} SELECT count(DISTINCT stay_id) AS sequences, (max(step) + 1)::INTEGER AS steps, 2 AS features FROM steps")
 def sequence_shape(t):
-    return sequences.sequence_shape(sequences.to_sequences(event_grid(t), KEY, TS, ["value_mean", "value_max"], STEPS))
+    return sequences.sequence_shape(sequences.to_sequences(event_grid(t), KEY, TS, ["value_mean", "value_max"]))
 
 
 @query(
@@ -284,6 +283,6 @@ SELECT stay_id, length::INTEGER AS length, position::BIGINT AS position, batch::
   (max(length) OVER (PARTITION BY batch))::INTEGER AS padded FROM batched""",
 )
 def length_batches(t):
-    sequence = sequences.to_sequences(event_grid(t), KEY, TS, ["value_mean", "value_max"], STEPS)
+    sequence = sequences.to_sequences(event_grid(t), KEY, TS, ["value_mean", "value_max"])
     batches = sequences.length_batches(sequence, KEY, 5, 2)
     return batches.select(KEY, "length", "position", "batch", "batch_steps", F.size("seq").alias("padded"))

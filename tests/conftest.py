@@ -8,7 +8,9 @@ from wardline.session import local_session
 @pytest.fixture(scope="session")
 def spark():
     warehouse = tempfile.mkdtemp(prefix="wardline-warehouse-")
-    session = local_session("tests", 8, partitions=4, memory="4g", extra={"spark.sql.warehouse.dir": warehouse})
+    folder = tempfile.mkdtemp(prefix="wardline-intermediate-")
+    extra = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": f"file://{folder}"}
+    session = local_session("tests", 8, partitions=4, memory="4g", extra=extra)
     yield session
     session.stop()
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.helpers import at, frame, rows
 from wardline.operators import evaluate
@@ -124,3 +125,29 @@ def test_curve_is_not_sorted_in_one_task(spark, capsys):
     evaluate.roc_auc(df).explain()
     plan = capsys.readouterr().out
     assert "hashpartitioning(__group" in plan and "__slice" in plan
+
+
+def test_close_scores_are_divided(spark):
+    """Ten thousand scores within a millionth, and scores outside of [0, 1], do not meet in one cell."""
+    df = spark.range(10_000).selectExpr("'m' as model", "int(id % 7 = 0) as label", "0.5 + id / 1e9 as prob")
+    wide = spark.range(3000).selectExpr("'w' as model", "int(id % 5 = 0) as label", "id / 10 as prob")
+    both = df.union(wide)
+    scanned = evaluate.curve(both, cell_scores=500)
+    sliced = evaluate.curve(both, cell_scores=10**9)
+    assert rows(evaluate.curve_area(scanned, ["model"])) == rows(evaluate.curve_area(sliced, ["model"]))
+    plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+    assert "__low" in plan
+    points = evaluate.curve_points(scanned, ["model"]).filter("model = 'm'").orderBy(F.desc("threshold")).collect()
+    assert [r["tp"] + r["fp"] for r in points] == list(range(1, 10_001))
+
+
+def test_rate_of_positives_counts_scored_rows_only(spark):
+    df = frame(spark, SCHEMA, [("m", 1, 0.2), ("m", 0, 0.3), ("m", 1, None)])
+    assert evaluate.positive_rate(df).first()["value"] == 0.5
+
+
+def test_confusion_from_a_curve(spark):
+    df = frame(spark, SCHEMA, [("a", 1, 0.9), ("a", 0, 0.9), ("a", 1, 0.4), ("a", 0, 0.1), ("b", 1, 0.2), ("b", 0, None)])
+    scanned = evaluate.curve(df)
+    cuts = evaluate.curve_cutoff(scanned, ["model"])
+    assert rows(evaluate.curve_confusion(scanned, cuts, ["model"])) == rows(evaluate.confusion(df, cuts))

@@ -1,5 +1,5 @@
 import pytest
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -23,7 +23,7 @@ def area(model, df):
 
 def test_models_find_the_signal(planted):
     assert area(models.fit_logistic(planted, C=10.0, penalty="l2", max_iter=30), planted) > 0.9
-    assert area(models.fit_forest(planted, trees=5, depth=50), planted) > 0.9
+    assert area(models.fit_forest(planted, trees=5, depth=None), planted) > 0.9
     train, valid = planted.filter("stay_id % 5 > 0"), planted.filter("stay_id % 5 = 0")
     assert area(models.fit_boosted(train, valid, trees=5, depth=3, gamma=0), valid) > 0.9
 
@@ -43,12 +43,54 @@ def test_sample_grid_is_reproducible():
     assert len({str(c) for c in models.sample_grid(models.FOREST_GRID, 100)}) == 100
 
 
-def test_random_search_and_grid_search(planted):
-    estimator = models.logistic(1.0, weight=None, max_iter=5)
-    model, metrics = models.random_search(estimator, models.sample_grid(models.LOGISTIC_GRID, 2), planted, "stay_id", folds=2)
-    assert metrics.count() == 2 and model.bestModel is not None
-    _, metrics = models.grid_search(estimator, [{"C": 0.001}, {"C": 10}], planted)
-    assert metrics.count() == 2
+def test_search_of_one_choice_is_a_fit_of_every_fold(planted):
+    """Regularisation and weights are those of the rows that are fitted."""
+    choice = {"C": 0.05, "penalty": "l2"}
+    estimator = models.logistic(1.0, max_iter=30)
+    model, metrics = models.random_search(estimator, [choice], planted, "stay_id", folds=3, metric="auc", scheme="balanced")
+    parted = models.with_folds(planted, "stay_id", 3)
+    areas = [area(models.fit_logistic(parted.filter(f"fold <> {f}"), max_iter=30, **choice), parted.filter(f"fold = {f}")) for f in range(3)]
+    assert metrics.first()["value"] == pytest.approx(sum(areas) / 3, abs=1e-6)
+    whole = models.fit_logistic(planted, max_iter=30, **choice)
+    assert model.stages[0].coefficients.toArray() == pytest.approx(whole.stages[0].coefficients.toArray(), abs=1e-6)
+
+
+def test_grid_search_keeps_entities_apart(planted):
+    train, valid = models.split_validation(planted, "stay_id", 0.7)
+    assert train.count() + valid.count() == 600 and 90 < valid.count() < 270
+    assert not {r[0] for r in train.select("stay_id").collect()} & {r[0] for r in valid.select("stay_id").collect()}
+    model, metrics = models.grid_search(models.logistic(1.0, weight=None, max_iter=5), [{"C": 1e-4}, {"C": 10}], train, valid)
+    values = [r["value"] for r in metrics.orderBy("run").collect()]
+    assert len(values) == 2 and values[1] > values[0]
+    assert area(model, valid) > 0.8
+
+
+def test_weights_of_many_classes(spark):
+    df = frame(spark, "label int", [(0,), (0,), (1,), (2,), (3,), (3,), (None,)])
+    found = {r["label"]: r["weight"] for r in models.with_weight(df).collect()}
+    assert found == {0: 0.75, 1: 1.5, 2: 1.5, 3: 0.75, None: None}
+
+
+def test_classes_are_predicted(spark, planted):
+    x = vector_to_array("features")[0]
+    stages = planted.withColumn("label", F.floor(x * 2.999).cast("int"))
+    model = models.fit_forest(stages, trees=5, depth=5)
+    pred = models.predict_classes(model, stages, "m", ["stay_id"])
+    assert pred.filter("label = predicted").count() > 560
+    assert pred.filter("size(probs) <> 3").count() == 0
+
+
+def test_rounds_end_after_patience():
+    assert models.best_rounds([5, 4, 3, 3.5, 3.6, 2], 2) == 3
+    assert models.best_rounds([5, 4, 3, 3.5, 3.6, 2], 3) == 6
+    assert models.best_rounds([1, 2, 3], 10) == 1
+
+
+def test_boosting_grows_up_to_the_best_round(planted):
+    train, valid = planted.filter("stay_id % 5 > 0"), planted.filter("stay_id % 5 = 0")
+    full = models.fit_boosted(train, trees=12, depth=5, gamma=0, learning_rate=0.5).stages[0]
+    model = models.fit_boosted(train, valid, trees=12, depth=5, gamma=0, learning_rate=0.5, patience=2).stages[0]
+    assert model.getNumTrees == models.best_rounds(full.evaluateEachIteration(valid), 2)
 
 
 def test_tree_parameters_are_translated(spark):
@@ -57,6 +99,10 @@ def test_tree_parameters_are_translated(spark):
     assert {p.name for p in params} == {"maxIter", "maxDepth", "stepSize", "minInstancesPerNode", "minInfoGain"}
     (params,) = models.param_maps(models.random_forest(), [{"depth": None, "trees": 100}])
     assert {p.name: v for p, v in params.items()} == {"maxDepth": 30, "numTrees": 100}
+    with pytest.raises(ValueError, match="depth 40"):
+        models.random_forest(depth=40)
+    with pytest.raises(ValueError, match="depth 31"):
+        models.param_maps(estimator, [{"depth": 31}])
 
 
 def test_best_model_is_kept(planted):

@@ -86,9 +86,11 @@ def test_baselines_and_report(study):
     from wardline.plans.study import baseline_predictions, flat_vectors, report
     from wardline.sources.tables import cut_lineage
 
-    settings = Settings(max_steps=20, holdout=0.5)
-    flat = flat_vectors(prepare(study, settings), settings)
-    assert flat.first()["features"].size == 20 * len(FEATURES)
+    settings = Settings(holdout=0.5)
+    made = prepare(study, settings)
+    flat = flat_vectors(made, settings)
+    longest = max(r["count"] for r in made.rows.groupBy("stay_id").count().collect())
+    assert flat.first()["features"].size == longest * len(FEATURES)
     small = {"logistic": {"max_iter": 5}, "boosted": {"trees": 2, "depth": 2}, "forest": {"trees": 3, "depth": 3}}
     pred = cut_lineage(baseline_predictions(flat, settings, **small))
     frames = report(pred)

@@ -2,8 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from wardline.operators import cohort
-from wardline.operators.scans import attach, rank_rows
+from wardline.operators.scans import SLICE, attach, number_rows, rank_rows, split_large
 
 
 @pytest.fixture(scope="module")
@@ -14,18 +13,58 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("limits", [{}, {"max_rows": 10, "max_cells": 0}, {"max_rows": 10_000, "max_cells": 0}, {"max_rows": None}])
-def test_attach_equals_a_plain_join(spark, skewed, how, limits):
+def test_attach_equals_a_plain_join(spark, skewed, how):
     lookup = spark.range(0, 12).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    found = attach(skewed, lookup, ["k"], how, **limits)
+    found = attach(skewed, lookup, ["k"], how)
     expected = skewed.join(lookup, "k", how)
     assert found.columns == expected.columns and rows(found) == rows(expected)
 
 
-def test_large_key_is_spread(spark, skewed):
-    lookup = spark.range(0, 12).withColumnRenamed("id", "k").withColumn("w", F.lit(1))
-    found = attach(skewed, lookup, ["k"], "inner", max_rows=20, max_cells=0)
-    assert "__salt" in found._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("columns", [["k", "v"], ["k"]])
+def test_large_key_is_split(spark, columns):
+    """Spark splits the rows of a hot key, also where rows have nothing but the key and the lookup is grouped."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    before = {k: spark.conf.get(k) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        hot = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 > 0, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+        lookup = hot.groupBy("k").agg(F.count("*").alias("n"))
+        joined = attach(hot.select(*columns), lookup, ["k"])
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_slices_have_like_sizes_whatever_the_moments(spark):
+    """One moment far from all others, and a group of a third of all rows: no slice is over twice the limit."""
+    moment = F.when(F.col("id") == 0, F.lit("1970-01-01").cast("timestamp_ntz")).otherwise(
+        F.timestamp_add("SECOND", F.col("id"), F.lit("2024-01-01").cast("timestamp_ntz"))
+    )
+    df = spark.range(10_000).select(F.lit(7).alias("k"), moment.alias("t")).union(spark.range(20_000).select(F.col("id") + 100, moment))
+    sliced, cut = split_large(df, ["k"], "t", 1000)
+    assert cut and sliced.count() == 30_000
+    sizes = [r["n"] for r in sliced.filter("k = 7").groupBy(SLICE).agg(F.count("*").alias("n")).collect()]
+    assert max(sizes) <= 2000 and len(sizes) >= 5
+    ends = sliced.filter("k = 7").groupBy(SLICE).agg(F.min("t").alias("a"), F.max("t").alias("b")).orderBy(SLICE).collect()
+    assert all(x["b"] < y["a"] for x, y in zip(ends, ends[1:]))
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_number_rows(spark, kind):
+    """Ids at both ends of their type, and as text."""
+    ids = [-(2**63), 2**63 - 1, 0, *range(5, 50)]
+    df = spark.createDataFrame([(i,) for i in ids], "k bigint").select(F.col("k").cast(kind).alias("k"))
+    found = {r["k"]: r["n"] for r in number_rows(df, [F.col("k").asc()], "n").collect()}
+    assert found == {k: i + 1 for i, k in enumerate(sorted(map(str, ids) if kind == "string" else ids))}
 
 
 def test_rank_rows(spark, skewed):
@@ -36,12 +75,3 @@ def test_rank_rows(spark, skewed):
     w = Window.partitionBy("k")
     expected = known.withColumn("r", F.row_number().over(w.orderBy("v"))).withColumn("n", F.count("*").over(w))
     assert rows(ranked, "k", "v", "r", "n") == rows(expected, "k", "v", "r", "n")
-
-
-def test_span_filter_with_large_entities(spark):
-    df = spark.range(300).select(
-        (F.col("id") % 3).alias("stay_id"),
-        F.timestamp_add("HOUR", F.col("id") * (F.col("id") % 3 + 1), F.lit("2024-01-01").cast("timestamp_ntz")).alias("charttime"),
-    )
-    plain = cohort.span_filter(df, "stay_id", "charttime", 13, 20, max_rows=None)
-    assert rows(cohort.span_filter(df, "stay_id", "charttime", 13, 20, max_rows=7)) == rows(plain)

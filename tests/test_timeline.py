@@ -160,20 +160,30 @@ def test_merge_measure_keeps_both_values(spark):
     assert rows(found, "k", "t", "other", "creat") == [(1, 0, 7.0, 1.0), (1, 0, 7.0, 2.0), (1, 1, 8.0, None), (1, 2, None, 3.0)]
 
 
-def test_sequences_pad_and_cut(spark):
-    df = frame(spark, "stay_id long, charttime timestamp_ntz, a double, b double", [(s, at(6 * i), float(i), None) for s, n in ((1, 2), (2, 4)) for i in range(n)])
-    made = sequences.to_sequences(df, "stay_id", "charttime", ["a", "b"], 3)
+def test_sequences_are_padded_and_never_cut(spark):
+    df = frame(spark, "stay_id long, charttime timestamp_ntz, a double, b double", [(s, at(6 * i), float(i), None) for s, n in ((1, 2), (2, 3)) for i in range(n)])
+    made = sequences.to_sequences(df, "stay_id", "charttime", ["a", "b"])
+    assert sequences.longest(made) == 3
     flat = {r["stay_id"]: r["flat"] for r in sequences.flatten_padded(made, 3, 2, fill=-1.0).collect()}
     assert flat == {1: [0.0, 0.0, 1.0, 0.0, -1.0, -1.0], 2: [0.0, 0.0, 1.0, 0.0, 2.0, 0.0]}
     assert tuple(sequences.sequence_shape(made).first()) == (2, 3, 2)
-    vector = {r["stay_id"]: r["features"] for r in sequences.to_vectors(df, "stay_id", "charttime", ["a", "b"], 3).collect()}
+    vector = {r["stay_id"]: r["features"] for r in sequences.to_vectors(df, "stay_id", "charttime", ["a", "b"]).collect()}
     assert list(vector[1].toArray()) == [0, 0, 1, 0, 0, 0] and type(vector[1]).__name__ == "SparseVector"
+    with pytest.raises(Exception, match="more steps than 2"):
+        sequences.flatten_padded(made, 2, 2).collect()
+
+
+def test_hourly_grid_keeps_every_row(spark):
+    rows_ = [(1, at(h), 1.0) for h in range(0, 200)] + [(2, at(0), 2.0)]
+    df = grid.resample(frame(spark, "stay_id long, charttime timestamp_ntz, a double", rows_), "stay_id", "charttime", 1, {"a": "mean"})
+    assert {r["stay_id"]: len(r["seq"]) for r in sequences.to_sequences(df, "stay_id", "charttime", ["a"]).collect()} == {1: 200, 2: 1}
+    assert sequences.to_vectors(df, "stay_id", "charttime", ["a"]).first()["features"].size == 200
 
 
 def test_length_batches(spark):
     lengths = {i: (i * 7) % 5 + 1 for i in range(12)}
     df = frame(spark, "stay_id long, charttime timestamp_ntz, a double", [(s, at(6 * i), 1.0) for s, n in lengths.items() for i in range(n)])
-    made = sequences.length_batches(sequences.to_sequences(df, "stay_id", "charttime", ["a"], 100), "stay_id", 5, 1)
+    made = sequences.length_batches(sequences.to_sequences(df, "stay_id", "charttime", ["a"]), "stay_id", 5, 1)
     order = sorted(lengths, key=lambda s: (-lengths[s], s))
     found = {r["stay_id"]: (r["batch"], len(r["seq"])) for r in made.collect()}
     expected = {s: (i // 5, lengths[order[i // 5 * 5]]) for i, s in enumerate(order)}

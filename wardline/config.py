@@ -40,7 +40,7 @@ class Settings:
     seed: int = 42
 
     # sequences
-    max_steps: int = 133
+    steps: int | None = None  # None: as many as the longest sequence has
     batch_size: int = 5
 
     @property

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.columns import any_present, days_between, micros_between
-from wardline.operators.scans import MAX_GROUP_ROWS, attach, rank_rows
+from wardline.operators.scans import attach, rank_rows
 from wardline.sources.tables import cut_lineage
 
 _DAY_MICROS = 86_400_000_000
@@ -18,12 +18,12 @@ def eligible_entities(stages: DataFrame, measures: list[str], label: str, key: s
     return stages.filter(any_present(*measures) & F.col(label).isNotNull()).select(key).distinct()
 
 
-def keep_entities(df: DataFrame, entities: DataFrame, key: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    return attach(df, entities.select(key).distinct(), [key], "left_semi", max_rows)
+def keep_entities(df: DataFrame, entities: DataFrame, key: str) -> DataFrame:
+    return attach(df, entities.select(key).distinct(), [key], "left_semi")
 
 
-def drop_entities(df: DataFrame, entities: DataFrame, key: str, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
-    return attach(df, entities.select(key).distinct(), [key], "left_anti", max_rows)
+def drop_entities(df: DataFrame, entities: DataFrame, key: str) -> DataFrame:
+    return attach(df, entities.select(key).distinct(), [key], "left_anti")
 
 
 def extract_cohort(
@@ -61,7 +61,6 @@ def span_filter(
     ts: str,
     min_days: float,
     max_days: float | None = None,
-    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Drop entities observed for less than ``min_days``; keep the last ``max_days`` of the others.
 
@@ -70,19 +69,19 @@ def span_filter(
     """
     kept = spans(df, key, ts).filter(F.col("span_days") >= min_days)
     if max_days is None:
-        return keep_entities(df, kept, key, max_rows)
+        return keep_entities(df, kept, key)
     last = F.col("last_time")
     late = F.when(F.col("span_days") <= max_days, F.lit(True)).otherwise(_not_older(F.col(ts), last, max_days))
-    dated = attach(df, kept.select(key, "last_time", "span_days"), [key], "inner", max_rows)
+    dated = attach(df, kept.select(key, "last_time", "span_days"), [key], "inner")
     trimmed = dated.filter(late).drop("last_time", "span_days")
     still_long = spans(trimmed, key, ts).filter(F.col("span_days") >= min_days)
-    return keep_entities(trimmed, still_long, key, max_rows)
+    return keep_entities(trimmed, still_long, key)
 
 
-def trim_last_days(df: DataFrame, key: str, ts: str, days: float, max_rows: int | None = MAX_GROUP_ROWS) -> DataFrame:
+def trim_last_days(df: DataFrame, key: str, ts: str, days: float) -> DataFrame:
     """Keep the rows at most ``days`` before the entity's last one."""
     last = df.groupBy(key).agg(F.max(ts).alias("last_time"))
-    return attach(df, last, [key], "inner", max_rows).filter(_not_older(F.col(ts), F.col("last_time"), days)).drop("last_time")
+    return attach(df, last, [key], "inner").filter(_not_older(F.col(ts), F.col("last_time"), days)).drop("last_time")
 
 
 def _not_older(ts: Column, last: Column, days: float) -> Column:
@@ -117,9 +116,8 @@ def assign_split(
     holdout: float = 0.2,
     test_share: float = 0.5,
     seed: int = 42,
-    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    return attach(df, split_entities(df, key, holdout, test_share, seed), [key], "inner", max_rows)
+    return attach(df, split_entities(df, key, holdout, test_share, seed), [key], "inner")
 
 
 def sample_entities(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:

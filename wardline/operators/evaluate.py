@@ -5,7 +5,9 @@ step, ...) whose groups are evaluated separately. Rows without label or probabil
 A group with a single class has no ROC or PR area: its value is null.
 
 Curves need cumulative counts over descending scores. Scores are first counted per distinct value
-and then scanned in cells of the log-odds scale, so that one large group is not sorted by one task.
+and then scanned in cells of the log-odds scale, so that one large group is not sorted by one task;
+cells with many distinct scores are divided further. Several measures of one prediction table share
+a stored ``curve``.
 """
 
 from __future__ import annotations
@@ -18,9 +20,11 @@ from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, bin_index,
 from wardline.operators.scans import SLICE, Running, attach, running
 
 _GROUP = "__group"
-# Cells per unit of log-odds, and the limit beyond which all scores share the outermost cell.
+# Cells per unit of log-odds; beyond 40 units of log-odds doubles have no distinct probabilities below 1.
 _CELLS_PER_UNIT = 1024
 _CELL_LIMIT = 40 * _CELLS_PER_UNIT
+# Distinct scores of a cell that are scanned together.
+CELL_SCORES = 100_000
 
 
 def _group(by: list[str]) -> Column:
@@ -39,16 +43,32 @@ def score_cell(prob: Column) -> Column:
     return F.when(prob <= 0, F.lit(-_CELL_LIMIT)).when(prob >= 1, F.lit(_CELL_LIMIT)).otherwise(inner).cast("bigint")
 
 
-def _curve(pred: DataFrame, by: list[str], label: str, prob: str) -> DataFrame:
-    """Per group and distinct score: positives and negatives, cumulated from the top, and rates."""
+def curve(
+    pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob", cell_scores: int = CELL_SCORES
+) -> DataFrame:
+    """Per group (a struct) and distinct score: positives and negatives, cumulated from the top, and rates.
+
+    Cells with more than ``cell_scores`` distinct scores are divided evenly between their lowest and
+    highest score.
+    """
     counts = (
         pred.filter(F.col(label).isNotNull() & F.col(prob).isNotNull())
         .groupBy(_group(by), F.col(prob).cast("double").alias("threshold"))
         .agg(F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) != 1).cast("bigint")).alias("neg"))
-        .withColumn(SLICE, score_cell(F.col("threshold")))
+        .withColumn("__cell", score_cell(F.col("threshold")))
+    )
+    cells = counts.groupBy(_GROUP, "__cell").agg(
+        F.count(F.lit(1)).alias("__n"), F.min("threshold").alias("__low"), F.max("threshold").alias("__high")
+    )
+    share = F.try_divide(F.col("threshold") - F.col("__low"), F.col("__high") - F.col("__low"))
+    part = F.floor(F.coalesce(share, F.lit(0.0)) * F.ceil(F.col("__n") / F.lit(cell_scores)))
+    sliced = (
+        counts.join(cells.filter(F.col("__n") > cell_scores), [_GROUP, "__cell"], "left")
+        .withColumn(SLICE, F.struct(F.col("__cell").alias("cell"), F.coalesce(part, F.lit(0)).alias("part")))
+        .drop("__cell", "__n", "__low", "__high")
     )
     scanned = running(
-        counts,
+        sliced,
         [_GROUP],
         "threshold",
         {"tp": Running("sum", F.col("pos")), "fp": Running("sum", F.col("neg"))},
@@ -66,15 +86,22 @@ def _curve(pred: DataFrame, by: list[str], label: str, prob: str) -> DataFrame:
 
 def roc_points(pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob") -> DataFrame:
     """One point per distinct score: (threshold, tp, fp, tpr, fpr)."""
-    return _curve(pred, by, label, prob).select(*_ungroup(by), "threshold", "tp", "fp", "tpr", "fpr")
+    return curve_points(curve(pred, by, label, prob), by)
+
+
+def curve_points(scanned: DataFrame, by: list[str]) -> DataFrame:
+    return scanned.select(*_ungroup(by), "threshold", "tp", "fp", "tpr", "fpr")
 
 
 def roc_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob") -> DataFrame:
     """Area by trapezoids; tied scores get half credit."""
+    return curve_area(curve(pred, by, label, prob), by)
+
+
+def curve_area(scanned: DataFrame, by: list[str]) -> DataFrame:
     strip = F.col("neg") * (F.col("tp") - F.col("pos") / F.lit(2.0))
     return (
-        _curve(pred, by, label, prob)
-        .groupBy(_GROUP)
+        scanned.groupBy(_GROUP)
         .agg(F.sum(strip).alias("area"), F.max("tp_total").alias("p"), F.max("fp_total").alias("n"))
         .select(*_ungroup(by), F.try_divide(F.col("area"), F.col("p").cast("double") * F.col("n")).alias("value"))
     )
@@ -82,19 +109,26 @@ def roc_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", pr
 
 def pr_points(pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob") -> DataFrame:
     """(threshold, precision, recall) per distinct score."""
+    return curve_precision(curve(pred, by, label, prob), by)
+
+
+def curve_precision(scanned: DataFrame, by: list[str]) -> DataFrame:
     precision = F.col("tp") / (F.col("tp") + F.col("fp"))
-    return _curve(pred, by, label, prob).select(*_ungroup(by), "threshold", precision.alias("precision"), F.col("tpr").alias("recall"))
+    return scanned.select(*_ungroup(by), "threshold", precision.alias("precision"), F.col("tpr").alias("recall"))
 
 
 def pr_auc(pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob") -> DataFrame:
     """Area by trapezoids, starting at (recall 0, precision 1)."""
+    return curve_precision_area(curve(pred, by, label, prob), by)
+
+
+def curve_precision_area(scanned: DataFrame, by: list[str]) -> DataFrame:
     here = F.col("tp") / (F.col("tp") + F.col("fp"))
     tp, fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
     before = F.coalesce(F.try_divide(tp.cast("double"), tp + fp), F.lit(1.0))
     strip = F.col("pos") * (here + before) / F.lit(2.0)
     return (
-        _curve(pred, by, label, prob)
-        .groupBy(_GROUP)
+        scanned.groupBy(_GROUP)
         .agg(F.sum(strip).alias("area"), F.max("tp_total").alias("p"), F.max("fp_total").alias("n"))
         .select(*_ungroup(by), F.when(F.col("n") > 0, F.try_divide(F.col("area"), F.col("p"))).alias("value"))
     )
@@ -107,9 +141,9 @@ def brier(
     return pred.groupBy(*by).agg((error if digits is None else F.round(error, digits)).alias("value"))
 
 
-def positive_rate(pred: DataFrame, by: list[str] = ["model"], label: str = "label") -> DataFrame:
-    """Precision of a classifier without skill."""
-    return pred.groupBy(*by).agg(F.avg(label).alias("value"))
+def positive_rate(pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob") -> DataFrame:
+    """Precision of a classifier without skill, over the rows that count."""
+    return pred.groupBy(*by).agg(F.avg(F.when(F.col(prob).isNotNull(), F.col(label))).alias("value"))
 
 
 def youden_cutoff(
@@ -119,14 +153,17 @@ def youden_cutoff(
 
     If no score beats the empty decision, the cut-off lies one above the highest score.
     """
+    return curve_cutoff(curve(pred, by, label, prob), by, digits)
+
+
+def curve_cutoff(scanned: DataFrame, by: list[str], digits: int = 4) -> DataFrame:
     gain = F.col("tpr") - F.col("fpr")
     best = F.max(F.struct(gain.alias("gain"), F.col("threshold").alias("threshold")))
     cut = F.when(F.col("best")["gain"] > 0, F.col("best")["threshold"]).when(
         F.col("best")["gain"].isNotNull(), F.col("top") + F.lit(1.0)
     )
     return (
-        _curve(pred, by, label, prob)
-        .groupBy(_GROUP)
+        scanned.groupBy(_GROUP)
         .agg(best.alias("best"), F.max("threshold").alias("top"))
         .select(*_ungroup(by), F.round(cut, digits).alias("cutoff"))
     )
@@ -138,10 +175,19 @@ def confusion(
     """(label, predicted, n), all four cells, deciding strictly above each group's cut-off."""
     scored = _join_groups(pred.filter(F.col(label).isNotNull() & F.col(prob).isNotNull()), cutoffs, by)
     said = decide(F.col(prob), F.col("cutoff"))
+    return _cells(scored.groupBy(_group(by)), lambda y, p: ((F.col(label) == y) & (said == p)).cast("bigint"), by)
+
+
+def curve_confusion(scanned: DataFrame, cutoffs: DataFrame, by: list[str]) -> DataFrame:
+    """The same from a curve, whose scores are already counted."""
+    scored = attach(scanned, cutoffs.select(_group(by), "cutoff"), [_GROUP])
+    said = decide(F.col("threshold"), F.col("cutoff"))
+    return _cells(scored.groupBy(_GROUP), lambda y, p: F.when(said == p, F.col("pos" if y else "neg")).when(said.isNotNull(), 0), by)
+
+
+def _cells(groups, measure, by: list[str]) -> DataFrame:
     cells = [(y, p) for y in (0, 1) for p in (0, 1)]
-    counts = scored.groupBy(_group(by)).agg(
-        *[F.sum(((F.col(label) == y) & (said == p)).cast("bigint")).alias(f"c{y}{p}") for y, p in cells]
-    )
+    counts = groups.agg(*[F.sum(measure(y, p)).alias(f"c{y}{p}") for y, p in cells])
     rows = F.array(*[F.struct(F.lit(y).alias("label"), F.lit(p).alias("predicted"), F.col(f"c{y}{p}").alias("n")) for y, p in cells])
     return counts.select(_GROUP, F.inline(rows)).select(*_ungroup(by), "label", "predicted", "n")
 
@@ -222,12 +268,14 @@ def before_onset(
     label: str = "label",
     prob: str = "prob",
 ) -> DataFrame:
-    """One row per entity: its prediction at the first positive moment, otherwise at the last one."""
-    onset = F.when(F.col(label) == 1, F.col(ts))
-    picked = F.coalesce(F.min_by(prob, onset), F.max_by(prob, ts))
-    return pred.groupBy(*by, key).agg(
-        F.coalesce(F.min(onset), F.max(ts)).alias(ts), F.max(label).alias(label), picked.alias(prob)
-    )
+    """One row per entity: its prediction at the first positive moment, otherwise at the last one.
+
+    Of several predictions at that moment the lowest counts at an onset, otherwise the highest.
+    """
+    onset = F.min(F.when(F.col(label) == 1, F.struct(F.col(ts).alias("t"), F.col(prob).alias("p"))))
+    last = F.max(F.struct(F.col(ts).alias("t"), F.col(prob).alias("p")))
+    found = pred.groupBy(*by, key).agg(F.max(label).alias(label), F.coalesce(onset, last).alias("__at"))
+    return found.select(*by, key, F.col("__at")["t"].alias(ts), label, F.col("__at")["p"].alias(prob))
 
 
 def weighted_log_loss(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.columns import clip, midpoint, one_hot, rescale
 from wardline.operators.grid import group_mode
-from wardline.operators.scans import MAX_GROUP_ROWS, SLICE, Running, attach, running
+from wardline.operators.scans import SLICE, Running, attach, running
 
 # Resolution of the value cells: about 1/2048 relative width, 1/1024 absolute near zero.
 _CELLS_PER_E = 2048
@@ -25,13 +25,11 @@ def fill_constant(df: DataFrame, value: float, columns: list[str]) -> DataFrame:
     return df.fillna(value, subset=columns)
 
 
-def impute_entity_mode(
-    df: DataFrame, key: str, columns: list[str], max_rows: int | None = MAX_GROUP_ROWS
-) -> DataFrame:
+def impute_entity_mode(df: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Fill nulls by the entity's most frequent value of the column."""
     modes = group_mode(df, [key], columns).withColumnsRenamed({c: f"__m_{c}" for c in columns})
     return (
-        attach(df, modes, [key], "left", max_rows)
+        attach(df, modes, [key], "left")
         .withColumns({c: F.coalesce(F.col(c), F.col(f"__m_{c}").cast(dict(df.dtypes)[c])) for c in columns})
         .drop(*[f"__m_{c}" for c in columns])
     )
@@ -54,11 +52,10 @@ def static_features(
     key: str,
     numeric: list[str],
     categorical: dict[str, list[str]],
-    max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Join one row of static attributes per entity, categories as one 0/1 column per level."""
     encoded = [e for column, levels in categorical.items() for e in one_hot(column, levels)]
-    return attach(df, detail.select(key, *numeric, *encoded), [key], "left", max_rows)
+    return attach(df, detail.select(key, *numeric, *encoded), [key], "left")
 
 
 def _value_cell(value: Column) -> Column:

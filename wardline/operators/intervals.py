@@ -20,7 +20,7 @@ def carry_rate(
     events: DataFrame, keys: list[str], ts: str = "starttime", rate: str = "rate", max_rows: int | None = MAX_GROUP_ROWS
 ) -> DataFrame:
     """Add the rate in force at each row and the one in force before it."""
-    log, sliced = split_large(rate_log(events, keys, ts, rate), events, keys, ts, max_rows)
+    log, sliced = split_large(rate_log(events, keys, ts, rate), keys, ts, max_rows)
     value = F.col(rate)
     measures = {"carried_rate": Running("last", value), "previous_rate": Running("last", value, include_current=False)}
     return drop_slices(running(log, keys, ts, measures, sliced=sliced))
@@ -37,7 +37,7 @@ def episodes(
     are no delivery.
     """
     events = events.dropna(subset=keys)
-    log, sliced = split_large(rate_log(events, keys, ts, rate), events, keys, ts, max_rows)
+    log, sliced = split_large(rate_log(events, keys, ts, rate), keys, ts, max_rows)
     value, previous = F.col(rate), F.col("__previous")
     known = running(log, keys, ts, {"__previous": Running("last", value, include_current=False)}, sliced=sliced)
     known = cut_lineage(known) if sliced else known
@@ -71,7 +71,7 @@ def merge_intervals(
 def _merge(intervals: DataFrame, keys: list[str], start: str, end: str, max_rows: int | None) -> tuple[DataFrame, bool]:
     valid = intervals.dropna(subset=[*keys, start, end])
     longest = valid.groupBy(*keys, start).agg(F.max(end).alias(end))
-    prepared, sliced = split_large(longest, valid, keys, start, max_rows)
+    prepared, sliced = split_large(longest, keys, start, max_rows)
     covered = running(
         prepared, keys, start, {"__covered": Running("max", F.col(end), include_current=False)}, sliced=sliced
     )
@@ -95,7 +95,7 @@ def number_intervals(
     max_rows: int | None = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Consecutive number per key and length in hours of disjoint intervals."""
-    prepared, sliced = split_large(merged, merged, [key], start, max_rows)
+    prepared, sliced = split_large(merged, [key], start, max_rows)
     numbered = running(prepared, [key], start, {name: Running("sum", F.lit(1))}, sliced=sliced)
     return numbered.select(
         key, F.col(name).cast("bigint").alias(name), start, end, hours_between(start, end).alias("duration_hours")
@@ -110,11 +110,7 @@ def durations(
     for source in sources:
         merged, sliced = _merge(source, [key], "starttime", "endtime", max_rows)
         # merging only shrinks groups: without large ones before there are none now
-        parts.append(
-            number_intervals(cut_lineage(merged), key, name, max_rows=max_rows)
-            if sliced
-            else number_intervals(merged, key, name, max_rows=None)
-        )
+        parts.append(number_intervals(merged, key, name, max_rows=max_rows if sliced else None))
     return reduce(lambda a, b: a.unionByName(b), parts).distinct()
 
 
@@ -150,7 +146,7 @@ def flags_at(
     ]
     line = reduce(lambda a, b: a.unionByName(b), [*points, *starts])
     moments = line.groupBy(key, ts).agg(F.max("__asked").alias("__asked"), *[F.max(n).alias(n) for n in names])
-    prepared, sliced = split_large(moments, line, [key], ts, max_rows)
+    prepared, sliced = split_large(moments, [key], ts, max_rows)
     covered = running(prepared, [key], ts, {f"__{n}": Running("max", F.col(n)) for n in names}, sliced=sliced)
     return covered.filter("__asked").select(
         key, ts, *[F.coalesce((F.col(f"__{n}") >= F.col(ts)).cast("int"), F.lit(0)).alias(n) for n in names]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from wardline.functions.columns import stage_label
 from wardline.operators.grid import lead_label
-from wardline.operators.scans import MAX_GROUP_ROWS, attach
+from wardline.operators.scans import attach
 
 
 def binarise(df: DataFrame, stage: str, threshold: int | None) -> DataFrame:
@@ -43,14 +43,13 @@ def onset_cutoffs(df: DataFrame, key: str, ts: str, label: str) -> DataFrame:
     )
 
 
-def cut_at(
-    df: DataFrame, cutoffs: DataFrame, key: str, ts: str, max_rows: int | None = MAX_GROUP_ROWS
-) -> DataFrame:
+def cut_at(df: DataFrame, cutoffs: DataFrame, key: str, ts: str) -> DataFrame:
     """Rows not after their entity's cutoff."""
-    dated = attach(df, cutoffs.select(key, "cutoff"), [key], "inner", max_rows)
+    dated = attach(df, cutoffs.select(key, "cutoff"), [key], "inner")
     return dated.filter(F.col(ts) <= F.col("cutoff")).drop("cutoff")
 
 
 def last_label(df: DataFrame, key: str, ts: str, label: str) -> DataFrame:
-    """Label of each entity's last row."""
-    return df.groupBy(key).agg(F.max(ts).alias(ts), F.max_by(label, ts).alias(label))
+    """Label of each entity's last row, the highest if there are several at that moment."""
+    last = F.max(F.struct(F.col(ts), F.col(label)))
+    return df.groupBy(key).agg(last.alias("__last")).select(key, F.col("__last")[ts].alias(ts), F.col("__last")[label].alias(label))

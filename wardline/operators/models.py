@@ -4,23 +4,26 @@ from __future__ import annotations
 
 import itertools
 import random
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, TrainValidationSplit
 from pyspark.sql import DataFrame, functions as F
 
 from wardline.operators.evaluate import roc_auc
+from wardline.sources.tables import cut_lineage
 
-# Spark limits tree depth to 30.
+# Spark limits tree depth to 30; the published forest of depth 40 and the grid's deeper levels do not exist here.
 MAX_TREE_DEPTH = 30
+# ``gamma`` bounds a loss reduction summed over rows, Spark's minInfoGain a mean decrease of impurity.
+GAMMA_SCALE = 1000.0
 
 # Parameters of the published models and their search grids.
 LOGISTIC = {"C": 0.1, "penalty": "l1", "fit_intercept": True, "max_iter": 1000}
 BOOSTED = {"learning_rate": 0.1, "trees": 70, "depth": 7, "min_child": 3, "gamma": 0.5, "rows": 0.8, "columns": 0.8}
-FOREST = {"trees": 700, "depth": 40, "min_leaf": 2, "bootstrap": False}
+FOREST = {"trees": 700, "depth": MAX_TREE_DEPTH, "min_leaf": 2, "bootstrap": False}
 LOGISTIC_GRID = {"C": [0.001, 0.01, 0.1, 1, 10, 100], "fit_intercept": [True, False], "penalty": ["l1", "l2"]}
 BOOSTED_GRID = {
     "learning_rate": [0.01, 0.1],
@@ -31,7 +34,7 @@ BOOSTED_GRID = {
 }
 FOREST_GRID = {
     "trees": list(range(100, 1001, 100)),
-    "depth": [10, 15, 21, 26, 32, 37, 43, 48, 54, 60, None],
+    "depth": [10, 15, 21, 26, MAX_TREE_DEPTH],
     "min_leaf": [2, 4],
     "bootstrap": [True, False],
 }
@@ -48,17 +51,26 @@ def class_ratio(df: DataFrame, label: str = "label", digits: int = 1) -> DataFra
 
 
 def with_weight(df: DataFrame, label: str = "label", scheme: str = "balanced", digits: int = 1) -> DataFrame:
-    """Row weights: ``balanced`` gives both classes the same sum, ``positive`` weights positives by the class ratio."""
+    """Row weights: ``balanced`` gives all classes the same sum, ``positive`` weights positives by the class ratio."""
     if scheme == "positive":
         ratio = class_ratio(df, label, digits).scalar()
         return df.withColumn("weight", F.when(F.col(label) == 1, F.coalesce(ratio, F.lit(1.0))).otherwise(F.lit(1.0)))
     if scheme != "balanced":
         raise ValueError(f"unknown weights: {scheme}")
-    counts = df.agg(F.struct(F.count(F.when(F.col(label) == 0, 1)).alias("n0"), F.count(F.when(F.col(label) == 1, 1)).alias("n1")).alias("c"))
+    # one entry per class
+    entries = F.collect_list(F.struct(F.col(label).cast("int").alias("label"), F.col("n")))
+    counts = class_counts(df.filter(F.col(label).isNotNull()), label).agg(F.map_from_entries(entries).alias("m"))
     c = F.col("__c")
-    total = (c["n0"] + c["n1"]).cast("double")
-    own = F.when(F.col(label) == 1, c["n1"]).otherwise(c["n0"])
-    return df.withColumn("__c", counts.scalar()).withColumn("weight", F.try_divide(total, F.lit(2) * own)).drop("__c")
+    total = F.aggregate(F.map_values(c), F.lit(0).cast("bigint"), lambda a, n: a + n).cast("double")
+    own = F.try_element_at(c, F.col(label).cast("int"))
+    return df.withColumn("__c", counts.scalar()).withColumn("weight", F.try_divide(total, F.size(c) * own)).drop("__c")
+
+
+def tree_depth(depth: int | None) -> int:
+    """A depth that Spark can grow; None is the deepest."""
+    if depth is not None and depth > MAX_TREE_DEPTH:
+        raise ValueError(f"trees of depth {depth}: Spark grows {MAX_TREE_DEPTH} at most")
+    return depth or MAX_TREE_DEPTH
 
 
 def logistic(total_weight: float, C: float = 0.1, penalty: str = "l1", fit_intercept: bool = True, max_iter: int = 1000, weight: str | None = "weight") -> LogisticRegression:
@@ -85,42 +97,32 @@ def boosted_trees(
     columns: float = 0.8,
     seed: int = 42,
     weight: str | None = "weight",
-    validation: str | None = None,
-    tolerance: float = 0.01,
+    gamma_scale: float = GAMMA_SCALE,
 ) -> GBTClassifier:
-    """Gradient boosted trees; ``gamma`` and ``min_child`` are the nearest stopping rules Spark has.
-
-    ``gamma`` bounds a loss reduction summed over rows, ``minInfoGain`` a mean impurity decrease;
-    the value is scaled down accordingly.
-    """
+    """Gradient boosted trees; ``gamma / gamma_scale`` and ``min_child`` are the nearest stopping rules Spark has."""
     estimator = GBTClassifier(
         featuresCol="features",
         labelCol="label",
         stepSize=learning_rate,
         maxIter=trees,
-        maxDepth=min(depth, MAX_TREE_DEPTH),
+        maxDepth=tree_depth(depth),
         minInstancesPerNode=min_child,
-        minInfoGain=gamma / 1000.0,
+        minInfoGain=gamma / gamma_scale,
         subsamplingRate=rows,
         featureSubsetStrategy=str(columns),
         seed=seed,
     )
-    if weight:
-        estimator = estimator.setWeightCol(weight)
-    if validation:
-        estimator = estimator.setValidationIndicatorCol(validation)
-        estimator = estimator.setParams(validationTol=tolerance)
-    return estimator
+    return estimator.setWeightCol(weight) if weight else estimator
 
 
 def random_forest(
-    trees: int = 700, depth: int = 40, min_leaf: int = 2, bootstrap: bool = False, seed: int = 42
+    trees: int = 700, depth: int | None = MAX_TREE_DEPTH, min_leaf: int = 2, bootstrap: bool = False, seed: int = 42
 ) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol="features",
         labelCol="label",
         numTrees=trees,
-        maxDepth=min(depth, MAX_TREE_DEPTH),
+        maxDepth=tree_depth(depth),
         minInstancesPerNode=min_leaf,
         featureSubsetStrategy="sqrt",
         impurity="gini",
@@ -141,17 +143,34 @@ def fit_logistic(train: DataFrame, scheme: str | None = "balanced", **params) ->
     return Pipeline(stages=[estimator]).fit(weighted)
 
 
-def fit_boosted(train: DataFrame, valid: DataFrame | None = None, scheme: str | None = "positive", **params) -> PipelineModel:
-    """Weights come from the training rows; ``valid`` rows decide on early stopping."""
+def best_rounds(losses: list[float], patience: int) -> int:
+    """Rounds up to the lowest loss before ``patience`` rounds bring no lower one."""
+    best = 0
+    for i, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = i
+        if i - best >= patience:
+            break
+    return best + 1
+
+
+def fit_boosted(
+    train: DataFrame, valid: DataFrame | None = None, scheme: str | None = "positive", patience: int = 10, **params
+) -> PipelineModel:
+    """Boosted trees; with ``valid`` rows the rounds stop where their loss has not fallen for ``patience`` rounds.
+
+    All rounds are grown, their losses on the validation rows compared, and the model grown again up
+    to the best one: the same seed grows the same trees. Weights come from the training rows.
+    """
     weighted = with_weight(train, scheme=scheme) if scheme else train
-    if valid is not None:
-        marked = weighted.withColumn("is_valid", F.lit(False))
-        held = valid.withColumn("is_valid", F.lit(True))
-        if scheme:
-            held = held.withColumn("weight", F.lit(1.0))
-        weighted = marked.unionByName(held.select(*marked.columns))
-    estimator = boosted_trees(weight="weight" if scheme else None, validation="is_valid" if valid is not None else None, **params)
-    return Pipeline(stages=[estimator]).fit(weighted)
+    estimator = boosted_trees(weight="weight" if scheme else None, **params)
+    model = Pipeline(stages=[estimator]).fit(weighted)
+    if valid is None:
+        return model
+    rounds = best_rounds(model.stages[0].evaluateEachIteration(valid), patience)
+    if rounds == estimator.getMaxIter():
+        return model
+    return Pipeline(stages=[estimator.setMaxIter(rounds)]).fit(weighted)
 
 
 def fit_forest(train: DataFrame, **params) -> PipelineModel:
@@ -164,6 +183,18 @@ def predict(model: Model, df: DataFrame, name: str, keep: list[str]) -> DataFram
     return scored.select(*keep, F.lit(name).alias("model"), F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("prob"))
 
 
+def predict_classes(model: Model, df: DataFrame, name: str, keep: list[str]) -> DataFrame:
+    """The same for any number of classes: label, most probable class, and the probabilities of all."""
+    scored = model.transform(df)
+    return scored.select(
+        *keep,
+        F.lit(name).alias("model"),
+        F.col("label").cast("int").alias("label"),
+        F.col("prediction").cast("int").alias("predicted"),
+        vector_to_array("probability").alias("probs"),
+    )
+
+
 def sample_grid(grid: dict[str, list], draws: int | None, seed: int = 42) -> list[dict]:
     """Parameter combinations: all of them, or ``draws`` different ones."""
     combinations = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
@@ -180,10 +211,10 @@ _LOGISTIC_PARAMS = {
     "max_iter": ("maxIter", lambda v, w: v),
 }
 _TREE_PARAMS = {
-    "depth": ("maxDepth", lambda v, w: min(v or MAX_TREE_DEPTH, MAX_TREE_DEPTH)),
+    "depth": ("maxDepth", lambda v, w: tree_depth(v)),
     "min_child": ("minInstancesPerNode", lambda v, w: v),
     "min_leaf": ("minInstancesPerNode", lambda v, w: v),
-    "gamma": ("minInfoGain", lambda v, w: v / 1000.0),
+    "gamma": ("minInfoGain", lambda v, w: v / GAMMA_SCALE),
     "bootstrap": ("bootstrap", lambda v, w: v),
     "learning_rate": ("stepSize", lambda v, w: v),
 }
@@ -202,43 +233,67 @@ def with_folds(df: DataFrame, key: str, folds: int) -> DataFrame:
     return df.withColumn("fold", F.pmod(F.xxhash64(key), F.lit(folds)).cast("int"))
 
 
+def _weight_of(estimator) -> str | None:
+    return estimator.getWeightCol() if estimator.isDefined("weightCol") and estimator.isSet("weightCol") else None
+
+
+def _measure(estimator, choices: list[dict], train: DataFrame, valid: DataFrame, metric: str, scheme: str | None, parallelism: int) -> list[float]:
+    """Metric of every choice, fitted on one part and measured on another.
+
+    Weights and the sum behind the regularisation are those of the rows that are fitted.
+    """
+    weighted = cut_lineage(with_weight(train, scheme=scheme) if scheme else train)
+    maps = param_maps(estimator, choices, _total_weight(weighted, _weight_of(estimator)))
+    evaluator = _evaluator(metric)
+    values: list[float] = [0.0] * len(choices)
+
+    def one(i: int) -> None:
+        values[i] = evaluator.evaluate(estimator.fit(weighted, maps[i]).transform(valid))
+
+    with ThreadPool(parallelism) as pool:
+        pool.map(one, range(len(choices)))
+    return values
+
+
+def _refit(estimator, choice: dict, train: DataFrame, scheme: str | None) -> PipelineModel:
+    weighted = with_weight(train, scheme=scheme) if scheme else train
+    (params,) = param_maps(estimator, [choice], _total_weight(weighted, _weight_of(estimator)))
+    return Pipeline(stages=[estimator.copy(params)]).fit(weighted)
+
+
 def random_search(
-    estimator, choices: list[dict], train: DataFrame, key: str, folds: int = 5, metric: str = "accuracy", parallelism: int = 4, seed: int = 42
-) -> tuple[CrossValidatorModel, DataFrame]:
-    """Cross-validated search; returns the model and one (params, metric, value) row per choice.
+    estimator, choices: list[dict], train: DataFrame, key: str, folds: int = 5, metric: str = "accuracy",
+    scheme: str | None = None, parallelism: int = 4,
+) -> tuple[PipelineModel, DataFrame]:
+    """Cross-validated search; the best choice fitted on all rows, and one (run, params, metric, value) row per choice.
 
-    The training set is read ``folds * choices`` times: pass a materialised one.
+    An entity is in one fold with all its rows. The training set is read ``folds * choices`` times:
+    pass a stored one. Every fold is stored as well.
     """
-    weight = estimator.getWeightCol() if estimator.isDefined("weightCol") and estimator.isSet("weightCol") else None
-    maps = param_maps(estimator, choices, _total_weight(train, weight))
-    cv = CrossValidator(
-        estimator=estimator,
-        estimatorParamMaps=maps,
-        evaluator=_evaluator(metric),
-        numFolds=folds,
-        foldCol="fold",
-        parallelism=parallelism,
-        seed=seed,
-    )
-    model = cv.fit(with_folds(train, key, folds))
-    return model, metric_rows(train, choices, metric, model.avgMetrics)
+    parted = with_folds(train, key, folds)
+    sums = [0.0] * len(choices)
+    for fold in range(folds):
+        rest, held = parted.filter(F.col("fold") != fold), parted.filter(F.col("fold") == fold)
+        for i, value in enumerate(_measure(estimator, choices, rest, held, metric, scheme, parallelism)):
+            sums[i] += value / folds
+    best = max(range(len(choices)), key=lambda i: sums[i])
+    return _refit(estimator, choices[best], train, scheme), metric_rows(train, choices, metric, sums)
+
+
+def split_validation(df: DataFrame, key: str, share: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``share`` of the entities for training, those of the others for validation."""
+    place = F.pmod(F.xxhash64(key, F.lit("validation")), F.lit(10_000))
+    return df.filter(place < int(share * 10_000)), df.filter(place >= int(share * 10_000))
 
 
 def grid_search(
-    estimator, choices: list[dict], train: DataFrame, share: float = 0.8, metric: str = "auc", parallelism: int = 4, seed: int = 42
-):
-    """Every choice on one train/validation division, best by the metric."""
-    weight = estimator.getWeightCol() if estimator.isDefined("weightCol") and estimator.isSet("weightCol") else None
-    search = TrainValidationSplit(
-        estimator=estimator,
-        estimatorParamMaps=param_maps(estimator, choices, _total_weight(train, weight)),
-        evaluator=_evaluator(metric),
-        trainRatio=share,
-        parallelism=parallelism,
-        seed=seed,
-    )
-    model = search.fit(train)
-    return model, metric_rows(train, choices, metric, model.validationMetrics)
+    estimator, choices: list[dict], train: DataFrame, valid: DataFrame, metric: str = "auc",
+    scheme: str | None = None, parallelism: int = 4,
+) -> tuple[PipelineModel, DataFrame]:
+    """Every choice fitted on ``train`` and measured on ``valid``, which has other entities; the best by the metric."""
+    values = _measure(estimator, choices, train, valid, metric, scheme, parallelism)
+    best = max(range(len(choices)), key=lambda i: values[i])
+    return _refit(estimator, choices[best], train, scheme), metric_rows(train, choices, metric, values)
 
 
 def _evaluator(metric: str):

@@ -1,26 +1,27 @@
 """Ordered scans that do not depend on how large a single group is.
 
 A plain window ``partitionBy(keys).orderBy(ts)`` runs each group in one task. That is right as long
-as groups are small, so the sizes are counted first. Groups above the limit are cut into
-consecutive slices; every slice is scanned on its own and gets the summary of the slices before it
-(one row per slice). Without such groups the plain window is all that remains.
+as groups are small, so the sizes are counted first. If there are larger ones, the rows are sorted
+over all tasks, and what a task holds of a group is a slice; every slice is scanned on its own and
+gets the summary of the slices before it (one row per slice).
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wardline.functions.columns import micros_between
 from wardline.sources.tables import cut_lineage
 
 SLICE = "__slice"
 _SPLIT = "__split"
+_KEY = "__key"
 
 # Rows of one group above which the group is cut into slices.
 MAX_GROUP_ROWS = 4_000_000
-# Rows times columns up to which a counted lookup is broadcast (some 80 MB of numbers).
-MAX_BROADCAST_CELLS = 10_000_000
 
 
 @dataclass(frozen=True)
@@ -32,45 +33,32 @@ class Running:
     include_current: bool = True
 
 
-def large_groups(df: DataFrame, keys: list[str], ts: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
-    """Groups of more than ``max_rows`` rows with their first instant and slice width.
+def split_large(df: DataFrame, keys: list[str], ts: str, max_rows: int | None = MAX_GROUP_ROWS) -> tuple[DataFrame, bool]:
+    """Add the slice number to ``df``: 0 for ordinary groups, rising with time for large ones.
 
-    The result has fewer than ``rows / max_rows`` rows.
+    ``df`` should be reduced as far as it can be: it is stored and its groups are counted, which runs
+    at once. With a group of more than ``max_rows`` rows the rows are dealt out by ranges of (keys,
+    ts) that Spark samples, so slices have like numbers of rows however the moments are spread. The
+    second result tells whether that happened; then the sliced rows are stored, because the scans
+    read them more than once.
     """
-    pieces = F.ceil(F.col("__n") / F.lit(max_rows))
-    span = micros_between("__first", "__last") + F.lit(1)
-    return (
-        df.filter(F.col(ts).isNotNull())
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"), F.min(ts).alias("__first"), F.max(ts).alias("__last"))
-        .filter(F.col("__n") > max_rows)
-        .select(*keys, "__first", F.ceil(span / pieces).alias("__width"))
-    )
-
-
-def split_large(
-    df: DataFrame, measured: DataFrame, keys: list[str], ts: str, max_rows: int | None = MAX_GROUP_ROWS
-) -> tuple[DataFrame, bool]:
-    """Add the slice number to ``df``: 0 for ordinary groups, consecutive time slices for large ones.
-
-    Group sizes are counted on ``measured``, which has at least the rows of ``df``; this runs one
-    aggregation at once. The second result tells whether there are large groups; then the sliced
-    rows are stored, because the scans read them more than once.
-    """
-    whole = df.withColumns({SLICE: F.lit(0).cast("bigint"), _SPLIT: F.lit(False)})
+    plain = {SLICE: F.lit(0), _SPLIT: F.lit(False)}
     if max_rows is None:
-        return whole, False
-    large = cut_lineage(large_groups(measured, keys, ts, max_rows))
-    if large.isEmpty():
-        return whole, False
-    number = F.floor(micros_between("__first", ts) / F.col("__width"))
-    # fewer than rows / max_rows rows
-    sliced = (
-        df.join(F.broadcast(large), keys, "left")
-        .withColumns({SLICE: F.coalesce(number, F.lit(0)), _SPLIT: F.col("__width").isNotNull()})
-        .drop("__first", "__width")
-    )
-    return cut_lineage(sliced), True
+        return df.withColumns(plain), False
+    stored = cut_lineage(df)
+    counts = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    rows, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
+    if not rows or largest <= max_rows:
+        return stored.withColumns(plain), False
+    parts = max(2, math.ceil(1.5 * rows / max_rows))
+    dealt = stored.repartitionByRange(parts, *keys, ts).withColumn(SLICE, F.spark_partition_id())
+    sliced = cut_lineage(dealt)
+    # a struct compares equal to another one with nulls at the same places
+    key = F.struct(*keys).alias(_KEY)
+    cut = sliced.groupBy(key).agg(F.min(SLICE).alias("__low"), F.max(SLICE).alias("__high")).filter("__low < __high")
+    # fewer than ``parts`` groups lie in more than one slice
+    marked = sliced.withColumn(_KEY, key).join(F.broadcast(cut.select(_KEY, F.lit(True).alias(_SPLIT))), _KEY, "left")
+    return marked.drop(_KEY).withColumn(_SPLIT, F.coalesce(_SPLIT, F.lit(False))), True
 
 
 def drop_slices(df: DataFrame) -> DataFrame:
@@ -178,39 +166,32 @@ def rank_rows(
     )
 
 
-def attach(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: list[str],
-    how: str = "inner",
-    max_rows: int | None = MAX_GROUP_ROWS,
-    max_cells: int = MAX_BROADCAST_CELLS,
-) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """1-based rank of every row by ``order``, which should leave no ties, for columns of any type.
+
+    The rows are sorted over all tasks and stored; a task's rows are numbered by the task, and only
+    one count per task is summed up in order.
+    """
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    stored = cut_lineage(dealt).withColumn("__task", F.shiftright("__id", 33))
+    tasks = stored.groupBy("__task").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    until = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    base = tasks.select("__task", (F.coalesce(F.sum("__n").over(until), F.lit(0)) - F.col("__first") + F.lit(1)).alias("__base"))
+    return stored.join(base, "__task").withColumn(name, F.col("__id") + F.col("__base")).drop("__id", "__task", "__base")
+
+
+def attach(rows: DataFrame, lookup: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join rows with a lookup of one or a few rows per key (inner, left, left_semi or left_anti).
 
-    The lookup is stored and counted. A small one is broadcast, so the rows are not shuffled. With
-    a larger one, keys of more than ``max_rows`` rows are spread: their rows get one of several
-    salts and their lookup rows are repeated for each. ``max_rows=None`` leaves the join to Spark,
-    which suits rows whose number per key is bounded.
+    One plan for all sizes: Spark broadcasts the lookup if it turns out small, and splits the rows of
+    a key that has too many. For that both sides have to come from a shuffle of the join itself; so
+    they are joined on a struct of the keys, by which a grouped lookup is not partitioned yet. Null
+    keys match nothing.
     """
-    if max_rows is None:
-        return rows.join(lookup, keys, how)
-    lookup = cut_lineage(lookup)
-    if lookup.count() * len(lookup.columns) <= max_cells:
-        return rows.join(F.broadcast(lookup), keys, how)
-    large = cut_lineage(
-        rows.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > max_rows)
-        .select(*keys, F.ceil(F.col("__n") / F.lit(max_rows)).alias("__pieces"))
-    )
-    if large.isEmpty():
-        return rows.join(lookup, keys, how)
-    # fewer than rows / max_rows keys
-    pieces = F.broadcast(large)
-    hashed = [f.name for f in rows.schema if not isinstance(f.dataType, T.MapType)]
-    salt = F.coalesce(F.pmod(F.xxhash64(*hashed), F.col("__pieces")), F.lit(0))
-    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("__pieces") - F.lit(1), F.lit(0))))
-    spread = rows.join(pieces, keys, "left").withColumn("__salt", salt).drop("__pieces")
-    repeated = lookup.join(pieces, keys, "left").withColumn("__salt", salts).drop("__pieces")
-    return spread.join(repeated, [*keys, "__salt"], how).drop("__salt")
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    key = F.when(known, F.struct(*keys))
+    values = [c for c in lookup.columns if c not in keys]
+    keyed = lookup.filter(known).select(key.alias(_KEY), *values)
+    others = [c for c in rows.columns if c not in keys]
+    joined = rows.withColumn(_KEY, key).join(keyed, _KEY, how)
+    return joined.select(*keys, *others, *(values if how in ("inner", "left") else []))

@@ -13,7 +13,7 @@ from wardline.functions.codes import (
     VITAL_RULES,
 )
 from wardline.functions.columns import is_distinct_from, swap_if
-from wardline.operators.cohort import extract_cohort
+from wardline.operators.cohort import eligible_entities, keep_entities
 from wardline.operators.intervals import durations, episodes, flags_at, order_intervals
 from wardline.operators.pivot import left_join_groups, pivot_events
 from wardline.operators.scans import MAX_GROUP_ROWS, attach
@@ -28,10 +28,11 @@ def lab_table(stays: DataFrame, lab_events: DataFrame) -> DataFrame:
     """Laboratory values per stay and time, min and max per label.
 
     Events belong to admissions: they are pivoted per admission first and only then repeated for
-    its stays. A stay without events keeps one row without a time.
+    its stays. A stay without events keeps one row without a time. The pivot is stored, as both the
+    stays with and those without events are taken from it.
     """
     positive = lab_events.filter(F.col("valuenum") > 0)
-    pivoted = pivot_events(positive, LAB_RULES, [*ADMISSION_KEYS, "charttime"], ["min", "max"])
+    pivoted = cut_lineage(pivot_events(positive, LAB_RULES, [*ADMISSION_KEYS, "charttime"], ["min", "max"]))
     joined = left_join_groups(stays.select(*STAY_KEYS), pivoted, ADMISSION_KEYS)
     values = [c for c in pivoted.columns if c not in (*ADMISSION_KEYS, "charttime")]
     return joined.select(*STAY_KEYS, "charttime", *values)
@@ -86,9 +87,19 @@ def study_tables(
     vasopressor: DataFrame,
     label: str = "aki_stage",
 ) -> dict[str, DataFrame]:
-    """All tables of the study, restricted to stays with a measurement and a label."""
-    labs = lab_table(stays, lab_events)
-    vitals = vital_table(stays, chart_events)
-    flags = flag_table(stages, labs, vitals, ventilation, vasopressor, sedative_durations(input_events))
-    tables = {"stages": stages, "detail": detail, "vitals": vitals, "labs": labs, "flags": flags}
-    return extract_cohort(tables, stages, MEASURES, label, "stay_id")
+    """All tables of the study, restricted to stays with a measurement and a label.
+
+    The stays are chosen first, and every log is reduced to them before it is pivoted or scanned.
+    Each log is read once: laboratory values, vital signs and flags are stored.
+    """
+    key = "stay_id"
+    chosen = cut_lineage(eligible_entities(stages, MEASURES, label, key))
+    stays, stages, detail = (keep_entities(df, chosen, key) for df in (stays, stages, detail))
+    admissions = stays.select(*ADMISSION_KEYS).distinct()
+    labs = cut_lineage(lab_table(stays, attach(lab_events, admissions, ADMISSION_KEYS, "left_semi")))
+    charted, infused, ventilated, pressed = (
+        keep_entities(df, chosen, key) for df in (chart_events, input_events, ventilation, vasopressor)
+    )
+    vitals = cut_lineage(vital_table(stays, charted))
+    flags = cut_lineage(flag_table(stages, labs, vitals, ventilated, pressed, sedative_durations(infused)))
+    return {"stages": stages, "detail": detail, "vitals": vitals, "labs": labs, "flags": flags}

@@ -87,7 +87,7 @@ def label_rows(grid: DataFrame, settings: Settings) -> DataFrame:
 
 def impute(grid: DataFrame, settings: Settings, columns: list[str]) -> DataFrame:
     if settings.impute == "entity":
-        grid = impute_entity_mode(grid, settings.entity, columns, max_rows=None)
+        grid = impute_entity_mode(grid, settings.entity, columns)
     elif settings.impute == "column":
         grid = impute_column_mode(grid, columns)
     elif settings.impute is not None:
@@ -104,32 +104,34 @@ def prepare(tables: dict[str, DataFrame], settings: Settings = Settings(), store
     """The whole preparation.
 
     ``tables`` holds stages, labs and detail and, for the full feature set, vitals and flags; they
-    are read several times and should be stored tables. ``store`` materialises the two
-    intermediate results that more than one later step reads: the aligned rows (spans, trimming)
-    and the labelled rows (split, scaler).
+    are read several times and should be stored tables. Entities that are too young leave every
+    source before the sources are joined. ``store`` materialises the intermediate results that more
+    than one later step reads: the aligned rows (spans, trimming), the labelled rows with their split
+    (scaler), and the bounds of the scaler.
     """
     s = settings
     detail = adults(tables["detail"], s.min_age)
-    stages = clean_stages(tables["stages"], s)
+    kept = {n: keep_entities(df, detail, s.entity) for n, df in tables.items() if n != "detail"}
+    stages = clean_stages(kept["stages"], s)
     if "vitals" in tables:
-        merged = merge_sources(stages, clean_labs(tables["labs"]), clean_vitals(tables["vitals"]), tables["flags"])
+        merged = merge_sources(stages, clean_labs(kept["labs"]), clean_vitals(kept["vitals"]), kept["flags"])
     else:
-        merged = merge_measure(stages, "creat", clean_labs(tables["labs"]), "creatinine_avg", ["stay_id", "charttime"], "creat")
-    merged = store(keep_entities(merged, detail, s.entity))
+        merged = merge_measure(stages, "creat", clean_labs(kept["labs"]), "creatinine_avg", ["stay_id", "charttime"], "creat")
+    merged = store(merged)
     merged = span_filter(merged, s.entity, s.time, s.horizon_hours / 24, s.max_days)
     grid = grid_rows(merged, s)
     dynamic = [c for c in grid.columns if c not in (s.entity, s.time, s.label, "hadm_id")]
     rows = label_rows(impute(grid, s, dynamic), s)
     full = [name for name, _ in FEATURES]
     if "vitals" in tables:
-        rows = static_features(rows, detail, s.entity, ["age"], CATEGORIES, max_rows=None)
+        rows = static_features(rows, detail, s.entity, ["age"], CATEGORIES)
     features = select_features(rows, full, MINIMAL_FEATURES)
     scaled = [c for c in features if c not in FLAGS and c not in _levels()]
-    rows = store(rows.select(s.entity, s.time, s.label, *features))
-    rows = assign_split(rows, s.entity, s.holdout, s.test_share, s.seed, max_rows=None)
+    rows = assign_split(rows.select(s.entity, s.time, s.label, *features), s.entity, s.holdout, s.test_share, s.seed)
+    rows = store(rows)
     fitting = rows if s.fit_on == "all" else rows.filter(F.col("split") == "train")
     capped = features if s.fit_on == "all" else scaled
-    bounds = fit_scaler(fitting, capped, scaled, s.cap_lower, s.cap_upper)
+    bounds = store(fit_scaler(fitting, capped, scaled, s.cap_lower, s.cap_upper))
     return Prepared(apply_scaler(rows, bounds, capped, scaled), features, scaled)
 
 

@@ -19,7 +19,7 @@ def flat_vectors(made: Prepared, settings: Settings = Settings(), store=cut_line
     """One stored row per entity: its label, split and flat vector."""
     s = settings
     rows = made.rows.withColumnRenamed(s.label, "label")
-    return store(to_vectors(rows, s.entity, s.time, made.features, s.max_steps, ["label", "split"], s.fill_value))
+    return store(to_vectors(rows, s.entity, s.time, made.features, s.steps, ["label", "split"], s.fill_value))
 
 
 def baseline_predictions(
@@ -65,28 +65,32 @@ def continuous_predictions(
     return models.predict(model, stored.filter(F.col("split") == "test"), "history", [s.entity, s.time, "step"])
 
 
-def report(pred: DataFrame, by: list[str] = ["model"]) -> dict[str, DataFrame]:
-    """All evaluation frames of a prediction table, which should be a stored one."""
-    cutoffs = evaluate.youden_cutoff(pred, by)
-    cells = evaluate.confusion(pred, cutoffs, by)
+def report(pred: DataFrame, by: list[str] = ["model"], store=cut_lineage) -> dict[str, DataFrame]:
+    """All evaluation frames of a prediction table, which should be a stored one.
+
+    Curves, areas, cut-offs and confusions come from one stored curve.
+    """
+    scanned = store(evaluate.curve(pred, by))
+    cutoffs = store(evaluate.curve_cutoff(scanned, by))
+    cells = evaluate.curve_confusion(scanned, cutoffs, by)
     return {
-        "roc_points": evaluate.roc_points(pred, by),
-        "pr_points": evaluate.pr_points(pred, by),
+        "roc_points": evaluate.curve_points(scanned, by),
+        "pr_points": evaluate.curve_precision(scanned, by),
         "cutoff": cutoffs,
         "confusion": cells,
         "calibration": evaluate.calibration(pred, by),
         "missing_bins": evaluate.missing_bins(pred, by),
         "histogram": evaluate.histogram(pred, by),
         "class_histogram": evaluate.class_histogram(pred, by),
-        "scores": scores(pred, by, evaluate.f1(cells, by)),
+        "scores": scores(pred, scanned, by, evaluate.f1(cells, by)),
     }
 
 
-def scores(pred: DataFrame, by: list[str], f1: DataFrame) -> DataFrame:
+def scores(pred: DataFrame, scanned: DataFrame, by: list[str], f1: DataFrame) -> DataFrame:
     """(by, metric, value): area under ROC and PR, Brier score, rate of positives, F1 at the cut-off."""
     parts = {
-        "roc_auc": evaluate.roc_auc(pred, by),
-        "pr_auc": evaluate.pr_auc(pred, by),
+        "roc_auc": evaluate.curve_area(scanned, by),
+        "pr_auc": evaluate.curve_precision_area(scanned, by),
         "brier": evaluate.brier(pred, by),
         "no_skill": evaluate.positive_rate(pred, by),
         "f1": f1,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -42,7 +41,10 @@ def write_delimited(df: DataFrame, path: str, separator: str = SEPARATOR, sort:
 
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None, sort: list[str] | None = None) -> DataFrame:
-    """Write a derived table, replacing an earlier one, and return a scan of it."""
+    """Write a derived table, replacing an earlier one, and return a scan of it.
+
+    Spark refuses to write over a path that ``df`` itself reads.
+    """
     out = df.sortWithinPartitions(*sort) if sort else df
     writer = out.write.mode("overwrite")
     if partition_by:
@@ -60,22 +62,32 @@ def materialise_table(df: DataFrame, name: str, bucket_by: str | None = None, bu
     return df.sparkSession.table(name)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new path in the folder all executors reach.
+_MADE: dict[str, list[str]] = {}
 
-    That is the cluster's ``spark.checkpoint.dir``. Only a single-machine session without that
-    setting gets a temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new path in the folder all executors reach: ``spark.checkpoint.dir`` or the checkpoint folder set later."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set")
-        folder = tempfile.gettempdir()
-    return f"{folder.rstrip('/')}/wardline-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors reach")
+    path = f"{folder.rstrip('/')}/wardline-{uuid.uuid4().hex}"
+    _MADE.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate results made so far; call it when no frame that reads them is needed any more."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in _MADE.pop(spark.sparkContext.applicationId, []):
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Store an intermediate result as a table in the shared folder and go on from a scan of it."""
+    """Store an intermediate result as a table in the shared folder and go on from a scan of it.
+
+    ``release`` deletes what was stored.
+    """
     return materialise(df, shared_folder(df.sparkSession))
 
 
