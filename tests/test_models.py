@@ -90,7 +90,7 @@ def test_boosting_grows_up_to_the_best_round(planted):
     train, valid = planted.filter("stay_id % 5 > 0"), planted.filter("stay_id % 5 = 0")
     full = models.fit_boosted(train, trees=12, depth=5, gamma=0, learning_rate=0.5).stages[0]
     model = models.fit_boosted(train, valid, trees=12, depth=5, gamma=0, learning_rate=0.5, patience=2).stages[0]
-    assert model.getNumTrees == models.best_rounds(full.evaluateEachIteration(valid), 2)
+    assert model.getNumTrees == models.best_rounds(full.evaluateEachIteration(valid.withColumn("weight", F.lit(1.0))), 2)
 
 
 def test_tree_parameters_are_translated(spark):

@@ -172,10 +172,13 @@ def curve_cutoff(scanned: DataFrame, by: list[str], digits: int = 4) -> DataFram
 def confusion(
     pred: DataFrame, cutoffs: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob"
 ) -> DataFrame:
-    """(label, predicted, n), all four cells, deciding strictly above each group's cut-off."""
+    """(label, predicted, n), all four cells, deciding strictly above each group's cut-off.
+
+    A group without a cut-off has no decisions: its cells are null.
+    """
     scored = _join_groups(pred.filter(F.col(label).isNotNull() & F.col(prob).isNotNull()), cutoffs, by)
     said = decide(F.col(prob), F.col("cutoff"))
-    return _cells(scored.groupBy(_group(by)), lambda y, p: ((F.col(label) == y) & (said == p)).cast("bigint"), by)
+    return _cells(scored.groupBy(_group(by)), lambda y, p: F.when(said.isNotNull(), ((F.col(label) == y) & (said == p)).cast("bigint")), by)
 
 
 def curve_confusion(scanned: DataFrame, cutoffs: DataFrame, by: list[str]) -> DataFrame:

@@ -167,7 +167,8 @@ def fit_boosted(
     model = Pipeline(stages=[estimator]).fit(weighted)
     if valid is None:
         return model
-    rounds = best_rounds(model.stages[0].evaluateEachIteration(valid), patience)
+    held = valid.withColumn("weight", F.lit(1.0)) if scheme else valid
+    rounds = best_rounds(model.stages[0].evaluateEachIteration(held), patience)
     if rounds == estimator.getMaxIter():
         return model
     return Pipeline(stages=[estimator.setMaxIter(rounds)]).fit(weighted)
