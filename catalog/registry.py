@@ -182,15 +182,15 @@ grid AS (
     )
 
 
-def labelled_sql() -> str:
-    """Grid with the label of 48 hours later."""
+def labelled_sql(threshold: int = 1) -> str:
+    """Grid with the label of 48 hours later: is the stage at least ``threshold``."""
     return (
         grid_sql()
-        + """,
+        + f""",
 filled AS (
   SELECT stay_id, charttime, value_mean, value_max,
     CASE WHEN coalesce(last_value(stage IGNORE NULLS) OVER (PARTITION BY stay_id ORDER BY charttime
-      ROWS BETWEEN 16 PRECEDING AND CURRENT ROW), 0) >= 1 THEN 1 ELSE 0 END AS now
+      ROWS BETWEEN 16 PRECEDING AND CURRENT ROW), 0) >= {threshold} THEN 1 ELSE 0 END AS now
   FROM grid),
 labelled AS (
   SELECT stay_id, charttime, value_mean, value_max, label FROM (

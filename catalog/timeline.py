@@ -22,10 +22,10 @@ def event_grid(t):
     return grid.resample(event_log(t), KEY, TS, 6, GRID)
 
 
-def labelled_grid(t):
+def labelled_grid(t, threshold=1):
     """Grid rows with the 48 hour label."""
     filled = grid.forward_fill(event_grid(t), KEY, TS, ["stage"], 16, 6).fillna(0, subset=["stage"])
-    return labels.shift_label(filled, KEY, TS, "stage", 48, 6, 1).withColumnRenamed("stage", "label")
+    return labels.shift_label(filled, KEY, TS, "stage", 48, 6, threshold).withColumnRenamed("stage", "label")
 
 
 @query("bucket_agg", f"WITH {grid_sql()} SELECT stay_id, charttime, round(value_mean, 6) AS value_mean, value_max, stage FROM buckets")

@@ -73,7 +73,10 @@ def tree_depth(depth: int | None) -> int:
     return depth or MAX_TREE_DEPTH
 
 
-def logistic(total_weight: float, C: float = 0.1, penalty: str = "l1", fit_intercept: bool = True, max_iter: int = 1000, weight: str | None = "weight") -> LogisticRegression:
+def logistic(
+    total_weight: float, C: float = 0.1, penalty: str = "l1", fit_intercept: bool = True, max_iter: int = 1000,
+    weight: str | None = "weight", tol: float = 1e-6,
+) -> LogisticRegression:
     """The objective sum(loss) * C + penalty corresponds to regParam 1 / (C * sum of weights)."""
     estimator = LogisticRegression(
         featuresCol="features",
@@ -83,6 +86,7 @@ def logistic(total_weight: float, C: float = 0.1, penalty: str = "l1", fit_inter
         fitIntercept=fit_intercept,
         standardization=False,
         maxIter=max_iter,
+        tol=tol,
     )
     return estimator.setWeightCol(weight) if weight else estimator
 
