@@ -37,7 +37,7 @@ SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 64 << 10
 # Words a worker remembers; a full memory is emptied.
-MAX_WORDS = 1_200_000
+MAX_WORDS = 1_000_000
 
 FILE_SCHEMA = "part int, seq int, first_id bigint, n_docs int, n_tokens bigint, content binary"
 
@@ -56,7 +56,7 @@ class Pieces(dict):
         self.merge, self.code, self.letters = tokenizer.model.tokenize, code, _byte_letters()
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_WORDS // 4:
+        if len(self) >= MAX_WORDS // 10:
             self.clear()
         made = self[piece] = self.encode(piece)
         return made
@@ -275,6 +275,7 @@ def read_token_files(spark: SparkSession, path: str, with_ids: bool = False) ->
     kinds += [("ids", pa.list_(pa.int32()))] if with_ids else []
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _WORKER.clear()  # the words are written and their memory is free for others
         for batch in batches:
             for part, seq, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 file = TokenFile(content, shared.value)
