@@ -155,14 +155,15 @@ def components(links: DataFrame) -> Stored:
             return edges
         before = state
         both = edges.df.union(edges.df.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # stored, so that both sides of the join are shuffled by it and Spark can split a hot centre
+        least = Stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
+        large = both.join(least.df, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         larger = Stored(large.distinct())
-        lower = larger.df.groupBy("a").agg(F.min("b").alias("m"))
-        small = larger.df.join(lower, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        after = Stored(small.union(lower).distinct())
-        edges.delete()
-        larger.delete()
+        lower = Stored(larger.df.groupBy("a").agg(F.min("b").alias("m")))
+        small = larger.df.join(lower.df, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        after = Stored(small.union(lower.df).distinct())
+        for made in (edges, least, larger, lower):
+            made.delete()
         edges = after
     raise RuntimeError("groups did not settle")
 
