@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import SQL, labelled_sql, query, rounded
-from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, decide, sigmoid
+from wardline.functions.columns import decide, sigmoid
 from wardline.operators import evaluate, importance
 from wardline.operators.models import class_counts, class_ratio, with_weight
 from wardline.sources.tables import cut_lineage
@@ -96,21 +96,26 @@ def youden_confusion_f1(t):
     return cuts.join(counts, "model").join(rounded(evaluate.f1(cells), "value").withColumnRenamed("value", "f1"), "model")
 
 
-def _bin_sql(edges: list[float], prob: str = "prob") -> str:
-    return " + ".join(f"({prob} >= {edge!r}e0)::INTEGER" for edge in edges)
+# The edges once more, for the oracle.
+_CALIBRATION = "0.100000001 0.200000002 0.300000003 0.400000004 0.500000005 0.600000006 0.700000007 0.800000008 0.900000009".split()
+_UNIT = "0.1 0.2 0.30000000000000004 0.4 0.5 0.6000000000000001 0.7000000000000001 0.8 0.9".split()
+
+
+def _bin_sql(edges: list[str], prob: str = "prob") -> str:
+    return " + ".join(f"({prob} >= {edge}e0)::INTEGER" for edge in edges)
 
 
 @query(
     "calibration",
     f"""WITH {SQL['pred']}
-SELECT model, {_bin_sql(CALIBRATION_EDGES)} AS bin, round(avg(prob), 6) AS prob_mean, round(avg(label), 6) AS label_rate FROM pred GROUP BY 1, 2""",
+SELECT model, {_bin_sql(_CALIBRATION)} AS bin, round(avg(prob), 6) AS prob_mean, round(avg(label), 6) AS label_rate FROM pred GROUP BY 1, 2""",
 )
 def calibration(t):
     return rounded(evaluate.calibration(t.predictions), "prob_mean", "label_rate")
 
 
 _BINS = f"""WITH {SQL['pred']}, linear AS (SELECT model, label, least(prob * prob, 0.35e0) AS prob FROM pred),
-binned AS (SELECT model, {_bin_sql(CALIBRATION_EDGES)} AS bin FROM linear),
+binned AS (SELECT model, {_bin_sql(_CALIBRATION)} AS bin FROM linear),
 totals AS (SELECT m.model, b.bin, count(x.bin) AS n FROM (SELECT DISTINCT model FROM pred) m CROSS JOIN (SELECT unnest(range(10)) AS bin) b
   LEFT JOIN binned x ON x.model = m.model AND x.bin = b.bin GROUP BY 1, 2)"""
 
@@ -133,7 +138,7 @@ def missing_bins(t):
 def _histogram_sql(groups: list[str]) -> str:
     g = ", ".join(groups)
     same = " AND ".join(f"x.{c} = m.{c}" for c in groups)
-    return f"""WITH {SQL['pred']}, binned AS (SELECT {g}, {_bin_sql(UNIT_EDGES)} AS bin FROM pred),
+    return f"""WITH {SQL['pred']}, binned AS (SELECT {g}, {_bin_sql(_UNIT)} AS bin FROM pred),
 sizes AS (SELECT {g}, count(*) AS total FROM pred GROUP BY ALL)
 SELECT {', '.join('m.' + c for c in groups)}, b.bin::INTEGER AS bin, count(x.bin) AS n, round(count(x.bin) / max(total), 6) AS share
 FROM sizes m CROSS JOIN (SELECT unnest(range(10)) AS bin) b LEFT JOIN binned x ON {same} AND x.bin = b.bin GROUP BY ALL"""
@@ -153,7 +158,7 @@ def class_histogram(t):
     "compare_models",
     f"""WITH {SQL['pred']},
 stacked AS (SELECT 'odds' AS model, label, prob FROM pred UNION ALL SELECT 'inverse', label, 1 - prob FROM pred UNION ALL SELECT 'square', label, prob * prob FROM pred)
-SELECT model, {_bin_sql(CALIBRATION_EDGES)} AS bin, round(avg(prob), 6) AS prob_mean, round(avg(label), 6) AS label_rate FROM stacked GROUP BY 1, 2""",
+SELECT model, {_bin_sql(_CALIBRATION)} AS bin, round(avg(prob), 6) AS prob_mean, round(avg(label), 6) AS label_rate FROM stacked GROUP BY 1, 2""",
 )
 def compare_models(t):
     """Calibration of three models side by side."""

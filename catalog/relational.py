@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.registry import SQL, coded_sql, query, rounded
-from wardline.functions.codes import LAB_RULES, SEDATIVE_ORDER_CODES, SEDATIVE_RATE_CODES, VITAL_RULES, CodeRule, labels_of
+from wardline.functions.codes import LAB_RULES, SEDATIVE_ORDER_CODES, SEDATIVE_RATE_CODES, VITAL_RULES, labels_of
 from wardline.functions.columns import hours_between, is_distinct_from, one_hot, stage_label, swap_if
 from wardline.operators import align, cohort, features, intervals, pivot
-from wardline.plans import extract
+from wardline.operators.scans import number_rows
+from wardline.plans import extract, preparation
 from wardline.sources import tables as sources
 from wardline.sources.schemas import METRICS
 
@@ -36,6 +39,70 @@ def scan_csv_times(t):
     return sources.read_delimited(t.spark, path, orders.schema)
 
 
+@query(
+    "sorted_sink",
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_custkey, o_orderdate, o_orderkey) AS place FROM orders""",
+)
+def sorted_sink(t):
+    """The order of rows over the files of a sorted delimited table: file by file, line by line."""
+    path = sources.shared_folder(t.spark)
+    orders = t.read("orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    sources.write_delimited(orders, path, sort=["o_custkey", "o_orderdate", "o_orderkey"])
+    lines = sources.read_delimited(t.spark, path, orders.schema).select(
+        "o_orderkey", F.input_file_name().alias("file"), F.monotonically_increasing_id().alias("line")
+    )
+    return number_rows(lines, [F.col("file").asc(), F.col("line").asc()], "place").select("o_orderkey", "place")
+
+
+@query("named_tables", "SELECT c_custkey, c_mktsegment, n_name FROM customer JOIN nation ON c_nationkey = n_nationkey")
+def named_tables(t):
+    """Tables resolved by name, one of them bucketed in the catalog and qualified by its database."""
+    t.read("customer").createOrReplaceTempView("wardline_customer")
+    name = f"wardline_nation_{uuid.uuid4().hex}"
+    sources.materialise_table(t.read("nation"), name, bucket_by="n_nationkey", buckets=4)
+    customer, nation = sources.read_named(t.spark, "wardline_customer"), sources.read_named(t.spark, name, "default")
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select("c_custkey", "c_mktsegment", "n_name")
+
+
+@query(
+    "feature_fallback",
+    f"""WITH {SQL['log']}
+SELECT 'wide' AS source, event_id, round(value, 6) AS value, event_type FROM log
+UNION ALL SELECT 'narrow', event_id, round(value, 6), NULL FROM log""",
+)
+def feature_fallback(t):
+    """The full feature list where the table has it, otherwise the minimal one."""
+    parts = {}
+    for source, df in (("wide", t.log), ("narrow", t.log.drop("event_type"))):
+        chosen = preparation.select_features(df, ["event_id", "value", "event_type"], ["event_id", "value"])
+        parts[source] = df.select(F.lit(source).alias("source"), *chosen)
+    return rounded(parts["wide"].unionByName(parts["narrow"], allowMissingColumns=True), "value")
+
+
+@query(
+    "align_mixed_keys",
+    f"""WITH {SQL['log']}, {SQL['stays']},
+a AS (SELECT l.stay_id, charttime, subject_id, max(value) AS a FROM log l JOIN stays s ON s.stay_id = l.stay_id WHERE event_type = 'click' GROUP BY 1, 2, 3),
+b AS (SELECT l.stay_id, time_bucket(INTERVAL '1 day', charttime) AS charttime, max(value) AS b FROM log l WHERE event_type = 'view' GROUP BY 1, 2),
+c AS (SELECT l.stay_id, charttime, subject_id, hadm_id, max(value) AS c FROM log l JOIN stays s ON s.stay_id = l.stay_id WHERE event_type = 'click' OR value > 50 GROUP BY 1, 2, 3, 4)
+SELECT coalesce(ab.stay_id, c.stay_id) AS stay_id, coalesce(ab.charttime, c.charttime) AS charttime,
+  coalesce(ab.subject_id, c.subject_id) AS subject_id, c.hadm_id, a, b, c
+FROM (SELECT coalesce(a.stay_id, b.stay_id) AS stay_id, coalesce(a.charttime, b.charttime) AS charttime, subject_id, a, b
+      FROM a FULL JOIN b ON b.stay_id = a.stay_id AND b.charttime = a.charttime) ab
+FULL JOIN c ON c.stay_id = ab.stay_id AND c.charttime = ab.charttime AND c.subject_id = ab.subject_id""",
+)
+def align_mixed_keys(t):
+    """Two full joins, the second on one key more."""
+    log = t.log.join(t.stays, "stay_id")
+    top = F.max("value")
+    a = log.filter(F.col("event_type") == "click").groupBy("stay_id", "charttime", "subject_id").agg(top.alias("a"))
+    daily = F.date_trunc("day", "charttime").cast("timestamp_ntz").alias("charttime")
+    b = t.log.filter(F.col("event_type") == "view").groupBy("stay_id", daily).agg(top.alias("b"))
+    c = log.filter((F.col("event_type") == "click") | (F.col("value") > 50))
+    c = c.groupBy("stay_id", "charttime", "subject_id", "hadm_id").agg(top.alias("c"))
+    return align.align([a, b, c], [["stay_id", "charttime"], ["stay_id", "charttime", "subject_id"]])
+
+
 @query(
     "null_safe_filter",
     f"""WITH {coded_sql('charted', VITAL_CODES)}, {SQL['infusions']}
@@ -68,12 +135,24 @@ def drop_any_all_null(t):
     )
 
 
-def _rules_sql(rules: list[CodeRule]) -> str:
-    null = lambda v: "NULL::DOUBLE" if v is None else f"{float(v)}::DOUBLE"
-    rows = ", ".join(
-        f"({r.code}, '{r.label}', {null(r.low)}, {null(r.high)}, {r.low_inclusive}, {r.high_inclusive}, {r.fahrenheit})" for r in rules
-    )
-    return f"rules(code, label, low, high, low_in, high_in, fahrenheit) AS (VALUES {rows})"
+# The rules once more, for the oracle: code, label, limits, whether they belong to the range, Fahrenheit.
+_LAB_RULES_SQL = """rules AS (
+  SELECT unnest(codes) AS code, label, low::DOUBLE AS low, high::DOUBLE AS high, low IS NOT NULL AS low_in, true AS high_in, false AS fahrenheit
+  FROM (VALUES
+    ([50868], 'aniongap', NULL, 10000), ([50862], 'albumin', NULL, 10), ([51144], 'bands', 0, 100), ([50882], 'bicarbonate', NULL, 10000),
+    ([50885], 'bilirubin', NULL, 150), ([50912], 'creatinine', NULL, 150), ([50806, 50902], 'chloride', NULL, 10000),
+    ([50809, 50931], 'glucose', NULL, 10000), ([50810, 51221], 'hematocrit', NULL, 100), ([50811, 51222], 'hemoglobin', NULL, 50),
+    ([50813], 'lactate', NULL, 50), ([51265], 'platelet', NULL, 10000), ([50822, 50971], 'potassium', NULL, 30), ([51275], 'ptt', NULL, 150),
+    ([51237], 'inr', NULL, 50), ([51274], 'pt', NULL, 150), ([50824, 50983], 'sodium', NULL, 200), ([51006], 'bun', NULL, 300),
+    ([51300, 51301], 'wbc', NULL, 1000)) x(codes, label, low, high))"""
+_VITAL_RULES_SQL = """rules AS (
+  SELECT unnest(codes) AS code, label, low::DOUBLE AS low, high::DOUBLE AS high, false AS low_in, label = 'spo2' AS high_in, fahrenheit
+  FROM (VALUES
+    ([211, 220045], 'heartrate', 0, 300, false), ([51, 442, 455, 6701, 220179, 220050], 'sysbp', 0, 400, false),
+    ([8368, 8440, 8441, 8555, 220180, 220051], 'diasbp', 0, 300, false),
+    ([456, 52, 6702, 443, 220052, 220181, 225312], 'meanbp', 0, 300, false), ([615, 618, 220210, 224690], 'resprate', 0, 70, false),
+    ([223761, 678], 'tempc', 70, 120, true), ([223762, 676], 'tempc', 10, 50, false), ([646, 220277], 'spo2', 0, 100, false),
+    ([807, 811, 1529, 3745, 3744, 225664, 220621, 226537], 'glucose', 0, NULL, false)) x(codes, label, low, high, fahrenheit))"""
 
 
 _JUDGED = """judged AS (
@@ -86,7 +165,7 @@ _JUDGED = """judged AS (
 
 @query(
     "harmonise_codes",
-    f"""WITH {coded_sql('coded', LAB_CODES)}, {_rules_sql(LAB_RULES)}
+    f"""WITH {coded_sql('coded', LAB_CODES)}, {_LAB_RULES_SQL}
 SELECT label, count(*) AS n, count(DISTINCT itemid) AS codes FROM coded JOIN rules ON itemid = code GROUP BY 1""",
 )
 def harmonise_codes(t):
@@ -96,7 +175,7 @@ def harmonise_codes(t):
 
 @query(
     "plausibility_null",
-    f"""WITH {coded_sql('coded', VITAL_CODES)}, {_rules_sql(VITAL_RULES)}, {_JUDGED}
+    f"""WITH {coded_sql('coded', VITAL_CODES)}, {_VITAL_RULES_SQL}, {_JUDGED}
 SELECT stay_id, charttime, itemid, label, round(v, 6) AS valuenum FROM judged""",
 )
 def plausibility_null(t):
@@ -168,7 +247,7 @@ def left_join_on_filter(t):
 
 @query(
     "lab_table",
-    f"""WITH {SQL['stays']}, {coded_sql('raw', LAB_CODES)}, {_rules_sql(LAB_RULES)},
+    f"""WITH {SQL['stays']}, {coded_sql('raw', LAB_CODES)}, {_LAB_RULES_SQL},
 coded AS (SELECT subject_id, hadm_id, itemid, charttime, valuenum FROM raw WHERE valuenum > 0), {_JUDGED}
 SELECT s.subject_id, s.hadm_id, s.stay_id, e.charttime,
   {_pivot_sql(labels_of(LAB_RULES), {'min': 'min', 'max': 'max'})}
@@ -182,7 +261,7 @@ def lab_table(t):
 
 @query(
     "vital_table",
-    f"""WITH {SQL['stays']}, {coded_sql('raw', VITAL_CODES)}, {_rules_sql(VITAL_RULES)},
+    f"""WITH {SQL['stays']}, {coded_sql('raw', VITAL_CODES)}, {_VITAL_RULES_SQL},
 coded AS (SELECT * FROM raw WHERE warning IS DISTINCT FROM 1), {_JUDGED}
 SELECT s.subject_id, s.hadm_id, s.stay_id, e.charttime,
   {_pivot_sql(labels_of(VITAL_RULES), {'min': 'min', 'max': 'max', 'mean': 'avg'})}
@@ -384,6 +463,28 @@ def episodes(t):
     return intervals.episodes(t.infusions, ["stay_id", "itemid"])
 
 
+@query(
+    "episodes_sliced",
+    f"""WITH {SQL['infusions'].replace('user_id AS stay_id', 'user_id % 3 AS stay_id')}, {_CARRIED}, {_EPISODES}
+SELECT stay_id, itemid, starttime, endtime FROM episodes""",
+)
+def episodes_sliced(t):
+    """Episodes of large groups, cut into slices."""
+    few = t.infusions.withColumn("stay_id", F.pmod("stay_id", F.lit(3)))
+    return intervals.episodes(few, ["stay_id", "itemid"], max_rows=300)
+
+
+@query(
+    "merge_sliced",
+    f"""WITH {SQL['shipments'].replace('o_custkey AS stay_id', 'o_custkey % 5 AS stay_id')}, {_SWEEP.format(source='shipments')}
+SELECT stay_id, starttime, endtime FROM merged""",
+)
+def merge_sliced(t):
+    """The union of intervals of large groups, cut into slices."""
+    few = t.shipments.withColumn("stay_id", F.pmod("stay_id", F.lit(5)))
+    return intervals.merge_intervals(few, ["stay_id"], max_rows=400)
+
+
 def _numbered(prefix: str, source: str) -> str:
     sweep = _SWEEP.format(source=source)
     for name in ("bounds", "depth", "edges", "merged"):
@@ -570,3 +671,138 @@ def metrics_append(t):
         sources.append_metrics(rows, path)
     stored = sources.read_table(t.spark, path, METRICS)
     return rounded(stored.select("run", "metric", "value"), "value")
+
+
+_MEASURED = """CASE WHEN value > 150 THEN value END AS creat, CASE WHEN event_id % 4 = 0 AND value < 10 THEN value END AS uo_rt_6hr,
+    CASE WHEN event_id % 5 = 0 AND value BETWEEN 20 AND 25 THEN value END AS uo_rt_12hr, CASE WHEN event_id % 97 = 0 THEN value END AS uo_rt_24hr"""
+
+
+def study_sources(t):
+    """The inputs of the study in the roles of the driver tables."""
+    v, n = F.col("value"), F.col("event_id")
+    measures = {
+        "creat": F.when(v > 150, v),
+        "uo_rt_6hr": F.when((n % 4 == 0) & (v < 10), v),
+        "uo_rt_12hr": F.when((n % 5 == 0) & v.between(20, 25), v),
+        "uo_rt_24hr": F.when(n % 97 == 0, v),
+    }
+    shipments = sources.cut_lineage(t.shipments)
+    kinds = {k: shipments.filter(F.col("o_orderpriority").isin(*p)).select("stay_id", "starttime", "endtime") for k, p in _KINDS.items()}
+    return {
+        "stays": t.stays,
+        "detail": t.detail,
+        "stages": t.log.select("stay_id", "charttime", *[c.alias(k) for k, c in measures.items()], F.col("stage").alias("aki_stage")),
+        "lab_events": t.coded(LAB_CODES, stay=False),
+        "chart_events": t.coded(VITAL_CODES, stay=True),
+        "input_events": t.infusions,
+        "ventilation": kinds["vent"],
+        "vasopressor": kinds["vasopressor"],
+    }
+
+
+def _inside_sql(name: str, source: str) -> str:
+    return f"""(SELECT max(1) FROM {source} i WHERE i.stay_id = m.stay_id AND i.starttime <= m.charttime AND i.endtime >= m.charttime) AS {name}"""
+
+
+_STUDY = f"""WITH {SQL['log']}, {SQL['stays']}, {SQL['detail']}, {SQL['shipments']}, {SQL['infusions'].replace('infusions AS', 'all_infusions AS')},
+{coded_sql('lab_log', LAB_CODES)}, {coded_sql('vital_log', VITAL_CODES)},
+stages AS (SELECT stay_id, charttime, stage, {_MEASURED} FROM log),
+chosen AS (SELECT DISTINCT stay_id FROM stages WHERE stage IS NOT NULL AND coalesce(creat, uo_rt_6hr, uo_rt_12hr, uo_rt_24hr) IS NOT NULL),
+kept AS (SELECT * FROM stays WHERE stay_id IN (SELECT stay_id FROM chosen)),
+labs AS (
+  SELECT s.stay_id, e.charttime, max(valuenum) FILTER (itemid = 50868 AND valuenum <= 10000) AS top
+  FROM kept s LEFT JOIN (SELECT * FROM lab_log WHERE valuenum > 0) e ON e.subject_id = s.subject_id AND e.hadm_id = s.hadm_id GROUP BY 1, 2),
+vitals AS (
+  SELECT s.stay_id, e.charttime, avg(valuenum) FILTER (itemid IN (615, 618, 220210, 224690) AND valuenum > 0 AND valuenum < 70) AS top
+  FROM kept s JOIN vital_log e ON e.stay_id = s.stay_id AND e.subject_id = s.subject_id AND e.hadm_id = s.hadm_id
+  WHERE warning IS DISTINCT FROM 1 GROUP BY 1, 2),
+infusions AS (SELECT * FROM all_infusions WHERE itemid IN (30124, 30150, 30308, 30118, 30149, 30131)), {_CARRIED}, {_EPISODES},
+sedation AS (
+  SELECT stay_id, starttime, endtime FROM episodes
+  UNION ALL SELECT stay_id, min(starttime), max(endtime) FROM all_infusions
+  WHERE itemid IN (221668, 221744, 225972, 225942, 222168) AND statusdescription <> 'Rewritten' GROUP BY stay_id, linkorderid),
+vent AS (SELECT * FROM shipments WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')),
+vaso AS (SELECT * FROM shipments WHERE o_orderpriority = '3-MEDIUM'),
+moments AS (
+  SELECT stay_id, charttime FROM stages WHERE stay_id IN (SELECT stay_id FROM chosen)
+  UNION SELECT stay_id, charttime FROM labs UNION SELECT stay_id, charttime FROM vitals),
+flags AS (
+  SELECT stay_id, charttime, {_inside_sql('vent', 'vent')}, {_inside_sql('vasopressor', 'vaso')}, {_inside_sql('sedative', 'sedation')}
+  FROM moments m),"""
+
+
+@query(
+    "study_extract",
+    f"""{_STUDY}
+rows AS (
+  SELECT 'stages' AS source, stay_id, coalesce(creat, 0) + coalesce(uo_rt_6hr, 0) + coalesce(uo_rt_12hr, 0) + coalesce(uo_rt_24hr, 0) AS v
+    FROM stages WHERE stay_id IN (SELECT stay_id FROM chosen)
+  UNION ALL SELECT 'detail', stay_id, age FROM detail WHERE stay_id IN (SELECT stay_id FROM chosen)
+  UNION ALL SELECT 'labs', stay_id, coalesce(top, 0) FROM labs
+  UNION ALL SELECT 'vitals', stay_id, coalesce(top, 0) FROM vitals
+  UNION ALL SELECT 'flags', stay_id, coalesce(vent, 0) + 10 * coalesce(vasopressor, 0) + 100 * coalesce(sedative, 0) FROM flags)
+SELECT source, stay_id, count(*) AS n, round(sum(v), 4) AS total FROM rows GROUP BY 1, 2""",
+)
+def study_extract(t):
+    """All five tables of the study: rows per stay and a sum over one or more columns."""
+    tables = extract.study_tables(**study_sources(t))
+    nothing = F.lit(0.0)
+    values = {
+        "stages": sum((F.coalesce(c, nothing) for c in extract.MEASURES), nothing),
+        "detail": F.col("age"),
+        "labs": F.coalesce("aniongap_max", nothing),
+        "vitals": F.coalesce("resprate_mean", nothing),
+        "flags": F.col("vent") + 10 * F.col("vasopressor") + 100 * F.col("sedative"),
+    }
+    parts = [df.select(F.lit(k).alias("source"), "stay_id", values[k].cast("double").alias("v")) for k, df in tables.items()]
+    rows = cohort.union_all(parts).groupBy("source", "stay_id").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("total"))
+    return rounded(rows, "total", digits=4)
+
+
+@query(
+    "prepare_study",
+    f"""{_STUDY}
+adults AS (SELECT stay_id FROM detail WHERE age >= 18),
+staged AS (SELECT stay_id, charttime, max(stage) AS stage FROM stages GROUP BY 1, 2),
+observed AS (
+  SELECT f.stay_id, f.charttime, stage, coalesce(vent, 0) AS vent, coalesce(vasopressor, 0) AS vasopressor, coalesce(sedative, 0) AS sedative
+  FROM flags f LEFT JOIN staged s ON s.stay_id = f.stay_id AND s.charttime = f.charttime
+  WHERE f.charttime IS NOT NULL AND f.stay_id IN (SELECT stay_id FROM adults)),
+long AS (
+  SELECT stay_id FROM observed GROUP BY 1 HAVING round((epoch_us(max(charttime)) - epoch_us(min(charttime))) / 86400e6, 4) >= 2),
+buckets AS (
+  SELECT stay_id, time_bucket(INTERVAL '6 hours', charttime) AS charttime, max(stage) AS stage, max(vent) AS vent,
+    max(vasopressor) AS vasopressor, max(sedative) AS sedative FROM observed WHERE stay_id IN (SELECT stay_id FROM long) GROUP BY 1, 2),
+slots AS (SELECT stay_id, unnest(generate_series(min(charttime), max(charttime), INTERVAL '6 hours')) AS charttime FROM buckets GROUP BY 1),
+filled AS (
+  SELECT s.stay_id, s.charttime, coalesce(vent, 0) AS vent, coalesce(vasopressor, 0) AS vasopressor, coalesce(sedative, 0) AS sedative,
+    CASE WHEN coalesce(last_value(stage IGNORE NULLS) OVER (PARTITION BY s.stay_id ORDER BY s.charttime
+      ROWS BETWEEN 16 PRECEDING AND CURRENT ROW), 0) >= 1 THEN 1 ELSE 0 END AS now
+  FROM slots s LEFT JOIN buckets b ON b.stay_id = s.stay_id AND b.charttime = s.charttime),
+ahead AS (SELECT *, lead(now, 8) OVER (PARTITION BY stay_id ORDER BY charttime) AS later FROM filled),
+cuts AS (
+  SELECT stay_id, coalesce(min(charttime) FILTER (later = 1), max(charttime)) AS cut, max(later) AS label
+  FROM ahead WHERE later IS NOT NULL GROUP BY 1),
+ranked AS (SELECT stay_id, label, cut, row_number() OVER (ORDER BY md5(stay_id || '|42'), stay_id) AS position, count(*) OVER () AS total FROM cuts)
+SELECT r.stay_id, label, CASE WHEN position <= total - ceil(0.2 * total) THEN 'train'
+    WHEN position <= total - ceil(0.5 * ceil(0.2 * total)) THEN 'valid' ELSE 'test' END AS split,
+  count(*) AS n, min(a.charttime) AS first_time, max(a.charttime) AS last_time,
+  sum(vent)::BIGINT AS vent, sum(vasopressor)::BIGINT AS vasopressor, sum(sedative)::BIGINT AS sedative, true AS scaled
+FROM ranked r JOIN ahead a ON a.stay_id = r.stay_id AND a.later IS NOT NULL AND a.charttime <= r.cut
+GROUP BY r.stay_id, label, position, total""",
+)
+def prepare_study(t):
+    """The preparation of the extracted study: per stay its label, split, rows and flags; all other features within [0, 1]."""
+    key = F.col("stay_id")
+    levels = {
+        "gender": F.when(key % 2 == 0, "F").otherwise("M"),
+        "ethnicity_grouped": F.when(key % 3 == 0, "asian").otherwise("white"),
+        "admission_type": F.when(key % 5 == 0, "ELECTIVE").otherwise("URGENT"),
+    }
+    given = study_sources(t)
+    made = preparation.prepare(extract.study_tables(**given | {"detail": given["detail"].withColumns(levels)}))
+    inside = [F.min(F.coalesce(F.col(c), F.lit(0.0)).between(0, 1)) for c in made.scaled]
+    return made.rows.groupBy("stay_id", F.col("stage").alias("label"), "split").agg(
+        F.count(F.lit(1)).alias("n"), F.min("charttime").alias("first_time"), F.max("charttime").alias("last_time"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ("vent", "vasopressor", "sedative")], F.least(*inside).alias("scaled"),
+    )
