@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wardline.llm.common import Stored, pick, rows_of, utf8
+from wardline.llm.common import Stored, give_back, pick, rows_of, utf8
 
 SHINGLE = 2
 SIMILARITY = 80  # percent
@@ -30,7 +30,7 @@ COMPONENTS = 256
 # A pair at the similarity of 0.8 is missed by all bands with a probability of 3e-6.
 BANDS, BAND_ROWS = 42, 6
 # Shingles of a block; a task holds two blocks.
-BLOCK_SHINGLES = 1 << 20
+BLOCK_SHINGLES = 1 << 19
 MAX_ROUNDS = 60
 
 _LOWER = bytes(b | 0x20 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -219,6 +219,7 @@ def _link_units(table: pa.Table) -> pa.Table:
         if len(unit) > 1:
             sets = [np.frombuffer(elements[int(i)].as_py(), np.uint64) for i in unit]
             out += link(node[unit], sets, piece[unit] if low[unit[0]] != high[unit[0]] else None)
+    give_back()
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
