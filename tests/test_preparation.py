@@ -1,4 +1,4 @@
-"""The whole preparation on generated stays, against a plain Python reading of the steps."""
+"""Invariants of the whole preparation on generated stays; the query prepare_study compares it with SQL."""
 
 import random
 from dataclasses import replace

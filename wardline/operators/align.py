@@ -28,7 +28,8 @@ def align(sources: list[DataFrame], keys: list[str] | list[list[str]], mode: str
     """Full outer alignment.
 
     ``join``: chained full joins; ``keys`` may differ per join, two rows of a source at one moment
-    repeat the columns of the others. ``union``: one shuffle, needs unique keys in every source.
+    repeat the columns of the others. ``union``: one shuffle; two rows of a source at one moment become
+    one with the highest value of each column.
     """
     if mode == "union":
         if keys and isinstance(keys[0], list):

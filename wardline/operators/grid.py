@@ -16,6 +16,7 @@ _HOUR_MICROS = 3_600_000_000
 
 
 def entity_window(key: str, ts: str) -> WindowSpec:
+    """For grid rows only, of which an entity has one per step; raw rows go through ``scans`` instead."""
     return Window.partitionBy(key).orderBy(ts)
 
 
