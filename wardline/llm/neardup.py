@@ -250,8 +250,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     total = members.df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     bins = 1 + total // block_shingles
-    weights = members.df.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("pieces"))
-    placed = members.df.join(weights, "root").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    # what is joined by root is stored before, so that Spark can split a hot group
+    weights = Stored(members.df.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("pieces")))
+    placed = members.df.join(weights.df, "root").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
     source = pick(docs, id=id_or_lowest(F.col(doc_id)), text=F.col(text).cast("string"))
     # the same plan at every size: texts are shuffled to the members, however few these are
     texts = source.join(placed.withColumn("id", id_or_lowest(F.col("rep"))).hint("merge"), "id").select("key", "node", "root", "piece", "pieces", "text")
@@ -281,9 +282,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     # members that were not linked, and classes outside all clusters, are groups of their own
     tied = classes.df.select("key", "rep", "node").join(groups.df.select(F.col("a").alias("node"), F.col("b").alias("up")), "node", "left")
     tied = tied.withColumn("root", F.coalesce("up", "node"))
-    lowest = tied.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = Stored(tied.join(lowest, "root").select("key", "root", "component_id"))
-    for made in (members, groups, classes):
+    lowest = Stored(tied.groupBy("root").agg(F.min("rep").alias("component_id")))
+    named = Stored(tied.join(lowest.df, "root").select("key", "root", "component_id"))
+    for made in (members, weights, lowest, groups, classes):
         made.delete()
     columns = ["doc_id", "fingerprint", "n_shingles", "component_id", "root"]
     empty = rows.filter("n_shingles = 0").withColumns({"component_id": F.col("doc_id"), "root": F.lit(None).cast("bigint")})
