@@ -266,9 +266,11 @@ SELECT model, metric, CASE metric WHEN 'no_skill' THEN rate END AS no_skill, tru
 FROM share, (SELECT unnest(['logistic', 'boosted', 'forest']) AS model), (SELECT unnest(['roc_auc', 'pr_auc', 'brier', 'no_skill', 'f1']) AS metric)""",
 )
 def baseline_report(t):
-    """Scores of the three baseline models on the test stays."""
+    """Scores of the three baseline models on the test stays; areas are null if these have one class only."""
     pred = cut_lineage(study.baseline_predictions(flat_set(t)))
     scores = study.report(pred)["scores"]
+    one_class = pred.agg(F.count_distinct("label")).first()[0] < 2
+    in_range = F.coalesce(F.col("value").between(0, 1), F.lit(one_class) & F.col("metric").endswith("auc"))
     return scores.select(
-        "model", "metric", F.when(F.col("metric") == "no_skill", F.round("value", 6)).alias("no_skill"), F.col("value").between(0, 1).alias("in_range")
+        "model", "metric", F.when(F.col("metric") == "no_skill", F.round("value", 6)).alias("no_skill"), in_range.alias("in_range")
     )
