@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tempfile
 
 import numpy as np
 import pytest
@@ -130,6 +131,29 @@ def test_groups_of_near_duplicates(spark, block):
     assert got == groups(texts)
 
 
+def test_large_clusters_are_neither_loaded_whole_nor_copied_per_block(spark, monkeypatch, tmp_path):
+    block, tables, measured = 3000, str(tmp_path), neardup._link_units
+
+    def noted(table):
+        with tempfile.NamedTemporaryFile("w", dir=tables, delete=False) as f:
+            f.write(str(sum(len(x.as_py()) for x in table.column("elements")) // 8))
+        return measured(table)
+
+    monkeypatch.setattr(neardup, "_link_units", noted)
+    rng, base, texts = random.Random(6), made_up(6, 80).split(), []
+    for i in range(900):
+        words = list(base)
+        words[rng.randrange(80)] = f"w{i}"
+        texts.append(" ".join(words))
+    # a member that only one other holds, in which block ever that is
+    texts += [" ".join(base[:74] + made_up(7 + i, 2 + i).split()) for i in range(5)]
+    found = neardup.near_duplicates(documents(spark, texts).repartition(4), block_shingles=block).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["doc_id"] == r["component_id"]) for r in found) == groups(texts)
+    held = [int(f.read_text()) for f in tmp_path.iterdir()]
+    whole = sum(len(shingle_set(t)) for t in texts)
+    assert whole > 20 * block and max(held) < 3 * block and sum(held) < 4 * whole
+
+
 def test_one_of_each_group_stays(spark):
     a, b = made_up(1, 50), made_up(2, 50)
     rows = [(5, a, 1), (3, a, 2), (3, b, 3), (7, b, 4), (7, b, 4), (9, "", 5), (9, "", 5), (None, made_up(3, 50), 6), (None, None, 7)]

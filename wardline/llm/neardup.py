@@ -7,10 +7,13 @@
   of small sets, and a set is finished as soon as no component can get lower.
 * Bands of components give buckets. Members of a bucket are tied to its first member only, so a
   bucket of any size makes no pairs; connected buckets form coarse clusters.
-* In a cluster, links are confirmed on the full sets. A member that is linked to a group is not
-  compared with the rest of it. Clusters above a size are cut into blocks and every two blocks are
-  compared, so no task holds more than two blocks and no link is lost.
-* Confirmed links, at most one a member and task, are united to groups.
+* In a cluster, links are confirmed on the full sets. Members that are in one group already are not
+  compared. Clusters above a size are cut into blocks, and a table of sets holds two blocks at most.
+  One block of members outside a cluster's largest group, then two, then four and so on, is compared
+  with all blocks; in between the links found are united to groups. It ends when every member outside
+  the largest group was compared with all others, so no link is lost. Near copies of one text are one
+  group after the first round, in which every member is copied about once.
+* Confirmed links, at most one a member and table, are united to groups.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ SIMILARITY = 80  # percent
 COMPONENTS = 256
 # A pair at the similarity of 0.8 is missed by all bands with a probability of 3e-6.
 BANDS, BAND_ROWS = 42, 6
-# Shingles of a block; a task holds two blocks.
+# Shingles of a block; a table of sets holds two blocks.
 BLOCK_SHINGLES = 1 << 19
 MAX_ROUNDS = 60
 
@@ -168,11 +171,11 @@ def components(links: DataFrame) -> Stored:
     raise RuntimeError("groups did not settle")
 
 
-def link(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Ties (first node of a group, node) so that nodes with linked sets are in one group.
+def link(groups: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Ties of groups (of two sets each), so that nodes with linked sets are in one group.
 
-    With ``side`` only nodes of different sides are compared. Groups grow from a node by all nodes not
-    yet in any group that are linked to it, so a node in a group is not compared again.
+    Nodes of equal ``groups`` are in one group already. A node is compared with the nodes of all other
+    groups, until only the largest group has nodes that were not compared.
     """
     sizes = np.array([len(s) for s in sets])
     names, place = np.unique(np.concatenate(sets), return_inverse=True)
@@ -182,47 +185,89 @@ def link(nodes: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None = No
     counts = np.bincount(place, minlength=len(names))
     starts = np.cumsum(counts) - counts
     own = np.split(place, np.cumsum(sizes)[:-1])
-    free = np.ones(len(sets), bool)
+    label = np.unique(groups, return_inverse=True)[1]
+    fresh = np.ones(len(sets), bool)
     ties = []
-    for first in range(len(sets)):
-        if not free[first]:
-            continue
-        free[first] = False
-        waiting = [first]
-        while waiting and free.any():
-            u = waiting.pop()
-            at, n = starts[own[u]], counts[own[u]]
-            ends = np.cumsum(n)
-            rows = held[np.arange(ends[-1]) + np.repeat(at - ends + n, n)]
-            common = np.bincount(rows, minlength=len(sets))
-            near = free & (100 * common >= SIMILARITY * (sizes + sizes[u] - common))
-            if side is not None:
-                near &= side != side[u]
-            for v in np.flatnonzero(near):
-                free[v] = False
-                ties.append((int(nodes[first]), int(nodes[v])))
-                waiting.append(int(v))
+    while (left := fresh & (label != np.bincount(label).argmax())).any():
+        u = left.argmax()
+        fresh[u] = False
+        at, n = starts[own[u]], counts[own[u]]
+        ends = np.cumsum(n)
+        rows = held[np.arange(ends[-1]) + np.repeat(at - ends + n, n)]
+        common = np.bincount(rows, minlength=len(sets))
+        near = np.flatnonzero((label != label[u]) & (100 * common >= SIMILARITY * (sizes + sizes[u] - common)))
+        for v in near:
+            if label[v] != label[u]:
+                ties.append((int(groups[u]), int(groups[v])))
+                label[label == label[v]] = label[u]
     return ties
 
 
 def _link_units(table: pa.Table) -> pa.Table:
-    """Links of all units of a bin; a unit is a cluster, or two blocks of one."""
+    """Links of all units of a table; a unit is a cluster, or a block or two of one."""
     out: list[tuple[int, int]] = []
-    root, low, high = (table.column(c).to_numpy() for c in ("root", "low", "high"))
-    node, piece = table.column("node").to_numpy(), table.column("piece").to_numpy()
+    root, node, group = (table.column(c).to_numpy() for c in ("root", "node", "group"))
     elements = table.column("elements")
-    order = np.lexsort((node, high, low, root))
-    change = np.flatnonzero(np.diff(root[order]) | np.diff(low[order]) | np.diff(high[order])) + 1
-    for unit in np.split(order, change):
+    order = np.lexsort((node, root))
+    for unit in np.split(order, np.flatnonzero(np.diff(root[order])) + 1):
         # a text that is there several times has the same node
         unit = unit[np.append(True, np.diff(node[unit]) != 0)]
         if len(unit) > 1:
-            sets = [np.frombuffer(elements[int(i)].as_py(), np.uint64) for i in unit]
-            out += link(node[unit], sets, piece[unit] if low[unit[0]] != high[unit[0]] else None)
+            out += link(group[unit], [np.frombuffer(elements[int(i)].as_py(), np.uint64) for i in unit])
     give_back()
     return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
+def link_blocks(sets: DataFrame, members: DataFrame, block_shingles: int) -> Stored:
+    """Links of clusters of several blocks: a row ``a, b`` for every node but the smallest of its group, which is b.
+
+    ``members`` has ``node, root, n``, ``sets`` has ``node, elements``. A node is done once it was compared
+    with all others of its cluster.
+    """
+    state = Stored(members.select("node", "root", "n", F.col("node").alias("group"), F.lit(False).alias("done")))
+    hubs = 1
+    while True:
+        by_group = Stored(state.df.groupBy("root", "group").agg(F.sum("n").alias("n")))
+        heart = by_group.df.groupBy("root").agg(F.max(F.struct("n", "group")).alias("h")).select("root", F.col("h.group").alias("heart"))
+        hearts = Stored(heart)
+        marked = Stored(state.df.filter("not done").join(hearts.df, "root").withColumn("rest", F.col("group") != F.col("heart")).drop("heart"))
+        rest = F.sum(F.when(F.col("rest"), F.col("n")).otherwise(0))
+        blocks = marked.df.groupBy("root").agg(rest.alias("r"), F.sum("n").alias("t")).filter("r > 0")
+        blocks = blocks.withColumn("rests", F.ceil(F.col("r") / F.lit(block_shingles)).cast("int"))
+        blocks = blocks.withColumn("hubs", F.least("rests", F.lit(hubs)))
+        others = F.ceil((F.col("t") - F.col("r") * F.col("hubs") / F.col("rests")) / F.lit(block_shingles))
+        plan = Stored(blocks.select("root", "rests", "hubs", F.greatest(F.lit(1), others).cast("int").alias("others")))
+        some = plan.df.count()
+        if some:
+            # hubs have the first blocks and meet all blocks, other nodes meet the hubs
+            h = F.xxhash64("node", F.lit(hubs))
+            hub = F.col("rest") & (F.pmod(h, F.col("rests")) < F.col("hubs"))
+            placed = marked.df.join(plan.df, "root").withColumn("hub", hub)
+            first, second = F.pmod(h, F.col("rests")), F.col("hubs") + F.pmod(F.xxhash64(h), F.col("others"))
+            dealt = Stored(placed.withColumn("block", F.when(F.col("hub"), first).otherwise(second)))
+            other = F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(F.col("hub"), F.col("hubs") + F.col("others")).otherwise(F.col("hubs")) - 1))
+            units = (
+                sets.join(dealt.df, "node")
+                .select("root", "node", "group", "elements", "block", other.alias("other"))
+                .select("root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "node", "group", "elements")
+            )
+            links = Stored(units.groupBy("root", "low", "high").applyInArrow(_link_units, "a bigint, b bigint"))
+            up = components(links.df)
+            met = dealt.df.filter("hub").select("node", F.lit(True).alias("met"))
+            after = state.df.join(up.df.select(F.col("a").alias("group"), F.col("b").alias("up")), "group", "left").join(met, "node", "left")
+            after = Stored(after.select("node", "root", "n", F.coalesce("up", "group").alias("group"), (F.col("done") | F.col("met").isNotNull()).alias("done")))
+            for made in (state, dealt, links, up):
+                made.delete()
+            state = after
+            hubs *= 2
+        for made in (by_group, hearts, marked, plan):
+            made.delete()
+        if not some:
+            found = Stored(state.df.filter("node <> group").select(F.col("node").alias("a"), F.col("group").alias("b")))
+            state.delete()
+            return found
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Per row ``doc_id, fingerprint, n_shingles, component_id, root``.
 
@@ -248,35 +293,38 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = Stored(classes.df.select("node", "key", "rep", "n").join(inside, "node"))
     coarse.delete()
 
-    total = members.df.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    bins = 1 + total // block_shingles
     # what is joined by root is stored before, so that Spark can split a hot group
-    weights = Stored(members.df.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("pieces")))
-    placed = members.df.join(weights.df, "root").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    weights = Stored(members.df.groupBy("root").agg(F.sum("n").alias("weight")))
+    total, largest = weights.df.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.coalesce(F.max("weight"), F.lit(0))).first()
+    bins = 1 + total // block_shingles
+    placed = members.df.join(weights.df, "root")
     source = pick(docs, id=id_or_lowest(F.col(doc_id)), text=F.col(text).cast("string"))
     # the same plan at every size: texts are shuffled to the members, however few these are
-    texts = source.join(placed.withColumn("id", id_or_lowest(F.col("rep"))).hint("merge"), "id").select("key", "node", "root", "piece", "pieces", "text")
+    texts = source.join(placed.withColumn("id", id_or_lowest(F.col("rep"))).hint("merge"), "id").select("key", "node", "root", "weight", "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             hashes = WordHashes()
-            sets = [shingles(t, hashes).tobytes() for t in batch.column(5).to_pylist()]
+            sets = [shingles(t, hashes).tobytes() for t in batch.column(4).to_pylist()]
             # another text under the same id is not the one that was signed
             same = [xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, batch.column(0).to_pylist(), strict=True)]
-            columns = [*batch.columns[1:5], pa.array(sets, pa.binary())]
-            names = ["node", "root", "piece", "pieces", "elements"]
+            columns = [*batch.columns[1:4], pa.array(sets, pa.binary())]
+            names = ["node", "root", "weight", "elements"]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(same, pa.bool_()))
 
-    other = F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))
-    units = (
-        texts.mapInArrow(sets_of, "node bigint, root bigint, piece int, pieces int, elements binary")
-        .withColumn("other", other)
-        .withColumns({"low": F.least("piece", "other"), "high": F.greatest("piece", "other")})
-        .withColumn("bin", F.pmod(F.xxhash64("root", "low", "high"), F.lit(bins)))
-        .select("bin", "root", "low", "high", "node", "piece", "elements")
-    )
+    sets = Stored(texts.mapInArrow(sets_of, "node bigint, root bigint, weight bigint, elements binary"))
+    # a cluster of an eighth of a block is a table of its own, smaller ones share tables
+    bin = F.when(F.col("weight") * 8 > block_shingles, F.col("root")).otherwise(-1 - F.pmod(F.xxhash64("root"), F.lit(bins)))
+    units = sets.df.filter(F.col("weight") <= block_shingles).select(bin.alias("bin"), "root", "node", F.col("node").alias("group"), "elements")
     links = Stored(units.groupBy("bin").applyInArrow(_link_units, "a bigint, b bigint"))
-    groups = components(links.df)
+    if largest > block_shingles:
+        large = members.df.join(weights.df.filter(F.col("weight") > block_shingles), "root")
+        whole = link_blocks(sets.df.select("node", "elements"), large, block_shingles)
+        groups = components(links.df.union(whole.df))
+        whole.delete()
+    else:
+        groups = components(links.df)
+    sets.delete()
     links.delete()
 
     # members that were not linked, and classes outside all clusters, are groups of their own
