@@ -164,6 +164,31 @@ def test_one_of_each_group_stays(spark):
     assert neardup.drop_near_duplicates(documents(spark, [])).count() == 0
 
 
+def test_one_of_each_group_by_shingles_of_five_words(spark):
+    rng, base = random.Random(12), made_up(12, 100).split()
+    texts = ["", "one two three", "One two three", "one two four"]
+    for i in range(60):
+        words = list(base) if i % 3 else made_up(100 + i // 6, 30).split()
+        for _ in range(rng.randint(0, 4)):
+            words[rng.randrange(len(words))] = f"w{rng.randint(0, 999)}"
+        texts.append(" ".join(words))
+    sets = []
+    for t in texts:
+        words = WORD.findall(lower(t))
+        size = min(5, len(words))
+        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)} if words else set())
+    lowest = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                x, y = sorted((lowest[i], lowest[j]))
+                lowest = [x if k == y else k for k in lowest]
+    kept = [i for i, k in enumerate(lowest) if i == k]
+    assert kept != [i for i, _, _, k in groups(texts) if k]
+    found = neardup.drop_near_duplicates(documents(spark, texts).repartition(3), size=5)
+    assert sorted(r["doc_id"] for r in found.collect()) == kept
+
+
 def test_rank_agreement_estimates_similarity():
     rng = np.random.default_rng(3)
     pool = rng.integers(0, 2**64 - 1, 900, np.uint64)

@@ -1,6 +1,6 @@
 """Near-duplicates by SuperMinHash, banding, verification and union-find.
 
-* A text's set is its distinct two-word shingles, as 64-bit hashes. Texts with equal sets form one
+* A text's set is its distinct shingles (of two words, unless given), as 64-bit hashes. Texts with equal sets form one
   class, of which one text goes on.
 * SuperMinHash: every element meets every component once, in the order of a permutation of its own;
   level j adds j to the element's random number. The ranks are correlated, which lowers the variance
@@ -116,7 +116,7 @@ def fingerprint(text: Column) -> Column:
     return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
 
 
-def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """Per row ``doc_id, fingerprint`` (of the text), ``n_shingles, key`` (of the set, null if empty) and ``bands``."""
     kept = pick(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text).cast("string"))
     kept = kept.select("doc_id", fingerprint(F.col("text")).alias("fingerprint"), "text")
@@ -124,7 +124,7 @@ def sign(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             hashes = WordHashes()
-            sets = [shingles(t, hashes) for t in batch.column(2).to_pylist()]
+            sets = [shingles(t, hashes, size) for t in batch.column(2).to_pylist()]
             for at in range(0, len(sets), 2000):
                 some = sets[at : at + 2000]
                 filled = [s for s in some if len(s)]
@@ -268,15 +268,17 @@ def link_blocks(sets: DataFrame, members: DataFrame, block_shingles: int) -> Sto
             return found
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_shingles: int = BLOCK_SHINGLES, size: int = SHINGLE
+) -> DataFrame:
     """Per row ``doc_id, fingerprint, n_shingles, component_id, root``.
 
     ``component_id`` is the smallest doc_id of the group; a text without words is a group of its own.
     Rows without doc_id take part, but their id is the smallest of a group only if it has no other.
     Repeated rows and equal texts are in one group. Other columns are not read. ``root`` names the
-    group (null without words).
+    group (null without words). ``size`` is the number of words of a shingle.
     """
-    signed = Stored(sign(docs, doc_id, text))
+    signed = Stored(sign(docs, doc_id, text, size))
     rows = signed.df.select("doc_id", "fingerprint", "n_shingles", "key")
     by_key = signed.df.filter("n_shingles > 0").groupBy("key")
     found = by_key.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"))
@@ -305,7 +307,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             hashes = WordHashes()
-            sets = [shingles(t, hashes).tobytes() for t in batch.column(4).to_pylist()]
+            sets = [shingles(t, hashes, size).tobytes() for t in batch.column(4).to_pylist()]
             # another text under the same id is not the one that was signed
             same = [xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, batch.column(0).to_pylist(), strict=True)]
             columns = [*batch.columns[1:4], pa.array(sets, pa.binary())]
@@ -339,12 +341,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     return rows.filter("n_shingles > 0").join(named.df, "key").select(*columns).union(empty.select(*columns))
 
 
-def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """One document of each group, all columns as they were; texts without words all stay.
 
     The document with the smallest doc_id stays; of several texts or rows under that id, one.
     """
-    found = near_duplicates(docs, doc_id, text)
+    found = near_duplicates(docs, doc_id, text, size=size)
     single = (
         found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("root").isNotNull())
         .groupBy("root")
