@@ -251,6 +251,21 @@ def test_open_navigation_ends_at_the_article():
     assert html.main_text("just text & <b>more</b>") == "just text & more"
 
 
+def test_an_element_is_a_weight_and_no_switch():
+    body = "\n".join(f"{BODY}{i}" for i in range(4))
+    paragraphs = "".join(f"<p>{x}</p>" for x in body.split("\n"))
+    teaser = "<article><p>A teaser of another story.</p></article>"
+    menu = "".join(f"<li><a href=/{i}>A menu entry {i}</a></li>" for i in range(8))
+    for holder in ("div", "main"):
+        assert html.main_text(f"<body><{holder}>{paragraphs}</{holder}><ul>{menu}</ul>{teaser}</body>").startswith(body)
+    # text next to an article with half of it stays if it surges, a thin line does not
+    page = f"<article>{paragraphs}</article><ul>{menu}</ul><div><p>{BODY}x</p><p>{BODY}y</p><p>{BODY}z</p></div><ul>{menu}</ul><p>A thin line.</p>"
+    assert html.main_text(page) == "\n".join([body, *(BODY + x for x in "xyz")])
+    # on pages without elements a short run with enough text for a surge stays
+    page = f"<body>{paragraphs * 5}<ul>{menu}</ul><p>{BODY}end</p></body>"
+    assert html.main_text(page).endswith(f"{BODY}end")
+
+
 def test_extract(spark):
     rows = [(1, "u", f"<article><p>é{BODY}</p></article>", "x"), (2, None, None, "x"), (2, None, None, "x"), (None, "v", "<p>" + "word " * 50_000, "x")]
     found = html.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")).collect()

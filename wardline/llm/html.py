@@ -3,8 +3,9 @@
 A page is stripped of its markup into lines, one per block element. The text lengths of the lines
 are summed over a sliding window; where the sum surges above a threshold the article starts, where
 it dives to nothing the article ends, and the lines in between are kept. Lines of navigation,
-headers, footers, sidebars, notices, adverts, forms and comments weigh nothing, and so do lines
-outside ``article`` or ``main`` on pages that have them.
+headers, footers, sidebars, notices, adverts, forms and comments weigh nothing. Where ``article`` or
+``main`` hold half of a page's text or more, lines outside them weigh a quarter, and have to surge by
+themselves.
 """
 
 from __future__ import annotations
@@ -22,8 +23,10 @@ WINDOW = 3
 # Characters in a window that start an article, and the share of the fullest window that does too.
 SURGE_CHARS = 86
 SURGE_SHARE = 0.3
-# Runs with less than this share of the longest run's text are not part of the article.
+# Runs with less than this share of the longest run's text, and too little for a surge, are not part of the article.
 RUN_SHARE = 0.25
+# Share of the page's text that makes an element the preferred one, and the weight of lines outside it.
+ELEMENT_SHARE, OUTSIDE_WEIGHT = 0.5, 0.25
 
 _MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
@@ -155,32 +158,41 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
     return lines
 
 
+def _runs(weight: list[float], block: list[float], surge: float, whole: bool) -> list[list[int]]:
+    """Lines with weight from each surge to its dive; with ``whole`` also those between the dive before and the surge."""
+    runs: list[list[int]] = []
+    inside, before = False, []
+    for i, total in enumerate(block):
+        if total == 0:
+            inside, before = False, []
+        elif not inside and total >= surge:
+            inside = True
+            runs.append(before if whole else [])
+        if weight[i]:
+            (runs[-1] if inside else before).append(i)
+    return runs
+
+
 def main_text(page: str | None, window: int = WINDOW) -> str:
     """Text between the surge and dive points of the line distribution; empty if there is none."""
     lines = page_lines(page) if page else []
-    scope = max((depth for _, _, depth in lines), default=-1)
-    if scope < 0:
+    if not any(depth >= 0 for _, _, depth in lines):
         return ""
-    # Inside an article every line counts whole, elsewhere lines that are mostly links do not.
-    weight = [
-        0 if depth < scope else len(text) if scope else len(text) - links if 2 * links < len(text) else 0
-        for text, links, depth in lines
-    ]
-    block = [sum(weight[i : i + window]) for i in range(len(weight))]
-    surge = 1 if scope else min(SURGE_CHARS, SURGE_SHARE * max(block))
-    runs: list[list[int]] = []
-    inside = False
-    for i, total in enumerate(block):
-        if not inside and total and total >= surge:
-            inside = True
-            runs.append([])
-        elif inside and total == 0:
-            inside = False
-        if inside and weight[i]:
-            runs[-1].append(i)
-    sizes = [sum(weight[i] for i in run) for run in runs]
-    least = 0 if scope else RUN_SHARE * max(sizes, default=0)
-    return "\n".join(lines[i][0] for run, size in zip(runs, sizes, strict=True) if size >= least for i in run)
+    # Lines that are mostly links do not count, but inside the preferred element every line counts whole.
+    plain = [len(text) - links if depth >= 0 and 2 * links < len(text) else 0 for text, links, depth in lines]
+    held = [sum(n for n, line in zip(plain, lines, strict=True) if line[2] >= depth) for depth in range(3)]
+    most = max(depth for _, _, depth in lines)
+    scope = max(depth for depth in range(most + 1) if held[depth] >= ELEMENT_SHARE * held[0])
+    weights = [[len(t) if scope and depth >= scope else 0 if scope else n for n, (t, _, depth) in zip(plain, lines, strict=True)]]
+    if scope:
+        weights.append([OUTSIDE_WEIGHT * n if line[2] < scope else 0 for n, line in zip(plain, lines, strict=True)])
+    blocks = [[sum(w[i : i + window]) for i in range(len(w))] for w in weights]
+    surge = min(SURGE_CHARS, SURGE_SHARE * max(map(max, blocks)))
+    # short lines before the surge, such as titles, belong to the preferred element's text
+    runs = [(w, run) for k, w in enumerate(weights) for run in _runs(w, blocks[k], surge, scope > 0 and k == 0)]
+    found = [(run, sum(w[i] for i in run)) for w, run in runs]
+    least = min(SURGE_CHARS, RUN_SHARE * max((size for _, size in found), default=0))
+    return "\n".join(lines[i][0] for i in sorted(i for run, size in found if size >= least for i in run))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
