@@ -1,20 +1,18 @@
-"""Removal of long repeated strings by merging the sorted suffixes of shards.
+"""Removal of long repeated strings by refining hashes of strings around anchors.
 
-A transform of all suffixes, refined byte by byte, would need as many passes over the corpus as the
-strings are long. So the suffixes are sampled, and the characters are strings themselves:
+This replaces a merge of Burrows-Wheeler transforms: refined byte by byte, its interleave would need as
+many passes over the corpus as the strings are long, 400. No transform and no interleave is built.
 
 * Every string of 400 bytes has an anchor: the place of the smallest hash of eight bytes among the
-  first places of the string. Equal strings have it at the same place, so only suffixes that start
-  at anchors need to be compared. An anchor serves the strings that start in a short range before it.
-* A shard (the texts a task reads together) sorts its suffixes by their first characters and keeps,
-  as in a Burrows-Wheeler transform, what stands before each of them. Equal suffixes are one
-  interval with a count.
-* The transforms are merged by refining their interleave: a round gives every interval the name of
-  its common prefix, a shuffle adds up the counts of equal names of all shards, and intervals of a
-  single suffix leave. No suffix is sorted again, and only names and counts are exchanged. The common
-  prefix grows from round to round: first the part all strings of an anchor share, then that with
-  everything before and after it (then the whole range is repeated), then, for the intervals that
-  fall apart in this round, sixteen strings at a time, and last the single strings.
+  first places of the string. Equal strings have it at the same place, so only what stands around
+  anchors needs to be compared. An anchor serves the strings that start in a short range before it.
+* A shard (the texts a task reads together) names the part that all strings of an anchor share by its
+  hash and counts equal names; they are sorted by name, not by characters.
+* A round adds up the counts of equal names of all shards in a shuffle, and names that occur once
+  leave. Only names and counts are exchanged. The named part grows from round to round: first the part
+  all strings of an anchor share, then that with everything before and after it (then the whole range
+  is repeated), then, for those that fall apart in this round, sixteen strings at a time, and last the
+  single strings.
 
 The rounds are a fixed number and each is partial aggregation and joins with one row per name, so a
 string that every document holds is no hot spot. Names are hashes of 128 bits where they decide.
@@ -97,7 +95,7 @@ def _common(anchor: np.ndarray, prefixes: Prefixes, length: int, window: int) ->
 
 
 def _shard_names(length: int, window: int):
-    """Per text, the distinct names of its suffixes' common parts, in the sorted order of the shard."""
+    """Per text, the distinct names of its anchors' common parts, in order of name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
