@@ -2,8 +2,9 @@
 
 A word enters as the sum of the hashed embeddings of its character trigrams next to a hashed
 embedding of the word. Two gated recurrent layers read a window of words forwards and backwards,
-attention pools their states, and a logistic unit scores the window. All overlapping windows of a
-text are scored; the text's score is that of its worst window.
+attention pools their states, and a logistic unit scores the window. Windows of 32 words are scored at
+every 16th word of a text, so passages of up to 17 words lie whole in one; the text's score is that of
+its worst window.
 
 The network is trained on a bounded sample of labelled documents; every document is scored whole.
 """
