@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wardline.llm import decontaminate, hmm, html, lines, mixing, neardup, suffixes, tokens, toxicity, urls
+from wardline.llm import decontaminate, hmm, html, lines, merkle, mixing, neardup, packing, periodic, suffixes, tokens, toxicity, urls
 from wardline.llm.common import ship, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -255,3 +255,92 @@ FROM s LEFT JOIN c ON s.g = c.g AND len(s.g) > 0 LEFT JOIN m USING (rep)"""
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+@query("op11_best_fit_packing")
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def _field_sql(column: str) -> str:
+    return f"coalesce(strlen({column}::VARCHAR) || ':' || {column}::VARCHAR, '-')"
+
+
+def _tree_sql(name: str, leaves: str, fanout: int) -> str:
+    """Levels of the trees of ``leaves`` (k, i, h): level 0 are the leaves, a tree ends with its only node."""
+    return f"""
+{name} AS (
+  SELECT k, 0 AS l, i, h, count(*) OVER (PARTITION BY k) AS n FROM {leaves}
+  UNION ALL
+  SELECT k, l + 1, i // {fanout}, sha256(string_agg(h, '' ORDER BY i)), (n + {fanout - 1}) // {fanout}
+  FROM {name} WHERE n > 1 GROUP BY k, l, i // {fanout}, n)"""
+
+
+def _path_sql(name: str, start: str, tree: str, fanout: int) -> str:
+    """Rows of ``start`` (id, k, i, f) on their way up: the node recomputed and the siblings passed so far."""
+    return f"""
+{name} AS (
+  SELECT id, k, 0 AS l, i, f, '' AS p FROM {start}
+  UNION ALL
+  SELECT a.id, a.k, a.l + 1, a.i // {fanout},
+    sha256(string_agg(CASE WHEN t.i = a.i THEN a.f ELSE t.h END, '' ORDER BY t.i)),
+    a.p || coalesce(string_agg(t.h, '' ORDER BY t.i) FILTER (t.i <> a.i), '')
+  FROM {name} a JOIN {tree} t ON t.k = a.k AND t.l = a.l AND t.i // {fanout} = a.i // {fanout} AND t.n > 1
+  GROUP BY a.id, a.k, a.l, a.i, a.f, a.p)"""
+
+
+_LEAF_SQL = "sha256(concat({}, {{}}))".format(", ".join(map(_field_sql, merkle.COLUMNS[:-1])))
+_CRC_SQL = """list_reduce(list_prepend(4294967295, list_transform(string_split({0}, ''), lambda x: ascii(x)::BIGINT)), lambda c, x:
+  list_reduce([xor(c, x), 1, 2, 3, 4, 5, 6, 7, 8], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END))"""
+_OP12 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS id, doc_id, source, {_LEAF_SQL.format(_field_sql("text"))} AS h,
+    {_LEAF_SQL.format(_field_sql(_LOWER_SQL.format("text")))} AS changed,
+    xor({_CRC_SQL.format("doc_id::VARCHAR")}, 4294967295) % 5 = 0 AS tampered FROM documents),
+s AS (SELECT source, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS k FROM (SELECT DISTINCT source FROM d)),
+leaves AS (
+  SELECT id, doc_id, k, h, CASE WHEN tampered THEN changed ELSE h END AS f,
+    row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, h) - 1 AS i
+  FROM d JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+{_tree_sql("low", "leaves", merkle.FANOUT)},
+subroots AS (SELECT 0 AS k, k AS i, h FROM low WHERE n = 1),
+{_tree_sql("high", "subroots", merkle.FANOUT)},
+{_path_sql("up", "leaves", "low", merkle.FANOUT)},
+at_subroot AS (
+  SELECT id, 0 AS k, up.k AS i, f, p, h AS subroot FROM up JOIN low ON low.k = up.k AND low.l = up.l AND low.n = 1),
+{_path_sql("over", "at_subroot", "high", merkle.FANOUT)},
+at_root AS (SELECT id, f, p, h FROM over JOIN high ON high.l = over.l AND high.n = 1)
+SELECT doc_id, leaves.h AS leaf, subroot, at_root.h AS root, sha256(at_subroot.p || at_root.p) AS proof_sha256,
+  at_root.f AS folded_root, at_root.f = at_root.h AS verified
+FROM leaves JOIN at_subroot USING (id) JOIN at_root USING (id)"""
+
+
+@query("op12_merkle_manifest", _OP12)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    crc = F.crc32(F.coalesce(F.col("id").cast("string"), F.lit("")).cast("binary"))
+    made = merkle.manifest(table(spark, sf_dir, "documents"), crc % 5 == 0)
+    folded = made.withColumn("folded_root", merkle.fold(F.col("seen"), F.col("proof")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(periodic.plant_runs(table(spark, sf_dir, "documents")))
+    best = periodic.longest_run(F.col("runs"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), "")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
