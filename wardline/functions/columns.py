@@ -21,6 +21,11 @@ def hours_between(start: Column | str, end: Column | str) -> Column:
     return micros_between(start, end) / F.lit(3.6e9)
 
 
+def epoch_micros(moment: Column | str) -> Column:
+    """Microseconds since 1970, UTC."""
+    return micros_between(F.timestamp_micros(F.lit(0)), moment)
+
+
 def days_between(start: Column | str, end: Column | str, digits: int = 4) -> Column:
     return F.round(micros_between(start, end) / F.lit(86400e6), digits)
 

@@ -4,20 +4,20 @@ A prediction table has a 0/1 ``label`` and a ``prob`` in [0, 1]; ``by`` names th
 step, ...) whose groups are evaluated separately. Rows without label or probability do not count.
 A group with a single class has no ROC or PR area: its value is null.
 
-Curves need cumulative counts over descending scores. Scores are first counted per distinct value
-and then scanned in cells of the log-odds scale, so that one large group is not sorted by one task;
-cells with many distinct scores are divided further. Several measures of one prediction table share
-a stored ``curve``.
+Curves need cumulative counts over descending scores. Scores are first counted per distinct value;
+these are scanned in cells of the log-odds scale, so that one large group is not sorted by one task, and
+cells with many of them in slices of like counts. Several measures of one prediction table share a stored ``curve``.
 """
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, bin_index, decide
-from wardline.operators.scans import SLICE, Running, attach, running
+from wardline.operators.scans import SLICE, Running, attach, drop_slices, running, split_large
 
 _GROUP = "__group"
 # Cells per unit of log-odds; beyond 40 units of log-odds doubles have no distinct probabilities below 1.
@@ -25,6 +25,8 @@ _CELLS_PER_UNIT = 1024
 _CELL_LIMIT = 40 * _CELLS_PER_UNIT
 # Distinct scores of a cell that are scanned together.
 CELL_SCORES = 100_000
+# Places of [0, 1] at which a density is known.
+DENSITY_POINTS = 513
 
 
 def _group(by: list[str]) -> Column:
@@ -48,8 +50,8 @@ def curve(
 ) -> DataFrame:
     """Per group (a struct) and distinct score: positives and negatives, cumulated from the top, and rates.
 
-    Cells with more than ``cell_scores`` distinct scores are divided evenly between their lowest and
-    highest score.
+    The distinct scores are stored. Where a cell has more than ``cell_scores`` of them they are dealt out by
+    ranges of like counts, however dense they lie.
     """
     counts = (
         pred.filter(F.col(label).isNotNull() & F.col(prob).isNotNull())
@@ -57,26 +59,12 @@ def curve(
         .agg(F.sum((F.col(label) == 1).cast("bigint")).alias("pos"), F.sum((F.col(label) != 1).cast("bigint")).alias("neg"))
         .withColumn("__cell", score_cell(F.col("threshold")))
     )
-    cells = counts.groupBy(_GROUP, "__cell").agg(
-        F.count(F.lit(1)).alias("__n"), F.min("threshold").alias("__low"), F.max("threshold").alias("__high")
-    )
-    share = F.try_divide(F.col("threshold") - F.col("__low"), F.col("__high") - F.col("__low"))
-    part = F.floor(F.coalesce(share, F.lit(0.0)) * F.ceil(F.col("__n") / F.lit(cell_scores)))
-    sliced = (
-        counts.join(cells.filter(F.col("__n") > cell_scores), [_GROUP, "__cell"], "left")
-        .withColumn(SLICE, F.struct(F.col("__cell").alias("cell"), F.coalesce(part, F.lit(0)).alias("part")))
-        .drop("__cell", "__n", "__low", "__high")
-    )
-    scanned = running(
-        sliced,
-        [_GROUP],
-        "threshold",
-        {"tp": Running("sum", F.col("pos")), "fp": Running("sum", F.col("neg"))},
-        descending=True,
-        only_split=False,
-        totals=True,
-    )
-    return scanned.drop(SLICE).withColumns(
+    prepared, _ = split_large(counts, [_GROUP, "__cell"], "threshold", cell_scores)
+    slices = drop_slices(prepared.withColumn("__part", F.col(SLICE)))
+    slices = slices.withColumn(SLICE, F.struct(F.col("__cell").alias("cell"), F.col("__part").alias("part"))).drop("__cell", "__part")
+    sums = {"tp": Running("sum", F.col("pos")), "fp": Running("sum", F.col("neg"))}
+    scanned = running(slices, [_GROUP], "threshold", sums, descending=True, only_split=False, totals=True).drop(SLICE)
+    return scanned.withColumns(
         {
             "tpr": F.try_divide(F.col("tp").cast("double"), F.col("tp_total")),
             "fpr": F.try_divide(F.col("fp").cast("double"), F.col("fp_total")),
@@ -256,6 +244,53 @@ def class_histogram(pred: DataFrame, by: list[str] = ["model"], label: str = "la
     return histogram(pred, [*by, label], prob)
 
 
+def density(
+    pred: DataFrame, by: list[str] = ["model"], prob: str = "prob", points: int = DENSITY_POINTS, bandwidth: float | None = None
+) -> DataFrame:
+    """Gaussian kernel density of the probabilities at ``points`` even places of [0, 1]: (by, point, x, density).
+
+    Every value is split between the two places next to it (linear binning), so one aggregation reduces
+    a group to the weights of its places, and the kernel runs over these alone. Without a ``bandwidth`` it
+    is the sample deviation times n to the power of -1/5. A group of one value has no density: null.
+    Values outside [0, 1], nulls and NaN do not count.
+    """
+    value = F.col(prob).cast("double")
+    inside = pred.filter(F.col(prob).between(0, 1) & ~F.isnan(value)).withColumn("__x", value * (points - 1))
+    low = F.least(F.floor("__x"), F.lit(points - 2)).cast("int")
+    binned = inside.withColumn("__low", low).groupBy(_group(by), "__low").agg(
+        F.sum(F.col("__x") - F.col("__low")).alias("__up"), F.count(F.lit(1)).alias("__n"),
+        F.min("__x").alias("__min"), F.max("__x").alias("__max"), F.avg("__x").alias("__mean"), F.var_pop("__x").alias("__var"),
+    )
+    # a group has fewer rows than there are places
+    spread = F.map_from_entries(F.collect_list(F.struct("__low", F.struct((F.col("__n") - F.col("__up")).alias("here"), F.col("__up").alias("next")))))
+    n, mean = F.sum("__n"), F.sum(F.col("__n") * F.col("__mean")) / F.sum("__n")
+    squares = F.sum(F.col("__n") * (F.col("__var") + F.col("__mean") * F.col("__mean")))
+    groups = binned.groupBy(_GROUP).agg(
+        spread.alias("m"), n.alias("n"), mean.alias("mean"), squares.alias("squares"), (F.min("__min") < F.max("__max")).alias("varies")
+    )
+    deviation = F.sqrt(F.greatest(F.col("squares") - F.col("n") * F.col("mean") * F.col("mean"), F.lit(0.0)) / (F.col("n") - 1))
+    width = F.pow(F.col("n").cast("double"), F.lit(-0.2)) * deviation if bandwidth is None else F.lit(bandwidth * (points - 1))
+    places = F.sequence(F.lit(0), F.lit(points - 1))
+    at = lambda i, side: F.coalesce(F.try_element_at("m", i)[side], F.lit(0.0))
+    weights = F.transform(places, lambda i: at(i, "here") + at(i - 1, "next"))
+    known = groups.withColumns({"weights": weights, "h": F.when(F.col("varies"), width)}).filter("h is null or h > 0")
+    each = known.select(_GROUP, "weights", "n", "h", F.explode(places).alias("point"))
+    kernel = F.aggregate(
+        F.transform("weights", lambda w, i: w * F.exp(F.lit(-0.5) * F.pow((i - F.col("point")) / F.col("h"), F.lit(2.0)))),
+        F.lit(0.0),
+        lambda a, v: a + v,
+    )
+    scaled = kernel * (points - 1) / (F.col("n") * F.col("h") * F.lit(math.sqrt(2 * math.pi)))
+    return each.select(*_ungroup(by), "point", (F.col("point") / F.lit(float(points - 1))).alias("x"), scaled.alias("density"))
+
+
+def class_density(
+    pred: DataFrame, by: list[str] = ["model"], label: str = "label", prob: str = "prob", points: int = DENSITY_POINTS
+) -> DataFrame:
+    """Smooth distribution of the probability within each true class."""
+    return density(pred.filter(F.col(label).isNotNull()), [*by, label], prob, points)
+
+
 def auc_per_step(
     pred: DataFrame, by: list[str] = ["model"], step: str = "step", label: str = "label", prob: str = "prob"
 ) -> DataFrame:

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wardline.functions.columns import clip, midpoint, one_hot, rescale
 from wardline.operators.grid import group_mode
-from wardline.operators.scans import SLICE, Running, attach, running
+from wardline.operators.scans import SLICE, Running, attach, running, split_large
 
 # Resolution of the value cells: about 1/2048 relative width, 1/1024 absolute near zero.
 _CELLS_PER_E = 2048
-_SUBCELLS = 4096
+# Distinct values of a cell that are ordered by one task.
+MAX_CELL_VALUES = 1_000_000
 
 
 def midpoints(df: DataFrame, names: list[str], low: str = "{}_min", high: str = "{}_max", out: str = "{}_avg") -> DataFrame:
@@ -64,11 +65,12 @@ def _value_cell(value: Column) -> Column:
     return F.when(value < 0, -magnitude - F.lit(1)).otherwise(magnitude)
 
 
-def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float], max_values: int = MAX_CELL_VALUES) -> DataFrame:
     """(column, q0, q1, ...): exact quantiles with linear interpolation, without a global sort.
 
     A histogram over value cells finds the cells that hold the wanted ranks; only the distinct
-    values of those cells are then ordered, again in slices.
+    values of those cells are then ordered. A cell with more than ``max_values`` of them is cut into
+    slices of like counts, however close its values are.
     """
     cells = (
         df.select([F.col(c).cast("double").alias(c) for c in columns])
@@ -76,9 +78,7 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .withColumn("cell", _value_cell(F.col("value")))
     )
-    histogram = cells.groupBy("column", "cell").agg(
-        F.count(F.lit(1)).alias("n"), F.min("value").alias("cell_low"), F.max("value").alias("cell_high")
-    )
+    histogram = cells.groupBy("column", "cell").agg(F.count(F.lit(1)).alias("n"))
     totals = histogram.groupBy("column").agg(F.sum("n").alias("total"))
     upto = running(
         histogram.withColumn(SLICE, F.lit(0)), ["column"], "cell", {"upto": Running("sum", F.col("n"))}, sliced=False
@@ -96,12 +96,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probabilities: list[float
     # at most two cells per column and probability
     values = (
         cells.join(F.broadcast(chosen), ["column", "cell"])
-        .groupBy("column", "cell", "before", "total", "cell_low", "cell_high", "value")
+        .groupBy("column", "cell", "before", "total", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    width = F.try_divide(F.col("value") - F.col("cell_low"), F.col("cell_high") - F.col("cell_low"))
-    sliced = values.withColumn(SLICE, F.floor(F.coalesce(width, F.lit(0.0)) * F.lit(_SUBCELLS)))
-    counted = running(sliced, ["column", "cell"], "value", {"__upto": Running("sum", F.col("n"))}, only_split=False)
+    # values that lie dense within a cell are dealt out by their counts
+    prepared, sliced = split_large(values, ["column", "cell"], "value", max_values)
+    counted = running(prepared, ["column", "cell"], "value", {"__upto": Running("sum", F.col("n"))}, sliced=sliced)
     position = F.col("before") + F.col("__upto")
 
     def pick(rank: Column, name: str) -> list[Column]:

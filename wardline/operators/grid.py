@@ -7,9 +7,13 @@ bound; they share one hash partitioning on the entity.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-from wardline.functions.columns import bucket_start, micros_between, shift_hours
+from wardline.functions.columns import bucket_start, epoch_micros, hours_between, micros_between, shift_hours
+from wardline.operators.scans import MAX_GROUP_ROWS, Running, affine, drop_slices, running, split_large
+from wardline.sources.tables import cut_lineage
 
 _AGGREGATES = {"mean": F.avg, "max": F.max, "min": F.min}
 _HOUR_MICROS = 3_600_000_000
@@ -87,6 +91,34 @@ def history_features(
     return grid.withColumns(made)
 
 
+def decayed_history(
+    grid: DataFrame, key: str, ts: str, columns: list[str], fast: float, slow: float, max_rows: int | None = MAX_GROUP_ROWS
+) -> DataFrame:
+    """Features of every grid row from the entity's whole history, weighted by how long ago it was.
+
+    Per column: ``_fast`` and ``_slow``, the means of its values so far with weights that fall to a half in so
+    many hours; ``_trend``, the first less the second; ``_since``, the hours since its last value. All
+    are null before the first value. Grid rows are unique per (key, time).
+    """
+    prepared, sliced = split_large(grid, [key], ts, max_rows)
+    hours = epoch_micros(ts) / F.lit(_HOUR_MICROS)
+    out = prepared
+    for name, half in (("fast", fast), ("slow", slow)):
+        inputs = {f"__{c}_{name}": F.col(c).cast("double") for c in columns}
+        inputs |= {f"__n_{c}_{name}": F.col(c).isNotNull().cast("double") for c in columns}
+        out = affine(out, [key], ts, -hours * F.lit(math.log(2) / half), inputs, sliced=sliced)
+        out = cut_lineage(out) if sliced else out
+    seen = {f"__t_{c}": Running("last", F.when(F.col(c).isNotNull(), F.col(ts))) for c in columns}
+    out = running(out, [key], ts, seen, sliced=sliced)
+    known = {c: F.col(f"__t_{c}").isNotNull() for c in columns}
+    made = {}
+    for c in columns:
+        means = {n: F.when(known[c], F.col(f"__{c}_{n}") / F.col(f"__n_{c}_{n}")) for n in ("fast", "slow")}
+        made |= {f"{c}_{n}": v for n, v in means.items()}
+        made |= {f"{c}_trend": means["fast"] - means["slow"], f"{c}_since": hours_between(f"__t_{c}", ts)}
+    return drop_slices(out.select(*prepared.columns, *[v.alias(n) for n, v in made.items()]))
+
+
 def group_mode(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """Most frequent non-null value per key and column, the lowest on ties.
 

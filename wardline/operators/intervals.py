@@ -6,8 +6,8 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from wardline.functions.columns import hours_between
-from wardline.operators.scans import MAX_GROUP_ROWS, Running, drop_slices, running, split_large
+from wardline.functions.columns import epoch_micros, hours_between
+from wardline.operators.scans import MAX_GROUP_ROWS, Running, attach, drop_slices, running, split_large
 from wardline.sources.tables import cut_lineage
 
 
@@ -163,3 +163,68 @@ def join_flags(flags: list[DataFrame], keys: list[str]) -> DataFrame:
     for other in flags[1:]:
         out = out.join(other, keys)
     return out
+
+
+# Hours that the shortest bins of intervals are wide; each level is four times as wide.
+_BIN_HOURS = 1.0
+_BIN_FACTOR = 4.0
+
+
+def intervals_at(
+    times: DataFrame,
+    intervals: DataFrame,
+    keys: list[str],
+    ts: str = "charttime",
+    start: str = "starttime",
+    end: str = "endtime",
+) -> DataFrame:
+    """Every distinct (keys, time) with every interval it lies in: one row per match, all columns of the intervals.
+
+    Both ends belong to an interval. A range join by bins: an interval goes to the level whose bins
+    are just as wide as it is long, where it touches two bins at most, and a moment has one bin
+    on each level. So long and short intervals cost the same, the rows of one key spread over its
+    bins, and a match is found once. Levels grow by a factor, there are a few dozen at most. Moments and
+    intervals with a null key or bound match nothing.
+    """
+    length = hours_between(start, end)
+    level = F.when(length <= _BIN_HOURS, 0).otherwise(F.ceil(F.log(_BIN_FACTOR, length / F.lit(_BIN_HOURS)))).cast("int")
+    valid = intervals.dropna(subset=[*keys, start, end]).filter(F.col(start) <= F.col(end)).withColumn("__level", level)
+
+    def bin_of(moment: str):
+        return F.floor(epoch_micros(moment) / (F.pow(F.lit(_BIN_FACTOR), "__level") * F.lit(_BIN_HOURS * 3.6e9)))
+
+    binned = valid.withColumn("__bin", F.explode(F.sequence(bin_of(start), bin_of(end))))
+    highest = valid.agg(F.coalesce(F.max("__level"), F.lit(-1))).scalar()
+    levels = F.when(F.col("__highest") >= 0, F.sequence(F.lit(0), F.col("__highest"))).otherwise(F.expr("cast(array() as array<int>)"))
+    moments = (
+        times.select(*keys, ts).dropna().distinct().withColumn("__highest", highest)
+        .select(*keys, ts, F.explode(levels).alias("__level"))
+        .withColumn("__bin", bin_of(ts))
+    )
+    # joined on a struct, both sides are shuffled by the join itself and a hot bin can be split
+    key = F.struct(*keys, "__level", "__bin").alias("__at")
+    values = [c for c in intervals.columns if c not in keys]
+    found = moments.select(key, ts).join(binned.select(key, *values), "__at")
+    inside = found.filter((F.col(start) <= F.col(ts)) & (F.col(ts) <= F.col(end)))
+    return inside.select(*[F.col("__at")[k].alias(k) for k in keys], ts, *values)
+
+
+def first_interval_at(
+    times: DataFrame,
+    intervals: DataFrame,
+    keys: list[str],
+    ts: str = "charttime",
+    start: str = "starttime",
+    end: str = "endtime",
+    columns: list[str] | None = None,
+) -> DataFrame:
+    """Every distinct (keys, time): number of intervals around it (``n_intervals``), and the earliest one of them.
+
+    The earliest has the lowest start, then end, then further columns; its columns are null if there is none.
+    """
+    kept = [start, end, *(c for c in columns or [] if c not in (start, end))]
+    matches = intervals_at(times, intervals.select(*keys, *kept), keys, ts, start, end)
+    first = matches.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n_intervals"), F.min(F.struct(*kept)).alias("__first"))
+    asked = times.select(*keys, ts).distinct()
+    joined = attach(asked, first, [*keys, ts], "left")
+    return joined.select(*keys, ts, F.coalesce("n_intervals", F.lit(0)).alias("n_intervals"), *[F.col("__first")[c].alias(c) for c in kept])

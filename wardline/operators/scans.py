@@ -19,6 +19,8 @@ from wardline.sources.tables import cut_lineage
 SLICE = "__slice"
 _SPLIT = "__split"
 _KEY = "__key"
+# Units of a logarithm within which factors are multiplied out; exp(300) and its square are doubles.
+_SEGMENT = 300.0
 
 # Rows of one group above which the group is cut into slices.
 MAX_GROUP_ROWS = 4_000_000
@@ -128,11 +130,46 @@ def running(
             *[F.sum(f"__c_{n}").over(Window.partitionBy(*keys)).alias(f"{n}_total") for n in measures if totals],
         )
     )
-    # with an inner join both sides get the same derived filters and share one exchange
-    joined = out.join(carried, [*keys, SLICE], "left" if only_split else "inner")
+    # a struct compares equal to another one with nulls at the same places: groups with null keys are carried over too
+    key = F.struct(*keys, SLICE).alias(_KEY)
+    joined = out.withColumn(_KEY, key).join(
+        carried.select(key, *[c for c in carried.columns if c not in (*keys, SLICE)]), _KEY, "left" if only_split else "inner"
+    )
     return joined.withColumns({n: _combine(m.kind, F.col(n), F.col(f"__c_{n}")) for n, m in measures.items()}).drop(
-        *[f"__c_{n}" for n in measures]
+        _KEY, *[f"__c_{n}" for n in measures]
+    )
+
+
+def affine(
+    df: DataFrame, keys: list[str], order: str, level: Column, inputs: dict[str, Column], *, sliced: bool = True
+) -> DataFrame:
+    """Running affine values per group: a row's state is ``exp(level - level before) * state before + input``.
+
+    ``level`` must not rise along ``order``; it is the running sum of the logarithms of the factors, or, for
+    a decay by elapsed time, minus the time over its constant. Null inputs count as 0. Two steps
+    compose to one (factors multiply, the earlier input is scaled by the later factor), so the state
+    is a running sum of inputs lifted to a common level, times what they have lost since. Levels are
+    cut into segments of ``_SEGMENT``, so that no factor overflows: a segment's sums start anew and get
+    the end of the segment before; what lies further back has decayed by more than exp(-``_SEGMENT``)
+    and counts as 0. ``sliced`` rows come from ``split_large``.
+    """
+    segment = F.floor(-F.col("__level") / F.lit(_SEGMENT))
+    leveled = df.withColumn("__level", level).withColumn("__segment", segment)
+    anchor = -F.col("__segment") * F.lit(_SEGMENT)
+    lifted = {n: F.coalesce(v, F.lit(0.0)) * F.exp(anchor - F.col("__level")) for n, v in inputs.items()}
+    parts = [*keys, "__segment"]
+    summed = running(leveled, parts, order, {n: Running("sum", v) for n, v in lifted.items()}, sliced=sliced)
+    before = Window.partitionBy(*keys).orderBy("__segment")
+    ends = leveled.groupBy(*parts).agg(F.min("__level").alias("__end"), *[F.sum(v).alias(f"__e_{n}") for n, v in lifted.items()])
+    ends = ends.withColumns({f"__e_{n}": F.col(f"__e_{n}") * F.exp(F.col("__end") - anchor) for n in inputs})
+    key = F.struct(*parts).alias(_KEY)
+    carried = ends.select(
+        key, F.lag("__end").over(before).alias("__end"), *[F.lag(f"__e_{n}").over(before).alias(f"__e_{n}") for n in inputs]
     )
+    joined = summed.withColumn(_KEY, key).join(carried, _KEY)
+    here, since = F.exp(F.col("__level") - anchor), F.exp(F.col("__level") - F.col("__end"))
+    states = {n: F.col(n) * here + F.coalesce(F.col(f"__e_{n}") * since, F.lit(0.0)) for n in inputs}
+    return joined.withColumns(states).drop(_KEY, "__level", "__segment", "__end", *[f"__e_{n}" for n in inputs])
 
 
 def rank_rows(
@@ -142,8 +179,7 @@ def rank_rows(
 
     With ``total`` the size of the group is added under that name.
 
-    ``cell`` must be non-decreasing along ``order`` and take a bounded number of values; keys and
-    cell must not be null.
+    ``cell`` must be non-decreasing along ``order`` and take a bounded number of values.
     """
     cells = df.withColumn("__cell", cell)
     within = Window.partitionBy(*keys, "__cell").orderBy(*order)
@@ -159,10 +195,12 @@ def rank_rows(
         )
     )
     ranked = cells.withColumn("__rank", F.row_number().over(within))
+    key = F.struct(*keys, "__cell").alias(_KEY)
     return (
-        ranked.join(base, [*keys, "__cell"])
+        ranked.withColumn(_KEY, key)
+        .join(base.select(key, "__base", *([total] if total else [])), _KEY)
         .withColumn(name, F.col("__base") + F.col("__rank"))
-        .drop("__cell", "__rank", "__base")
+        .drop(_KEY, "__cell", "__rank", "__base")
     )
 
 

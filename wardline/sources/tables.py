@@ -43,7 +43,8 @@ def write_delimited(df: DataFrame, path: str, separator: str = SEPARATOR, sort:
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None, sort: list[str] | None = None) -> DataFrame:
     """Write a derived table, replacing an earlier one, and return a scan of it.
 
-    Spark refuses to write over a path that ``df`` itself reads.
+    Spark refuses to write over a path that ``df`` itself reads, and deletes what it replaces first: for
+    tables that others read there is ``publish``.
     """
     out = df.sortWithinPartitions(*sort) if sort else df
     writer = out.write.mode("overwrite")
@@ -91,6 +92,58 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return materialise(df, shared_folder(df.sparkSession))
 
 
+def _files(spark: SparkSession, path: str):
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def published_versions(spark: SparkSession, path: str) -> list[str]:
+    """Names of the published versions of a table, the oldest first; none if nothing was published."""
+    system, folder = _files(spark, f"{path}/_published")
+    return sorted(f.getPath().getName() for f in system.listStatus(folder)) if system.exists(folder) else []
+
+
+def publish(df: DataFrame, path: str, partition_by: list[str] | None = None) -> str:
+    """Write a new version of a derived table and then make it the current one; returns its name.
+
+    The rows go to a folder of their own. The last step creates one empty file with the version's
+    name, which every store does at once or not at all. So readers see the whole old version or the whole
+    new one, a writer that is lost on the way changes nothing, and ``df`` may read the table it replaces.
+    Of two writers at once the one with the higher name counts; both versions stay readable.
+    """
+    spark = df.sparkSession
+    known = published_versions(spark, path)
+    version = f"{int(known[-1].split('-')[0]) + 1 if known else 1:010d}-{uuid.uuid4().hex}"
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/{version}")
+    system, marker = _files(spark, f"{path}/_published/{version}")
+    system.create(marker, False).close()
+    return version
+
+
+def read_published(spark: SparkSession, path: str, version: str | None = None) -> DataFrame:
+    """A version of a published table, pinned: later versions do not change what the frame reads."""
+    known = published_versions(spark, path)
+    if not known or (version is not None and version not in known):
+        raise ValueError(f"{path} has no version {version or ''}".rstrip())
+    return spark.read.parquet(f"{path}/{version or known[-1]}")
+
+
+def drop_versions(spark: SparkSession, path: str, keep: int = 1) -> None:
+    """Delete all but the last ``keep`` published versions and what lost writers left; no one may be reading or writing these."""
+    known = published_versions(spark, path)
+    for version in known[: max(0, len(known) - keep)]:
+        system, marker = _files(spark, f"{path}/_published/{version}")
+        system.delete(marker, False)
+    kept = {*published_versions(spark, path), "_published"}
+    system, folder = _files(spark, path)
+    for entry in system.listStatus(folder) if system.exists(folder) else []:
+        if entry.getPath().getName() not in kept:
+            system.delete(entry.getPath(), True)
+
+
 def write_predictions(pred: DataFrame, path: str) -> None:
     """Prediction table, one folder per model; other models' folders stay.
 
