@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wardline.functions.columns import CALIBRATION_EDGES, UNIT_EDGES, bin_index, decide
-from wardline.operators.scans import SLICE, Running, attach, drop_slices, running, split_large
+from wardline.operators.scans import SLICE, Running, attach, drop_slices, running, slice_number, split_large
 
 _GROUP = "__group"
 # Cells per unit of log-odds; beyond 40 units of log-odds doubles have no distinct probabilities below 1.
@@ -60,7 +60,7 @@ def curve(
         .withColumn("__cell", score_cell(F.col("threshold")))
     )
     prepared, _ = split_large(counts, [_GROUP, "__cell"], "threshold", cell_scores)
-    slices = drop_slices(prepared.withColumn("__part", F.col(SLICE)))
+    slices = drop_slices(prepared.withColumn("__part", slice_number()))
     slices = slices.withColumn(SLICE, F.struct(F.col("__cell").alias("cell"), F.col("__part").alias("part"))).drop("__cell", "__part")
     sums = {"tp": Running("sum", F.col("pos")), "fp": Running("sum", F.col("neg"))}
     scanned = running(slices, [_GROUP], "threshold", sums, descending=True, only_split=False, totals=True).drop(SLICE)

@@ -63,6 +63,11 @@ def split_large(df: DataFrame, keys: list[str], ts: str, max_rows: int | None =
     return marked.drop(_KEY).withColumn(_SPLIT, F.coalesce(_SPLIT, F.lit(False))), True
 
 
+def slice_number() -> Column:
+    """Slice of a row of ``split_large``; groups that are not cut have one slice, 0."""
+    return F.when(F.col(_SPLIT), F.col(SLICE)).otherwise(F.lit(0))
+
+
 def drop_slices(df: DataFrame) -> DataFrame:
     return df.drop(SLICE, _SPLIT)
 
