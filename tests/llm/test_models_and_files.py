@@ -359,6 +359,93 @@ def judged(url):
     return host, path, best and best.host + best.path, best.verdict if best else "allow"
 
 
+LONG = "A long paragraph of plain text that goes on for well over a hundred characters, so that it surges by itself as articles do."
+
+
+@pytest.mark.parametrize("opening", ["<div class='post related-stories'>", "<section class='share-holders report'>", "<form id=aspnet>", "<div class=widget>"])
+def test_a_name_does_not_lose_the_article(opening):
+    closing = f"</{opening[1:].split()[0]}>"
+    page = f"<body><nav><p>{LONG} menu</p></nav>{opening}<p>{LONG}</p><p>{LONG} 2</p>{closing}<footer>{LONG}</footer></body>"
+    assert html.main_text(page) == f"{LONG}\n{LONG} 2"
+    assert html.main_text(f"<div><p>{LONG} a</p><p>{LONG} b</p></div>{opening}<p>{LONG}</p>{closing}") == f"{LONG} a\n{LONG} b"
+    assert html.main_text(f"<article><p>Short.</p></article>{opening}<p>{LONG}</p>{closing}") == "Short."
+
+
+def test_comments_are_never_the_article_of_a_page_with_text():
+    assert html.main_text(f"<div><p>{LONG}</p></div><div class=comments>" + f"<p>{LONG} no</p>" * 9 + "</div>") == LONG
+    inner = f"<div class=widget><p>{LONG}</p><div class=comments><p>{LONG} no</p></div><p>{LONG} 2</p></div>"
+    assert html.main_text(inner) == f"{LONG}\n{LONG} 2"
+
+
+def test_a_linked_paragraph_between_others_stays():
+    link = f"<p><a href=x>{LONG}</a></p>"
+    assert html.main_text(f"<div><p>{LONG} a</p>{link}<p>{LONG} b</p>{link * 3}</div>") == f"{LONG} a\n{LONG}\n{LONG} b"
+
+
+def test_window_sums_decide_by_themselves():
+    """Plain lines without any element or name: an independent sum over windows finds the same runs."""
+    rng = random.Random(6)
+    for _ in range(300):
+        sizes = [rng.choice([0, 0, 0, 5, 30, 90, 200]) for _ in range(rng.randint(1, 25))]
+        # a line of size 0 is one link
+        texts = [f"{i:03d}" + "x" * max(0, n - 3) for i, n in enumerate(sizes)]
+        page = "".join(f"<p>{t}</p>" if n else f"<p><a href=y>{t}</a></p>" for t, n in zip(texts, sizes))
+        sums = [sum(sizes[i : i + html.WINDOW]) for i in range(len(sizes))]
+        surge, runs, open_ = min(html.SURGE_CHARS, html.SURGE_SHARE * max(sums)), [], False
+        for i, total in enumerate(sums):
+            if total and not open_ and total >= surge:
+                runs.append([])
+                open_ = True
+            open_ = open_ and total > 0
+            if open_:
+                runs[-1].append(i)
+        trimmed = []
+        for run in runs:
+            with_text = [i for i in run if sizes[i]]
+            if with_text:
+                trimmed.append(range(with_text[0], with_text[-1] + 1))
+        most = max((sum(sizes[i] for i in r) for r in trimmed), default=0)
+        expected = [texts[i] for r in trimmed if sum(sizes[j] for j in r) >= min(html.SURGE_CHARS, html.RUN_SHARE * most) for i in r]
+        assert html.main_text(page) == "\n".join(expected)
+
+
+def judged_by(rules, u):
+    host, path, _, _ = judged(u)
+    fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    best = max(fits, key=lambda r: (len(r.host + r.path), len(r.host)), default=None)
+    return host, path, best and best.host + best.path, best.verdict if best else "allow"
+
+
+def test_long_lists_take_several_cascades(spark):
+    rng = random.Random(2)
+    listed = [urls.rule(f"h{i % 40}.org", f"/{i}/", rng.choice(["allow", "block"])) for i in range(300)]
+    listed += [urls.rule("org", "/", "block")]
+    pages = [f"http://{rng.choice(['', 'www.'])}h{rng.randint(0, 60)}.org/{rng.randint(0, 400)}/{rng.randint(0, 9)}?q" for _ in range(400)] + [None, "x"]
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id bigint, url string")
+    found = {r["page_id"]: tuple(r)[1:] for r in urls.judge(df, spark.createDataFrame(listed), max_keys=60).collect()}
+    assert found == {i: judged_by(listed, u) for i, u in enumerate(pages)}
+
+
+def test_second_level_is_no_larger_than_the_first(spark):
+    """A universe a thousand times the list: the first rate follows from both, and membership stays exact."""
+    key = F.encode(F.concat(F.lit("k"), F.col("id").cast("string")), "utf-8").alias("key")
+    made = urls.build(spark.range(100).select(key), spark.range(100_000).select(key))
+    assert urls.first_rate(100, 99_900) < 0.0011 and len(made) >= 1
+    if len(made) > 1:
+        assert made[1].bits.size <= made[0].bits.size
+    assert [i for i in range(100_000) if urls.listed(made, f"k{i}".encode())] == list(range(100))
+    with pytest.raises(ValueError, match="too many"):
+        urls.build(spark.range(100).select(key), spark.range(200).select(key), max_keys=10)
+
+
+def test_bits_of_a_filter_over_many_blocks(spark):
+    key = F.encode(F.col("id").cast("string"), "utf-8").alias("key")
+    level = urls._filter(spark.range(50_000).select(key), 50_000, 0.01, 3)
+    assert level.bits.size > 2 * urls._BLOCK and all(level.passes(str(i).encode()) for i in range(0, 50_000, 97))
+    wrong = sum(level.passes(f"n{i}".encode()) for i in range(5000))
+    assert wrong < 110
+
+
 def test_rules(spark):
     rows = [(i, u, "x") for i, u in enumerate(PAGES)] + [(3, PAGES[3], "y"), (None, PAGES[11], "z")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, host string")
@@ -373,6 +460,104 @@ def test_rules(spark):
 # pipeline
 
 
+def linked_groups(texts, size, share=80):
+    """Smallest number reachable over links of equal or similar shingle sets, by comparing all pairs."""
+    sets = []
+    for t in texts:
+        w = [x.lower() for x in (t or "").encode().split()]
+        sets.append({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set())
+    up = list(range(len(texts)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= share * len(sets[i] | sets[j]):
+            a, b = sorted((top(i), top(j)))
+            up[b] = a
+    return [top(i) for i in range(len(texts))]
+
+
+def test_stage_of_near_duplicates_takes_five_words(spark, small):
+    rng = random.Random(9)
+    texts = []
+    for k in range(12):
+        base = made_up(k, 150).split()
+        for changes in (0, 0, 1, 2, 3, 4, 6, 8):
+            words = list(base)
+            for at in rng.sample(range(150), changes):
+                words[at] = f"new{rng.randint(0, 9**6)}"
+            texts.append(" ".join(words))
+    texts += ["one", "one", "a b", None, "", "a b c d e", "a b c d e f"]
+    docs = documents(spark, texts, ["toxic", "key"])
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, small).collect())
+    five = linked_groups(texts, 5)
+    assert kept == [i for i in range(len(texts)) if five[i] == i]
+    assert kept != [i for i, g in enumerate(linked_groups(texts, 2)) if g == i]
+
+
+def test_equal_ids_and_texts_leave_the_same_row_each_time(spark):
+    rows = [(5, "a b c", f"s{i}") for i in range(6)] + [(None, "a b c", "s")]
+    kept = set()
+    for seed in range(4):
+        random.Random(seed).shuffle(rows)
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(1 + seed)
+        kept.add(tuple(tuple(r) for r in neardup.drop_near_duplicates(docs).collect()))
+    assert len(kept) == 1 and len(next(iter(kept))) == 1
+
+
+def test_documents_without_id_do_not_meet_all_members(spark):
+    """A thousand texts without id, in pairs: each is joined with its own class alone."""
+    texts = [made_up(i // 2, 40) + (" more" if i % 2 else "") for i in range(1000)]
+    docs = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    found = neardup.near_duplicates(docs).collect()
+    assert len(found) == 1000 and len({r["root"] for r in found}) == 500
+    assert {r["component_id"] for r in found} == {None}
+
+
+def test_stages_take_any_table(spark, small):
+    schema = "doc_id bigint, text string, source string, toxic int, key string, lang string, n_chars int"
+    rows = [(None, None, None, None, None, None, None), (1, "", None, 1, "k", "en", 0), (1, "some words here", "a", 0, None, None, 3)]
+    rows += rows[2:] + [(2, "w " * 9000, "a", 1, "k", "en", 5), (None, "other words", None, 0, "k", None, 1)]
+    for table in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs = table
+        for name, stage in corpus_pipeline.STAGES:
+            made = stage(spark, docs, small)
+            if name != "token_files":
+                assert made.columns == docs.columns
+                docs = made.cache()
+        n = made.count()
+        assert n == docs.count() and (n > 0) == (len(table.take(1)) > 0)
+
+
+def test_untrained_network_rejects_nothing(spark):
+    docs = documents(spark, ["a b", "c " * 500, None])
+    assert toxicity.drop_toxic(docs, toxicity.train([("only one class", 0)])).count() == 3
+
+
+def test_sample_reads_its_own_columns(spark):
+    docs = documents(spark, ["good text", "bad text"], ["toxic", "quality"])
+    labels = spark.createDataFrame([(0, 0, "x"), (1, 1, "y")], "doc_id bigint, toxic int, text string")
+    assert toxicity.sample(docs, labels) == [("good text", 0), ("bad text", 1)]
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_other_tokenizer_files(spark, name):
+    path = public_tokenizers.path(name)
+    texts = ["Some Words, and  blanks\n", "", None, "x" * 50, "naïve é"]
+    folder = work_folder(spark)
+    tokens.write_token_files(documents(spark, texts), folder, path)
+    found = {r["doc_id"]: list(r["ids"]) for r in tokens.read_token_files(spark, folder, with_ids=True).collect()}
+    plain = Tokenizer.from_file(path)
+    assert found == {i: plain.encode(t or "", add_special_tokens=False).ids + [0] for i, t in enumerate(texts)}
+
+
+def test_ids_above_two_bytes_take_four(spark):
+    assert tokens.id_width(TOKENIZER, 0) == 2 and tokens.id_width(TOKENIZER, 70_000) == 4
+
+
 def test_stages_one_by_one(spark, small):
     docs = spark.read.parquet(f"{small}/documents.parquet")
     benchmark = spark.read.parquet(f"{small}/benchmark.parquet")
@@ -386,7 +571,7 @@ def test_stages_one_by_one(spark, small):
     assert all(df.columns == docs.columns for df in made[:-1])
     scores = {r["doc_id"]: r["score"] for r in toxicity.score(docs, network).collect()}
     assert ids[1] == [i for i in ids[0] if scores[i] < toxicity.THRESHOLD]
-    groups = neardup.near_duplicates(made[1]).collect()
+    groups = neardup.near_duplicates(made[1], size=5).collect()
     assert ids[2] == sorted(r["doc_id"] for r in groups if r["doc_id"] == r["component_id"])
     hit = {r["doc_id"] for r in decontaminate.contamination(made[2], benchmark).collect() if r["n_hit"]}
     assert hit and ids[3] == [i for i in ids[2] if i not in hit]

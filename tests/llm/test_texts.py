@@ -299,6 +299,30 @@ def test_contamination(spark):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, t in enumerate(texts) if not hits(t, items)[1]}
 
 
+@pytest.mark.parametrize("limit", [60, 400])
+def test_large_benchmarks_take_several_automata(spark, limit):
+    rng = random.Random(5)
+    words = "a b c d e f g h".split()
+    items = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 30)))) for i in range(6)] + [(6, "z " * 200), (None, "a b c")]
+    texts = [" ".join(rng.choice(words) for _ in range(40)) + " " + items[i % 6][1][:30] for i in range(30)] + [None, "", "z " * 30]
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(decontaminate.pattern_parts(benchmark, max_bytes=limit)) > 3
+    docs = documents(spark, texts, ["hits", "items", "c0"])
+    one = sorted(map(repr, decontaminate.contamination(docs, benchmark).collect()))
+    assert sorted(map(repr, decontaminate.contamination(docs, benchmark, max_bytes=limit).collect())) == one
+    kept = [decontaminate.drop_contaminated(docs, benchmark, max_bytes=n).collect() for n in (limit, 1 << 20)]
+    assert sorted(kept[0], key=repr) == sorted(kept[1], key=repr)
+
+
+def test_windows_that_share_their_bits_are_all_compared(spark, monkeypatch):
+    """All hashes equal: every window is in one run, and equal ones are seldom neighbours."""
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice("abc") for _ in range(n)) for n in (3, 4, 9, 20, 40)] + ["a b c x a b c y a b d z a b c"]
+    monkeypatch.setattr(lines.F, "xxhash64", lambda *c: lines.F.lit(1 << 62))
+    got = documents(spark, texts).select("doc_id", lines.repeated_words(lines.word_array(lines.F.col("text"))).alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in got} == {i: line_numbers([("s", t)], 20, 50)[0][4] for i, t in enumerate(texts)}
+
+
 def test_empty_benchmark_and_size_limit(spark):
     none = spark.createDataFrame([], "item_id bigint, text string")
     assert decontaminate.contamination(documents(spark, ["a b"]), none).first()["n_hit"] == 0

@@ -3,7 +3,8 @@
 A page is stripped of its markup into lines, one per block element. The text lengths of the lines
 are summed over a sliding window; where the sum surges above a threshold the article starts, where
 it dives to nothing the article ends, and the lines in between are kept. Lines of navigation,
-headers, footers, sidebars, notices, adverts, forms and comments weigh nothing. Where ``article`` or
+headers, footers, sidebars, notices, adverts, forms and comments weigh nothing; where only a name says that an
+element is one of these, it still counts if it holds nearly all text. Where ``article`` or
 ``main`` hold half of a page's text or more, lines outside them weigh a quarter, and have to surge by
 themselves.
 """
@@ -56,35 +57,52 @@ _NAMES = set(
     "related recommended recommendations breadcrumb breadcrumbs pagination pager login search searchbox copyright toolbar "
     "paywall disclaimer skip".split()
 )
+_COMMENTS = set("comment comments respond disqus discussion replies reply".split())
 _HEADS = set("header head heading".split())
 _BODY = set("article post entry content story main".split())
 # A block element ends these without a closing tag.
 _OPEN_ENDED = set("p li dd dt tr".split())
 
 
-def _is_outside(tag: str, attributes: str, in_article: bool) -> bool:
+# How much of its page a marked element may hold before the mark does not count.
+HARD, NAMED, COMMENTS = 1, 2, 3
+# A named element with more than so many times the text outside all marked ones is the article, whatever its name.
+NAMED_SHARE = 3
+
+
+def _mark_of(tag: str, attributes: str, in_article: bool) -> int:
+    """0, or how an element is marked as not part of the article: by its kind or role, by its name, as comments."""
     if tag in _OUTSIDE or tag == "header" and not in_article:
-        return True
+        return NAMED if tag == "form" else HARD
     if not attributes or tag in ("html", "body", "main"):
-        return False
+        return 0
     for name, *values in _ATTRIBUTE.findall(attributes):
         parts = set(_PARTS.split("".join(values).lower()))
         if name.lower() == "role":
             if parts & _ROLES:
-                return True
+                return HARD
         elif tag == "article":
             if parts & {"comment", "comments", "reply", "replies"}:
-                return True
+                return COMMENTS
         elif parts & _NAMES or parts & _HEADS and not in_article and not parts & _BODY:
-            return True
-    return False
+            return COMMENTS if parts & _COMMENTS else NAMED
+    return 0
 
 
-def page_lines(page: str) -> list[tuple[str, int, int]]:
-    """Lines in page order: text, characters in links, depth (-1 outside the article, else 0 body, 1 main, 2 article)."""
-    lines: list[tuple[str, int, int]] = []
+class _Region:
+    """A marked element: its tag, how many of that name are open, the articles and mains around it, the regions around it."""
+
+    def __init__(self, tag: str, mark: int, articles: int, mains: int, around: tuple):
+        self.tag, self.mark, self.open, self.articles, self.mains = tag, mark, 1, articles, mains
+        self.path = (*around, self)
+        self.chars = 0
+
+
+def marked_lines(page: str) -> list[tuple[str, int, int, tuple]]:
+    """Lines in page order: text, characters in links, depth (0 body, 1 main, 2 article), marked elements around it."""
+    lines: list[tuple[str, int, int, tuple]] = []
     pieces: list[str] = []
-    outside, nested = "", 0  # the element that is not part of the article, and how many of its name are open
+    regions: list[_Region] = []
     articles = mains = links = link_chars = 0
     at = 0
 
@@ -92,7 +110,7 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
         nonlocal link_chars
         text = " ".join("".join(pieces).split())
         if text:
-            lines.append((text, min(link_chars, len(text)), -1 if outside else 2 if articles else 1 if mains else 0))
+            lines.append((text, min(link_chars, len(text)), 2 if articles else 1 if mains else 0, regions[-1].path if regions else ()))
         pieces.clear()
         link_chars = 0
 
@@ -103,6 +121,12 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
         if links:
             link_chars += len(text)
 
+    def close(k: int) -> None:
+        """The region ends, and with it what is open inside."""
+        nonlocal articles, mains
+        articles, mains = regions[k].articles, regions[k].mains
+        del regions[k:]
+
     while mark := _MARK.search(page, at):
         if mark.start() > at:
             add(page[at : mark.start()])
@@ -127,27 +151,29 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
             continue
         flush()
         links = 0
-        if outside:
-            if outside in _OPEN_ENDED and (closing or tag == outside or tag in ("div", "article", "section", "main")):
-                outside = "" if tag != outside or closing or not _is_outside(tag, attributes, articles > 0) else outside
-                if tag == outside or closing and tag == outside:
-                    continue
-            elif tag == outside:
-                nested += -1 if closing else 1
-                if nested <= 0:
-                    outside = ""
-                continue
-            elif tag in ("article", "main") and not closing and outside in ("nav", "header", "footer"):
-                outside = ""  # it was never closed
-            if outside:
-                continue
+        own = False  # the tag ends a region of its own name
+        for k in reversed(range(len(regions))):
+            region = regions[k]
+            if region.tag in _OPEN_ENDED:
+                if closing or tag == region.tag or tag in ("div", "article", "section", "main"):
+                    own = own or closing and tag == region.tag
+                    close(k)
+            elif tag == region.tag:
+                region.open += -1 if closing else 1
+                if region.open <= 0:
+                    own = True
+                    close(k)
+            elif tag in ("article", "main") and not closing and region.tag in ("nav", "header", "footer"):
+                close(k)  # it was never closed
+        if own:
+            continue
         if closing:
             if tag == "article":
                 articles = max(0, articles - 1)
             elif tag == "main":
                 mains = max(0, mains - 1)
-        elif _is_outside(tag, attributes, articles > 0 or mains > 0):
-            outside, nested = tag, 1
+        elif kind := _mark_of(tag, attributes, articles > 0 or mains > 0):
+            regions.append(_Region(tag, kind, articles, mains, regions[-1].path if regions else ()))
         elif tag == "article":
             articles += 1
         elif tag == "main":
@@ -158,18 +184,52 @@ def page_lines(page: str) -> list[tuple[str, int, int]]:
     return lines
 
 
-def _runs(weight: list[float], block: list[float], surge: float, whole: bool) -> list[list[int]]:
-    """Lines with weight from each surge to its dive; with ``whole`` also those between the dive before and the surge."""
+def page_lines(page: str) -> list[tuple[str, int, int]]:
+    """Lines in page order: text, characters in links, depth (-1 outside the article, else 0 body, 1 main, 2 article).
+
+    Elements marked by their kind (navigation, footers) are outside. A name is a hint: an element that is only named as
+    something else is outside unless it holds nearly all text of the page, comments unless there is no other text. Text
+    in ``article`` or ``main`` settles it: then names are believed.
+    """
+    lines = marked_lines(page)
+    free, other, told = 0, 0, False
+    for text, links, depth, around in lines:
+        plain = len(text) - links if 2 * links < len(text) else 0
+        if not around:
+            free += plain
+            told = told or depth > 0 and plain > 0
+        if not any(r.mark in (HARD, COMMENTS) for r in around):
+            other += plain
+        if all(r.mark != HARD for r in around):
+            for region in around:
+                region.chars += plain
+
+    def counts(region: _Region) -> bool:
+        if region.mark == NAMED and not told:
+            return region.chars > NAMED_SHARE * free
+        return region.mark != HARD and not (other if region.mark == COMMENTS else free) and region.chars > 0
+
+    return [(text, links, depth if all(map(counts, around)) else -1) for text, links, depth, around in lines]
+
+
+def _runs(weight: list[float], block: list[float], surge: float, whole: bool, kept: list[bool]) -> list[list[int]]:
+    """Lines from each surge to its dive: those with weight, and others that are ``kept`` between two of them.
+
+    With ``whole`` also the lines with weight between the dive before and the surge.
+    """
     runs: list[list[int]] = []
-    inside, before = False, []
+    inside, before, between = False, [], []
     for i, total in enumerate(block):
         if total == 0:
-            inside, before = False, []
+            inside, before, between = False, [], []
         elif not inside and total >= surge:
             inside = True
             runs.append(before if whole else [])
         if weight[i]:
-            (runs[-1] if inside else before).append(i)
+            (runs[-1] if inside else before).extend([*between, i] if inside else [i])
+            between = []
+        elif inside and kept[i] and runs[-1]:
+            between.append(i)
     return runs
 
 
@@ -189,7 +249,8 @@ def main_text(page: str | None, window: int = WINDOW) -> str:
     blocks = [[sum(w[i : i + window]) for i in range(len(w))] for w in weights]
     surge = min(SURGE_CHARS, SURGE_SHARE * max(map(max, blocks)))
     # short lines before the surge, such as titles, belong to the preferred element's text
-    runs = [(w, run) for k, w in enumerate(weights) for run in _runs(w, blocks[k], surge, scope > 0 and k == 0)]
+    kept = [line[2] == 0 for line in lines]  # a paragraph that is mostly one link stands between others
+    runs = [(w, run) for k, w in enumerate(weights) for run in _runs(w, blocks[k], surge, scope > 0 and k == 0, kept if not scope else [False] * len(lines))]
     found = [(run, sum(w[i] for i in run)) for w, run in runs]
     least = min(SURGE_CHARS, RUN_SHARE * max((size for _, size in found), default=0))
     return "\n".join(lines[i][0] for i in sorted(i for run, size in found if size >= least for i in run))

@@ -38,7 +38,8 @@ def repeated_words(words: Column) -> Column:
     """Words in three-word windows that are in the text twice or more.
 
     A window is a number: the upper bits of its hash, the lower bits its place. Sorting the numbers
-    brings equal windows together; neighbours with equal upper bits are compared word by word.
+    brings equal upper bits together, and windows that share them are compared word by word: where a run of
+    equal bits has one neighbour only that one, in a longer run all pairs of different windows.
     """
     n = F.size(words)
     bits = F.ceil(F.log2((n + 1).cast("double"))).cast("int")
@@ -63,7 +64,12 @@ def repeated_words(words: Column) -> Column:
 
                 pairs = F.transform(near, lambda j: F.array(place(s[j]), place(s[j + 1])))
                 same = F.filter(pairs, lambda p: equal(p[0], p[1]))
-                starts = F.sort_array(F.array_distinct(F.flatten(same)))
+                # neighbours with equal bits that differ: in their run equal windows need not be neighbours
+                mixed = F.array_distinct(F.transform(F.filter(near, lambda j: ~equal(place(s[j]), place(s[j + 1]))), high))
+                run = lambda m: F.transform(F.filter(s, lambda x: F.call_function("shiftright", x, shift) == m), place)
+                again = lambda r: F.filter(r, lambda a: F.exists(r, lambda b: (a != b) & equal(a, b)))
+                others = F.flatten(F.transform(mixed, lambda m: again(run(m))))
+                starts = F.sort_array(F.array_distinct(F.concat(F.flatten(same), others)))
                 return F.when(F.size(near) == 0, F.lit(0)).otherwise(let(starts, covered))
 
             numbers = F.transform(F.sequence(F.lit(0), F.size(w) - 3), number)

@@ -281,7 +281,9 @@ def near_duplicates(
     signed = Stored(sign(docs, doc_id, text, size))
     rows = signed.df.select("doc_id", "fingerprint", "n_shingles", "key")
     by_key = signed.df.filter("n_shingles > 0").groupBy("key")
-    found = by_key.agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"))
+    # the row whose text stands for the class: the one with the smallest id, if any has one
+    first = F.min(F.struct(F.col("doc_id").isNull(), id_or_lowest(F.col("doc_id")).alias("id"), F.col("fingerprint").alias("print")))
+    found = by_key.agg(F.min("doc_id").alias("rep"), first.alias("first"), F.max("n_shingles").alias("n"), F.first("bands").alias("bands"))
     # the numbers of the classes are kept by storing them
     classes = Stored(found.withColumn("node", F.monotonically_increasing_id()))
 
@@ -292,7 +294,7 @@ def near_duplicates(
     buckets.delete()
     inside = coarse.df.select(F.col("a").alias("node"), F.col("b").alias("root"))
     inside = inside.union(coarse.df.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-    members = Stored(classes.df.select("node", "key", "rep", "n").join(inside, "node"))
+    members = Stored(classes.df.select("node", "key", "first.id", "first.print", "n").join(inside, "node"))
     coarse.delete()
 
     # what is joined by root is stored before, so that Spark can split a hot group
@@ -300,15 +302,16 @@ def near_duplicates(
     total, largest = weights.df.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.coalesce(F.max("weight"), F.lit(0))).first()
     bins = 1 + total // block_shingles
     placed = members.df.join(weights.df, "root")
-    source = pick(docs, id=id_or_lowest(F.col(doc_id)), text=F.col(text).cast("string"))
+    # rows with one id, or none, are told apart by their fingerprint; of equal ones one text is enough, so the join is one to one
+    source = pick(docs, id=id_or_lowest(F.col(doc_id)), print=fingerprint(F.col(text)), text=F.col(text).cast("string"))
     # the same plan at every size: texts are shuffled to the members, however few these are
-    texts = source.join(placed.withColumn("id", id_or_lowest(F.col("rep"))).hint("merge"), "id").select("key", "node", "root", "weight", "text")
+    texts = source.dropDuplicates(["id", "print"]).join(placed.hint("merge"), ["id", "print"]).select("key", "node", "root", "weight", "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
             hashes = WordHashes()
             sets = [shingles(t, hashes, size).tobytes() for t in batch.column(4).to_pylist()]
-            # another text under the same id is not the one that was signed
+            # another text with the same fingerprint is not the one that was signed
             same = [xxhash.xxh3_128_digest(s) == k for s, k in zip(sets, batch.column(0).to_pylist(), strict=True)]
             columns = [*batch.columns[1:4], pa.array(sets, pa.binary())]
             names = ["node", "root", "weight", "elements"]
@@ -344,7 +347,9 @@ def near_duplicates(
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
     """One document of each group, all columns as they were; texts without words all stay.
 
-    The document with the smallest doc_id stays; of several texts or rows under that id, one.
+    The document with the smallest doc_id stays; of several texts under that id the one with the lowest
+    fingerprint, of several rows with that text the one that a hash of the whole row puts first, so
+    reruns agree. Groups without any id keep one row; an empty table gives none.
     """
     found = near_duplicates(docs, doc_id, text, size=size)
     single = (
@@ -353,9 +358,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
         .agg(F.min(F.struct(id_or_lowest(F.col("doc_id")).alias("__id"), F.col("fingerprint").alias("__print"))).alias("k"))
         .select("k.*")
     )
-    # the same columns place the rows for the join and for the choice of one of them
+    # the same columns place the rows for the join and for the choice of one of them, which depends on the whole row
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     marked = docs.select(whole.alias("d"), id_or_lowest(F.col(doc_id)).alias("__id"), fingerprint(F.col(text)).alias("__print"))
-    one = marked.join(single, ["__id", "__print"]).dropDuplicates(["__id", "__print"])
+    chosen = F.min_by("d", F.struct(F.xxhash64(F.to_json("d")), F.to_json("d"))).alias("d")
+    one = marked.join(single, ["__id", "__print"]).groupBy("__id", "__print").agg(chosen)
     blank = ~F.coalesce(F.col(text).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     return one.select("d.*").union(docs.filter(blank))

@@ -14,6 +14,7 @@ of doc_id), which every Spark executor can read and write, wherever the table is
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 import struct
@@ -107,6 +108,32 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def plain_bytes(tokenizer) -> bool:
+    """Is it a byte-level vocabulary with merges alone: no normalizer, no blank put first, no special texts that span blanks."""
+    told = json.loads(tokenizer.to_str())
+    first, model = told.get("pre_tokenizer") or {}, told["model"]
+    return (
+        told.get("normalizer") is None
+        and first.get("type") == "ByteLevel"
+        and not first.get("add_prefix_space")
+        and first.get("use_regex", True)
+        and model.get("type", "BPE") == "BPE"
+        and not model.get("dropout")
+        and not model.get("continuing_subword_prefix")
+        and not model.get("end_of_word_suffix")
+        and not model.get("ignore_merges")
+        and not any(" " in t["content"] or t["content"].isspace() for t in told.get("added_tokens", []))
+    )
+
+
+def id_width(tokenizer_path: str, end_id: int) -> int:
+    """Bytes that hold the ids of a tokenizer file and the end id."""
+    from tokenizers import Tokenizer
+
+    highest = max([end_id, *Tokenizer.from_file(tokenizer_path).get_vocab(with_added_tokens=True).values()])
+    return 2 if highest < 1 << 16 else 4
+
+
 class Encoder:
     """Texts to serialised ids by a byte-level tokenizer file of the tokenizers library.
 
@@ -120,6 +147,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.code = "H" if width == 2 else "I"
+        # what is said above holds for this pre-tokenizer alone; other files go through the library text by text
+        self.plain = plain_bytes(self.tokenizer)
         self.words = Words(self.tokenizer, self.code)
 
     def _whole(self, text: str) -> bytes:
@@ -128,6 +157,8 @@ class Encoder:
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.plain:
+            return self._whole(text)
         first, *rest = text.split(" ")
         if rest and first[-1:].isspace():
             return self._whole(text)
@@ -212,15 +243,16 @@ class TokenFile:
 
 
 def write_token_files(
-    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, vocabulary: int = 50257,
+    docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, vocabulary: int | None = None,
     file_bytes: int = FILE_BYTES, doc_id: str = "doc_id", text: str = "text",
 ) -> None:
     """Encode every whole text, append ``end_id``, and write files in ascending order of doc_id.
 
     Null and empty texts give the end id alone. Rows of one doc_id stay next to each other, null ids
-    come first; an empty table gives no file. Other columns are not read.
+    come first; an empty table gives no file. Other columns are not read. The width of an id follows from the
+    tokenizer file unless the size of the ``vocabulary`` is given.
     """
-    width = 2 if vocabulary <= 1 << 16 else 4
+    width = id_width(tokenizer_path, end_id) if vocabulary is None else 2 if vocabulary <= 1 << 16 else 4
     narrow = pick(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text).cast("string"))
     dictionary = train_dictionary(narrow, tokenizer_path, width)
     digest, end = hashlib.sha256(dictionary).digest(), end_id.to_bytes(width, "little")
@@ -253,7 +285,9 @@ def write_token_files(
         if ids:
             yield flush()
 
-    ordered = narrow.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    # rows of one id, or without one, may be many: ranges of (id, hash) spread them over tasks
+    order = ["doc_id", F.xxhash64("text")]
+    ordered = narrow.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.mapInArrow(encode, FILE_SCHEMA).write.parquet(f"{path}/files")
     spark.createDataFrame([(bytearray(dictionary),)], "dictionary binary").coalesce(1).write.parquet(f"{path}/dictionary")
 

@@ -216,13 +216,14 @@ def train(rows: list[tuple[str | None, int]], seed: int = 7) -> Network:
     A third of each batch is toxic. First random windows carry their document's label, then the
     window that scores highest now does; half of the other documents then come from those that score
     highest. Most words of a step are shown by their characters only, so that these are learned too.
-    Without both classes the network stays untrained.
+    Without both classes the network stays untrained and scores every text next to 0.
     """
     network, rng = Network.fresh(seed), np.random.default_rng(seed)
     numbers = Numbers()
     texts = [(np.array([numbers[w] for w in words_of(t)], np.int32), y) for t, y in rows]
     classes = [[t for t, y in texts if y == label and len(t)] for label in (0, 1)]
     if not all(classes):
+        network.p["bias"] = np.full(1, -50, np.float32)
         return network
     vocabulary = list(numbers)
     first = {k: np.zeros_like(v) for k, v in network.p.items()}
@@ -278,18 +279,22 @@ def score_texts(network: Network, texts: list[str | None]) -> np.ndarray:
     return out
 
 
-def sample(docs: DataFrame, labels: DataFrame) -> list[tuple[str | None, int]]:
+def sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic"
+) -> list[tuple[str | None, int]]:
     """At most ``SAMPLE_DOCS`` toxic and twice as many other documents, those with the smallest hashes.
 
     Rows with a null id or label are left out; a document labelled both ways is in both classes.
-    Documents over ``SAMPLE_CHARS`` characters are not trained on.
+    Documents over ``SAMPLE_CHARS`` characters are not trained on. Other columns are not read.
     """
-    known = labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "toxic").distinct()
+    told = pick(labels, doc_id=F.col(f"`{doc_id}`"), toxic=F.col(f"`{label}`"))
+    known = told.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).distinct()
     order = [F.xxhash64("doc_id"), "doc_id"]
     chosen = known.filter("toxic = 1").orderBy(*order).limit(SAMPLE_DOCS)
     chosen = chosen.union(known.filter("toxic = 0").orderBy(*order).limit(2 * SAMPLE_DOCS))
     # at most three times SAMPLE_DOCS rows of two numbers are broadcast
-    texts = docs.filter(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")
+    narrow = pick(docs, doc_id=F.col(f"`{doc_id}`"), text=F.col(f"`{text}`").cast("string"))
+    texts = narrow.filter(F.length("text").between(1, SAMPLE_CHARS)).join(F.broadcast(chosen), "doc_id")
     found = texts.select("doc_id", "text", "toxic").distinct().collect()
     return [(r["text"], r["toxic"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["toxic"], r["text"]))]
 
