@@ -1,4 +1,8 @@
-"""Corpus pipeline: documents through five operators of ``wardline.llm``, each stage stored as Parquet."""
+"""Corpus pipeline: documents through five operators of ``wardline.llm``, each stage stored as Parquet.
+
+Every stage takes nulls in any column, empty and very long texts, repeated rows, an empty table and
+further columns; all but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
@@ -10,33 +14,46 @@ from wardline.llm import decontaminate, mixing, neardup, tokens, toxicity
 from wardline.llm.common import ship, store, work_folder
 from wardline.llm.queries import train_toxicity
 
+# Words of a shingle in the stage of near-duplicates.
+SHINGLE = 5
+
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity network, trained on the labels, does not reject."""
+    """Documents that the toxicity network, trained on the labels, does not reject.
+
+    Null, empty and blank texts score 0 and stay; every row is judged by its own text, so repeated rows share a
+    verdict. Without labelled documents of both classes there is nothing to learn and nothing is rejected.
+    """
     ship(spark)
     return toxicity.drop_toxic(docs, train_toxicity(spark, docs, sf_dir))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates: sets of five-word shingles with a similarity of 0.8 or more.
+
+    Texts without words all stay, repeated rows become one, rows without id take part like any other.
+    """
     ship(spark)
-    return neardup.drop_near_duplicates(docs)
+    return neardup.drop_near_duplicates(docs, size=SHINGLE)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no window of a benchmark item."""
+    """Documents that hold no window of a benchmark item; null and empty texts hold none and stay."""
     ship(spark)
     return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mixture of the sources: every document as often as it is taken."""
+    """The mixture of the sources: every document as often as it is taken.
+
+    Null sources are one source; texts without words have size 0 and are taken like others of their source.
+    """
     ship(spark)
     return mixing.mix(docs)
 
 
 def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token files of the documents, and per document what the files hold."""
+    """Token files of the documents, and per row what the files hold; null and empty texts hold the end id alone."""
     import public_tokenizers
 
     ship(spark)
