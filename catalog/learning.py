@@ -15,7 +15,7 @@ from pyspark.sql import Window, functions as F
 
 from catalog.registry import labelled_sql, query, rounded
 from catalog.timeline import FIRST_ONSET, KEY, TS, labelled_grid
-from wardline.operators import evaluate, features, grid, importance, models, sequences
+from wardline.operators import boosting, evaluate, features, grid, importance, models, sequences
 from wardline.operators.cohort import assign_split
 from wardline.operators.labels import first_onset
 from wardline.plans import study
@@ -203,7 +203,7 @@ def _search_facts(model, metrics, choices):
 def random_search_cv(t):
     """The published search: 25 draws, which are all 24 choices, five folds by stay, balanced weights."""
     choices = models.sample_grid(models.LOGISTIC_GRID, 25, seed=42)
-    model, metrics = models.random_search(models.logistic(1.0, tol=1e-4), choices, _part(flat_set(t), "train", "valid"), KEY, scheme="balanced", parallelism=8)
+    model, metrics = models.random_search(models.logistic(1.0), choices, _part(flat_set(t), "train", "valid"), KEY, scheme="balanced", parallelism=8)
     return _search_facts(model, metrics, choices)
 
 
@@ -211,10 +211,61 @@ def random_search_cv(t):
 def grid_search_auc(t):
     """All choices, judged on the validation stays by the area."""
     rows, choices = flat_set(t), models.sample_grid(models.LOGISTIC_GRID, None)
-    model, metrics = models.grid_search(models.logistic(1.0, tol=1e-4), choices, _part(rows, "train"), _part(rows, "valid"), scheme="balanced", parallelism=8)
+    model, metrics = models.grid_search(models.logistic(1.0), choices, _part(rows, "train"), _part(rows, "valid"), scheme="balanced", parallelism=8)
     return _search_facts(model, metrics, choices)
 
 
+def _rounded_set(t):
+    """The flat set with the values as an array, rounded so that equal ones are equal in SQL too."""
+    rows = flat_set(t).withColumn("features", F.transform(vector_to_array("features"), lambda v: F.round(v, 9)))
+    return cut_lineage(rows)
+
+
+_FIRST_SPLIT = f"""{_CELLS},
+c AS (SELECT stay_id, label, step * 2 + f AS pos, round(value, 9) AS v FROM cells WHERE split = 'train'),
+r AS (SELECT coalesce(round(count(*) FILTER (label = 0)::DOUBLE / nullif(count(*) FILTER (label = 1), 0), 1), 1.0) AS ratio FROM stays WHERE split = 'train'),
+s AS (SELECT pos, v, CASE label WHEN 1 THEN -0.5 * ratio ELSE 0.5 END AS g, CASE label WHEN 1 THEN 0.25 * ratio ELSE 0.25 END AS h FROM c, r),
+b AS (SELECT pos, v, sum(g) AS g, sum(h) AS h FROM s GROUP BY 1, 2),
+u AS (SELECT pos, v, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER (PARTITION BY pos) AS g, sum(h) OVER (PARTITION BY pos) AS h
+  FROM b WINDOW w AS (PARTITION BY pos ORDER BY v)),
+e AS (SELECT *, round(gl * gl / (hl + 1) + (g - gl) * (g - gl) / (h - hl + 1) - g * g / (h + 1), 9) AS gain FROM u WHERE hl >= 3 AND h - hl >= 3),
+best AS (SELECT * FROM e WHERE gain > 1e-6 ORDER BY gain DESC, pos, v LIMIT 1),
+root AS (SELECT sum(g) AS g, sum(h) AS h FROM b WHERE pos = 0)"""
+
+
+@query(
+    "boosted_first_split",
+    f"""{_FIRST_SPLIT}
+SELECT 1 AS node, pos::INTEGER AS feature, round(v, 6) AS cut, round(gain, 6) AS gain, round(root.h, 6) AS cover, round(-root.g / (root.h + 1) * 0.1, 6) AS value
+FROM root LEFT JOIN best ON true
+UNION ALL SELECT 2, NULL, NULL, NULL, round(hl, 6), round(-gl / (hl + 1) * 0.1, 6) FROM best
+UNION ALL SELECT 3, NULL, NULL, NULL, round(h - hl, 6), round(-(g - gl) / (h - hl + 1) * 0.1, 6) FROM best""",
+)
+def boosted_first_split(t):
+    """The first split of second-order boosting on the training stays: feature, cut, gain, summed Hessians and leaf values."""
+    rows = _part(_rounded_set(t), "train")
+    model = boosting.fit_trees(rows, key=KEY, trees=1, depth=1, gamma=0, rows=1.0, columns=1.0, min_child=3)
+    table = model.table(t.spark).select("node", "feature", "cut", "gain", "cover", "value")
+    return rounded(table, "cut", "gain", "cover", "value")
+
+
+@query(
+    "boosted_attribution",
+    f"""{_FIRST_SPLIT},
+node AS (SELECT pos, v AS cut, -gl / (hl + 1) * 0.1 AS lower, -(g - gl) / (h - hl + 1) * 0.1 AS upper, hl, h FROM best),
+root_value AS (SELECT coalesce((SELECT (lower * hl + upper * (h - hl)) / h FROM node), -g / (h + 1) * 0.1) AS expected FROM root)
+SELECT stay_id, NULL::INTEGER AS feature, round(expected, 6) AS value FROM stays, root_value WHERE split = 'test'
+UNION ALL
+SELECT stay_id, n.pos::INTEGER, round(CASE WHEN round(value, 9) <= cut THEN lower ELSE upper END - expected, 6)
+FROM cells t JOIN node n ON step * 2 + f = n.pos, root_value WHERE t.split = 'test'""",
+)
+def boosted_attribution(t):
+    """What the first split adds to each test stay, and the expected value of the root."""
+    rows = _rounded_set(t)
+    model = boosting.fit_trees(_part(rows, "train"), key=KEY, trees=1, depth=1, gamma=0, rows=1.0, columns=1.0, min_child=3)
+    return rounded(boosting.attributions(model, _part(rows, "test"), [KEY]), "value")
+
+
 def continuous_set(t):
     """A row per grid step with features of the stay's history so far."""
     made = grid.history_features(labelled_grid(t, STAGE), KEY, TS, FEATURES, [1, 4], [8])

@@ -159,7 +159,7 @@ def best_rounds(losses: list[float], patience: int) -> int:
 
 
 def fit_boosted(
-    train: DataFrame, valid: DataFrame | None = None, scheme: str | None = "positive", patience: int = 10, **params
+    train: DataFrame, valid: DataFrame | None = None, scheme: str | None = "positive", patience: int = 40, **params
 ) -> PipelineModel:
     """Boosted trees; with ``valid`` rows the rounds stop where their loss has not fallen for ``patience`` rounds.
 
