@@ -302,10 +302,11 @@ def near_duplicates(
     total, largest = weights.df.agg(F.coalesce(F.sum("weight"), F.lit(0)), F.coalesce(F.max("weight"), F.lit(0))).first()
     bins = 1 + total // block_shingles
     placed = members.df.join(weights.df, "root")
-    # rows with one id, or none, are told apart by their fingerprint; of equal ones one text is enough, so the join is one to one
+    # rows with one id, or none, are told apart by their fingerprint; of equal ones one text is enough
     source = pick(docs, id=id_or_lowest(F.col(doc_id)), print=fingerprint(F.col(text)), text=F.col(text).cast("string"))
     # the same plan at every size: texts are shuffled to the members, however few these are
-    texts = source.dropDuplicates(["id", "print"]).join(placed.hint("merge"), ["id", "print"]).select("key", "node", "root", "weight", "text")
+    met = source.join(placed.hint("merge"), ["id", "print"]).dropDuplicates(["id", "print", "node"])
+    texts = met.select("key", "node", "root", "weight", "text")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows_of(batches):
