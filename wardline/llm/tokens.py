@@ -38,7 +38,7 @@ SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 64 << 10
 # Words a worker remembers; a full memory is emptied.
-MAX_WORDS = 1_000_000
+MAX_WORDS = 500_000
 
 FILE_SCHEMA = "part int, seq int, first_id bigint, n_docs int, n_tokens bigint, content binary"
 
