@@ -195,6 +195,15 @@ def test_token_files_hold_what_the_tokenizer_says(spark):
     assert tokens.read_document(spark, path, 10_000) == []
 
 
+def test_a_small_memory_of_words_gives_the_same_ids():
+    plain, rng = Tokenizer.from_file(TOKENIZER), random.Random(3)
+    small = tokens.Encoder(TOKENIZER, 2, max_words=20)
+    for _ in range(50):
+        text = " ".join(rng.choice(["tree", "Baum,", "a\nb", "x9", "\u00e9t\u00e9."]) + str(rng.randrange(60)) * rng.randrange(2) for _ in range(30))
+        assert np.frombuffer(small.ids(text), "<u2").tolist() == plain.encode(text, add_special_tokens=False).ids
+        assert len(small.words) <= 21 and len(small.words.pieces) <= 3
+
+
 def test_token_file_knows_its_dictionary():
     content = tokens.pack([1, None], [1, 0], [tokens._compressor(b"").compress(b"\1\0"), tokens._compressor(b"").compress(b"")], 2, tokens.hashlib.sha256(b"").digest())
     file = tokens.TokenFile(content, b"")

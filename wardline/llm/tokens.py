@@ -38,7 +38,7 @@ SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 64 << 10
 # Words a worker remembers; a full memory is emptied.
-MAX_WORDS = 500_000
+MAX_WORDS = 1_000_000
 
 FILE_SCHEMA = "part int, seq int, first_id bigint, n_docs int, n_tokens bigint, content binary"
 
@@ -46,18 +46,18 @@ _LETTERS, _MARKS = "[A-Za-zÀ-ÖØ-öø-ÿ]+", "[.,;:!?]+"
 _SIMPLE = re.compile(rf"({_LETTERS})({_MARKS})?((?:\n{_LETTERS}(?:{_MARKS})?)*)")
 _AFTER = re.compile(rf"\n|{_LETTERS}|{_MARKS}")
 _BLANK = "\u0120"  # stands for a blank in a byte-level vocabulary
-_WORKER: dict[tuple[str, int], "Encoder"] = {}
+_WORKER: dict[tuple[str, int, int], "Encoder"] = {}
 
 
 class Pieces(dict):
     """Serialised ids of pieces of the pre-tokenizer, straight from the merges."""
 
-    def __init__(self, tokenizer, code: str):
+    def __init__(self, tokenizer, code: str, limit: int):
         super().__init__()
-        self.merge, self.code, self.letters = tokenizer.model.tokenize, code, _byte_letters()
+        self.merge, self.code, self.letters, self.limit = tokenizer.model.tokenize, code, _byte_letters(), limit
 
     def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MAX_WORDS // 10:
+        if len(self) >= self.limit:
             self.clear()
         made = self[piece] = self.encode(piece)
         return made
@@ -74,14 +74,14 @@ class Words(dict):
     pre-tokenizer cuts these into pieces as ``_SIMPLE`` does. All others go through the tokenizer.
     """
 
-    def __init__(self, tokenizer, code: str):
+    def __init__(self, tokenizer, code: str, limit: int):
         super().__init__()
-        self.tokenizer, self.code, self.pieces = tokenizer, code, Pieces(tokenizer, code)
+        self.tokenizer, self.code, self.limit, self.pieces = tokenizer, code, limit, Pieces(tokenizer, code, limit // 10)
 
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace() or word[-1].isspace():
             raise KeyError(word)  # white space next to a blank
-        if len(self) >= MAX_WORDS:
+        if len(self) >= self.limit:
             self.clear()
         if word.isascii() and word.isalpha():
             made = array(self.code, [t.id for t in self.pieces.merge(_BLANK + word)]).tobytes()
@@ -142,14 +142,14 @@ class Encoder:
     not depend on the rest. Texts with white space next to a blank go through the library as a whole.
     """
 
-    def __init__(self, path: str, width: int):
+    def __init__(self, path: str, width: int, max_words: int = MAX_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.code = "H" if width == 2 else "I"
         # what is said above holds for this pre-tokenizer alone; other files go through the library text by text
         self.plain = plain_bytes(self.tokenizer)
-        self.words = Words(self.tokenizer, self.code)
+        self.words = Words(self.tokenizer, self.code, max_words)
 
     def _whole(self, text: str) -> bytes:
         return array(self.code, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -168,15 +168,16 @@ class Encoder:
             return self._whole(text)
 
 
-def encoder(path: str, width: int) -> Encoder:
-    """One per Python worker and tokenizer file."""
+def encoder(path: str, width: int, max_words: int = MAX_WORDS) -> Encoder:
+    """One per Python worker, tokenizer file and number of words to remember."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if (path, width) not in _WORKER:
-        _WORKER[path, width] = Encoder(path, width)
-    return _WORKER[path, width]
+    key = (path, width, max_words)
+    if key not in _WORKER:
+        _WORKER[key] = Encoder(*key)
+    return _WORKER[key]
 
 
-def train_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
+def train_dictionary(docs: DataFrame, path: str, width: int, max_words: int = MAX_WORDS) -> bytes:
     """Dictionary for id arrays; a plain concatenation where there is too little to train on.
 
     The sample is the beginning of the first ``SAMPLE_DOCS`` documents that a scan delivers, so that only
@@ -184,7 +185,7 @@ def train_dictionary(docs: DataFrame, path: str, width: int) -> bytes:
     """
     texts = docs.filter(F.length("text") > 0).select(F.substring("text", 1, SAMPLE_CHARS)).limit(SAMPLE_DOCS)
     rows = texts.collect()
-    made = encoder(path, width)
+    made = encoder(path, width, max_words)
     arrays = [made.ids(r[0]) for r in rows]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, arrays).as_bytes()
@@ -245,22 +246,24 @@ class TokenFile:
 def write_token_files(
     docs: DataFrame, path: str, tokenizer_path: str, end_id: int = END_ID, vocabulary: int | None = None,
     file_bytes: int = FILE_BYTES, doc_id: str = "doc_id", text: str = "text",
+    max_words: int = MAX_WORDS,
 ) -> None:
     """Encode every whole text, append ``end_id``, and write files in ascending order of doc_id.
 
     Null and empty texts give the end id alone. Rows of one doc_id stay next to each other, null ids
     come first; an empty table gives no file. Other columns are not read. The width of an id follows from the
-    tokenizer file unless the size of the ``vocabulary`` is given.
+    tokenizer file unless the size of the ``vocabulary`` is given. ``max_words`` bounds the words that a
+    worker remembers (250 bytes each), which costs time, not rows.
     """
     width = id_width(tokenizer_path, end_id) if vocabulary is None else 2 if vocabulary <= 1 << 16 else 4
     narrow = pick(docs, doc_id=F.col(doc_id).cast("bigint"), text=F.col(text).cast("string"))
-    dictionary = train_dictionary(narrow, tokenizer_path, width)
+    dictionary = train_dictionary(narrow, tokenizer_path, width, max_words)
     digest, end = hashlib.sha256(dictionary).digest(), end_id.to_bytes(width, "little")
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(dictionary)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, squeeze, part = encoder(tokenizer_path, width), _compressor(shared.value), TaskContext.get().partitionId()
+        made, squeeze, part = encoder(tokenizer_path, width, max_words), _compressor(shared.value), TaskContext.get().partitionId()
         ids, counts, frames, size, seq = [], [], [], 0, 0
 
         def flush() -> pa.RecordBatch:
