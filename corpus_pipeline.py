@@ -16,6 +16,8 @@ from wardline.llm.queries import train_toxicity
 
 # Words of a shingle in the stage of near-duplicates.
 SHINGLE = 5
+# Words a worker remembers while it encodes; the workers of the earlier stages hold memory of their own.
+MAX_WORDS = 500_000
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +60,7 @@ def token_files(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ship(spark)
     path = work_folder(spark)
-    tokens.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    tokens.write_token_files(docs, path, public_tokenizers.path("byte_bpe_50k.json"), max_words=MAX_WORDS)
     return tokens.read_token_files(spark, path)
 
 
