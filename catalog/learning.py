@@ -15,7 +15,7 @@ from pyspark.sql import Window, functions as F
 
 from catalog.registry import labelled_sql, query, rounded
 from catalog.timeline import FIRST_ONSET, KEY, TS, labelled_grid
-from wardline.operators import boosting, evaluate, features, grid, importance, models, sequences
+from wardline.operators import boosting, evaluate, features, forest as forests, grid, importance, models, sequences
 from wardline.operators.cohort import assign_split
 from wardline.operators.labels import first_onset
 from wardline.plans import study
@@ -266,6 +266,39 @@ def boosted_attribution(t):
     return rounded(boosting.attributions(model, _part(rows, "test"), [KEY]), "value")
 
 
+_FOREST_FIRST = f"""{_CELLS},
+c AS (SELECT label, step * 2 + f AS pos, round(value, 9) AS v FROM cells WHERE split <> 'test'),
+size AS (SELECT max(pos) + 1 AS width, greatest(1, floor(sqrt(max(pos) + 1))) AS taken FROM c),
+b AS (SELECT pos, v, count(*) AS n, sum(label) AS p FROM c GROUP BY 1, 2),
+u AS (SELECT pos, v, sum(n) OVER w AS nl, sum(p) OVER w AS pl, sum(n) OVER (PARTITION BY pos) AS n, sum(p) OVER (PARTITION BY pos) AS p
+  FROM b WINDOW w AS (PARTITION BY pos ORDER BY v)),
+e AS (SELECT *, round((2.0 * p * (n - p) / n - 2.0 * pl * (nl - pl) / nl - 2.0 * (p - pl) * (n - nl - p + pl) / (n - nl)) / n, 9) AS gain
+  FROM u WHERE nl >= 2 AND n - nl >= 2 AND n >= 10 AND p > 0 AND p < n),
+per AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY pos ORDER BY gain DESC, v) AS k FROM e) WHERE k = 1),
+tree AS (SELECT unnest(range(700)) AS tree),
+drawn AS (SELECT tree, pos, row_number() OVER (PARTITION BY tree ORDER BY md5('42|' || tree || '||' || pos)) > taken AS later, width
+  FROM tree, size, (SELECT DISTINCT pos FROM c)),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY later, gain DESC, pos) AS place FROM drawn JOIN per USING (pos)) WHERE place = 1),
+root AS (SELECT sum(n) AS n, sum(p) AS p FROM b WHERE pos = 0)
+SELECT tree::INTEGER AS tree, root.n::BIGINT AS n, root.p::BIGINT AS positives, pos::INTEGER AS feature, round(v, 6) AS cut, round(gain, 6) AS gain,
+  nl::BIGINT AS lower_n, pl::BIGINT AS lower_positives, (root.n - nl)::BIGINT AS upper_n, (root.p - pl)::BIGINT AS upper_positives, true AS bounds_kept
+FROM tree LEFT JOIN best USING (tree), root"""
+
+
+@query("forest_first_splits", _FOREST_FIRST)
+def forest_first_splits(t):
+    """The published forest (depth 40, split minimum 10): first split of every tree, and whether all nodes keep the bounds."""
+    model = forests.fit_forest(_part(_rounded_set(t), "train", "valid"), key=KEY, **forests.FOREST)
+    nodes = cut_lineage(model.table(t.spark))
+    inner = F.col("left").isNotNull()
+    kept = (F.col("n") >= F.when(F.col("node") > 0, 2).otherwise(0)) & (F.col("depth") <= 40) & (~inner | (F.col("n") >= 10))
+    bounds = nodes.groupBy("tree").agg(F.bool_and(kept).alias("bounds_kept"))
+    root = nodes.filter("depth = 0").drop("depth", "node")
+    child = lambda side, name: nodes.select("tree", F.col("node").alias(side), F.col("n").alias(f"{name}_n"), F.col("positives").alias(f"{name}_positives"))
+    whole = root.join(child("left", "lower"), ["tree", "left"], "left").join(child("right", "upper"), ["tree", "right"], "left")
+    return rounded(whole.drop("left", "right").join(bounds, "tree"), "cut", "gain")
+
+
 def continuous_set(t):
     """A row per grid step with features of the stay's history so far."""
     made = grid.history_features(labelled_grid(t, STAGE), KEY, TS, FEATURES, [1, 4], [8])
