@@ -212,6 +212,18 @@ def test_token_file_knows_its_dictionary():
         tokens.TokenFile(content, b"other")
 
 
+def test_dictionary_does_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "SAMPLE_DOCS", 40)
+    monkeypatch.setattr(tokens, "SAMPLE_CHARS", 300)
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(["wolf", "river", "stone", "Mühle", "of", "the", "ÿ"], k=rng.choice([0, 5, 400]))) for _ in range(200)]
+    rows = [(i if i % 3 else None, t if i % 11 else None) for i, t in enumerate(texts)] + [(7, "twice")] * 3
+    kind = "doc_id bigint, text string"
+    one = tokens.train_dictionary(spark.createDataFrame(rows, kind).coalesce(1), TOKENIZER, 2)
+    two = tokens.train_dictionary(spark.createDataFrame(rows[::-1], kind).repartition(5), TOKENIZER, 2)
+    assert one == two and one
+
+
 def test_no_documents_give_no_tokens(spark):
     path = work_folder(spark)
     tokens.write_token_files(documents(spark, []), path, TOKENIZER)

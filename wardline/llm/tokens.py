@@ -33,7 +33,7 @@ from wardline.llm.common import pick, rows_of
 MAGIC = b"WLTK1"
 END_ID = 0
 FILE_BYTES = 8 << 20
-# The dictionary is fitted on the first ids of so many documents.
+# The dictionary is fitted on so many documents, and on so many characters of a longer one.
 SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 8192
 DICTIONARY_BYTES = 64 << 10
@@ -180,11 +180,15 @@ def encoder(path: str, width: int, max_words: int = MAX_WORDS) -> Encoder:
 def train_dictionary(docs: DataFrame, path: str, width: int, max_words: int = MAX_WORDS) -> bytes:
     """Dictionary for id arrays; a plain concatenation where there is too little to train on.
 
-    The sample is the beginning of the first ``SAMPLE_DOCS`` documents that a scan delivers, so that only
-    a few tasks run. It shapes the compression only; every document is written whole.
+    The sample is the ``SAMPLE_DOCS`` documents of smallest hash among all, whatever the order of the rows, and of a
+    text longer than ``SAMPLE_CHARS`` a passage of that length at a hashed place. It shapes the compression only;
+    every document is written whole.
     """
-    texts = docs.filter(F.length("text") > 0).select(F.substring("text", 1, SAMPLE_CHARS)).limit(SAMPLE_DOCS)
-    rows = texts.collect()
+    room = F.length("text") - SAMPLE_CHARS
+    begin = F.when(room > 0, F.pmod(F.col("h"), room + 1)).otherwise(0).cast("int")
+    hashed = docs.filter(F.length("text") > 0).select(F.xxhash64("doc_id", "text").alias("h"), "text")
+    passages = hashed.select("h", F.substring("text", begin + 1, F.lit(SAMPLE_CHARS)).alias("passage"))
+    rows = passages.orderBy("h", "passage").limit(SAMPLE_DOCS).select("passage").collect()
     made = encoder(path, width, max_words)
     arrays = [made.ids(r[0]) for r in rows]
     try:
