@@ -184,9 +184,11 @@ def train_dictionary(docs: DataFrame, path: str, width: int, max_words: int = MA
     text longer than ``SAMPLE_CHARS`` a passage of that length at a hashed place. It shapes the compression only;
     every document is written whole.
     """
+    # rows below the bound are some three times the sample, so tasks neither cut nor send many more
+    bound = min(2**63 - 1, round(3 * SAMPLE_DOCS / max(1, docs.count()) * 2**64) - 2**63)
     room = F.length("text") - SAMPLE_CHARS
     begin = F.when(room > 0, F.pmod(F.col("h"), room + 1)).otherwise(0).cast("int")
-    hashed = docs.filter(F.length("text") > 0).select(F.xxhash64("doc_id", "text").alias("h"), "text")
+    hashed = docs.select(F.xxhash64("doc_id", "text").alias("h"), "text").filter((F.col("h") <= bound) & (F.length("text") > 0))
     passages = hashed.select("h", F.substring("text", begin + 1, F.lit(SAMPLE_CHARS)).alias("passage"))
     rows = passages.orderBy("h", "passage").limit(SAMPLE_DOCS).select("passage").collect()
     made = encoder(path, width, max_words)
