@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from wardline.operators.scans import SLICE, attach, number_rows, rank_rows, split_large
+from wardline.operators import scans
+from wardline.operators.scans import SLICE, Running, attach, number_rows, rank_rows, running, split_large
 
 
 @pytest.fixture(scope="module")
@@ -75,3 +76,14 @@ def test_rank_rows(spark, skewed):
     w = Window.partitionBy("k")
     expected = known.withColumn("r", F.row_number().over(w.orderBy("v"))).withColumn("n", F.count("*").over(w))
     assert rows(ranked, "k", "v", "r", "n") == rows(expected, "k", "v", "r", "n")
+
+
+def test_a_small_limit_gives_a_bounded_number_of_slices(spark, monkeypatch):
+    """Tasks must not grow with rows over a small limit; running values are the same as without slices."""
+    monkeypatch.setattr(scans, "MAX_SLICES", 6)
+    df = spark.range(2_000).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"), F.when(F.col("id") % 5 == 0, F.col("id")).alias("v"))
+    sliced, cut = split_large(df, ["k"], "t", 10)
+    assert cut and 3 <= sliced.select(SLICE).distinct().count() <= 6
+    last = {"w": Running("last", F.col("v"))}
+    plain = running(split_large(df, ["k"], "t", None)[0], ["k"], "t", last, sliced=False)
+    assert rows(running(sliced, ["k"], "t", last), "k", "t", "w") == rows(plain, "k", "t", "w")

@@ -24,6 +24,8 @@ _SEGMENT = 300.0
 
 # Rows of one group above which the group is cut into slices.
 MAX_GROUP_ROWS = 4_000_000
+# Slices, and with them tasks and files, above which slices get longer instead of more, until they have MAX_GROUP_ROWS rows.
+MAX_SLICES = 96
 
 
 @dataclass(frozen=True)
@@ -40,9 +42,10 @@ def split_large(df: DataFrame, keys: list[str], ts: str, max_rows: int | None =
 
     ``df`` should be reduced as far as it can be: it is stored and its groups are counted, which runs
     at once. With a group of more than ``max_rows`` rows the rows are dealt out by ranges of (keys,
-    ts) that Spark samples, so slices have like numbers of rows however the moments are spread. The
-    second result tells whether that happened; then the sliced rows are stored, because the scans
-    read them more than once.
+    ts) that Spark samples, so slices have like numbers of rows however the moments are spread. A
+    ``max_rows`` that would give more than ``MAX_SLICES`` slices gives longer ones. The second result
+    tells whether that happened; then the sliced rows are stored, because the scans read them more
+    than once.
     """
     plain = {SLICE: F.lit(0), _SPLIT: F.lit(False)}
     if max_rows is None:
@@ -52,7 +55,8 @@ def split_large(df: DataFrame, keys: list[str], ts: str, max_rows: int | None =
     rows, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
     if not rows or largest <= max_rows:
         return stored.withColumns(plain), False
-    parts = max(2, math.ceil(1.5 * rows / max_rows))
+    wanted, needed = (math.ceil(1.5 * rows / n) for n in (max_rows, MAX_GROUP_ROWS))
+    parts = max(2, min(wanted, max(MAX_SLICES, needed)))
     dealt = stored.repartitionByRange(parts, *keys, ts).withColumn(SLICE, F.spark_partition_id())
     sliced = cut_lineage(dealt)
     # a struct compares equal to another one with nulls at the same places
