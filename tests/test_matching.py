@@ -76,6 +76,23 @@ def test_intervals_at_against_brute_force(spark):
         assert r.n_intervals == len(mine) and (r.starttime, r.endtime, r.kind) == (min(mine) if mine else (None, None, None))
 
 
+@pytest.mark.parametrize("plain, per_bin", [(0, 1), (20, 4), (1000, 4)])
+def test_keys_and_bins_of_many_intervals(spark, monkeypatch, plain, per_bin):
+    """Keys with few intervals are not binned, full bins are dealt out in parts: the matches are the same, each found once."""
+    monkeypatch.setattr(intervals, "PLAIN_INTERVALS", plain)
+    monkeypatch.setattr(intervals, "BIN_INTERVALS", per_bin)
+    rng = random.Random(12)
+    spans = [(rng.choice([1, 1, 1, 2, None]), at(a := rng.uniform(0, 300)), at(a + rng.choice([0, 1, 30, 400])), i % 3) for i in range(120)]
+    spans += [(2, at(10), at(20), 7)] * 9 + [(4, at(0), at(1), 0)]
+    moments = [(rng.choice([1, 2, 3, 4, None]), at(rng.uniform(-10, 500))) for _ in range(60)] + [(2, at(10)), (2, at(20)), (4, at(1))]
+    times = frame(spark, "stay_id long, charttime timestamp_ntz", moments + moments[:9])
+    table = frame(spark, "stay_id long, starttime timestamp_ntz, endtime timestamp_ntz, kind int", spans)
+    expected = brute_matches(moments, spans)
+    assert rows(intervals.intervals_at(times, table, ["stay_id"]), "stay_id", "charttime", "starttime", "endtime", "kind") == expected
+    first = intervals.first_interval_at(times, table, ["stay_id"], columns=["kind"]).collect()
+    assert len(first) == len(set(moments)) and sum(r.n_intervals for r in first) == len(expected)
+
+
 def test_intervals_at_of_empty_tables(spark):
     times = frame(spark, "k long, charttime timestamp_ntz", [(1, at(0))])
     none = frame(spark, "k long, starttime timestamp_ntz, endtime timestamp_ntz", [])

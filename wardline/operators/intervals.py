@@ -165,9 +165,12 @@ def join_flags(flags: list[DataFrame], keys: list[str]) -> DataFrame:
     return out
 
 
-# Hours that the shortest bins of intervals are wide; each level is four times as wide.
+# Hours that the shortest bins of intervals are wide; each level is twice as wide.
 _BIN_HOURS = 1.0
-_BIN_FACTOR = 4.0
+_BIN_FACTOR = 2.0
+# Intervals of a key up to which a moment is held against all of them, and of a bin up to which it is not dealt out.
+PLAIN_INTERVALS = 256
+BIN_INTERVALS = 8192
 
 
 def intervals_at(
@@ -180,31 +183,42 @@ def intervals_at(
 ) -> DataFrame:
     """Every distinct (keys, time) with every interval it lies in: one row per match, all columns of the intervals.
 
-    Both ends belong to an interval. A range join by bins: an interval goes to the level whose bins
-    are just as wide as it is long, where it touches two bins at most, and a moment has one bin
-    on each level. So long and short intervals cost the same, the rows of one key spread over its
-    bins, and a match is found once. Levels grow by a factor, there are a few dozen at most. Moments and
-    intervals with a null key or bound match nothing.
+    Both ends belong to an interval. The intervals are stored and counted, which runs at once. A key with few
+    intervals is joined as it is. For the others it is a range join by bins: an interval goes to the level whose
+    bins are just as wide as it is long, where it touches two bins at most, and a moment has one bin on each
+    level its key has. So long and short intervals cost the same, the rows of one key spread over its bins, and
+    a match is found once. A bin of many intervals is dealt out in parts, and its moments go to each of them.
+    Moments and intervals with a null key or bound match nothing.
     """
+    return _matches(times.select(*keys, ts).dropna().distinct(), intervals, keys, ts, start, end)
+
+
+def _matches(moments: DataFrame, intervals: DataFrame, keys: list[str], ts: str, start: str, end: str) -> DataFrame:
     length = hours_between(start, end)
     level = F.when(length <= _BIN_HOURS, 0).otherwise(F.ceil(F.log(_BIN_FACTOR, length / F.lit(_BIN_HOURS)))).cast("int")
-    valid = intervals.dropna(subset=[*keys, start, end]).filter(F.col(start) <= F.col(end)).withColumn("__level", level)
+    known = intervals.dropna(subset=[*keys, start, end]).filter(F.col(start) <= F.col(end))
+    valid = cut_lineage(known.withColumns({"__own": level, "__id": F.monotonically_increasing_id()}))
+    many = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.collect_set("__own").alias("__levels"))
+    large = cut_lineage(many.filter(F.col("__n") > PLAIN_INTERVALS).drop("__n"))
 
     def bin_of(moment: str):
-        return F.floor(epoch_micros(moment) / (F.pow(F.lit(_BIN_FACTOR), "__level") * F.lit(_BIN_HOURS * 3.6e9)))
-
-    binned = valid.withColumn("__bin", F.explode(F.sequence(bin_of(start), bin_of(end))))
-    highest = valid.agg(F.coalesce(F.max("__level"), F.lit(-1))).scalar()
-    levels = F.when(F.col("__highest") >= 0, F.sequence(F.lit(0), F.col("__highest"))).otherwise(F.expr("cast(array() as array<int>)"))
-    moments = (
-        times.select(*keys, ts).dropna().distinct().withColumn("__highest", highest)
-        .select(*keys, ts, F.explode(levels).alias("__level"))
-        .withColumn("__bin", bin_of(ts))
-    )
-    # joined on a struct, both sides are shuffled by the join itself and a hot bin can be split
-    key = F.struct(*keys, "__level", "__bin").alias("__at")
+        wide = F.pow(F.lit(_BIN_FACTOR), "__level") * F.lit(_BIN_HOURS * 3.6e9)
+        return F.when(F.col("__level") < 0, F.lit(0).cast("bigint")).otherwise(F.floor(epoch_micros(moment) / wide))
+
+    leveled = attach(valid, large, keys, "left").withColumn("__level", F.when(F.col("__levels").isNull(), -1).otherwise(F.col("__own")))
+    binned = leveled.withColumn("__bin", F.explode(F.sequence(bin_of(start), bin_of(end)))).drop("__levels", "__own")
+    place = [*keys, "__level", "__bin"]
+    counts = binned.filter("__level >= 0").groupBy(*place).agg(F.count(F.lit(1)).alias("__n"))
+    full = cut_lineage(counts.filter(F.col("__n") > BIN_INTERVALS).select(*place, F.ceil(F.col("__n") / BIN_INTERVALS).cast("int").alias("__parts")))
+    dealt = attach(binned, full, place, "left").withColumn("__part", F.coalesce(F.pmod("__id", "__parts"), F.lit(0)).cast("int"))
+    levels = F.coalesce("__levels", F.array(F.lit(-1)))
+    asked = attach(moments, large, keys, "left").select(*keys, ts, F.explode(levels).alias("__level")).withColumn("__bin", bin_of(ts))
+    parts = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1)
+    asked = attach(asked, full, place, "left").withColumn("__part", F.explode(parts))
+    # joined on a struct, both sides are shuffled by the join itself and a hot part can be split
+    key = F.struct(*place, "__part").alias("__at")
     values = [c for c in intervals.columns if c not in keys]
-    found = moments.select(key, ts).join(binned.select(key, *values), "__at")
+    found = asked.select(key, ts).join(dealt.select(key, *values), "__at")
     inside = found.filter((F.col(start) <= F.col(ts)) & (F.col(ts) <= F.col(end)))
     return inside.select(*[F.col("__at")[k].alias(k) for k in keys], ts, *values)
 
@@ -223,8 +237,8 @@ def first_interval_at(
     The earliest has the lowest start, then end, then further columns; its columns are null if there is none.
     """
     kept = [start, end, *(c for c in columns or [] if c not in (start, end))]
-    matches = intervals_at(times, intervals.select(*keys, *kept), keys, ts, start, end)
+    asked = cut_lineage(times.select(*keys, ts).distinct())
+    matches = _matches(asked.dropna(), intervals.select(*keys, *kept), keys, ts, start, end)
     first = matches.groupBy(*keys, ts).agg(F.count(F.lit(1)).alias("n_intervals"), F.min(F.struct(*kept)).alias("__first"))
-    asked = times.select(*keys, ts).distinct()
     joined = attach(asked, first, [*keys, ts], "left")
     return joined.select(*keys, ts, F.coalesce("n_intervals", F.lit(0)).alias("n_intervals"), *[F.col("__first")[c].alias(c) for c in kept])
