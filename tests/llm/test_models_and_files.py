@@ -66,6 +66,21 @@ def test_training_raises_the_likelihood():
         last, model = logs.sum(), hmm.Model.from_counts(*counts, share)
 
 
+def test_first_iteration_reads_every_text(monkeypatch):
+    """Long texts and many texts count too, and the counts by turns are a better start than those of chance alone."""
+    monkeypatch.setattr(hmm, "FIRST_TOKENS", 500)
+    rng = np.random.default_rng(4)
+    texts = [np.append(np.where(np.arange(n) % 2, 1, 0) + 2 * rng.integers(0, 4, n), hmm.END_CLASS).astype(np.uint16) for n in [3000, *[20] * 1600]]
+    share = np.bincount(np.concatenate(texts), minlength=hmm.CLASSES) + 0.01
+    share, fresh = share / share.sum(), hmm.Model.fresh(share / share.sum())
+    total = hmm._counts_by_turns(fresh, texts, share)
+    assert total[: hmm.CLASSES].sum() == pytest.approx(sum(map(len, texts))) and total[hmm.CLASSES].sum() == pytest.approx(len(texts))
+    once = hmm.Model.from_counts(*hmm.forward_backward(fresh, texts)[1], share)
+    turns = hmm.Model.from_counts(total[hmm.CLASSES], total[hmm.CLASSES + 1 :], total[: hmm.CLASSES], share)
+    likely = lambda m: hmm.forward_backward(m, texts, learn=False)[0].sum()
+    assert likely(turns) > likely(once)
+
+
 def test_language_model_scores(spark):
     texts = [made_up(i % 7, 30) + " Extra" for i in range(40)] + [None, "", " \n", "unseen", "UNSEEN words", "x\x0by"]
     df = documents(spark, texts, CLASSES_CLASH).repartition(3)

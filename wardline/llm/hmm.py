@@ -8,8 +8,9 @@ is one of the most frequent words, the end, or the rarer and unknown words with
   their own. Words and counts of all blocks are summed into the corpus counts by a shuffle, and the
   counts a block needs come back to it by its number.
 * Baum-Welch: every task runs the scaled forward and backward recursions over its blocks and adds
-  up expected counts; these are summed over the tasks. A short warm-up on a bounded sample finds
-  starting values, then every iteration runs over all training texts.
+  up expected counts; these are summed over the tasks. Every iteration runs over all training texts. In
+  the first, which starts from states that differ by chance only, a block takes its texts in small turns, and
+  each turn is judged by what the turns before it have taught.
 * The score is the exact likelihood: scaled forward recursion over a whole text, in log10.
 """
 
@@ -32,12 +33,13 @@ TOP_WORDS = 8192
 TAIL_CLASSES = 4096
 END_CLASS = TOP_WORDS + TAIL_CLASSES
 CLASSES = END_CLASS + 1
+# Iterations after the first one, which goes by turns.
 ITERATIONS = 2
-# The warm-up reads so many texts of at most so many characters, so often.
-WARM_TEXTS, WARM_CHARS, WARM_ITERATIONS = 1500, 10_000, 10
 BLOCK_BYTES = 20 << 20
 # Tokens of the texts that go through the recursions together, unless one text has more.
 TURN_TOKENS = 1 << 19
+# The same in the first iteration.
+FIRST_TOKENS = 1 << 18
 # Weight of the corpus-wide class shares in the emissions of a state.
 PRIOR = 20.0
 END = b"\n"  # no word holds it
@@ -180,17 +182,27 @@ def _texts(classes: bytes, lengths: list[int]) -> list[np.ndarray]:
     return np.split(np.frombuffer(classes, np.uint16), np.cumsum(lengths)[:-1])
 
 
-def _turns(texts: list[np.ndarray]) -> Iterator[np.ndarray]:
+def _turns(texts: list[np.ndarray], tokens: int = TURN_TOKENS) -> Iterator[np.ndarray]:
     """The texts' numbers in parts of like lengths, so that few steps run for a few texts only."""
     lengths = np.array([len(t) for t in texts], np.int64)
     order = np.argsort(-lengths, kind="stable")
-    turn = np.cumsum(lengths[order]) // TURN_TOKENS
+    turn = np.cumsum(lengths[order]) // tokens
     yield from np.split(order, np.flatnonzero(np.diff(turn)) + 1)
 
 
-def _expected(model: Model, coded: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _counts_by_turns(model: Model, texts: list[np.ndarray], share: np.ndarray) -> np.ndarray:
+    """Expected counts over texts in small turns, every turn by a model of the counts so far."""
+    total = np.zeros((CLASSES + 1 + STATES, STATES))
+    for part in _turns(texts, FIRST_TOKENS) if texts else ():
+        start, move, emit = forward_backward(model, [texts[i] for i in part])[1]
+        total += np.concatenate([emit, start[None], move])
+        model = Model.from_counts(total[CLASSES], total[CLASSES + 1 :], total[:CLASSES], share)
+    return total
+
+
+def _expected(model: Model, coded: DataFrame, share: np.ndarray, by_turns: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected counts over all training texts; the result has a row per class, start state and state."""
-    shared = coded.sparkSession.sparkContext.broadcast(model)
+    shared = coded.sparkSession.sparkContext.broadcast((model, share))
     names = [f"s{k}" for k in range(STATES)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,8 +210,11 @@ def _expected(model: Model, coded: DataFrame) -> tuple[np.ndarray, np.ndarray, n
         for batch in batches:
             for row in batch.to_pylist():
                 texts = [t for t, learns in zip(_texts(row["classes"], row["lengths"]), row["train"], strict=True) if learns]
+                if by_turns:
+                    total += _counts_by_turns(shared.value[0], texts, shared.value[1])
+                    continue
                 for part in _turns(texts) if texts else ():
-                    start, move, emit = forward_backward(shared.value, [texts[i] for i in part])[1]
+                    start, move, emit = forward_backward(shared.value[0], [texts[i] for i in part])[1]
                     total += np.concatenate([emit, start[None], move])
         used = np.flatnonzero(total.any(axis=1))
         columns = [pa.array(used.astype(np.int32)), *(pa.array(total[used, k]) for k in range(STATES))]
@@ -213,35 +228,6 @@ def _expected(model: Model, coded: DataFrame) -> tuple[np.ndarray, np.ndarray, n
     return total[CLASSES], total[CLASSES + 1 :], total[:CLASSES]
 
 
-def _warm(coded: DataFrame, share: np.ndarray) -> Model:
-    """Starting values from a bounded sample: training texts with the smallest hashes, none too long."""
-    texts = (
-        coded.select(F.explode(F.arrays_zip("doc_ids", "train", "lengths", F.sequence(F.lit(1), F.size("lengths")).alias("i"))).alias("d"), "block")
-        .filter(F.col("d.train") & (F.col("d.lengths") <= WARM_CHARS // 5))
-        .select("block", F.col("d.i").alias("i"), F.xxhash64("d.doc_ids", "d.lengths").alias("h"))
-        .orderBy("h", "block", "i")
-        .limit(WARM_TEXTS)
-    )
-    wanted = texts.groupBy("block").agg(F.collect_list("i").alias("chosen"))
-    schema = "h bigint, classes binary"
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                arrays = _texts(row["classes"], row["lengths"])
-                found = [arrays[i - 1].tobytes() for i in sorted(row["chosen"])]
-                keys = [row["doc_ids"][i - 1] or 0 for i in sorted(row["chosen"])]
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(found, pa.binary())], names=["h", "classes"])
-
-    # at most WARM_TEXTS rows name the texts
-    rows = coded.join(F.broadcast(wanted), "block").select("doc_ids", "lengths", "classes", "chosen").mapInArrow(run, schema)
-    sample = sorted((r["h"], bytes(r["classes"])) for r in rows.collect())
-    model = Model.fresh(share)
-    for _ in range(WARM_ITERATIONS if sample else 0):
-        model = Model.from_counts(*forward_backward(model, [np.frombuffer(c, np.uint16) for _, c in sample])[1], share)
-    return model
-
-
 def learn_and_score(docs: DataFrame, learns, iterations: int = ITERATIONS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Train on the rows for which ``learns`` (a column of the two columns doc_id and text) is true; score all.
 
@@ -309,9 +295,9 @@ def learn_and_score(docs: DataFrame, learns, iterations: int = ITERATIONS, doc_i
     blocks.delete()
     classes.delete()
 
-    model = _warm(coded.df, share)
-    for _ in range(iterations if n else 0):
-        model = Model.from_counts(*_expected(model, coded.df), share)
+    model = Model.fresh(share)
+    for i in range(iterations + 1 if n else 0):
+        model = Model.from_counts(*_expected(model, coded.df, share, by_turns=i == 0), share)
     fitted = spark.sparkContext.broadcast(model)
     schema = "doc_id bigint, learned boolean, n_tokens bigint, n_known bigint, base_score double, score double"
 
