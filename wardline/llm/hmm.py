@@ -38,8 +38,8 @@ ITERATIONS = 2
 BLOCK_BYTES = 20 << 20
 # Tokens of the texts that go through the recursions together, unless one text has more.
 TURN_TOKENS = 1 << 19
-# The same in the first iteration.
-FIRST_TOKENS = 1 << 18
+# The same in the first iteration, in which a block has so many turns or more, unless these get very short.
+FIRST_TOKENS, FIRST_TURNS, LEAST_TOKENS = 1 << 18, 16, 1 << 12
 # Weight of the corpus-wide class shares in the emissions of a state.
 PRIOR = 20.0
 END = b"\n"  # no word holds it
@@ -193,7 +193,8 @@ def _turns(texts: list[np.ndarray], tokens: int = TURN_TOKENS) -> Iterator[np.nd
 def _counts_by_turns(model: Model, texts: list[np.ndarray], share: np.ndarray) -> np.ndarray:
     """Expected counts over texts in small turns, every turn by a model of the counts so far."""
     total = np.zeros((CLASSES + 1 + STATES, STATES))
-    for part in _turns(texts, FIRST_TOKENS) if texts else ():
+    tokens = min(FIRST_TOKENS, max(LEAST_TOKENS, sum(map(len, texts)) // FIRST_TURNS))
+    for part in _turns(texts, tokens) if texts else ():
         start, move, emit = forward_backward(model, [texts[i] for i in part])[1]
         total += np.concatenate([emit, start[None], move])
         model = Model.from_counts(total[CLASSES], total[CLASSES + 1 :], total[:CLASSES], share)
