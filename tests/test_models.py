@@ -4,7 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tests.helpers import frame, rows
-from wardline.operators import evaluate, importance, models
+from wardline.operators import evaluate, importance, logistic, models
 from wardline.sources import tables
 
 
@@ -124,3 +124,38 @@ def test_attribution_is_coefficient_times_value(spark):
     df = frame(spark, "id int, x array<double>", [(1, [1.0, 2.0, 3.0, 4.0]), (2, [3.0, 2.0, 1.0, 0.0])]).select(array_to_vector("x").alias("features"))
     found = dict(rows(importance.linear_attribution(df, Vectors.dense([1.0, 10.0, 2.0, -1.0]), ["a", "b"])))
     assert found == {"a": pytest.approx((2 * 1 + 2 * 2) / 2), "b": pytest.approx((2 * 10 + 2 * -1) / 2)}
+
+
+def test_searches_fit_all_choices_in_the_same_passes(spark, planted, monkeypatch):
+    """No fit of Spark's but the last one, the values of separate fits, and one objective for both."""
+    fits = []
+    own = models.LogisticRegression._fit
+    monkeypatch.setattr(models.LogisticRegression, "_fit", lambda self, df: fits.append(1) or own(self, df))
+    choices = models.sample_grid({"C": [0.05, 10], "fit_intercept": [True, False], "penalty": ["l1", "l2"]}, None)
+    _, found = models.random_search(models.logistic(1.0), choices, planted, "stay_id", folds=2, metric="auc", scheme="balanced")
+    assert len(fits) == 1
+    values = [r["value"] for r in found.orderBy("run").collect()]
+    parted = models.with_folds(planted, "stay_id", 2)
+    for choice, value in list(zip(choices, values, strict=True))[::3]:
+        areas = [area(models.fit_logistic(parted.filter(f"fold <> {f}"), tol=1e-9, **choice), parted.filter(f"fold = {f}")) for f in range(2)]
+        assert value == pytest.approx(sum(areas) / 2, abs=1e-4)
+
+
+@pytest.mark.parametrize("per_task", [logistic.PASS_CELLS, 60])
+def test_batched_fits_are_those_of_spark(spark, planted, monkeypatch, per_task):
+    """Also with a constant column, which has no coefficient, and few fits a job; odd parts are left to Spark."""
+    monkeypatch.setattr(logistic, "PASS_CELLS", per_task)
+    x = F.concat(vector_to_array("features"), F.array(F.lit(2.0)))
+    train = tables.cut_lineage(models.with_weight(planted.withColumn("features", array_to_vector(x))))
+    one_class = train.filter("label = 1")
+    estimator = models.logistic(1.0, tol=1e-9)
+    choices = models.sample_grid({"C": [0.05, 100], "fit_intercept": [True, False], "penalty": ["l1", "l2"]}, None)
+    total = train.agg(F.sum("weight")).first()[0]
+    maps = models.param_maps(estimator, choices, total)
+    stored = logistic.store_parts([train, one_class], estimator, "weight")
+    fitted = logistic.fit_parts(stored, estimator, {0: maps, 1: maps}, {0: total, 1: total})
+    assert sorted(fitted) == [(0, i) for i in range(len(choices))]
+    for i, params in enumerate(maps):
+        model = estimator.fit(train, params)
+        assert fitted[0, i] == pytest.approx([*model.coefficients.toArray(), model.intercept], abs=2e-3)
+        assert fitted[0, i][4] == 0

@@ -12,6 +12,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
+from wardline.operators import logistic as logistics
 from wardline.operators.evaluate import roc_auc
 from wardline.sources.tables import cut_lineage
 
@@ -242,22 +243,58 @@ def _weight_of(estimator) -> str | None:
     return estimator.getWeightCol() if estimator.isDefined("weightCol") and estimator.isSet("weightCol") else None
 
 
-def _measure(estimator, choices: list[dict], train: DataFrame, valid: DataFrame, metric: str, scheme: str | None, parallelism: int) -> list[float]:
-    """Metric of every choice, fitted on one part and measured on another.
+def _measure_each(
+    estimator, choices: list[dict], weighted: DataFrame, valid: DataFrame, metric: str, total: float, parallelism: int
+) -> list[float]:
+    """Metric of every choice by a fit of Spark's each."""
+    maps = param_maps(estimator, choices, total)
+    evaluator = _evaluator(metric)
+    return _each(lambda i: evaluator.evaluate(estimator.fit(weighted, maps[i]).transform(valid)), len(choices), parallelism)
+
+
+def _each(value, n: int, parallelism: int) -> list[float]:
+    with ThreadPool(parallelism) as pool:
+        return pool.map(value, range(n))
 
-    Weights and the sum behind the regularisation are those of the rows that are fitted.
+
+def _measure(
+    estimator, choices: list[dict], parts: list[tuple[DataFrame, DataFrame]], metric: str, scheme: str | None, parallelism: int
+) -> list[list[float]]:
+    """Per part the metric of every choice, fitted on its first frame and measured on its second.
+
+    Weights and the sum behind the regularisation are those of the rows that are fitted. Logistic regressions of
+    two classes are fitted together, those of all parts and choices.
     """
-    weighted = cut_lineage(with_weight(train, scheme=scheme) if scheme else train)
-    maps = param_maps(estimator, choices, _total_weight(weighted, _weight_of(estimator)))
+    weighted = [with_weight(train, scheme=scheme) if scheme else train for train, _ in parts]
+    values: dict[int, list[float]] = {}
+    if logistics.is_plain(estimator):
+        stored = logistics.store_parts(weighted, estimator, _weight_of(estimator))
+        total = {r["part"]: r["w"] for r in stored.groupBy("part").agg(F.sum("weight").alias("w")).collect()}
+        maps = {p: param_maps(estimator, choices, w) for p, w in total.items() if w}
+        fitted = logistics.fit_parts(stored, estimator, maps, total)
+        values = _measure_margins(estimator, len(choices), [valid for _, valid in parts], fitted, metric, parallelism) if fitted else {}
+    for p in range(len(parts)):
+        if p not in values:
+            rows = cut_lineage(weighted[p])
+            values[p] = _measure_each(estimator, choices, rows, parts[p][1], metric, _total_weight(rows, _weight_of(estimator)), parallelism)
+    return [values[p] for p in range(len(parts))]
+
+
+def _measure_margins(
+    estimator, n: int, held: list[DataFrame], fitted: dict, metric: str, parallelism: int
+) -> dict[int, list[float]]:
+    scored = logistics.margins(held, estimator, fitted)
     evaluator = _evaluator(metric)
-    values: list[float] = [0.0] * len(choices)
+    pairs = [(p, i) for p in sorted({p for p, _ in fitted}) for i in range(n)]
 
-    def one(i: int) -> None:
-        values[i] = evaluator.evaluate(estimator.fit(weighted, maps[i]).transform(valid))
+    def one(k: int) -> float:
+        p, i = pairs[k]
+        margin = F.col("m")[i]
+        told = scored.filter(F.col("part") == p).select("label", margin.alias("rawPrediction"), (margin > 0).cast("double").alias("prediction"))
+        return evaluator.evaluate(told)
 
-    with ThreadPool(parallelism) as pool:
-        pool.map(one, range(len(choices)))
-    return values
+    found = dict(zip(pairs, _each(one, len(pairs), parallelism), strict=True))
+    return {p: [found[p, i] for i in range(n)] for p, _ in pairs}
 
 
 def _refit(estimator, choice: dict, train: DataFrame, scheme: str | None) -> PipelineModel:
@@ -272,14 +309,14 @@ def random_search(
 ) -> tuple[PipelineModel, DataFrame]:
     """Cross-validated search; the best choice fitted on all rows, and one (run, params, metric, value) row per choice.
 
-    An entity is in one fold with all its rows. The training set is read ``folds * choices`` times:
-    pass a stored one. Every fold is stored as well.
+    An entity is in one fold with all its rows. Pass a stored training set: it is read for every fold, which is stored as
+    well. Logistic regressions of all folds and choices are fitted in the same passes, other estimators one by one.
     """
     parted = with_folds(train, key, folds)
     sums = [0.0] * len(choices)
-    for fold in range(folds):
-        rest, held = parted.filter(F.col("fold") != fold), parted.filter(F.col("fold") == fold)
-        for i, value in enumerate(_measure(estimator, choices, rest, held, metric, scheme, parallelism)):
+    parts = [(parted.filter(F.col("fold") != fold), parted.filter(F.col("fold") == fold)) for fold in range(folds)]
+    for values in _measure(estimator, choices, parts, metric, scheme, parallelism):
+        for i, value in enumerate(values):
             sums[i] += value / folds
     best = max(range(len(choices)), key=lambda i: sums[i])
     return _refit(estimator, choices[best], train, scheme), metric_rows(train, choices, metric, sums)
@@ -296,7 +333,7 @@ def grid_search(
     scheme: str | None = None, parallelism: int = 4,
 ) -> tuple[PipelineModel, DataFrame]:
     """Every choice fitted on ``train`` and measured on ``valid``, which has other entities; the best by the metric."""
-    values = _measure(estimator, choices, train, valid, metric, scheme, parallelism)
+    (values,) = _measure(estimator, choices, [(train, valid)], metric, scheme, parallelism)
     best = max(range(len(choices)), key=lambda i: values[i])
     return _refit(estimator, choices[best], train, scheme), metric_rows(train, choices, metric, values)
 
