@@ -72,6 +72,36 @@ def test_every_node_equals_a_plain_version(spark, monkeypatch, per_job):
     assert table.filter("left IS NOT NULL AND n < 8").count() == 0 and table.agg(F.max("depth")).first()[0] <= 6
 
 
+def test_small_nodes_need_no_round_each(spark, monkeypatch):
+    rounds = []
+    counted = forest.best_cuts
+    monkeypatch.setattr(forest, "best_cuts", lambda histogram: rounds.append(1) or counted(histogram))
+    x, y = noisy()
+    df = frame(spark, x, y)
+    whole = forest.fit_forest(df, trees=5, depth=None, min_split=2, bootstrap=True)
+    assert not rounds and whole.depth() > 4
+    # nodes of more than 20 rows by rounds, the others in groups: the same trees
+    for group_values, columns in ((20 * 16, None), (20 * 16, 3), (1, None)):
+        monkeypatch.setattr(forest, "GROUP_VALUES", group_values)
+        parts = forest.fit_forest(df, trees=5, depth=None, min_split=2, bootstrap=True, columns=columns)
+        monkeypatch.setattr(forest, "GROUP_VALUES", 1 << 27)
+        monkeypatch.setattr(forest, "GROUP_CELLS", 200)
+        again = forest.fit_forest(df, trees=5, depth=None, min_split=2, bootstrap=True, columns=columns)
+        monkeypatch.setattr(forest, "GROUP_CELLS", 1 << 23)
+        one = whole if columns is None else forest.fit_forest(df, trees=5, depth=None, min_split=2, bootstrap=True, columns=columns)
+        for tree, *others in zip(one.trees, parts.trees, again.trees, strict=True):
+            for other in others:
+                assert nodes(other) == nodes(tree) and {n.path: n.gain for n in other} == {n.path: n.gain for n in tree}
+    assert rounds
+
+
+def test_rows_with_missing_values_grow(spark):
+    rows = [(i, i % 2, v) for i, v in enumerate([[1.0, 2.0], [3.0, None], [1.0], None, [2.0, 5.0], [2.0, 1.0]] * 5)]
+    df = spark.createDataFrame(rows, "stay_id bigint, label int, features array<double>")
+    model = forest.fit_forest(df, trees=3, depth=4, min_split=2)
+    assert all(t[0].n == 30 and t[0].positives == 15 for t in model.trees)
+
+
 def test_trees_deeper_than_thirty(spark):
     # every cut sets one more row of a staircase apart
     x = np.array([[float(i)] for i in range(36)])

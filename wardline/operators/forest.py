@@ -2,8 +2,10 @@
 
 All trees grow together: a round is one aggregation that counts rows and positives per (tree, open node, feature,
 bin), with partial sums in the tasks, and a running sum over the bins gives the impurity that every cut takes
-off. A row keeps the place of its open node in every tree and never moves. The driver gets one row per open node
-and keeps the trees, as it does for Spark's own; the tables that tasks get hold ``NODES_PER_JOB`` nodes at most.
+off. A row keeps the place of its open node in every tree and does not move while that node is large. The driver gets
+one row per open node and keeps the trees, as it does for Spark's own; the tables that tasks get hold
+``NODES_PER_JOB`` nodes at most. Nodes of few enough rows are dealt out in groups with their rows, and a task grows
+those of a group to their ends, level by level; a group is bounded by ``GROUP_VALUES`` and ``GROUP_CELLS``.
 
 What is drawn for a node depends on the seed, the tree and the path to the node alone. So a forest holds all
 smaller ones: fewer trees, less depth and a larger split minimum are beginnings of the same trees, and a search
@@ -13,6 +15,7 @@ fits once for all of them.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass, field
 
 from pyspark.ml.functions import vector_to_array
@@ -25,6 +28,12 @@ from wardline.sources.tables import cut_lineage
 NODES_PER_JOB = 20_000
 # Rounds after which the places of the rows are stored, so that plans stay short.
 _REFRESH = 4
+# Values (rows times features) and tried values of a node up to which it is grown to its end within a group, and groups at least.
+GROUP_VALUES = 1 << 27
+GROUP_CELLS = 1 << 23
+GROUPS = 24
+_DEALT = "bundle int, y int, bins binary, slots array<int>, times array<tinyint>"
+_GROWN = "slot int, node int, n bigint, positives bigint, feature int, bin int, lower int, upper int, gain double, widened boolean"
 # Parameters of the published forest and its search grid.
 FOREST = {"trees": 700, "depth": 40, "min_split": 10, "min_leaf": 2, "bootstrap": False}
 FOREST_GRID = {
@@ -159,23 +168,22 @@ def grow(
         return Forest()
     cuts = cut_lineage(quantile_cuts(raw.select(F.posexplode("x").alias("feature", "value")), max_bins))
     edges = {f: list(c) for f, c in cuts.collect()}  # at most max_bins numbers per feature
-    lookup = cuts.agg(F.array_sort(F.collect_list(F.struct("feature", "cuts")))).scalar()
-    binned = F.transform("x", lambda v, f: F.size(F.filter(F.get(F.col("c"), f)["cuts"], lambda c: c < v)))
+    n_bins = max((len(c) for c in edges.values()), default=0) + 1
     group = [g for g, p in enumerate(plans) for _ in range(p.trees)]
     number = [i for p in plans for i in range(p.trees)]
-    told = [(i, plans[g].bootstrap, plans[g].without) for i, g in zip(number, group, strict=True)]
-    each = spark.createDataFrame([(told,)], "e array<struct<i:int,bootstrap:boolean,without:int>>").scalar()
-    uniform = lambda i: F.pmod(F.xxhash64("key", F.lit(seed), i), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
-    poisson = lambda i: F.aggregate(F.array(*map(F.lit, _POISSON)), F.struct(F.lit(0).alias("k"), uniform(i).alias("u")), lambda a, c: F.struct((a["k"] + (a["u"] >= c).cast("int")).alias("k"), a["u"].alias("u")), lambda a: a["k"])
-    out = lambda e: F.coalesce(e["without"] == F.col("fold"), F.lit(False))
-    times = F.transform("e", lambda e: F.when(out(e), 0).when(e["bootstrap"], poisson(e["i"])).otherwise(1))
-    state = raw.withColumns({"c": lookup, "e": each}).select("y", binned.alias("bins"), times.alias("times"))
-    at = F.transform("times", lambda k, t: F.when(k > 0, t))
-    state = cut_lineage(state.withColumn("at", at))
+    state = _state(raw, plans, group, number, seed)
+    state = state.mapInArrow(_binner(edges, width), "y int, bins array<int>, times array<int>")
 
     forest = Forest([[Node("")] for _ in group], group)
-    open_ = [(t, 0) for t in range(len(group))]
     taken = columns or max(1, math.isqrt(width))
+    rows = raw.count()
+    few = max(1, min(GROUP_VALUES // width, GROUP_CELLS // min(taken, width)))
+    small = [(t, 0) for t in range(len(group))] if rows <= few else []
+    open_ = [] if small else [(t, 0) for t in range(len(group))]
+    first = F.sequence(F.lit(-1 if small else 0), F.lit(-len(group) if small else len(group) - 1))
+    taking = F.when(F.col("times").isNull(), first).otherwise(F.zip_with(first, "times", lambda slot, k: F.when(k > 0, slot)))
+    state = state.withColumn("at", taking)
+    state = cut_lineage(state) if open_ else state
     rounds = 0
     while open_:
         found = {}
@@ -187,15 +195,260 @@ def grow(
                 tries.append((number[t], node.path, first, count, plans[group[t]].min_leaf))
             counted = _histogram(state, _tried(spark, tries, width, seed), begin)
             found |= {row["slot"]: row for row in best_cuts(counted).collect()}  # at most NODES_PER_JOB rows
-        moves, open_ = _split(forest, open_, found, plans, edges, taken < width)
+        moves, open_ = _split(forest, open_, found, plans, edges, taken < width, small, few)
         moved = spark.createDataFrame([(moves,)], f"m {_SPLITS}").scalar()
         state = state.withColumn("moved", moved).withColumn("at", F.transform("at", _place)).drop("moved")
         rounds += 1
         if rounds % _REFRESH == 0 and open_:
             state = cut_lineage(state)
+    if small:
+        _finish(state, forest, small, plans, number, edges, width, taken, seed, n_bins, rows, few)
     return forest
 
 
+def _state(raw: DataFrame, plans: list[Plan], group: list[int], number: list[int], seed: int) -> DataFrame:
+    """Rows with the count that every tree gives them; no counts where all trees take every row once."""
+    if not any(p.bootstrap or p.without is not None for p in plans):
+        return raw.select("y", "x", F.lit(None).cast("array<int>").alias("times"))
+    told = [(i, plans[g].bootstrap, plans[g].without) for i, g in zip(number, group, strict=True)]
+    each = raw.sparkSession.createDataFrame([(told,)], "e array<struct<i:int,bootstrap:boolean,without:int>>").scalar()
+    uniform = lambda i: F.pmod(F.xxhash64("key", F.lit(seed), i), F.lit(1 << 40)).cast("double") / F.lit(float(1 << 40))
+    poisson = lambda i: F.aggregate(F.array(*map(F.lit, _POISSON)), F.struct(F.lit(0).alias("k"), uniform(i).alias("u")), lambda a, c: F.struct((a["k"] + (a["u"] >= c).cast("int")).alias("k"), a["u"].alias("u")), lambda a: a["k"])
+    out = lambda e: F.coalesce(e["without"] == F.col("fold"), F.lit(False))
+    times = F.transform("e", lambda e: F.when(out(e), 0).when(e["bootstrap"], poisson(e["i"])).otherwise(1))
+    return raw.withColumn("e", each).select("y", "x", times.alias("times"))
+
+
+def _binner(edges: dict[int, list[float]], width: int):
+    """Task: bins instead of values, the number of cuts below a value; a missing value has none."""
+
+    def told(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        for batch in batches:
+            x = batch.column("x")
+            rows = len(x)
+            place, of = np.zeros(rows, np.int64), x.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            values = x.flatten()
+            known = values.is_valid().to_numpy(zero_copy_only=False)
+            flat = values.fill_null(0.0).to_numpy(zero_copy_only=False)
+            place[1:] = np.cumsum(of)[:-1]
+            bins = np.zeros((rows, width), np.int32)
+            for f in range(width):
+                held = np.flatnonzero(of > f)
+                at = place[held] + f
+                bins[held, f] = np.where(known[at], np.searchsorted(edges.get(f, []), flat[at], "left"), 0)
+            listed = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(bins.ravel()))
+            yield pa.RecordBatch.from_arrays([batch.column("y"), listed, batch.column("times")], names=["y", "bins", "times"])
+
+    return told
+
+
+def _finish(
+    state: DataFrame, forest: Forest, small: list[tuple[int, int]], plans: list[Plan], number: list[int], edges: dict[int, list[float]], width: int,
+    taken: int, seed: int, n_bins: int, rows: int, few: int,
+) -> None:
+    """Grow the nodes ``small``, whose rows have the places -1, -2 and so on, to their ends, and put them into the trees.
+
+    Each group gets some of the nodes, and each row of these once. Groups hold ``few`` rows at most.
+    """
+    spark = state.sparkSession
+    sizes = [forest.trees[t][i].n or rows for t, i in small]
+    wanted = sum(sizes) / max(GROUPS, spark.sparkContext.defaultParallelism)
+    wanted = wanted if rows <= few else min(wanted, few)
+    bundle, held, last = [], 0, 0
+    for n in sizes:
+        if held and held + n / 2 > wanted:
+            held, last = 0, last + 1
+        held += n
+        bundle.append(last)
+    # a group's number is one that Spark deals to a task of its own
+    parts = last + 1
+    dealt = spark.range(64 * parts).select(F.col("id").cast("int").alias("i")).select("i", F.pmod(F.hash("i"), F.lit(parts)).alias("part"))
+    own = {r["part"]: r["i"] for r in dealt.groupBy("part").agg(F.min("i").alias("i")).collect()}
+    names = [own.get(b, 64 * parts + b) for b in bundle]
+    roots = []
+    for t, i in small:
+        plan, node = plans[forest.group[t]], forest.trees[t][i]
+        roots.append((number[t], node.path, plan.depth, plan.min_split, plan.min_leaf))
+    shipped = state.mapInArrow(_dealer(names, n_bins), _DEALT).repartition(parts, "bundle")
+    grown = shipped.groupBy("bundle").applyInArrow(_grower(roots, width, taken, seed, n_bins, GROUP_CELLS), _GROWN).toArrow()
+    told = sorted(zip(*(c.to_pylist() for c in grown.columns), strict=True))
+    sizes, base = Counter(row[0] for row in told), {}
+    for slot, i, n, positives, feature, cut, lower, upper, gain, widened in told:
+        t, top = small[slot]
+        tree = forest.trees[t]
+        if i == 0:
+            base[slot] = len(tree) - 1
+            tree.extend(Node("") for _ in range(sizes[slot] - 1))
+        start = base[slot]
+        node = tree[start + i if i else top]
+        node.n, node.positives, node.widened = n, positives, widened
+        if feature is not None:  # a node comes after the one above it
+            node.feature, node.cut, node.gain, node.left, node.right = feature, edges[feature][cut], gain, start + lower, start + upper
+            tree[node.left].path, tree[node.right].path = node.path + "0", node.path + "1"
+
+
+def _dealer(names: list[int], n_bins: int):
+    """Task: rows to the groups whose nodes they are in, with their places and counts there."""
+
+    def deal(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        name = np.array(names, np.int32)
+        groups, group = np.unique(name, return_inverse=True)
+        group = group.astype(np.int16 if len(groups) < 1 << 15 else np.int32)
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            flat = lambda c: batch.column(c).flatten().fill_null(0).to_numpy(zero_copy_only=False).reshape(rows, -1)
+            at = flat("at")
+            row, tree = np.nonzero(at < 0)
+            slot = -1 - at[row, tree]
+            times = np.ones(len(row), np.int8) if batch.column("times").null_count else flat("times")[row, tree].astype(np.int8)
+            of = group[slot]
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(len(groups) + 1))
+            bins = flat("bins").astype(np.uint8 if n_bins <= 256 else np.uint16)
+            y = batch.column("y").to_numpy(zero_copy_only=False)
+            for g in range(len(groups)):
+                mine = order[ends[g] : ends[g + 1]]
+                if not len(mine):
+                    continue
+                held, begins = np.unique(row[mine], return_index=True)
+                offsets = pa.array(np.append(begins, len(mine)).astype(np.int32))
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (slot[mine].astype(np.int32), times[mine])]
+                told = [pa.array(np.full(len(held), groups[g], np.int32)), pa.array(y[held]), pa.array([b.tobytes() for b in bins[held]], pa.binary()), *lists]
+                yield pa.RecordBatch.from_arrays(told, names=["bundle", "y", "bins", "slots", "times"])
+
+    return deal
+
+
+def _grower(roots: list[tuple], width: int, taken: int, seed: int, n_bins: int, cells: int):
+    """Task: the nodes of one group grown to their ends, a row per node; the same cuts as ``best_cuts`` finds."""
+
+    def grown(table):
+        import hashlib
+
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        table = table.combine_chunks()
+        held = np.frombuffer(b"".join(table["bins"].to_pylist()), np.uint8 if n_bins <= 256 else np.uint16)
+        y = table["y"].to_numpy().astype(np.int64)
+        lists = table["slots"].combine_chunks()
+        slots, counts = lists.flatten().to_numpy(), table["times"].combine_chunks().flatten().to_numpy()
+        order = np.argsort(slots, kind="stable")
+        begins = np.append(np.flatnonzero(np.diff(slots[order], prepend=-1)), len(order))
+        parents = pc.list_parent_indices(lists).to_numpy()
+
+        def drawn(number, path, later):
+            start = hashlib.md5(f"{seed}|{number}|{path}|".encode())
+            hashes = []
+            for f in range(width):
+                one = start.copy()
+                one.update(b"%d" % f)
+                hashes.append(one.digest())
+            ranked = sorted(range(width), key=hashes.__getitem__)
+            return sorted(ranked[taken:] if later else ranked[:taken])
+
+        def best(rows, at, low, tried, n, p, least):
+            """Per place gain, feature, bin, rows and positives of the lower side; feature -1 without a cut."""
+            top = [np.full(len(n), -np.inf), *(np.full(len(n), -1, np.int64) for _ in range(4))]
+            step = max(1, cells // max(1, len(rows)))
+            for j in range(0, tried.shape[1], step):
+                part = tried[:, j : j + step]
+                many = part.shape[1]
+                cell = (at[:, None] * many + np.arange(many)) * n_bins + held[rows[:, None] * width + part[at]]
+                code = ((cell << 5) | low[:, None]).ravel()
+                code.sort()
+                cell, k = code >> 5, (code >> 1) & 15
+                ends = np.append(np.flatnonzero(cell[1:] != cell[:-1]), len(cell) - 1)
+                cell, nl, pl = cell[ends], np.cumsum(k)[ends], np.cumsum(k * (code & 1))[ends]
+                column, b = np.divmod(cell, n_bins)
+                place, column = np.divmod(column, many)
+                whole, positives = n[place], p[place]
+                before = lambda v, own: np.concatenate([[0], np.cumsum(v * many)[:-1]])[place] + column * own
+                nl, pl = nl - before(n, whole), pl - before(p, positives)
+                fits = np.flatnonzero((nl >= max(1, least)) & (whole - nl >= max(1, least)))
+                if not len(fits):
+                    continue
+                place, column, b, nl, pl, whole, positives = (v[fits] for v in (place, column, b, nl, pl, whole, positives))
+                impurity = lambda n, p: 2.0 * p * (n - p) / n
+                gain = (impurity(whole, positives) - impurity(nl, pl) - impurity(whole - nl, positives - pl)) / whole
+                gain = np.floor(gain * 1e9 + 0.5) / 1e9
+                starts = np.flatnonzero(np.diff(place, prepend=-1))
+                highest = np.repeat(np.maximum.reduceat(gain, starts), np.diff(np.append(starts, len(place))))
+                hits = np.flatnonzero(gain == highest)
+                hits = hits[np.unique(place[hits], return_index=True)[1]]
+                where, feature = place[hits], part[place[hits], column[hits]]
+                better = (gain[hits] > top[0][where]) | ((gain[hits] == top[0][where]) & (feature < top[1][where]))
+                for kept, new in zip(top, (gain[hits], feature, b[hits], nl[hits], pl[hits]), strict=True):
+                    kept[where[better]] = new[better]
+            return top
+
+        out = []
+        for begin, end in zip(begins[:-1], begins[1:], strict=True):
+            mine = order[begin:end]
+            slot, rows, k = int(slots[mine[0]]), parents[mine].astype(np.int64), counts[mine].astype(np.int64)
+            number, root, depth, min_split, min_leaf = roots[slot]
+            low = (k << 1) | y[rows]
+
+            def grows(path, n, p):
+                return (depth is None or len(path) < depth) and n >= max(min_split, 2 * min_leaf) and 0 < p < n  # noqa: B023
+
+            # n, positives, feature, bin, lower, upper, gain, widened
+            nodes, paths = [[int(k.sum()), int((k * y[rows]).sum()), None, None, None, None, None, False]], [root]
+            open_ = [0] if grows(root, *nodes[0][:2]) else []
+            at = np.zeros(len(rows), np.int64)
+            while open_:
+                n, p = (np.array([nodes[i][v] for i in open_], np.int64) for v in (0, 1))
+                wide = np.array([nodes[i][7] for i in open_])
+                found = [np.full(len(open_), -np.inf), *(np.full(len(open_), -1, np.int64) for _ in range(4))]
+                for later in (False, True):
+                    places = np.flatnonzero(wide == later)
+                    if not len(places):
+                        continue
+                    tried = np.array([drawn(number, paths[open_[s]], later) for s in places], np.int64)
+                    mapped = np.zeros(len(open_), np.int64)
+                    mapped[places] = np.arange(len(places))
+                    some = np.flatnonzero(wide[at] == later)
+                    cut = best(rows[some], mapped[at[some]], low[some], tried, n[places], p[places], min_leaf)
+                    for kept, new in zip(found, cut, strict=True):
+                        kept[places] = new
+                gains, features, bins, nl, pl = (v.tolist() for v in found)
+                lower, upper, after = np.full(len(open_), -1), np.full(len(open_), -1), []
+                for s, i in enumerate(open_):
+                    node = nodes[i]
+                    if features[s] < 0:
+                        if taken < width and not node[7]:
+                            lower[s] = upper[s] = len(after)
+                            after.append(i)
+                        node[7] = True
+                        continue
+                    node[2:7] = features[s], bins[s], len(nodes), len(nodes) + 1, gains[s]
+                    for side, a, b, step in ((lower, nl[s], pl[s], "0"), (upper, node[0] - nl[s], node[1] - pl[s], "1")):
+                        if grows(paths[i] + step, a, b):
+                            side[s] = len(after)
+                            after.append(len(nodes))
+                        nodes.append([a, b, None, None, None, None, None, False])
+                        paths.append(paths[i] + step)
+                down = held[rows * width + np.maximum(found[1], 0)[at]] <= found[2][at]
+                at = np.where(down, lower[at], upper[at])
+                stay = np.flatnonzero(at >= 0)
+                rows, low, at, open_ = rows[stay], low[stay], at[stay], after
+            out.extend((slot, i, *node) for i, node in enumerate(nodes))
+        kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64(), pa.bool_()]
+        names = ["slot", "node", "n", "positives", "feature", "bin", "lower", "upper", "gain", "widened"]
+        return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+    return grown
+
+
 def _tried(spark: SparkSession, tries: list[tuple], width: int, seed: int) -> Column:
     """Features that the open nodes of a job try, and the rows a side needs, in the order of the nodes."""
     frame = spark.createDataFrame([(j, *row) for j, row in enumerate(tries)], "j int, i int, path string, first int, count int, least int")
@@ -207,8 +460,8 @@ def _histogram(state: DataFrame, tried: Column, begin: int) -> DataFrame:
     none = F.array().cast("array<int>")
 
     def cells(slot: Column, tree: Column) -> Column:
-        node = F.get(F.col("tried"), slot - begin)
-        cell = lambda f: F.struct(slot.alias("slot"), node["least"].alias("least"), f.alias("feature"), F.get(F.col("bins"), f).alias("bin"), F.get(F.col("times"), tree).alias("k"))
+        node = F.get(F.col("tried"), F.when(slot >= 0, slot - begin))
+        cell = lambda f: F.struct(slot.alias("slot"), node["least"].alias("least"), f.alias("feature"), F.get(F.col("bins"), f).alias("bin"), F.coalesce(F.get(F.col("times"), tree), F.lit(1)).alias("k"))
         return F.transform(F.coalesce(node["d"], none), cell)
 
     flat = state.withColumn("tried", tried).select("y", F.inline(F.flatten(F.transform("at", cells))))
@@ -216,24 +469,31 @@ def _histogram(state: DataFrame, tried: Column, begin: int) -> DataFrame:
 
 
 def _place(slot: Column) -> Column:
-    """Slot of a row in the next round; none where it came to a leaf."""
-    to = F.get(F.col("moved"), slot)
-    return F.when(to["feature"].isNull() | (F.get(F.col("bins"), to["feature"]) <= to["bin"]), to["left"]).otherwise(to["right"])
+    """Slot of a row in the next round; none where it came to a leaf, and that of a small node stays."""
+    to = F.get(F.col("moved"), F.when(slot >= 0, slot))
+    return F.when(slot < 0, slot).when(to["feature"].isNull() | (F.get(F.col("bins"), to["feature"]) <= to["bin"]), to["left"]).otherwise(to["right"])
 
 
 def _split(
-    forest: Forest, open_: list[tuple[int, int]], found: dict, plans: list[Plan], edges: dict[int, list[float]], more: bool
-) -> tuple[list, list[tuple[int, int]]]:
+    forest: Forest, open_: list[tuple[int, int]], found: dict, plans: list[Plan], edges: dict[int, list[float]], more: bool,
+    small: list[tuple[int, int]], few: int,
+) -> tuple[list, list[tuple[int, int]]]:
     """Split the open nodes by their best cuts: where their rows go, and the nodes open next.
 
-    A node without a cut stays open once, to try the other features.
+    A node without a cut stays open once, to try the other features. Nodes of up to ``few`` rows go to ``small``
+    instead, with places below zero.
     """
     moves, after = [], []
 
     def stays(t: int, i: int, wanted: bool) -> int | None:
-        if wanted:
-            after.append((t, i))
-        return len(after) - 1 if wanted else None
+        if not wanted:
+            return None
+        # a node that stays open to try the other features is not small
+        if forest.trees[t][i].n <= few:
+            small.append((t, i))
+            return -len(small)
+        after.append((t, i))
+        return len(after) - 1
 
     for slot, (t, i) in enumerate(open_):
         tree, plan, row = forest.trees[t], plans[forest.group[t]], found.get(slot)
