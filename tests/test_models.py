@@ -1,10 +1,13 @@
+import threading
+
 import pytest
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
+from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.sql import functions as F, types as T
 
 from tests.helpers import frame, rows
 from wardline.operators import evaluate, importance, logistic, models
+from wardline.plans import study
 from wardline.sources import tables
 
 
@@ -159,3 +162,20 @@ def test_batched_fits_are_those_of_spark(spark, planted, monkeypatch, per_task):
         model = estimator.fit(train, params)
         assert fitted[0, i] == pytest.approx([*model.coefficients.toArray(), model.intercept], abs=2e-3)
         assert fitted[0, i][4] == 0
+
+
+def test_forests_keep_the_nodes_of_rows(spark):
+    assert models.random_forest().getCacheNodeIds()
+
+
+def test_baselines_are_fitted_at_the_same_time(spark, monkeypatch):
+    together = threading.Barrier(3, timeout=60)
+    known = {n: getattr(models, n) for n in ("fit_logistic", "fit_boosted", "fit_forest")}
+    for name, fit in known.items():
+        monkeypatch.setattr(models, name, lambda *a, fit=fit, **k: (together.wait(), fit(*a, **k))[1])
+    rows = [(i, i % 2, ["train", "valid", "test"][i // 2 % 3], Vectors.dense([float(i % 2), float(i % 5)])) for i in range(60)]
+    flat = spark.createDataFrame(rows, T.StructType().add("stay_id", "long").add("label", "int").add("split", "string").add("features", VectorUDT()))
+    small = {"logistic": {"max_iter": 5}, "boosted": {"trees": 2, "depth": 2}, "forest": {"trees": 3, "depth": 3}}
+    pred = study.baseline_predictions(flat, **small).collect()
+    assert sorted((r["stay_id"], r["model"]) for r in pred) == sorted((r[0], m) for r in rows if r[2] == "test" for m in small)
+    assert all((r["prob"] > 0.5) == (r["label"] == 1) for r in pred if r["model"] != "logistic")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, functions as F
@@ -32,16 +33,19 @@ def baseline_predictions(
     """Predictions for the test entities by the three baseline models.
 
     Logistic regression and forest learn from training and validation entities; the boosted trees
-    use the latter for early stopping.
+    use the latter for early stopping. The models are fitted at the same time, since their many short jobs leave
+    cores idle.
     """
     train, valid, test = (flat.filter(F.col("split") == part) for part in ("train", "valid", "test"))
     both = flat.filter(F.col("split") != "test")
-    fitted = {
-        "logistic": models.fit_logistic(both, **(models.LOGISTIC | (logistic or {}))),
-        "boosted": models.fit_boosted(train, valid, **(models.BOOSTED | (boosted or {}))),
-        "forest": models.fit_forest(both, **(models.FOREST | (forest or {}))),
+    fits = {
+        "logistic": lambda: models.fit_logistic(both, **(models.LOGISTIC | (logistic or {}))),
+        "boosted": lambda: models.fit_boosted(train, valid, **(models.BOOSTED | (boosted or {}))),
+        "forest": lambda: models.fit_forest(both, **(models.FOREST | (forest or {}))),
     }
-    scored = [models.predict(model, test, name, [settings.entity]) for name, model in fitted.items()]
+    with ThreadPool(len(fits)) as pool:
+        fitted = pool.map(lambda fit: fit(), fits.values())
+    scored = [models.predict(model, test, name, [settings.entity]) for name, model in zip(fits, fitted, strict=True)]
     return reduce(lambda a, b: a.unionByName(b), scored)
 
 
