@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from wardline.operators.scans import deal, tasks_for
 from wardline.session import own_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,13 +84,20 @@ class Tables:
             status.alias("statusdescription"),
         )
 
+    @property
+    def item_tasks(self) -> int | None:
+        """Tasks that the items, one line per shipped part, are dealt out to; the files know how many there are."""
+        return tasks_for(self.spark, self.read("lineitem").count())
+
     @property
     def shipments(self) -> DataFrame:
         """About ten overlapping intervals per customer: first to last shipment of an order."""
-        bounds = self.read("lineitem").groupBy("l_orderkey").agg(
+        items = deal(self.read("lineitem").select("l_orderkey", "l_shipdate"), self.item_tasks, "l_orderkey")
+        bounds = items.groupBy("l_orderkey").agg(
             F.min("l_shipdate").alias("starttime"), F.max("l_shipdate").alias("endtime")
         )
         orders = self.read("orders").select("o_orderkey", F.col("o_custkey").alias("stay_id"), "o_orderpriority")
+        orders = deal(orders, self.item_tasks, "o_orderkey")
         return bounds.join(orders, bounds["l_orderkey"] == orders["o_orderkey"]).select(
             "stay_id", "starttime", "endtime", "o_orderpriority"
         )
@@ -102,6 +110,7 @@ class Tables:
     def ship_times(self) -> DataFrame:
         items = self.read("lineitem").select("l_orderkey", F.col("l_shipdate").alias("charttime"))
         orders = self.read("orders").select("o_orderkey", F.col("o_custkey").alias("stay_id"))
+        items, orders = deal(items, self.item_tasks, "l_orderkey"), deal(orders, self.item_tasks, "o_orderkey")
         return items.join(orders, items["l_orderkey"] == orders["o_orderkey"]).select("stay_id", "charttime")
 
     @property

@@ -350,7 +350,7 @@ FROM times t LEFT JOIN shipments i ON i.stay_id = t.stay_id AND i.starttime <= t
 GROUP BY 1, 2""",
 )
 def point_in_interval(t):
-    return intervals.flag_at([t.order_times, t.ship_times], t.shipments, "inside")
+    return intervals.flag_at([t.order_times, t.ship_times], t.shipments, "inside", tasks=t.item_tasks)
 
 
 _KINDS = {"vent": ("1-URGENT", "2-HIGH"), "vasopressor": ("3-MEDIUM",), "sedative": ("4-NOT SPECIFIED", "5-LOW")}
@@ -376,7 +376,7 @@ def flag_at_time(t):
     """Three kinds of intervals against the union of two time sources, in one pass."""
     shipments = sources.cut_lineage(t.shipments)
     kinds = {n: shipments.filter(F.col("o_orderpriority").isin(*p)) for n, p in _KINDS.items()}
-    return intervals.flags_at([t.order_times, t.ship_times], kinds)
+    return intervals.flags_at([t.order_times, t.ship_times], kinds, tasks=t.item_tasks)
 
 
 @query("flags_three_way", _three_flags_sql())

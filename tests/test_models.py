@@ -174,7 +174,7 @@ def test_baselines_are_fitted_at_the_same_time(spark, monkeypatch):
     for name, fit in known.items():
         monkeypatch.setattr(models, name, lambda *a, fit=fit, **k: (together.wait(), fit(*a, **k))[1])
     rows = [(i, i % 2, ["train", "valid", "test"][i // 2 % 3], Vectors.dense([float(i % 2), float(i % 5)])) for i in range(60)]
-    flat = spark.createDataFrame(rows, T.StructType().add("stay_id", "long").add("label", "int").add("split", "string").add("features", VectorUDT()))
+    flat = spark.createDataFrame(rows, T.StructType().add("stay_id", "long").add("label", "integer").add("split", "string").add("features", VectorUDT()))
     small = {"logistic": {"max_iter": 5}, "boosted": {"trees": 2, "depth": 2}, "forest": {"trees": 3, "depth": 3}}
     pred = study.baseline_predictions(flat, **small).collect()
     assert sorted((r["stay_id"], r["model"]) for r in pred) == sorted((r[0], m) for r in rows if r[2] == "test" for m in small)

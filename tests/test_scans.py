@@ -1,8 +1,10 @@
+import collections
+
 import pytest
 from pyspark.sql import functions as F
 
 from tests.helpers import rows
-from wardline.operators import scans
+from wardline.operators import intervals, scans
 from wardline.operators.scans import SLICE, Running, attach, number_rows, rank_rows, running, split_large
 
 
@@ -87,3 +89,23 @@ def test_a_small_limit_gives_a_bounded_number_of_slices(spark, monkeypatch):
     last = {"w": Running("last", F.col("v"))}
     plain = running(split_large(df, ["k"], "t", None)[0], ["k"], "t", last, sliced=False)
     assert rows(running(sliced, ["k"], "t", last), "k", "t", "w") == rows(plain, "k", "t", "w")
+
+
+def test_tasks_grow_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(scans, "TASK_ROWS", 50)
+    assert scans.tasks_for(spark, 1000) == 20 and scans.tasks_for(spark, 100) is None
+    times = spark.range(1000).select(F.when(F.col("id") % 7 > 0, F.col("id") % 40).alias("stay_id"), F.timestamp_seconds(F.col("id") * 3600).alias("charttime"))
+    starts = F.timestamp_seconds(F.col("id") * 10_000)
+    spans = spark.range(300).select((F.col("id") % 40).alias("stay_id"), starts.alias("starttime"), (starts + F.expr("INTERVAL 9 HOURS")).alias("endtime"))
+    dealt = intervals.flag_at([times, times], spans, "inside", tasks=20)
+    prepared, sliced = scans.split_large(times, ["stay_id"], "charttime")
+    assert prepared.rdd.getNumPartitions() == 20 and not sliced
+    held = dealt.collect()
+    monkeypatch.setattr(scans, "TASK_ROWS", 1 << 20)
+    assert collections.Counter(held) == collections.Counter(intervals.flag_at([times], spans, "inside").collect())
+    asked = {(r["stay_id"], r["charttime"]): 0 for r in times.collect()}
+    for s in spans.collect():
+        for k, at in asked:
+            if k == s["stay_id"] and s["starttime"] <= at <= s["endtime"]:
+                asked[k, at] = 1
+    assert {(r["stay_id"], r["charttime"]): r["inside"] for r in held} == asked and len(held) == len(asked)

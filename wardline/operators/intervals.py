@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from wardline.functions.columns import epoch_micros, hours_between
-from wardline.operators.scans import MAX_GROUP_ROWS, Running, attach, drop_slices, running, split_large
+from wardline.operators.scans import MAX_GROUP_ROWS, Running, attach, deal, drop_slices, running, split_large
 from wardline.sources.tables import cut_lineage
 
 
@@ -122,13 +122,14 @@ def flags_at(
     start: str = "starttime",
     end: str = "endtime",
     max_rows: int | None = MAX_GROUP_ROWS,
+    tasks: int | None = None,
 ) -> DataFrame:
     """For every distinct (key, time) of the sources: is it inside an interval, per interval kind.
 
     Both interval ends belong to it. A moment lies inside some interval exactly if the latest end
     among the intervals begun so far has not passed. So moments and interval starts are laid on one
     time line and a single running maximum per kind answers it: no range join, all kinds at once,
-    and intervals may overlap.
+    and intervals may overlap. ``tasks`` says how many tasks the time line is dealt out to, else the session does.
     """
     names = list(intervals)
     null_end = {n: F.lit(None).cast(dict(intervals[n].dtypes)[end]).alias(n) for n in names}
@@ -145,7 +146,7 @@ def flags_at(
         for name, df in intervals.items()
     ]
     line = reduce(lambda a, b: a.unionByName(b), [*points, *starts])
-    moments = line.groupBy(key, ts).agg(F.max("__asked").alias("__asked"), *[F.max(n).alias(n) for n in names])
+    moments = deal(line, tasks, key, ts).groupBy(key, ts).agg(F.max("__asked").alias("__asked"), *[F.max(n).alias(n) for n in names])
     prepared, sliced = split_large(moments, [key], ts, max_rows)
     covered = running(prepared, [key], ts, {f"__{n}": Running("max", F.col(n)) for n in names}, sliced=sliced)
     return covered.filter("__asked").select(

@@ -12,7 +12,7 @@ import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from wardline.sources.tables import cut_lineage
 
@@ -26,6 +26,19 @@ _SEGMENT = 300.0
 MAX_GROUP_ROWS = 4_000_000
 # Slices, and with them tasks and files, above which slices get longer instead of more, until they have MAX_GROUP_ROWS rows.
 MAX_SLICES = 96
+# Rows that a task should get of a shuffle whose rows are known beforehand.
+TASK_ROWS = 1 << 20
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int | None:
+    """Tasks for so many rows, if they are more than the session gives a shuffle."""
+    wanted = math.ceil(rows / TASK_ROWS)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def deal(df: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    """Rows dealt out by keys to a number of tasks; as they are without one, which leaves that to Spark."""
+    return df.repartition(tasks, *keys) if tasks else df
 
 
 @dataclass(frozen=True)
@@ -54,7 +67,8 @@ def split_large(df: DataFrame, keys: list[str], ts: str, max_rows: int | None =
     counts = stored.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     rows, largest = counts.agg(F.sum("__n"), F.max("__n")).first()
     if not rows or largest <= max_rows:
-        return stored.withColumns(plain), False
+        # the windows need the rows by their keys anyway
+        return deal(stored, tasks_for(df.sparkSession, rows or 0), *keys).withColumns(plain), False
     wanted, needed = (math.ceil(1.5 * rows / n) for n in (max_rows, MAX_GROUP_ROWS))
     parts = max(2, min(wanted, max(MAX_SLICES, needed)))
     dealt = stored.repartitionByRange(parts, *keys, ts).withColumn(SLICE, F.spark_partition_id())
