@@ -4,6 +4,8 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import functions as F, types as T
 
@@ -161,3 +163,85 @@ def test_edges(spark):
     assert [len(t) for t in forest.fit_forest(same, trees=2).trees] == [1, 1]
     none = forest.score(forest.Forest(), same, "f", ["stay_id"]).first()
     assert none["prob"] is None
+
+
+def test_nodes_stay_out_of_the_driver(spark, monkeypatch):
+    x, y = noisy(200)
+    df = frame(spark, x, y)
+    monkeypatch.setattr(forest.Forest, "trees", property(lambda self: pytest.fail("all nodes in the driver")))
+    model = forest.fit_forest(df, trees=6, depth=None, min_split=2)
+    assert all(len(tree) == 1 for tree in model.tops) and model.size() > 100
+    table = model.table(spark)
+    assert table.count() == model.size() and table.agg(F.max("depth")).first()[0] == model.depth()
+    below = table.select("tree", F.explode(F.array("left", "right")).alias("node")).dropna()
+    assert table.join(below, ["tree", "node"]).count() == below.count() == model.size() - 6
+    # tasks of some trees and some rows each: the same sums
+    whole = sorted(forest.score(model, df, "f", ["stay_id"]).collect())
+    monkeypatch.setattr(forest, "SCORE_VALUES", 50 * 16)
+    monkeypatch.setattr(forest, "BLOB", 7 * 16)
+    parts = sorted(forest.score(model, df, "f", ["stay_id"]).collect())
+    assert [r["prob"] for r in parts] == pytest.approx([r["prob"] for r in whole]) and len({r["prob"] for r in whole}) > 5
+
+
+def pruned_as_spark(tree):
+    """Nodes (path: n, positives, feature, cut) below which all leaves are of one class are leaves."""
+    out, says = dict(tree), lambda p: 2 * tree[p][1] > tree[p][0]
+    for path in sorted(tree, key=len, reverse=True):
+        low, high = path + "0", path + "1"
+        if low in out and out[low][2] is None and out[high][2] is None and says(low) == says(high):
+            del out[low], out[high]
+            out[path] = (*tree[path][:2], None, None)
+    return out
+
+
+def test_two_classes_grow_by_the_rules_of_spark(spark, monkeypatch):
+    x, y = noisy(300)
+    df = frame(spark, x, y)
+    grown = lambda: [nodes(t) for t in forest.grow(df, [forest.Plan(4, 30, 2, 2, False)], "stay_id", as_spark=True).trees]
+    one = grown()
+    for bound in (40 * 16, 1):  # nodes of more rows by rounds, the others in groups: the same trees
+        monkeypatch.setattr(forest, "GROUP_VALUES", bound)
+        assert grown() == one
+    monkeypatch.undo()
+    # every node holds the rows of its path
+    raw = {path: node for tree in one for path, node in tree.items()}
+    assert max(map(len, raw)) > 4 and all(n >= 2 for n, _, _, _ in raw.values())
+    for tree in one:
+        assert pruned_as_spark(tree) == tree and tree[""][:2] == (300, int(y.sum()))
+        for path, (n, p, feature, cut) in tree.items():
+            mine = np.ones(300, bool)
+            for depth, side in enumerate(path):
+                _, _, f, c = tree[path[:depth]]
+                mine &= (x[:, f] <= c) == (side == "0")
+            assert (int(mine.sum()), int(y[mine].sum())) == (n, p)
+            if feature is not None:
+                left = mine & (x[:, feature] <= cut)
+                assert 2 <= left.sum() <= n - 2 and tree[path + "0"][0] == left.sum()
+
+
+def test_model_of_two_classes_is_stored_as_sparks(spark, tmp_path):
+    x, y = noisy(200)
+    df = frame(spark, x, y)
+    fitted = models.fit_forest(df, trees=8, depth=6)
+    model = fitted.stages[0]
+    assert isinstance(model, forest.ForestModel) and model.getNumTrees == len(model.trees) == 8 and max(t.depth for t in model.trees) <= 6
+    told = lambda m: {r.stay_id: (r.raw, r.probability[1], r.prediction) for r in m.transform(df).select("stay_id", vector_to_array("rawPrediction").alias("raw"), "probability", "prediction").collect()}
+    path = f"file://{tmp_path}/model"
+    models.save_model(fitted, path)
+    loaded = models.load_model(path)
+    assert isinstance(loaded.stages[0], RandomForestClassificationModel)
+    mine, theirs = told(fitted), told(loaded)
+    assert mine.keys() == theirs.keys() and len(mine) == 200
+    for key, (raw, prob, prediction) in mine.items():
+        assert raw == pytest.approx(theirs[key][0]) and prob == pytest.approx(theirs[key][1]) and prediction == theirs[key][2]
+    assert model.featureImportances.toArray() == pytest.approx(loaded.stages[0].featureImportances.toArray(), abs=1e-6)
+    assert [t.numNodes for t in loaded.stages[0].trees] == [t.numNodes for t in model.trees]
+    # a forest of Spark's tells about the same rows apart
+    sparks = told(models.random_forest(trees=8, depth=6).fit(df))
+    assert np.mean([v[2] == sparks[key][2] for key, v in mine.items()]) > 0.8
+    # with bootstrap, trees see other rows, about as many
+    drawn = models.fit_forest(df, trees=5, depth=None, bootstrap=True).stages[0]
+    roots = [r["n"] for r in drawn.forest.table(spark).filter("depth = 0").collect()]
+    assert len(set(roots)) > 1 and all(140 < n < 260 for n in roots)
+    with pytest.raises(ValueError, match="rows with a label"):
+        models.fit_forest(df.limit(0), trees=2)
