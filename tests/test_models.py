@@ -31,6 +31,18 @@ def test_models_find_the_signal(planted):
     assert area(models.fit_boosted(train, valid, trees=5, depth=3, gamma=0), valid) > 0.9
 
 
+def test_passes_fit_the_same_model(planted):
+    for params in ({"C": 0.1}, {"C": 10.0, "penalty": "l2"}, {"C": 0.05, "fit_intercept": False}):
+        plain = models.fit_logistic(planted, tol=1e-10, **params).stages[0]
+        model = models.fit_logistic(planted, by_passes=True, **params).stages[0]
+        assert model.coefficients.toArray() == pytest.approx(plain.coefficients.toArray(), rel=1e-3, abs=1e-3) and model.intercept == pytest.approx(plain.intercept, abs=1e-3)
+        assert not model.hasSummary and model.getElasticNetParam() == plain.getElasticNetParam() and model.getRegParam() == plain.getRegParam()
+        scored = models.predict(model, planted, "m", ["stay_id"]).join(models.predict(plain, planted, "m", ["stay_id"]).withColumnRenamed("prob", "other"), "stay_id")
+        assert scored.filter("abs(prob - other) > 1e-4").count() == 0
+    # one class: Spark's own fit
+    assert models.fit_logistic(planted.withColumn("label", F.lit(0)), by_passes=True, max_iter=3).stages[0].hasSummary
+
+
 def test_weights(planted):
     weighted = models.with_weight(planted)
     sums = dict(rows(weighted.groupBy("label").agg(F.round(F.sum("weight"), 6))))

@@ -8,15 +8,19 @@ jobs as its slowest fit has steps, about twenty, not one per step of every fit.
 
 from __future__ import annotations
 
+import json
 import math
+import time
 from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseMatrix, MatrixUDT, Vectors, VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from wardline.sources.tables import cut_lineage
+from wardline.sources.tables import cut_lineage, shared_folder
 
 # Numbers of the curvature that a task holds at once, over all fits of a job; wider vectors are not fitted here.
 PASS_CELLS = 8_000_000
@@ -108,6 +112,29 @@ def fit_parts(stored: DataFrame, estimator, choices: dict[int, list[dict]], tota
     return {(f["part"], f["run"]): list(s["base"]) for f, s in zip(fits, state, strict=True)}
 
 
+def fit_model(train: DataFrame, estimator, weight: str | None) -> LogisticRegressionModel | None:
+    """The model of one regression fitted by these passes; None if only Spark's own fit can judge the rows."""
+    if not is_plain(estimator):
+        return None
+    stored = store_parts([train], estimator, weight)
+    total = {r["part"]: r["w"] for r in stored.groupBy("part").agg(F.sum("weight").alias("w")).collect()}
+    fitted = fit_parts(stored, estimator, {0: [{}]}, total) if total.get(0) else {}
+    if not fitted:
+        return None
+    *coefficients, intercept = fitted[0, 0]
+    spark, path, size = train.sparkSession, shared_folder(train.sparkSession), len(coefficients)
+    plain = lambda params: {p.name: v for p, v in params.items()}
+    told = {
+        "class": "org.apache.spark.ml.classification.LogisticRegressionModel", "timestamp": int(time.time() * 1000), "sparkVersion": spark.version,
+        "uid": estimator.uid, "paramMap": plain(estimator._paramMap), "defaultParamMap": plain(estimator._defaultParamMap),
+    }
+    spark.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    schema = StructType().add("numClasses", "integer").add("numFeatures", "integer").add("interceptVector", VectorUDT()).add("coefficientMatrix", MatrixUDT()).add("isMultinomial", "boolean")
+    row = (2, size, Vectors.dense([intercept]), DenseMatrix(1, size, coefficients, True), False)
+    spark.createDataFrame([row], schema).coalesce(1).write.parquet(f"{path}/data")
+    return LogisticRegressionModel.load(path)
+
+
 def _adder(now: dict, size: int):
     """Sums of a task per fit: loss, slopes and curvature at the trial coefficients."""
     by_part: dict[int, list] = {}

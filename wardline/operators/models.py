@@ -147,11 +147,13 @@ def _total_weight(train: DataFrame, weight: str | None) -> float:
     return float(train.agg(total).first()[0])
 
 
-def fit_logistic(train: DataFrame, scheme: str | None = "balanced", **params) -> PipelineModel:
+def fit_logistic(train: DataFrame, scheme: str | None = "balanced", by_passes: bool = False, **params) -> PipelineModel:
+    """``by_passes`` takes the Newton steps of searches, a job per step and few of them, where these can fit the rows."""
     weighted = with_weight(train, scheme=scheme) if scheme else train
     column = "weight" if scheme else None
     estimator = logistic(_total_weight(weighted, column), weight=column, **params)
-    return Pipeline(stages=[estimator]).fit(weighted)
+    model = logistics.fit_model(weighted, estimator, column) if by_passes else None
+    return PipelineModel([model]) if model else Pipeline(stages=[estimator]).fit(weighted)
 
 
 def best_rounds(losses: list[float], patience: int) -> int:

@@ -39,7 +39,7 @@ def baseline_predictions(
     train, valid, test = (flat.filter(F.col("split") == part) for part in ("train", "valid", "test"))
     both = flat.filter(F.col("split") != "test")
     fits = {
-        "logistic": lambda: models.fit_logistic(both, **(models.LOGISTIC | (logistic or {}))),
+        "logistic": lambda: models.fit_logistic(both, by_passes=True, **(models.LOGISTIC | (logistic or {}))),
         "boosted": lambda: models.fit_boosted(train, valid, **(models.BOOSTED | (boosted or {}))),
         "forest": lambda: models.fit_forest(both, **(models.FOREST | (forest or {}))),
     }
